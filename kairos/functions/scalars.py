@@ -40,6 +40,26 @@ def ts_text(c) -> Column:
     return F.date_format(col(c), TS_TEXT_FORMAT)
 
 
+def epoch_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the session time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col(c))
+
+
+def seconds_between(start, end) -> Column:
+    """Whole seconds from start to end (floor), session-zone independent."""
+    return F.floor((epoch_micros(end) - epoch_micros(start)) / F.lit(1_000_000)).cast("bigint")
+
+
+def ntz_to_instant(c) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP read as UTC wall time, whatever the session zone."""
+    return F.timestamp_micros(epoch_micros(c))
+
+
+def instant_to_ntz(c) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col(c)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def day_diff(start, end) -> Column:
     """G1: number of calendar-day boundaries between start and end (DATEDIFF('day', a, b))."""
     return F.datediff(F.to_date(col(end)), F.to_date(col(start))).cast("bigint")

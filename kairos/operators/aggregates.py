@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
-from kairos.functions.scalars import day_diff, safe_ratio
+from kairos.functions.scalars import day_diff, epoch_micros, safe_ratio, seconds_between
 from kairos.operators.sequence import time_slice, with_neighbours
 
 
@@ -101,11 +101,7 @@ def accumulating_snapshot(changes: DataFrame, key: str, stage_col: str, ts: str,
     firsts = [F.min(F.when(F.col(stage_col) == s, F.col(ts))).alias(f"{s}_at") for s in stages]
     out = changes.groupBy(key).agg(*firsts)
     for a, b in zip(stages, stages[1:]):
-        out = out.withColumn(
-            f"{a}_to_{b}_s",
-            (F.unix_micros(F.col(f"{b}_at").cast("timestamp")) - F.unix_micros(F.col(f"{a}_at").cast("timestamp")))
-            .cast("bigint") / F.lit(1_000_000))
-        out = out.withColumn(f"{a}_to_{b}_s", F.floor(f"{a}_to_{b}_s").cast("bigint"))
+        out = out.withColumn(f"{a}_to_{b}_s", seconds_between(f"{a}_at", f"{b}_at"))
     return out
 
 
@@ -126,7 +122,7 @@ def history_safe_totals(df: DataFrame, key: str, ts: str, value: str, prefix: st
     window runs per (key, time slice); earlier slices arrive as running slice
     totals from a one-row-per-(key, slice) aggregate, so a hot key is split.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    micros = epoch_micros(ts)
     d = df.withColumn("_slice", time_slice(ts, slice_unit))
     w = (Window.partitionBy(key, "_slice").orderBy(micros)
          .rangeBetween(Window.unboundedPreceding, -1))

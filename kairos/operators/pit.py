@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kairos.operators.sequence import latest_per_key, time_slice
+from kairos.operators.sequence import time_slice
 
 
 def pit_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
@@ -104,15 +104,16 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
           .withColumn("_isv", F.lit(1)))
     fs = (f.select("_k", "_slice").where(F.col("_k").isNotNull()).distinct()
           .select("_k", "_slice", F.lit(None).cast(ver_type).alias("_last"), F.lit(0).alias("_isv")))
-    wb = (Window.partitionBy("_k").orderBy("_slice", "_isv")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (fs.unionByName(vs).withColumn("_start", F.last("_last", ignorenulls=True).over(wb))
-             .where(F.col("_isv") == 0).select("_k", "_slice", "_start"))
-    cur = latest_per_key(
-        entity.where(F.col("is_current")).select(F.col(id_col).cast(key_type).alias("_k"), ver.alias("_cur"),
-                                                 F.col("valid_from").alias("_cvf"), F.col("sk").alias("_csk")),
-        ["_k"], ["_cvf", "_csk"]).select("_k", "_cur")
-    carry = carry.join(cur, "_k", "left")
+    wk = Window.partitionBy("_k").orderBy("_slice", "_isv")
+    carry = (fs.unionByName(vs)
+             .withColumn("_start", F.last("_last", ignorenulls=True).over(
+                 wk.rowsBetween(Window.unboundedPreceding, -1)))
+             .withColumn("_latest", F.last("_last", ignorenulls=True).over(
+                 wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+             .where(F.col("_isv") == 0)
+             # the key's current version: its latest version when still open
+             .select("_k", "_slice", "_start",
+                     F.when(F.col("_latest.vt").isNull(), F.col("_latest")).alias("_cur")))
     if sk_map is not None:
         m = sk_map.select(F.col("canonical_id").cast(key_type).alias("_k"), F.col("master_sk").alias("_map_msk"))
         carry = carry.join(m, "_k", "left")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kairos.functions.scalars import as_of as _as_of
+from kairos.functions.scalars import epoch_micros, seconds_between
 
 
 def check_unique(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
@@ -39,9 +40,8 @@ def check_accepted(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 def check_freshness(df: DataFrame, col: str, as_of=None, warn_hours: float = 12,
                     error_hours: float = 24) -> DataFrame:
     """Q4: one row: newest ``col``, its age in seconds, and pass / warn / error."""
-    age = (F.unix_micros(_as_of(as_of).cast("timestamp"))
-           - F.unix_micros(F.max(col).cast("timestamp"))) / F.lit(1_000_000)
-    out = df.agg(F.max(col).alias("max_loaded_at"), F.floor(age).cast("bigint").alias("age_seconds"))
+    out = df.agg(F.max(col).alias("max_loaded_at"))
+    out = out.withColumn("age_seconds", seconds_between(F.col("max_loaded_at"), _as_of(as_of)))
     s = F.col("age_seconds")
     status = (F.when(s.isNull(), "error")
               .when(s > error_hours * 3600, "error")
@@ -168,8 +168,7 @@ def check_contract(df: DataFrame, contract: Contract, as_of=None) -> DataFrame:
         if c in actual:
             checks.append((f"accepted:{c}", F.count(F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(vals)), 1))))
     if contract.freshness_col and contract.freshness_col in actual and contract.freshness_hours:
-        age = (F.unix_micros(_as_of(as_of).cast("timestamp"))
-               - F.unix_micros(F.max(contract.freshness_col).cast("timestamp")))
+        age = epoch_micros(_as_of(as_of)) - epoch_micros(F.max(contract.freshness_col))
         checks.append((f"freshness:{contract.freshness_col}",
                        F.when(age > contract.freshness_hours * 3600e6, 1).otherwise(0)))
     schema_df = spark.createDataFrame(rows, "clause string, detail string, n_failed long")

@@ -40,6 +40,8 @@ def orders_snapshot_incremental(history: DataFrame | None, raw_orders: DataFrame
 
 
 def stg_customers(snapshot: DataFrame, mapping: DataFrame | None, previous=None, sk_map_df=None) -> DataFrame:
+    if previous is not None:
+        previous = previous.withColumnRenamed("customer_id", "source_id")
     k = surrogate_keys(snapshot, "id", sk_map_df=sk_map_df, mapping=mapping, previous=previous)
     return k.select("sk", "master_sk", F.col("source_id").alias("customer_id"), "canonical_id", "name",
                     "email", "country", "status", "created_at", "updated_at", "valid_from", "valid_to",
@@ -47,6 +49,8 @@ def stg_customers(snapshot: DataFrame, mapping: DataFrame | None, previous=None,
 
 
 def stg_products(snapshot: DataFrame, previous=None, sk_map_df=None) -> DataFrame:
+    if previous is not None:
+        previous = previous.withColumnRenamed("product_id", "source_id").withColumnRenamed("product_name", "name")
     k = surrogate_keys(snapshot, "id", sk_map_df=sk_map_df, previous=previous)
     return k.select("sk", "master_sk", F.col("source_id").alias("product_id"), "canonical_id",
                     F.col("name").alias("product_name"), "category", "price", "is_active", "created_at",
@@ -149,17 +153,29 @@ class Models:
     """All models over the driver tables of one scale factor (full refresh)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
-                 materialize_dir: str | None = None, strategy: str = "asof"):
+                 materialize_dir: str | None = None, strategy: str = "asof", layer_mode: str | None = None):
+        """``layer_mode``: ``lazy`` (plain plans), ``checkpoint`` (reliable checkpoint of
+        snapshots, key maps and staging, so shared layers are computed once and
+        lineage is cut) or ``write`` (every model written under ``materialize_dir``)."""
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.materialize_dir = materialize_dir
+        self.layer_mode = layer_mode or ("write" if materialize_dir else "lazy")
         self.strategy = strategy
 
+    _SHARED = {"customers_snapshot", "products_snapshot", "orders_snapshot", "dim_customer_sk_map",
+               "dim_product_sk_map", "dim_order_sk_map", "stg_customers", "stg_products", "stg_orders",
+               "stg_payments", "stg_order_items"}
+
     def _mat(self, name: str, df: DataFrame) -> DataFrame:
-        if not self.materialize_dir:
-            return df
-        path = f"{self.materialize_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        if self.layer_mode == "write":
+            path = f"{self.materialize_dir.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        if self.layer_mode == "checkpoint" and name in self._SHARED:
+            from kairos.session import cut_lineage
+
+            return cut_lineage(df)
+        return df
 
     # raw
     @functools.cached_property
