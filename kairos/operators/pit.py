@@ -13,7 +13,9 @@ key do not overlap):
                      range residual.  Cost per key is facts x versions.
 ``strategy="asof"``  (default) facts and versions are unioned and a running
                      ``last(version, ignorenulls)`` is taken per (key, time
-                     slice), so work is linear.  Facts that precede every
+                     slice), so work is linear.  Only hot keys (>= HOT_KEY_ROWS
+                     rows, found by a map-side-partial count) are sliced; the
+                     rest form one slice each.  Facts that precede every
                      version of their slice take the version active at the
                      slice start from a small carry table (one row per key and
                      slice), built by map-side-partial aggregates and a window
@@ -30,6 +32,11 @@ from pyspark.sql import functions as F
 
 from kairos.operators.sequence import time_slice
 
+# A key with at least this many rows (facts + versions) is split into time slices.
+HOT_KEY_ROWS = 2_000_000
+# Upper bound on hot keys handled as a set; beyond it every key is sliced.
+MAX_HOT_KEYS = 10_000
+
 
 def pit_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
              take=("sk", "master_sk"), prefix: str = "pit_", how: str = "left",
@@ -78,7 +85,7 @@ def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map):
                       F.coalesce(*masters).alias(f"{prefix}_master_sk"))
 
 
-def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
+def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows):
     key_type = facts.schema[fk].dataType
     ver = F.struct(F.col("sk").alias("sk"), F.col("master_sk").alias("master_sk"),
                    F.col("valid_from").alias("vf"), F.col("valid_to").alias("vt"))
@@ -90,8 +97,7 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
                      F.lit(1).alias("_kind"), fstruct.alias("_f"), F.lit(None).cast(ver_type).alias("_v"))
     v = entity.select(F.col(id_col).cast(key_type).alias("_k"), F.col("valid_from").cast("timestamp_ntz").alias("_t"),
                       F.lit(0).alias("_kind"), F.lit(None).cast(f_type).alias("_f"), ver.alias("_v"))
-    f = f.withColumn("_slice", time_slice("_t", slice_unit))
-    v = v.withColumn("_slice", time_slice("_t", slice_unit))
+    f, v = _assign_slices(f, v, slice_unit, hot_key_rows)
 
     # 1) running last version inside each (key, slice)
     w = (Window.partitionBy("_k", "_slice").orderBy("_t", "_kind")
@@ -131,13 +137,40 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
                       .alias(f"{prefix}_master_sk"))
 
 
+def _assign_slices(f: DataFrame, v: DataFrame, slice_unit: str, hot_key_rows: int | None):
+    """Only keys holding at least ``hot_key_rows`` rows (facts + versions) are split
+    into ``slice_unit`` slices; every other key is one slice.
+
+    The hot keys are found by a small count job (map-side partial aggregate of
+    the key column only).  There are at most rows / hot_key_rows of them; the
+    list is fetched only up to MAX_HOT_KEYS entries and applied as an ``isin``
+    set, so the facts are not joined or shuffled for it.  Beyond that bound every
+    key is sliced, which is always correct.  ``hot_key_rows=0`` slices every
+    key, ``None`` slices none.
+    """
+    one = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    if hot_key_rows is None:
+        return f.withColumn("_slice", one), v.withColumn("_slice", one)
+    sliced = time_slice("_t", slice_unit)
+    if hot_key_rows > 0:
+        hot = (f.select("_k").unionByName(v.select("_k")).where(F.col("_k").isNotNull())
+               .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") >= hot_key_rows).select("_k").limit(MAX_HOT_KEYS + 1).collect())
+        if len(hot) <= MAX_HOT_KEYS:
+            if not hot:
+                return f.withColumn("_slice", one), v.withColumn("_slice", one)
+            keys = [r[0] for r in hot]
+            sliced = F.when(F.col("_k").isin(keys), sliced).otherwise(one)
+    return f.withColumn("_slice", sliced), v.withColumn("_slice", sliced)
+
+
 def fk_enrich(facts: DataFrame, fk: str, t: str, entity: DataFrame, id_col: str, prefix: str,
               sk_map: DataFrame | None = None, strategy: str = "asof",
-              slice_unit: str = "month") -> DataFrame:
+              slice_unit: str = "day", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Add ``{prefix}_sk`` (version valid at ``t``, else the current version)
     and ``{prefix}_master_sk`` (from that version, else the key map)."""
     if strategy == "join":
         return _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map)
     if strategy == "asof":
-        return _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit)
+        return _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows)
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -48,7 +48,10 @@ def test_asof_equals_join_with_hot_key(spark):
         facts.append((i, k, ts("2022-12-01") + dt.timedelta(hours=rnd.randint(0, 24 * 430))))
     e = spark.createDataFrame(ents, ENT)
     f = spark.createDataFrame(facts, "id long, order_id long, created_at timestamp_ntz")
-    a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="asof", slice_unit="month")
+    a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="asof", slice_unit="month",
+                      hot_key_rows=500)
+    a_all = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="week", hot_key_rows=0)
+    assert rows(a_all) == rows(a)
     j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
     assert a.count() == f.count()
     assert rows(a) == rows(j)
