@@ -72,9 +72,9 @@ def shift_days(c, days: int) -> Column:
 
 def md5_uuid(*parts) -> Column:
     """Deterministic UUID text from md5 of the concatenated parts (8-4-4-4-12)."""
-    h = F.md5(F.concat(*[col(p).cast("string") if not isinstance(p, Column) else p.cast("string")
-                         for p in parts]))
-    return F.regexp_replace(h, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    h = F.md5(F.concat(*[col(p).cast("string") for p in parts]))
+    return F.concat_ws("-", *[F.substring(h, start, length)
+                              for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
 def surrogate_key(*cols) -> Column:

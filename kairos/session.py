@@ -67,6 +67,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    One job (a reliable RDD checkpoint would compute the plan twice), the
+    result survives executor loss, and readers get a columnar scan with
+    statistics.  Never ``localCheckpoint``.
+    """
+    path = scratch_path(df.sparkSession, "layer")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -144,8 +144,9 @@ def raw_orders_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append-only payments log from lineitem (one payment per line)."""
     li = read_raw(spark, sf_dir, "lineitem")
-    amount = F.round(F.col("l_extendedprice").cast("decimal(18,2)")
-                     * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")), 2)
+    # precision stays <= 18 digits so Spark keeps decimals in longs (fast path)
+    amount = F.round(F.col("l_extendedprice").cast("decimal(12,2)")
+                     * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")), 2)
     methods = F.array(*[F.lit(m) for m in PAYMENT_METHODS])
     return li.select(
         md5_uuid(F.lit("pay-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("id"),
