@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kairos.operators.sequence import time_slice
 
@@ -85,44 +86,122 @@ def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map):
                       F.coalesce(*masters).alias(f"{prefix}_master_sk"))
 
 
-def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows):
+ONE_SLICE = "0001-01-01 00:00:00"
+
+
+def find_hot_keys(df: DataFrame, key: str, t: str, hot_key_rows: int) -> list | None:
+    """Keys with at least ``hot_key_rows`` rows, with their time range.
+
+    One small job: the key and time columns only, partially aggregated
+    map-side.  At most rows / hot_key_rows keys qualify; at most MAX_HOT_KEYS
+    are fetched.  Returns None when there are more (callers then slice every key).
+    """
+    rows = (df.select(F.col(key).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"))
+            .where(F.col("_k").isNotNull())
+            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+            .where(F.col("_n") >= hot_key_rows).select("_k", "_lo", "_hi")
+            .limit(MAX_HOT_KEYS + 1).collect())
+    return None if len(rows) > MAX_HOT_KEYS else [tuple(r) for r in rows]
+
+
+def _merge_hot(a: list | None, b: list | None) -> list | None:
+    """Union of two hot-key lists, widening time ranges; None if unbounded."""
+    if a is None or b is None:
+        return None
+    span: dict = {}
+    for k, lo, hi in a + b:
+        los = [x for x in (lo, span.get(k, (None, None))[0]) if x is not None]
+        his = [x for x in (hi, span.get(k, (None, None))[1]) if x is not None]
+        span[k] = (min(los) if los else None, max(his) if his else None)
+    return [(k, lo, hi) for k, (lo, hi) in span.items()] if len(span) <= MAX_HOT_KEYS else None
+
+
+def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows, hot_source):
+    spark = facts.sparkSession
     key_type = facts.schema[fk].dataType
     ver = F.struct(F.col("sk").alias("sk"), F.col("master_sk").alias("master_sk"),
                    F.col("valid_from").alias("vf"), F.col("valid_to").alias("vt"))
     ver_type = entity.select(ver.alias("v")).schema["v"].dataType
     fstruct = F.struct(*[F.col(c) for c in facts.columns])
     f_type = facts.select(fstruct.alias("f")).schema["f"].dataType
+    one = F.lit(ONE_SLICE).cast("timestamp_ntz")
 
     f = facts.select(F.col(fk).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"),
                      F.lit(1).alias("_kind"), fstruct.alias("_f"), F.lit(None).cast(ver_type).alias("_v"))
     v = entity.select(F.col(id_col).cast(key_type).alias("_k"), F.col("valid_from").cast("timestamp_ntz").alias("_t"),
                       F.lit(0).alias("_kind"), F.lit(None).cast(f_type).alias("_f"), ver.alias("_v"))
-    f, v = _assign_slices(f, v, slice_unit, hot_key_rows)
 
-    # 1) running last version inside each (key, slice)
+    # which keys are split into time slices
+    if hot_key_rows is None:
+        hot, slice_all = [], False
+    elif hot_key_rows <= 0:
+        hot, slice_all = None, True
+    else:
+        src = hot_source if hot_source is not None else facts
+        ent = entity.select(F.col(id_col).cast(key_type).alias("_ek"), "valid_from")
+        hot = _merge_hot(find_hot_keys(src, fk, t, hot_key_rows),
+                         find_hot_keys(ent, "_ek", "valid_from", hot_key_rows))
+        slice_all = hot is None
+    hot_keys = [h[0] for h in hot or []]
+    fine = time_slice("_t", slice_unit)
+    if slice_all:
+        sl = fine
+    elif hot_keys:
+        sl = F.when(F.col("_k").isin(hot_keys), fine).otherwise(one)
+    else:
+        sl = one
+    f = f.withColumn("_slice", sl)
+    v = v.withColumn("_slice", sl)
+
+    # 1) running last version inside each (key, slice): the only pass over the facts
     w = (Window.partitionBy("_k", "_slice").orderBy("_t", "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     main = (f.unionByName(v).withColumn("_in", F.last("_v", ignorenulls=True).over(w))
             .where(F.col("_kind") == 1))
 
-    # 2) carry table: version active at each slice start, current version, map lookup
+    # 2) carry table from the entity side: per (key, slice) the version active at
+    #    the slice start and the key's current version; plus the key-map lookup
     vs = (v.groupBy("_k", "_slice").agg(F.max_by("_v", F.struct("_t", F.col("_v.sk"))).alias("_last"))
           .withColumn("_isv", F.lit(1)))
-    fs = (f.select("_k", "_slice").where(F.col("_k").isNotNull()).distinct()
-          .select("_k", "_slice", F.lit(None).cast(ver_type).alias("_last"), F.lit(0).alias("_isv")))
+    if slice_all:
+        # every key sliced: one carry row per (key, slice) that holds facts
+        gen = f.select("_k", "_slice").where(F.col("_k").isNotNull()).distinct()
+    elif hot:
+        # hot keys: one carry row per slice of their time range (bounded list)
+        gen = spark.createDataFrame(hot, T.StructType([T.StructField("_k", key_type),
+                                                       T.StructField("_lo", T.TimestampNTZType()),
+                                                       T.StructField("_hi", T.TimestampNTZType())]))
+        lo = F.date_trunc(slice_unit, F.coalesce("_lo", "_hi")).cast("timestamp_ntz")
+        hi = F.date_trunc(slice_unit, F.coalesce("_hi", "_lo")).cast("timestamp_ntz")
+        step = F.expr(f"INTERVAL 1 {slice_unit.upper()}")
+        gen = gen.select("_k", F.explode(F.array_union(F.array(one), F.sequence(lo, hi, step))).alias("_slice"))
+    else:
+        gen = None
+    parts = vs
+    if gen is not None:
+        parts = vs.unionByName(gen.select("_k", "_slice", F.lit(None).cast(ver_type).alias("_last"),
+                                          F.lit(0).alias("_isv")))
     wk = Window.partitionBy("_k").orderBy("_slice", "_isv")
-    carry = (fs.unionByName(vs)
+    carry = (parts
              .withColumn("_start", F.last("_last", ignorenulls=True).over(
                  wk.rowsBetween(Window.unboundedPreceding, -1)))
              .withColumn("_latest", F.last("_last", ignorenulls=True).over(
-                 wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-             .where(F.col("_isv") == 0)
-             # the key's current version: its latest version when still open
-             .select("_k", "_slice", "_start",
-                     F.when(F.col("_latest.vt").isNull(), F.col("_latest")).alias("_cur")))
+                 wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    if slice_all:
+        carry = carry.where(F.col("_isv") == 0)
+    elif hot_keys:
+        carry = carry.where((F.col("_isv") == 0) | ~F.col("_k").isin(hot_keys))
+    # the key's current version: its latest version when still open
+    carry = carry.select("_k", "_slice", "_start",
+                         F.when(F.col("_latest.vt").isNull(), F.col("_latest")).alias("_cur"))
     if sk_map is not None:
         m = sk_map.select(F.col("canonical_id").cast(key_type).alias("_k"), F.col("master_sk").alias("_map_msk"))
-        carry = carry.join(m, "_k", "left")
+        if slice_all:
+            carry = carry.join(m, "_k", "left")
+        else:
+            # keys known only to the map still need a carry row (their single slice)
+            carry = (carry.join(m, "_k", "full_outer")
+                     .withColumn("_slice", F.coalesce(F.col("_slice"), one)))
     else:
         carry = carry.withColumn("_map_msk", F.lit(None).cast("string"))
 
@@ -137,40 +216,14 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, ho
                       .alias(f"{prefix}_master_sk"))
 
 
-def _assign_slices(f: DataFrame, v: DataFrame, slice_unit: str, hot_key_rows: int | None):
-    """Only keys holding at least ``hot_key_rows`` rows (facts + versions) are split
-    into ``slice_unit`` slices; every other key is one slice.
-
-    The hot keys are found by a small count job (map-side partial aggregate of
-    the key column only).  There are at most rows / hot_key_rows of them; the
-    list is fetched only up to MAX_HOT_KEYS entries and applied as an ``isin``
-    set, so the facts are not joined or shuffled for it.  Beyond that bound every
-    key is sliced, which is always correct.  ``hot_key_rows=0`` slices every
-    key, ``None`` slices none.
-    """
-    one = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
-    if hot_key_rows is None:
-        return f.withColumn("_slice", one), v.withColumn("_slice", one)
-    sliced = time_slice("_t", slice_unit)
-    if hot_key_rows > 0:
-        hot = (f.select("_k").unionByName(v.select("_k")).where(F.col("_k").isNotNull())
-               .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") >= hot_key_rows).select("_k").limit(MAX_HOT_KEYS + 1).collect())
-        if len(hot) <= MAX_HOT_KEYS:
-            if not hot:
-                return f.withColumn("_slice", one), v.withColumn("_slice", one)
-            keys = [r[0] for r in hot]
-            sliced = F.when(F.col("_k").isin(keys), sliced).otherwise(one)
-    return f.withColumn("_slice", sliced), v.withColumn("_slice", sliced)
-
-
 def fk_enrich(facts: DataFrame, fk: str, t: str, entity: DataFrame, id_col: str, prefix: str,
               sk_map: DataFrame | None = None, strategy: str = "asof",
-              slice_unit: str = "day", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+              slice_unit: str = "day", hot_key_rows: int | None = HOT_KEY_ROWS,
+              hot_source: DataFrame | None = None) -> DataFrame:
     """Add ``{prefix}_sk`` (version valid at ``t``, else the current version)
     and ``{prefix}_master_sk`` (from that version, else the key map)."""
     if strategy == "join":
         return _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map)
     if strategy == "asof":
-        return _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows)
+        return _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows, hot_source)
     raise ValueError(f"unknown strategy {strategy!r}")

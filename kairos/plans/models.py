@@ -81,7 +81,9 @@ def stg_order_items(items: DataFrame, orders: DataFrame, order_map, products: Da
     e = (items.transform(lambda d: fk_enrich(d, "order_id", "created_at", orders, "order_id", "order",
                                              sk_map=order_map, strategy=strategy))
          .transform(lambda d: fk_enrich(d, "product_id", "created_at", products, "product_id", "product",
-                                        sk_map=product_map, strategy=strategy)))
+                                        sk_map=product_map, strategy=strategy,
+                                        # same keys and times as the raw items: count hot keys there
+                                        hot_source=items)))
     return e.select(F.col("id").alias("order_item_id"), "order_id", "order_sk", "order_master_sk",
                     "product_id", "product_sk", "product_master_sk", "quantity", "unit_price", "created_at",
                     (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("line_total"))

@@ -52,6 +52,11 @@ def test_asof_equals_join_with_hot_key(spark):
                       hot_key_rows=500)
     a_all = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="week", hot_key_rows=0)
     assert rows(a_all) == rows(a)
+    skm = spark.createDataFrame([(k, f"m{k}") for k in range(1, 10)], "canonical_id long, master_sk string")
+    a_map = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", sk_map=skm, slice_unit="month",
+                          hot_key_rows=500)
+    j_map = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", sk_map=skm, strategy="join")
+    assert rows(a_map) == rows(j_map)
     j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
     assert a.count() == f.count()
     assert rows(a) == rows(j)
