@@ -19,6 +19,7 @@ from kairos.operators.metrics import Metric, evaluate
 from kairos.operators.sequence import latest_per_key
 from kairos.plans.models import MODEL_NAMES, Models
 from kairos.sources import raw as rawsrc
+from kairos.session import scratch_path
 from kairos.sources import sinks
 from kairos.streaming.micro_batch import STREAM_QUERIES
 
@@ -350,6 +351,91 @@ def q_g7_payment_ids(spark, d):
     return rawsrc.raw_payments(spark, d).select("id", "order_id", "method", "status", "amount")
 
 
+# --- write paths: each writes under the shared checkpoint folder and reads back
+
+ROLLING_AS_OF = "2001-08-01 00:00:00"
+
+
+def q_a2_load_replace(spark, d):
+    path = scratch_path(spark, "a2-orders")
+    src = rawsrc.raw_orders_current(spark, d)
+    sinks.load_replace(src, path)
+    sinks.load_replace(src, path)  # second run replaces, never duplicates
+    return spark.read.parquet(path)
+
+
+def q_a6_write_table(spark, d):
+    path = scratch_path(spark, "a6-daily")
+    sinks.write_table(agg.daily_totals(rawsrc.raw_payments(spark, d), "created_at", {"amount": "amount"}), path)
+    return spark.read.parquet(path)
+
+
+def q_a11_write_partitioned(spark, d):
+    path = scratch_path(spark, "a11-payments")
+    sinks.write_partitioned(rawsrc.raw_payments(spark, d), path, ["method"])
+    # partition pruning: only the gift_card directory is listed and read
+    return spark.read.parquet(path).where(F.col("method") == "gift_card")
+
+
+def q_a12_write_clustered(spark, d):
+    path = scratch_path(spark, "a12-orders")
+    sinks.write_clustered(rawsrc.raw_orders_current(spark, d), path, ["status"], ["placed_at"])
+    return spark.read.parquet(path)
+
+
+def q_a13_compact(spark, d):
+    small = scratch_path(spark, "a13-small")
+    rawsrc.raw_payments(spark, d).repartition(64).write.parquet(small)
+    return spark.read.parquet(sinks.compact(spark, small, scratch_path(spark, "a13-compacted"), 128))
+
+
+def q_a14_backfill(spark, d):
+    ev = _t(spark, d, "events")
+    weeks = [r[0] for r in ev.select(F.date_trunc("week", "ts").cast("timestamp_ntz").alias("w"))
+             .distinct().orderBy("w").collect()]  # one row per week of the log
+    path = scratch_path(spark, "a14-weekly")
+
+    def build(week: str):
+        start = ts_literal(week)
+        part = ev.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 7 DAYS")))
+        return part.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+    sinks.backfill(build, [str(w) for w in weeks], path, "week_start")
+    sinks.backfill(build, [str(w) for w in weeks[-1:]], path, "week_start")  # re-run one: idempotent
+    out = spark.read.parquet(path)
+    return out.withColumn("week_start", F.col("week_start").cast("timestamp_ntz"))
+
+
+def q_a18_write_as(spark, d):
+    src = rawsrc.raw_orders_current(spark, d)
+    for fmt, codec in (("csv", "gzip"), ("json", "gzip"), ("parquet", "zstd")):
+        sinks.write_as(src, scratch_path(spark, f"a18-{fmt}"), fmt, codec)
+    path = scratch_path(spark, "a18-orc")
+    sinks.write_as(src, path, "orc", "zstd")
+    return spark.read.orc(path)
+
+
+def q_a19_scd1(spark, d):
+    ch = rawsrc.order_changes(spark, d)
+    target = latest_per_key(ch.where(F.col("updated_at") < ts_literal(ORDERS_CUTOFF)), ["id"], ["updated_at"])
+    batch = ch.where(F.col("updated_at") >= ts_literal(ORDERS_CUTOFF))
+    return scd.scd1(target, batch, ["id"], ["updated_at"])
+
+
+def q_b17_rolling_filter(spark, d):
+    o = rawsrc.raw_orders_current(spark, d)
+    return o.where(F.col("placed_at") >= F.date_sub(F.to_date(ts_literal(ROLLING_AS_OF)), 90).cast("timestamp_ntz"))
+
+
+def q_d9_dashboard(spark, d):
+    from kairos.operators.metrics import evaluate_many
+
+    ms = [Metric("order_volume", "count", "id", "placed_at"),
+          Metric("revenue", "sum", "amount", "placed_at", cast="decimal(18,2)"),
+          Metric("customers", "count_distinct", "customer_id", "placed_at")]
+    return evaluate_many(ms, rawsrc.raw_orders_current(spark, d), ["status"], "quarter")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{n: _model(n) for n in MODEL_NAMES},
     "s1_scd2_snapshot": q_s1_scd2_snapshot,
@@ -400,5 +486,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g8_surrogate_key": q_g8_surrogate_key,
     "g12_recency_status": q_g12_recency_status,
     "a21_mask_columns": q_a21_mask_columns,
+    "a2_load_replace": q_a2_load_replace,
+    "a6_write_table": q_a6_write_table,
+    "a11_write_partitioned": q_a11_write_partitioned,
+    "a12_write_clustered": q_a12_write_clustered,
+    "a13_compact": q_a13_compact,
+    "a14_backfill": q_a14_backfill,
+    "a18_write_as": q_a18_write_as,
+    "a19_scd1": q_a19_scd1,
+    "b17_rolling_filter": q_b17_rolling_filter,
+    "d9_dashboard": q_d9_dashboard,
     **STREAM_QUERIES,
 }
