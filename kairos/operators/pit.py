@@ -104,18 +104,6 @@ def find_hot_keys(df: DataFrame, key: str, t: str, hot_key_rows: int) -> list |
     return None if len(rows) > MAX_HOT_KEYS else [tuple(r) for r in rows]
 
 
-def _merge_hot(a: list | None, b: list | None) -> list | None:
-    """Union of two hot-key lists, widening time ranges; None if unbounded."""
-    if a is None or b is None:
-        return None
-    span: dict = {}
-    for k, lo, hi in a + b:
-        los = [x for x in (lo, span.get(k, (None, None))[0]) if x is not None]
-        his = [x for x in (hi, span.get(k, (None, None))[1]) if x is not None]
-        span[k] = (min(los) if los else None, max(his) if his else None)
-    return [(k, lo, hi) for k, (lo, hi) in span.items()] if len(span) <= MAX_HOT_KEYS else None
-
-
 def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows, hot_source):
     spark = facts.sparkSession
     key_type = facts.schema[fk].dataType
@@ -137,10 +125,12 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, ho
     elif hot_key_rows <= 0:
         hot, slice_all = None, True
     else:
+        # one count job over fact keys and version keys together
         src = hot_source if hot_source is not None else facts
-        ent = entity.select(F.col(id_col).cast(key_type).alias("_ek"), "valid_from")
-        hot = _merge_hot(find_hot_keys(src, fk, t, hot_key_rows),
-                         find_hot_keys(ent, "_ek", "valid_from", hot_key_rows))
+        keys_times = (src.select(F.col(fk).alias("_hk"), F.col(t).cast("timestamp_ntz").alias("_ht"))
+                      .unionByName(entity.select(F.col(id_col).cast(key_type).alias("_hk"),
+                                                 F.col("valid_from").cast("timestamp_ntz").alias("_ht"))))
+        hot = find_hot_keys(keys_times, "_hk", "_ht", hot_key_rows)
         slice_all = hot is None
     hot_keys = [h[0] for h in hot or []]
     fine = time_slice("_t", slice_unit)

@@ -436,6 +436,27 @@ def q_d9_dashboard(spark, d):
     return evaluate_many(ms, rawsrc.raw_orders_current(spark, d), ["status"], "quarter")
 
 
+INC_CUTOFFS = ["1997-01-01 00:00:00", "2024-01-15 00:00:00", "2100-01-01 00:00:00"]
+
+
+def q_inc_daily_run(spark, d):
+    """Three incremental loads (snapshot -> key maps -> staging, new generation each);
+    the staging orders must equal a full refresh over the same loads."""
+    from kairos.plans import incremental as inc
+
+    changes = {"customers": rawsrc.customer_changes(spark, d), "products": rawsrc.product_changes(spark, d),
+               "orders": rawsrc.order_changes(spark, d)}
+    base = scratch_path(spark, "inc-run")
+    state = None
+    for cut in INC_CUTOFFS:
+        c = ts_literal(cut)
+        load = inc.Load(**{k: latest_per_key(v.where(F.col("updated_at") < c), ["id"], ["updated_at"])
+                           for k, v in changes.items()})
+        state = inc.run_load(spark, state, load, cut, base, lookback_days=None,
+                             mapping=rawsrc.read_id_mapping(spark))
+    return state["stg_orders"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{n: _model(n) for n in MODEL_NAMES},
     "s1_scd2_snapshot": q_s1_scd2_snapshot,
@@ -496,5 +517,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a19_scd1": q_a19_scd1,
     "b17_rolling_filter": q_b17_rolling_filter,
     "d9_dashboard": q_d9_dashboard,
+    "inc_daily_run": q_inc_daily_run,
     **STREAM_QUERIES,
 }
