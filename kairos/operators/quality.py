@@ -98,10 +98,9 @@ def category_profile(current: DataFrame, baseline: DataFrame, col: str,
                      shift_threshold: float = 0.1) -> DataFrame:
     """Q11: share of each value now vs in the baseline; flags new, missing and shifted values."""
     def shares(df, name):
-        tot = df.agg(F.count(F.lit(1)).alias("_t"))
+        total = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery, computed once
         return (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("_c"))
-                .crossJoin(F.broadcast(tot))
-                .select("value", (F.col("_c").cast("double") / F.col("_t")).alias(name)))
+                .select("value", (F.col("_c").cast("double") / total.cast("double")).alias(name)))
     j = shares(current, "share_now").join(shares(baseline, "share_before"), "value", "full_outer")
     kind = (F.when(F.col("share_before").isNull(), "unexpected")
             .when(F.col("share_now").isNull(), "missing")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
@@ -175,13 +175,12 @@ def scd1(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
 def newer_than(src: DataFrame, target: DataFrame | None, col: str, target_col: str | None = None) -> DataFrame:
     """``src.col > (SELECT MAX(target_col) FROM target)``; everything on first run.
 
-    Written as a scalar subquery so Catalyst plans it once and the comparison
-    can be pushed to the scan as a runtime filter.
+    Written as a scalar subquery: computed once, no join with the source.
     """
     if target is None:
         return src
-    mx = target.agg(F.max(target_col or col).alias("_m"))
-    return src.crossJoin(F.broadcast(mx)).where(F.col("_m").isNull() | (F.col(col) > F.col("_m"))).drop("_m")
+    mx = target.agg(F.max(target_col or col)).scalar()
+    return src.where(mx.isNull() | (F.col(col) > mx))
 
 
 def lookback_filter(src: DataFrame, history_exists: bool, col: str = "updated_at",
@@ -200,8 +199,8 @@ def lookback_from_max(src: DataFrame, target: DataFrame | None, col: str, days:
     """``src.col > MAX(target_col) - days`` (re-read a margin for late rows)."""
     if target is None:
         return src
-    mx = target.agg(shift_days(F.max(target_col or col), -days).alias("_m"))
-    return src.crossJoin(F.broadcast(mx)).where(F.col("_m").isNull() | (F.col(col) > F.col("_m"))).drop("_m")
+    mx = target.agg(shift_days(F.max(target_col or col), -days)).scalar()
+    return src.where(mx.isNull() | (F.col(col) > mx))
 
 
 def current(df: DataFrame, flag: str = "is_current") -> DataFrame:
@@ -215,6 +214,3 @@ __all__ = [
     "scd1", "scd2_from_changes", "scd2_from_loads", "scd2_snapshot", "scd6",
 ]
 
-
-def _unused(c: Column) -> Column:  # pragma: no cover - keeps type import used
-    return c

@@ -69,11 +69,6 @@ def high_water(spark: SparkSession, target_path: str, key_col: str):
     return t.agg(F.max(key_col)).first()[0]
 
 
-def rows_after(df: DataFrame, last) -> DataFrame:
-    """The rows an append-after load would add beyond the high-water key ``last``."""
-    return df if last is None else df.where(F.col(df.columns[0]) > F.lit(last))
-
-
 def load_append_after(df: DataFrame, target_path: str, key_col: str,
                       loaded_at_col: str = "_loaded_at") -> DataFrame:
     """A3: append rows with ``key_col`` beyond the stored high-water key; return them."""
@@ -90,9 +85,8 @@ def append_after(target: DataFrame | None, batch: DataFrame, key_col: str) -> Da
     """A3 as a pure function: ``target`` plus batch rows beyond ``MAX(target.key_col)``."""
     if target is None:
         return batch
-    mx = target.agg(F.max(key_col).alias("_hw"))
-    new = batch.crossJoin(F.broadcast(mx)).where(F.col("_hw").isNull() | (F.col(key_col) > F.col("_hw"))).drop("_hw")
-    return target.unionByName(new)
+    hw = target.agg(F.max(key_col)).scalar()  # scalar subquery, computed once
+    return target.unionByName(batch.where(hw.isNull() | (F.col(key_col) > hw)))
 
 
 def load_since(src: DataFrame, target: DataFrame | None, col: str, target_col: str | None = None) -> DataFrame:
