@@ -78,6 +78,19 @@ def q_s1_scd2_snapshot(spark, d):
     return hist
 
 
+def q_s1_snapshot_ties(spark, d):
+    """Customer 'last order' history from orders: same-day orders of a customer tie on
+    updated_at and are ordered by the remaining columns, so the pick is deterministic."""
+    from kairos.functions.scalars import money
+    from kairos.plans.models import snapshot_from_changes
+
+    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("last_order_id"),
+                                      money("o_totalprice").alias("last_amount"),
+                                      F.col("o_orderpriority").alias("priority"),
+                                      F.col("o_orderdate").alias("updated_at"))
+    return snapshot_from_changes(o)
+
+
 def q_s5_scd2_from_changes(spark, d):
     return scd.scd2_from_changes(_status_changes(spark, d), "user_id", "ts", ["event_type"])
 
@@ -460,6 +473,7 @@ def q_inc_daily_run(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{n: _model(n) for n in MODEL_NAMES},
     "s1_scd2_snapshot": q_s1_scd2_snapshot,
+    "s1_snapshot_ties": q_s1_snapshot_ties,
     "s5_scd2_from_changes": q_s5_scd2_from_changes,
     "s6_scd6": q_s6_scd6,
     "c5_fk_enrich_asof": q_c5_fk_enrich_events,

@@ -122,3 +122,22 @@ def test_canonicalise_and_new_entities(spark):
     first = spark.createDataFrame([(1, "a"), (2, "b")], "canonical_id long, master_sk string")
     prev = spark.createDataFrame([(1, "a")], "canonical_id long, master_sk string")
     assert rows(keys.new_entities(first, prev)) == [(2, "b")]
+
+
+def test_asof_beyond_hot_key_bound_slices_everything(spark, monkeypatch):
+    """More hot keys than MAX_HOT_KEYS: every key is sliced; the result is unchanged."""
+    rnd = random.Random(11)
+    ents, facts = [], []
+    for k in range(1, 4):
+        t = sorted({ts("2023-01-01") + dt.timedelta(days=rnd.randint(0, 300)) for _ in range(20)})
+        for i, a in enumerate(t):
+            b = t[i + 1] if i + 1 < len(t) else None
+            ents.append((k, f"s{k}-{i}", f"s{k}-0", a, b, b is None))
+    for i in range(300):
+        facts.append((i, rnd.randint(1, 4), ts("2022-12-01") + dt.timedelta(days=rnd.randint(0, 360))))
+    e = spark.createDataFrame(ents, ENT)
+    f = spark.createDataFrame(facts, "id long, order_id long, created_at timestamp_ntz")
+    monkeypatch.setattr(pit, "MAX_HOT_KEYS", 1)
+    a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="month", hot_key_rows=5)
+    j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
+    assert rows(a) == rows(j)
