@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
 from kairos.functions.scalars import day_diff, epoch_micros, safe_ratio, seconds_between
-from kairos.operators.sequence import time_slice, with_neighbours
+from kairos.operators.sequence import HOT_KEY_ROWS, ONE_SLICE, hot_key_values, time_slice, with_neighbours
 
 
 def _count_if(cond) -> F.Column:
@@ -114,21 +114,30 @@ def state_at(history: DataFrame, t, by: Sequence[str], valid_from: str = "valid_
 
 
 def history_safe_totals(df: DataFrame, key: str, ts: str, value: str, prefix: str = "prior_",
-                        slice_unit: str = "year") -> DataFrame:
+                        slice_unit: str = "year", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """E5: sum and count of *strictly earlier* rows of the same key (ties excluded).
 
     ``rangeBetween(unboundedPreceding, -1)`` over microseconds excludes rows at
-    the same timestamp, so no row sees its own or a simultaneous outcome.  The
-    window runs per (key, time slice); earlier slices arrive as running slice
-    totals from a one-row-per-(key, slice) aggregate, so a hot key is split.
+    the same timestamp, so no row sees its own or a simultaneous outcome.  Hot
+    keys (>= ``hot_key_rows`` rows) are windowed per (key, time slice) and get
+    the totals of their earlier slices from a one-row-per-(key, slice) aggregate.
     """
     micros = epoch_micros(ts)
-    d = df.withColumn("_slice", time_slice(ts, slice_unit))
+    hot = hot_key_values(df, key, ts, hot_key_rows)
+    if hot == []:
+        w = Window.partitionBy(key).orderBy(micros).rangeBetween(Window.unboundedPreceding, -1)
+        return (df.withColumn(f"{prefix}sum", F.coalesce(F.sum(value).over(w), F.lit(0)).cast("decimal(18,2)"))
+                .withColumn(f"{prefix}count", F.count(F.lit(1)).over(w).cast("bigint")))
+    fine = time_slice(ts, slice_unit)
+    hot_rows = F.lit(True) if hot is None else F.col(key).isin(hot)
+    sl = F.when(hot_rows, fine).otherwise(F.lit(ONE_SLICE).cast("timestamp_ntz"))
+    d = df.withColumn("_slice", sl)
     w = (Window.partitionBy(key, "_slice").orderBy(micros)
          .rangeBetween(Window.unboundedPreceding, -1))
     d = (d.withColumn("_in_sum", F.sum(value).over(w))
          .withColumn("_in_cnt", F.count(F.lit(1)).over(w)))
-    tot = d.groupBy(key, "_slice").agg(F.sum(value).alias("_s_sum"), F.count(F.lit(1)).alias("_s_cnt"))
+    tot = (df.where(hot_rows).withColumn("_slice", sl).groupBy(key, "_slice")
+           .agg(F.sum(value).alias("_s_sum"), F.count(F.lit(1)).alias("_s_cnt")))
     wb = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(key, "_slice", F.sum("_s_sum").over(wb).alias("_b_sum"),
                      F.sum("_s_cnt").over(wb).alias("_b_cnt"))
@@ -138,13 +147,14 @@ def history_safe_totals(df: DataFrame, key: str, ts: str, value: str, prefix: st
                            .cast("decimal(18,2)"))
             .withColumn(f"{prefix}count", (F.coalesce(F.col("_in_cnt"), zero) + F.coalesce(F.col("_b_cnt"), zero))
                         .cast("bigint"))
-            .drop("_slice", "_in_sum", "_in_cnt", "_b_sum", "_b_cnt"))
+            .select(*df.columns, f"{prefix}sum", f"{prefix}count"))
 
 
-def order_gaps(df: DataFrame, key: str, ts: str, order_id: str, slice_unit: str | None = "year") -> DataFrame:
+def order_gaps(df: DataFrame, key: str, ts: str, order_id: str, slice_unit: str | None = "year",
+               hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Days between consecutive orders per key, and their average (hot keys split by slice)."""
-    sl = time_slice(ts, slice_unit) if slice_unit else None
-    g = with_neighbours(df.select(key, order_id, ts), [key], [ts, order_id], [ts], slice_col=sl)
+    hot = hot_key_values(df, key, ts, hot_key_rows) if slice_unit else []
+    g = with_neighbours(df.select(key, order_id, ts), [key], [ts, order_id], [ts], slice_unit, hot)
     g = g.select(key, order_id, ts, day_diff(F.col(f"_prev.{ts}"), F.col(ts)).alias("days_since_prev"))
     return g.groupBy(key).agg(F.count(F.lit(1)).alias("n_orders"),
                               F.avg("days_since_prev").alias("avg_days_between"))

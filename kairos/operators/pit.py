@@ -31,13 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kairos.operators.sequence import time_slice
-
-# A key with at least this many rows (facts + versions) is split into time slices.
-HOT_KEY_ROWS = 2_000_000
-# Upper bound on hot keys handled as a set; beyond it every key is sliced.
-MAX_HOT_KEYS = 10_000
-
+from kairos.operators import sequence as _seq
+from kairos.operators.sequence import HOT_KEY_ROWS, ONE_SLICE, time_slice
 
 def pit_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
              take=("sk", "master_sk"), prefix: str = "pit_", how: str = "left",
@@ -86,24 +81,6 @@ def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map):
                       F.coalesce(*masters).alias(f"{prefix}_master_sk"))
 
 
-ONE_SLICE = "0001-01-01 00:00:00"
-
-
-def find_hot_keys(df: DataFrame, key: str, t: str, hot_key_rows: int) -> list | None:
-    """Keys with at least ``hot_key_rows`` rows, with their time range.
-
-    One small job: the key and time columns only, partially aggregated
-    map-side.  At most rows / hot_key_rows keys qualify; at most MAX_HOT_KEYS
-    are fetched.  Returns None when there are more (callers then slice every key).
-    """
-    rows = (df.select(F.col(key).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"))
-            .where(F.col("_k").isNotNull())
-            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
-            .where(F.col("_n") >= hot_key_rows).select("_k", "_lo", "_hi")
-            .limit(MAX_HOT_KEYS + 1).collect())
-    return None if len(rows) > MAX_HOT_KEYS else [tuple(r) for r in rows]
-
-
 def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows, hot_source):
     spark = facts.sparkSession
     key_type = facts.schema[fk].dataType
@@ -130,7 +107,7 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, ho
         keys_times = (src.select(F.col(fk).alias("_hk"), F.col(t).cast("timestamp_ntz").alias("_ht"))
                       .unionByName(entity.select(F.col(id_col).cast(key_type).alias("_hk"),
                                                  F.col("valid_from").cast("timestamp_ntz").alias("_ht"))))
-        hot = find_hot_keys(keys_times, "_hk", "_ht", hot_key_rows)
+        hot = _seq.find_hot_keys(keys_times, "_hk", "_ht", hot_key_rows)
         slice_all = hot is None
     hot_keys = [h[0] for h in hot or []]
     fine = time_slice("_t", slice_unit)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
 from kairos.functions.scalars import shift_days, version_sk
-from kairos.operators.sequence import latest_per_key, time_slice, with_neighbours
+from kairos.operators.sequence import HOT_KEY_ROWS, hot_key_values, latest_per_key, with_neighbours
 
 SCD_ID = "scd_id"
 SCD_UPDATED_AT = "scd_updated_at"
@@ -113,21 +113,21 @@ def normalise_history(history: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def scd2_from_changes(changes: DataFrame, key: str, ts: str, attrs: Sequence[str],
-                      slice_unit: str | None = "month") -> DataFrame:
+                      slice_unit: str | None = "month", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """SCD-2 intervals from a change log in one pass.
 
     Rows whose ``attrs`` equal the previous row's are dropped (no change); the
     remaining rows get ``valid_from = ts`` and ``valid_to`` = next kept row's ts.
-    ``ts`` must be unique per key.  Hot keys are split by ``slice_unit``.
+    ``ts`` must be unique per key.  Keys with at least ``hot_key_rows`` rows are
+    windowed per ``slice_unit`` slice (see ``with_neighbours``).
     """
-    sl = time_slice(ts, slice_unit) if slice_unit else None
-    a = with_neighbours(changes, [key], [ts], list(attrs), slice_col=sl, prev_name="_p", next_name="_n0")
+    hot = hot_key_values(changes, key, ts, hot_key_rows) if slice_unit else []
+    a = with_neighbours(changes, [key], [ts], list(attrs), slice_unit, hot, prev_name="_p", next_name="_n0")
     same = F.lit(True)
     for c in attrs:
         same = same & F.col(c).eqNullSafe(F.col(f"_p.{c}"))
     kept = a.where(F.col("_p").isNull() | ~same).drop("_p", "_n0")
-    b = with_neighbours(kept, [key], [ts], [ts], slice_col=time_slice(ts, slice_unit) if slice_unit else None,
-                        prev_name="_p", next_name="_n")
+    b = with_neighbours(kept, [key], [ts], [ts], slice_unit, hot, prev_name="_p", next_name="_n")
     return (b.select(*changes.columns, F.col(ts).alias("valid_from"),
                      F.col(f"_n.{ts}").alias("valid_to"))
             .withColumn("is_current", F.col("valid_to").isNull()))

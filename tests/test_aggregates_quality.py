@@ -77,6 +77,10 @@ def test_history_safe_totals_exclude_ties(spark):
                                 (3, "c", ts("2025-03-01"), 5)], "id long, k string, t timestamp_ntz, v int")
     out = agg.history_safe_totals(df, "k", "t", "v")
     assert rows(out, "id", "prior_count") == [(1, 0), (2, 0), (3, 2)]
+    hot = agg.history_safe_totals(df, "k", "t", "v", hot_key_rows=2)  # key "c" hot: split by year
+    assert rows(hot) == rows(out)
+    gaps = agg.order_gaps(df.withColumnRenamed("id", "oid"), "k", "t", "oid", hot_key_rows=2)
+    assert rows(gaps) == rows(agg.order_gaps(df.withColumnRenamed("id", "oid"), "k", "t", "oid", slice_unit=None))
 
 
 def test_metric_semi_additive(spark):

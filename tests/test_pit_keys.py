@@ -137,7 +137,8 @@ def test_asof_beyond_hot_key_bound_slices_everything(spark, monkeypatch):
         facts.append((i, rnd.randint(1, 4), ts("2022-12-01") + dt.timedelta(days=rnd.randint(0, 360))))
     e = spark.createDataFrame(ents, ENT)
     f = spark.createDataFrame(facts, "id long, order_id long, created_at timestamp_ntz")
-    monkeypatch.setattr(pit, "MAX_HOT_KEYS", 1)
+    from kairos.operators import sequence
+    monkeypatch.setattr(sequence, "MAX_HOT_KEYS", 1)
     a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="month", hot_key_rows=5)
     j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
     assert rows(a) == rows(j)

@@ -87,9 +87,10 @@ def test_scd2_from_changes_slices_agree(spark):
         data.append((i, 1, ts("2024-01-01") + dt.timedelta(days=i), ["a", "a", "b"][i % 3]))
     data += [(1000, 2, ts("2024-02-01"), "a"), (1001, 2, ts("2024-02-02"), "a")]
     df = spark.createDataFrame(data, "eid long, key long, t timestamp_ntz, s string")
-    sliced = scd.scd2_from_changes(df, "key", "t", ["s"], slice_unit="month")
+    sliced = scd.scd2_from_changes(df, "key", "t", ["s"], slice_unit="month", hot_key_rows=100)  # key 1 hot
+    every = scd.scd2_from_changes(df, "key", "t", ["s"], slice_unit="month", hot_key_rows=0)
     plain = scd.scd2_from_changes(df, "key", "t", ["s"], slice_unit=None)
-    assert rows(sliced) == rows(plain)
+    assert rows(sliced) == rows(plain) == rows(every)
     assert sliced.count() == 1 + 2 * 66 + 1  # a,b alternations for key 1, one row for key 2
 
 
