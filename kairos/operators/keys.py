@@ -93,14 +93,17 @@ def surrogate_keys(history: DataFrame, id_col: str = "id", sk_map_df: DataFrame
                    mapping: DataFrame | None = None, previous: DataFrame | None = None) -> DataFrame:
     """S3: normalise (S2) -> canonicalise (C7) -> master_sk.
 
-    Full refresh (``previous is None``): master_sk = first version's sk per
-    canonical id (E1).  Incremental: only changed versions are processed,
-    master_sk comes from the key map with self-assignment (C8), and the batch
-    is upserted into ``previous`` on ``sk``.
+    * full refresh (no ``previous``, no ``sk_map_df``): master_sk = first
+      version's sk per canonical id (E1) over ``history``;
+    * rows of a run (no ``previous``, ``sk_map_df`` given): ``history`` holds
+      only the versions a run touched; master_sk comes from the key map (C8);
+    * upsert (``previous`` given): only versions whose (sk, valid_to) changed
+      are processed and upserted into ``previous`` on ``sk``.
     """
     base = normalise_history(history, id_col)
     if previous is None:
-        return master_sk_window(canonicalise(base, "source_id", mapping))
+        resolved = canonicalise(base, "source_id", mapping)
+        return master_sk_window(resolved) if sk_map_df is None else assign_master_sk(resolved, sk_map_df)
     from kairos.sources.sinks import upsert
 
     batch = canonicalise(_changed_versions(base, previous), "source_id", mapping)

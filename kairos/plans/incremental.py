@@ -1,30 +1,36 @@
 """Incremental daily run: one load applied to the stored state.
 
-State = the stateful tables (snapshots, key maps, staging with surrogate
-keys).  A run reads the current generation of each, applies the day's
-full-replace entity loads and appended logs, and writes every stateful table
-as a new generation; marts and features are rebuilt from staging (as the
-reference does).  The ground truth is the full refresh: ``tests`` check that
-incremental runs give the same staging tables.
-
-Each stateful table is written before the next layer reads it, which cuts
-lineage at every layer and keeps a failed run from touching the previous
-generation.
+Layout per stateful table under ``base`` (a shared folder):
+
+* snapshots and staging: ``{name}/gen=N/_closed=true|false``.  A run writes
+  the versions it closed (``_closed=true``; appended once, never rewritten)
+  and the complete set of open versions (``_closed=false``; one row per
+  entity).  The table at generation N = closed rows of generations <= N plus
+  the open rows of generation N, read with partition pruning.  So a run
+  rewrites one row per entity, not the whole history, and never overwrites
+  a path that is being read.
+* key maps: ``{name}/gen=N`` holds only the entities first seen in run N
+  (append-only); the map at N = generations <= N.
+
+Staging surrogate keys are computed only for the versions a run touched
+(closed now or open), with master_sk from the key map, so the result equals
+the full refresh (tests/test_incremental.py, query ``inc_daily_run``).
+Marts and features are rebuilt from staging, as the reference does.
 """
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kairos.operators.keys import sk_map
-from kairos.operators.scd import lookback_filter, scd2_snapshot
+from kairos.operators.keys import canonicalise, first_version, new_entities
+from kairos.operators.scd import VALID_TO, lookback_filter, normalise_history, scd2_snapshot
 from kairos.plans import models as M
 
-STATE_TABLES = ["customers_snapshot", "products_snapshot", "orders_snapshot", "dim_customer_sk_map",
-                "dim_product_sk_map", "dim_order_sk_map", "stg_customers", "stg_products", "stg_orders"]
+SNAPSHOTS = {"customers": "customers_snapshot", "products": "products_snapshot", "orders": "orders_snapshot"}
 
 
 @dataclass
@@ -40,15 +46,35 @@ class State:
     base: str
     gen: int
     tables: dict[str, DataFrame]
+    open_rows: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, k: str) -> DataFrame:
         return self.tables[k]
 
 
-def _write(spark: SparkSession, base: str, gen: int, name: str, df: DataFrame) -> DataFrame:
-    path = os.path.join(base, name, f"gen={gen:06d}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _write_split(spark: SparkSession, base: str, name: str, gen: int, rows: DataFrame, closed: F.Column):
+    """Write a run's rows split into closed / open; return (table at gen, open rows at gen)."""
+    root = os.path.join(base, name)
+    rows.withColumn("_closed", closed).write.mode("overwrite").partitionBy("_closed").parquet(
+        os.path.join(root, f"gen={gen:06d}"))
+    allg = spark.read.parquet(root)
+    keep = (F.col("_closed") & (F.col("gen") <= gen)) | (~F.col("_closed") & (F.col("gen") == gen))
+    table = allg.where(keep).drop("gen", "_closed")
+    open_now = allg.where(~F.col("_closed") & (F.col("gen") == gen)).drop("gen", "_closed")
+    return table, open_now
+
+
+def _append(spark: SparkSession, base: str, name: str, gen: int, rows: DataFrame) -> DataFrame:
+    root = os.path.join(base, name)
+    rows.write.mode("overwrite").parquet(os.path.join(root, f"gen={gen:06d}"))
+    return spark.read.parquet(root).where(F.col("gen") <= gen).drop("gen")
+
+
+def _new_map_rows(open_rows: DataFrame, previous_map: DataFrame | None, mapping) -> DataFrame:
+    """Entities first seen in this run: their first version is among the open rows."""
+    base = normalise_history(open_rows, "id").select("sk", "source_id", "valid_from")
+    firsts = first_version(canonicalise(base, "source_id", mapping))
+    return new_entities(firsts, previous_map)
 
 
 def run_load(spark: SparkSession, state: State | None, load: Load, as_of, base: str,
@@ -56,64 +82,51 @@ def run_load(spark: SparkSession, state: State | None, load: Load, as_of, base:
              strategy: str = "asof") -> State:
     """Apply one load; returns the new state (generation ``state.gen + 1``)."""
     gen = 0 if state is None else state.gen + 1
-    prev = (lambda k: None) if state is None else (lambda k: state[k])
-    out: dict[str, DataFrame] = {}
-
-    def put(name, df):
-        out[name] = _write(spark, base, gen, name, df)
-        return out[name]
-
-    # snapshots (S1); orders read through the lookback filter
-    put("customers_snapshot", scd2_snapshot(prev("customers_snapshot"), load.customers, "id"))
-    put("products_snapshot", scd2_snapshot(prev("products_snapshot"), load.products, "id"))
-    orders_src = load.orders
-    if lookback_days is not None:
-        orders_src = lookback_filter(orders_src, state is not None, "updated_at", as_of, lookback_days)
-    put("orders_snapshot", scd2_snapshot(prev("orders_snapshot"), orders_src, "id",
-                                         lookback_filtered=state is not None and lookback_days is not None))
-    # key maps (S4), append-only
-    put("dim_customer_sk_map", sk_map(out["customers_snapshot"], "id", mapping, prev("dim_customer_sk_map")))
-    put("dim_product_sk_map", sk_map(out["products_snapshot"], "id", None, prev("dim_product_sk_map")))
-    put("dim_order_sk_map", sk_map(out["orders_snapshot"], "id", None, prev("dim_order_sk_map")))
-    # staging (S3): changed versions only, master_sk from the maps, upsert on sk
-    put("stg_customers", M.stg_customers(out["customers_snapshot"], mapping, prev("stg_customers"),
-                                         out["dim_customer_sk_map"] if state is not None else None))
-    put("stg_products", M.stg_products(out["products_snapshot"], prev("stg_products"),
-                                       out["dim_product_sk_map"] if state is not None else None))
-    put("stg_orders", _stg_orders_incremental(state, out, strategy))
-    return State(base, gen, out)
-
-
-def _stg_orders_incremental(state: State | None, out: dict, strategy: str) -> DataFrame:
-    if state is None:
-        return M.stg_orders(out["orders_snapshot"], out["stg_customers"], out["dim_customer_sk_map"],
-                            strategy=strategy)
-    from kairos.operators.keys import _changed_versions, assign_master_sk, canonicalise
-    from kairos.operators.pit import fk_enrich
-    from kairos.operators.scd import normalise_history
-    from kairos.sources.sinks import upsert
-    from pyspark.sql import functions as F
-
-    prev = state["stg_orders"]
-    base = normalise_history(out["orders_snapshot"], "id")
-    seen = prev.select(F.col("sk"), F.col("valid_to"))
-    batch = canonicalise(_changed_versions(base, seen), "source_id")
-    batch = assign_master_sk(batch, out["dim_order_sk_map"])
-    e = fk_enrich(batch, "customer_id", "placed_at", out["stg_customers"], "customer_id", "customer",
-                  sk_map=out["dim_customer_sk_map"], strategy=strategy)
-    e = e.select("sk", "master_sk", F.col("source_id").alias("order_id"), "canonical_id", "customer_id",
-                 "customer_sk", "customer_master_sk", "status", "amount", "placed_at", "updated_at",
-                 "valid_from", "valid_to", "is_current")
-    return upsert(prev, e, ["sk"])
+    tables: dict[str, DataFrame] = {}
+    open_rows: dict[str, DataFrame] = {}
+    touched: dict[str, DataFrame] = {}
+
+    # snapshots (S1) applied to the open versions only; orders through the lookback filter
+    for ent, name in SNAPSHOTS.items():
+        incoming = getattr(load, ent)
+        filtered = False
+        if ent == "orders" and lookback_days is not None and state is not None:
+            incoming = lookback_filter(incoming, True, "updated_at", as_of, lookback_days)
+            filtered = True
+        prev_open = None if state is None else state.open_rows[name]
+        step = scd2_snapshot(prev_open, incoming, "id", lookback_filtered=filtered)
+        tables[name], open_rows[name] = _write_split(spark, base, name, gen, step, F.col(VALID_TO).isNotNull())
+        # rows this run touched: closed now, or open now
+        touched[name] = spark.read.parquet(os.path.join(base, name, f"gen={gen:06d}")).drop("_closed")
+
+    # key maps (S4): append the entities first seen now
+    maps = {"customers": ("dim_customer_sk_map", mapping), "products": ("dim_product_sk_map", None),
+            "orders": ("dim_order_sk_map", None)}
+    for ent, (mname, mp) in maps.items():
+        prev_map = None if state is None else state[mname]
+        tables[mname] = _append(spark, base, mname, gen, _new_map_rows(open_rows[SNAPSHOTS[ent]], prev_map, mp))
+
+    # staging (S3) for the touched versions only, master_sk from the maps
+    stg_c = M.stg_customers(touched["customers_snapshot"], mapping, sk_map_df=tables["dim_customer_sk_map"])
+    tables["stg_customers"], open_rows["stg_customers"] = _write_split(
+        spark, base, "stg_customers", gen, stg_c, ~F.col("is_current"))
+    stg_p = M.stg_products(touched["products_snapshot"], sk_map_df=tables["dim_product_sk_map"])
+    tables["stg_products"], open_rows["stg_products"] = _write_split(
+        spark, base, "stg_products", gen, stg_p, ~F.col("is_current"))
+    stg_o = M.stg_orders(touched["orders_snapshot"], tables["stg_customers"], tables["dim_customer_sk_map"],
+                         sk_map_df=tables["dim_order_sk_map"], strategy=strategy)
+    tables["stg_orders"], open_rows["stg_orders"] = _write_split(
+        spark, base, "stg_orders", gen, stg_o, ~F.col("is_current"))
+    return State(base, gen, tables, open_rows)
 
 
 def marts(spark: SparkSession, state: State, payments: DataFrame, items: DataFrame, as_of) -> dict[str, DataFrame]:
     """Rebuild intermediate, marts and features from the state's staging tables."""
+    from kairos.operators.aggregates import customer_orders, order_payments
+
     stg_pay = M.stg_payments(payments, state["stg_orders"], state["dim_order_sk_map"])
     stg_items = M.stg_order_items(items, state["stg_orders"], state["dim_order_sk_map"],
                                   state["stg_products"], state["dim_product_sk_map"])
-    from kairos.operators.aggregates import customer_orders, order_payments
-
     dc = M.dim_customers(state["stg_customers"], customer_orders(state["stg_orders"]))
     fo = M.fct_orders(state["stg_orders"], order_payments(stg_pay))
     cf = M.customer_features(dc, as_of)
