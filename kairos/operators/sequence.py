@@ -32,23 +32,39 @@ def time_slice(c, unit: str = "month") -> Column:
 HOT_KEY_ROWS = 2_000_000
 # Upper bound on hot keys handled as a set; beyond it every key is sliced.
 MAX_HOT_KEYS = 10_000
+# Expected sample hits of a key at the threshold when candidates are sampled.
+HOT_SAMPLE_ROWS = 20_000
 ONE_SLICE = "0001-01-01 00:00:00"
 
 
 def find_hot_keys(df: DataFrame, key: str, t: str, hot_key_rows: int, max_keys: int | None = None) -> list | None:
-    """Keys with at least ``hot_key_rows`` rows, with their time range.
-
-    One small job: the key and time columns only, partially aggregated
-    map-side.  At most rows / hot_key_rows keys qualify and at most
-    ``max_keys`` are fetched.  Returns None when there are more (callers then
-    slice every key, which is always correct).
+    """Keys with at least ``hot_key_rows`` rows, with their exact time range.
+
+    Two small jobs over the key and time columns only.  Candidates come from a
+    Bernoulli sample sized so a key at the threshold is expected about
+    HOT_SAMPLE_ROWS times (kept from half that), which makes the first
+    shuffle tiny; exact counts and time ranges are then computed for the
+    candidates alone, filtered before the shuffle.  At most rows /
+    hot_key_rows keys qualify and at most ``max_keys`` are fetched; None
+    means more (callers then slice every key).  A key missed or added by the
+    sample changes only how work is split, never the result.
     """
     max_keys = MAX_HOT_KEYS if max_keys is None else max_keys
-    rows = (df.select(F.col(key).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"))
-            .where(F.col("_k").isNotNull())
-            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
-            .where(F.col("_n") >= hot_key_rows).select("_k", "_lo", "_hi")
-            .limit(max_keys + 1).collect())
+    src = (df.select(F.col(key).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"))
+           .where(F.col("_k").isNotNull()))
+    exact = (lambda d: d.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
+                                           F.max("_t").alias("_hi"))
+             .where(F.col("_n") >= hot_key_rows).select("_k", "_lo", "_hi"))
+    frac = min(1.0, HOT_SAMPLE_ROWS / max(hot_key_rows, 1))
+    if frac < 1.0:
+        cand = (src.sample(fraction=frac, seed=17).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") >= HOT_SAMPLE_ROWS / 2).select("_k").limit(max_keys + 1).collect())
+        if len(cand) > max_keys:
+            return None
+        if not cand:
+            return []
+        src = src.where(F.col("_k").isin([r[0] for r in cand]))
+    rows = exact(src).limit(max_keys + 1).collect()
     return None if len(rows) > max_keys else [tuple(r) for r in rows]
 
 

@@ -142,3 +142,15 @@ def test_asof_beyond_hot_key_bound_slices_everything(spark, monkeypatch):
     a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="month", hot_key_rows=5)
     j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
     assert rows(a) == rows(j)
+
+
+def test_find_hot_keys_sampled_and_exact(spark, monkeypatch):
+    from kairos.operators import sequence
+
+    data = [(1, ts("2024-01-01") + dt.timedelta(minutes=i)) for i in range(3000)]
+    data += [(k, ts("2024-01-02")) for k in range(2, 50)]
+    df = spark.createDataFrame(data, "k long, t timestamp_ntz")
+    exact = sequence.find_hot_keys(df, "k", "t", 1000)
+    monkeypatch.setattr(sequence, "HOT_SAMPLE_ROWS", 200)  # sample 20 % for threshold 1000
+    sampled = sequence.find_hot_keys(df, "k", "t", 1000)
+    assert exact == sampled == [(1, ts("2024-01-01"), ts("2024-01-01") + dt.timedelta(minutes=2999))]
