@@ -128,8 +128,12 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, ho
 
     # 2) carry table from the entity side: per (key, slice) the version active at
     #    the slice start and the key's current version; plus the key-map lookup
-    vs = (v.groupBy("_k", "_slice").agg(F.max_by("_v", F.struct("_t", F.col("_v.sk"))).alias("_last"))
-          .withColumn("_isv", F.lit(1)))
+    last_v = F.max_by("_v", F.struct("_t", F.col("_v.sk"))).alias("_last")
+    if slice_all or hot_keys:
+        vs = v.groupBy("_k", "_slice").agg(last_v)
+    else:  # one slice per key: group by the key alone so the carry window reuses this shuffle
+        vs = v.groupBy("_k").agg(last_v).withColumn("_slice", one)
+    vs = vs.select("_k", "_slice", "_last", F.lit(1).alias("_isv"))
     if slice_all:
         # every key sliced: one carry row per (key, slice) that holds facts
         gen = f.select("_k", "_slice").where(F.col("_k").isNotNull()).distinct()
