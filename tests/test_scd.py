@@ -107,3 +107,19 @@ def test_scd6_current_attribute(spark):
     h = spark.createDataFrame([(1, "a", ts("2024-01-01"), False), (1, "b", ts("2024-01-02"), True)],
                               "k long, s string, valid_from timestamp_ntz, is_current boolean")
     assert rows(scd.scd6(h, "k", ["s"]), "s", "current_s") == [("a", "b"), ("b", "b")]
+
+
+def test_orders_daily_run_lookback_and_missed_run(spark):
+    """B9 in the daily run: changes within 7 days of as_of are applied; a change
+    older than the lookback (a missed run, trap T16) is not."""
+    from kairos.plans.models import orders_snapshot_incremental
+
+    schema = "id long, status string, updated_at timestamp_ntz"
+    day1 = spark.createDataFrame([(1, "placed", ts("2024-01-01")), (2, "placed", ts("2024-01-01"))], schema)
+    h1 = orders_snapshot_incremental(None, day1, "2024-01-01 06:00:00")
+    later = spark.createDataFrame([(1, "shipped", ts("2024-01-18")),   # inside 7 days of as_of
+                                   (2, "shipped", ts("2024-01-05"))],  # outside: lost
+                                  schema)
+    h2 = orders_snapshot_incremental(h1, later, "2024-01-20 06:00:00")
+    assert rows(h2, "id", "status", "scd_valid_to") == [
+        (1, "placed", ts("2024-01-18")), (1, "shipped", None), (2, "placed", None)]
