@@ -156,9 +156,9 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
                  materialize_dir: str | None = None, strategy: str = "asof", layer_mode: str | None = None):
-        """``layer_mode``: ``lazy`` (plain plans), ``checkpoint`` (reliable checkpoint of
-        snapshots, key maps and staging, so shared layers are computed once and
-        lineage is cut) or ``write`` (every model written under ``materialize_dir``)."""
+        """``layer_mode``: ``lazy`` (plain plans), ``checkpoint`` (snapshots, key maps
+        and staging written as Parquet under ``spark.checkpoint.dir`` and read back,
+        so shared layers are computed once and lineage is cut) or ``write`` (every model written under ``materialize_dir``)."""
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.materialize_dir = materialize_dir
         self.layer_mode = layer_mode or ("write" if materialize_dir else "lazy")
