@@ -96,3 +96,16 @@ def test_schema_diff():
     new = StructType([StructField("a", StringType()), StructField("c", StringType())])
     kinds = {(d["column"], d["breaking"]) for d in Q.schema_diff(old, new)}
     assert kinds == {("a", True), ("b", True), ("c", False)}
+
+
+def test_observability_checks(spark):
+    days = [(ts("2024-01-01") + dt.timedelta(days=d),) for d in range(8) for _ in range(10)]
+    days += [(ts("2024-01-09"),)] * 30  # day 9: 30 rows against a 7-day mean of 10
+    df = spark.createDataFrame(days, "t timestamp_ntz")
+    assert rows(Q.check_volume(df, "t", 7, 0.2), "n_rows") == [(30,)]
+    n = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "b")], "k long, v string")
+    assert rows(Q.null_profile(n, ["k", "v"]), "column_name", "null_rate") == [("k", 0.0), ("v", 0.5)]
+    now = spark.createDataFrame([("a",), ("a",), ("c",)], "x string")
+    before = spark.createDataFrame([("a",), ("b",)], "x string")
+    assert rows(Q.category_profile(now, before, "x", 0.1), "value", "status") == [
+        ("a", "shifted"), ("b", "missing"), ("c", "unexpected")]
