@@ -27,7 +27,7 @@ from kairos.llm.common import map_texts
 
 MARK = "▁"
 #: entries of a task's table before it starts anew, and the longest chunk it keeps; both bound memory only
-TABLE_MAX, CHUNK_MAX = 400_000, 64
+TABLE_MAX, CHUNK_MAX = 600_000, 64
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 _LOADED: dict[str, object] = {}
 

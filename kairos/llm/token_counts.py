@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import regex
 from pyspark.sql import DataFrame
@@ -28,7 +29,8 @@ from kairos.llm.common import map_texts
 #: entries of a task's table of merged pre-tokens before it starts anew, and its longest entry; both bound memory only
 TABLE_MAX, WORD_MAX = 500_000, 64
 #: texts for which lower-casing and white space need no Unicode tables beyond Latin
-_PLAIN = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
+_PLAIN = "\t\n\r\x20-\x7e\xa1-\u024f"
+_OTHER = re.compile(f"[^{_PLAIN}]")
 _LOADED: dict[str, object] = {}
 
 
@@ -79,46 +81,63 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(n for n, e in zip(names, got) if e.ids == [texts[n]])
 
 
+def plain_pattern(pattern: str) -> re.Pattern:
+    """The pre-token pattern for plain texts, its Unicode classes written out for their characters."""
+    plain = [c for c in map(chr, range(0x250)) if not _OTHER.match(c)]
+    for name in ("L", "N"):
+        members = "".join(re.escape(c) for c in plain if regex.match(rf"\p{{{name}}}", c))
+        pattern = pattern.replace(f"\\p{{{name}}}", members).replace(f"[[{members}]", f"[{members}")
+    return re.compile(pattern)
+
+
+class Seen(dict):
+    """Token counts by pre-token; notes what it doesn't have."""
+
+    def __init__(self, whole):
+        super().__init__(dict.fromkeys(whole, 1))
+        self.missed: list[str] = []
+
+    def __missing__(self, word):
+        self.missed.append(word)
+        return 0
+
+
 class Counter:
     def __init__(self, path: str, whole: frozenset[str]):
         pattern, special = rules(path)
         self.tok = load(path)
-        self.words = regex.compile(pattern).findall
-        self.special = regex.compile("|".join(map(regex.escape, special)))
+        self.words = plain_pattern(pattern).findall
+        self.special = re.compile("|".join(map(re.escape, special)))
         self.whole = whole
-        self.table: dict[str, int] = dict.fromkeys(whole, 1)
+        self.table = Seen(whole)
 
     def merged(self, words: list[str]) -> list[int]:
         return [len(e) for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
 
     def __call__(self, texts: list) -> list:
-        counts, cut = [0] * len(texts), []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            if _PLAIN.search(t):
-                counts[i] = len(self.tok.encode(t, add_special_tokens=False).ids)
-                continue
-            if "<|" in t:
-                parts = self.special.split(t)
-                counts[i] = len(parts) - 1
-            else:
-                parts = [t]
-            for p in parts:
-                cut.append((i, self.words(p.lower())))
-        new = {w for _, words in cut for w in words}.difference(self.table)
-        if len(self.table) + len(new) > TABLE_MAX + len(self.whole):
-            self.table = dict.fromkeys(self.whole, 1)
-            new = {w for _, words in cut for w in words}.difference(self.table)
-        new = sorted(new)
+        table = self.table
+        size, missed, counts, ends = table.__getitem__, table.missed, [], []
+        for t in texts:
+            n = 0
+            if t and _OTHER.search(t):
+                n = len(self.tok.encode(t, add_special_tokens=False).ids)
+            elif t:
+                parts = self.special.split(t) if "<|" in t else [t]
+                n = len(parts) - 1 + sum(sum(map(size, self.words(p.lower()))) for p in parts)
+            counts.append(n)
+            ends.append(len(missed))
+        new = sorted(set(missed))
+        sizes: dict[str, int] = {}
         for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            self.table.update(zip(part, self.merged(part)))
-        size = self.table.__getitem__
-        for i, words in cut:
-            counts[i] += sum(map(size, words))
-        for w in [w for w in new if len(w) > WORD_MAX]:
-            del self.table[w]
+            sizes.update(zip(new[at:at + 4096], self.merged(new[at:at + 4096])))
+        at = 0
+        for i, end in enumerate(ends):
+            counts[i] += sum(map(sizes.__getitem__, missed[at:end]))
+            at = end
+        missed.clear()
+        if len(table) + len(sizes) > TABLE_MAX + len(self.whole):
+            self.table = table = Seen(self.whole)
+        table.update((w, n) for w, n in sizes.items() if len(w) <= WORD_MAX)
         return [counts]
 
 
