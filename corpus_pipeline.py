@@ -10,17 +10,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairos.llm import quality_gam, spiece
-from kairos.llm.common import materialise, read_table
+from kairos.llm import decontaminate, line_dedup, ngram_join, quality_gam, spiece
+from kairos.llm.common import id_bitmap, materialise, maybe_in, read_table
 from kairos.llm.queries import tokenizer_file
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score of 0.5 or more), with their columns."""
-    scored = quality_gam.classify(docs.withColumnsRenamed({}), read_table(spark, sf_dir, "labels"))
+    scored = quality_gam.classify(docs, read_table(spark, sf_dir, "labels"))
     return scored.where("predicted = 1").select(*docs.columns)
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat an earlier one (5 words or more, Jaccard of words at least 0.8).
+
+    A document that loses lines and keeps none of five distinct words or more is a copy of
+    earlier text and goes.  ``n_chars`` follows the text.
+    """
+    out = line_dedup.drop_emptied(line_dedup.dedup_lines(docs))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+                             .otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group linked by 5-word shingles at a Jaccard similarity of 0.8 or more."""
+    groups = ngram_join.jaccard_components(docs, k=5, num=4, den=5)
+    gone = materialise(groups.where("component_id != doc_id").select("doc_id").distinct())
+    flagged = maybe_in(docs, "doc_id", id_bitmap(gone, "doc_id"))
+    kept = flagged.where("not _maybe or doc_id is null").drop("_maybe")
+    unsure = flagged.where("_maybe and doc_id is not null").drop("_maybe")
+    return kept.unionByName(unsure.join(gone, "doc_id", "left_anti"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark, substituted words allowed for."""
+    return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, and the text they decode to."""
     out = spiece.encode(docs.select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
@@ -28,7 +56,13 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                       "packed_ids", "decoded")
 
 
-STAGES = [("quality classifier", keep_quality), ("SentencePiece encoding", tokenise)]
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", one_per_group),
+    ("benchmark decontamination", decontaminated),
+    ("SentencePiece encoding and decoding", tokenise),
+]
 ORACLE_SQL = None
 
 

@@ -15,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
-from kairos.session import cut_lineage
+from kairos.session import scratch_path
 
 #: rows handed to the per-task text functions at a time
 SLICE_ROWS = 256
@@ -26,9 +28,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Parquet layer in the shared checkpoint folder: survives lost executors, read once per use."""
-    return cut_lineage(df)
+def materialise(df: DataFrame, **options: str) -> DataFrame:
+    """Parquet layer in the shared checkpoint folder: survives lost executors, each use reads it."""
+    path = scratch_path(df.sparkSession, "llm")
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- Arrow passes over texts
@@ -51,10 +55,7 @@ def map_texts(df: DataFrame, text_col: str, fields: dict[str, str],
     out_cols = [c for c in kept if not (drop_text and c == text_col)]
     schema = ", ".join([f"`{c}` {src.schema[c].dataType.simpleString()}" for c in out_cols]
                        + [f"`{c}` {t}" for c, t in fields.items()])
-    arrow = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(),
-             "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()),
-             "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
-    types = [arrow[t] for t in fields.values()]
+    types = [to_arrow_type(StructType.fromDDL(f"x {t}")[0].dataType) for t in fields.values()]
     names = out_cols + list(fields)
 
     def run(batches):
@@ -159,7 +160,7 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     if n == 0:
         return words
     size = min(k, n)
-    h = np.full(n - size + 1, np.uint64(size) * np.uint64(0xA24BAED4963EE407), dtype=np.uint64)
+    h = np.full(n - size + 1, np.uint64(size * 0xA24BAED4963EE407 % 2**64), dtype=np.uint64)
     for j in range(size):
         h += words[j:n - size + 1 + j] * _MULT[j]
     return mix64(h)
@@ -176,25 +177,24 @@ def batch_words(texts: list, table: WordTable = WHITE) -> list[np.ndarray]:
 # ---------------------------------------------------------------- id pre-filter of fixed size
 def id_bitmap(ids: DataFrame, col: str, bits: int = 1 << 26) -> DataFrame:
     """Hash bitmap of ids in blocks of 32,768 bits: at most bits / 8 bytes, whatever the number of ids."""
-    h = F.pmod(F.xxhash64(F.col(col)), F.lit(bits))
-    return (ids.where(F.col(col).isNotNull())
-            .groupBy(F.expr("bitmap_bucket_number(h)").alias("_block"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("_bits"))
-            if "h" in ids.columns else
-            ids.where(F.col(col).isNotNull()).select(h.alias("h"))
+    return (ids.where(F.col(col).isNotNull()).select(F.pmod(F.xxhash64(F.col(col)), F.lit(bits)).alias("h"))
             .groupBy(F.expr("bitmap_bucket_number(h)").alias("_block"))
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("_bits")))
 
 
+def maybe_in(df: DataFrame, col: str, bitmap: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """Add ``_maybe``: whether the id may be in the bitmap (true for all that are, for few others)."""
+    bit = ("(conv(hex(substring(_bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)), 16, 10)"
+           " & shiftleft(1, cast(bitmap_bit_position(_h) % 8 as int))) != 0")
+    return (df.withColumn("_h", F.pmod(F.xxhash64(F.col(col)), F.lit(bits)))
+            .withColumn("_block", F.expr("bitmap_bucket_number(_h)"))
+            .join(F.broadcast(bitmap), "_block", "left")
+            .select(*df.columns, F.expr(f"coalesce({bit}, false)").alias("_maybe")))
+
+
 def in_bitmap(df: DataFrame, col: str, bitmap: DataFrame, bits: int = 1 << 26) -> DataFrame:
     """Rows whose id may be in the bitmap (a superset of the wanted rows)."""
-    h = F.pmod(F.xxhash64(F.col(col)), F.lit(bits))
-    kept = df.columns
-    return (df.withColumn("_h", h).withColumn("_block", F.expr("bitmap_bucket_number(_h)"))
-            .join(F.broadcast(bitmap), "_block")
-            .where(F.expr("(conv(hex(substring(_bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)), 16, 10)"
-                          " & shiftleft(1, cast(bitmap_bit_position(_h) % 8 as int))) != 0"))
-            .select(*kept))
+    return maybe_in(df, col, bitmap, bits).where("_maybe").drop("_maybe")
 
 
 # ---------------------------------------------------------------- connected components

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairos.llm import langid, quality_gam, spiece, token_counts
+from kairos.llm import decontaminate, langid, line_dedup, ngram_join, quality_gam, spiece, token_counts
 from kairos.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (quality_gam.classify(docs, read_table(spark, sf_dir, "labels"))
@@ -28,6 +32,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, benchmark item and place of an overlap; clean documents have none."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (spiece.encode(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -36,10 +46,17 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return (langid.identify(docs.select("doc_id", "text"), langid.train(docs))
             .select("doc_id", quality_gam.held_out().alias("held_out"), "lang_pred", "score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_token_counts, op8_sentencepiece, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_quality_classifier, op3_token_counts, op6_decontamination, op8_sentencepiece,
+    op9_line_dedup, op10_language_id)}
