@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairos.llm import decontaminate, langid, line_dedup, ngram_join, quality_gam, spiece, token_counts
-from kairos.llm.common import read_table
+from kairos.llm import (chat_tree, decontaminate, langid, license_scan, line_dedup, ngram_join, quality_gam, spiece,
+                        token_counts, winnow)
+from kairos.llm.common import materialise, read_table
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,12 +33,34 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and license notice found in it."""
+    return license_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edit_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, benchmark item and place of an overlap; clean documents have none."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation and of conversation -7, read back from the packs."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, i, r, "</s>[INST] ok [/INST]") for i, r in enumerate(("user", "assistant"))], rows.schema)
+    convs = materialise(chat_tree.gather(rows.unionByName(probe)))
+    got = chat_tree.read_back(chat_tree.pack(convs))
+    return (convs.select("conv", "leaf").join(got, "leaf")
+            .withColumn("said", F.expr("array_join(transform(turns, t -> concat(t.role, '\n', t.text, '\n')), '')"))
+            .withColumn("learnt", F.array_join("loss", ""))
+            .select(F.col("conv").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2("said", 256).alias("turns_sha256"),
+                    F.length("learnt").cast("bigint").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), "formatted_chars"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (spiece.encode(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -58,5 +81,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_quality_classifier, op3_token_counts, op6_decontamination, op8_sentencepiece,
-    op9_line_dedup, op10_language_id)}
+    op1_ngram_jaccard_join, op2_quality_classifier, op3_token_counts, op4_license_scan, op5_document_fingerprints,
+    op6_decontamination, op7_chat_format, op8_sentencepiece, op9_line_dedup, op10_language_id)}
