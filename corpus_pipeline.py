@@ -17,8 +17,8 @@ from kairos.llm.queries import tokenizer_file
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score of 0.5 or more), with their columns."""
-    scored = quality_gam.classify(docs, read_table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    model = quality_gam.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_gam.score(docs, model, out_col="_kl_score").where("_kl_score >= 0.5").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +39,8 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     groups = ngram_join.jaccard_components(docs, k=5, num=4, den=5)
     gone = materialise(groups.where("component_id != doc_id").select("doc_id").distinct())
     flagged = maybe_in(docs, "doc_id", id_bitmap(gone, "doc_id"))
-    kept = flagged.where("not _maybe or doc_id is null").drop("_maybe")
-    unsure = flagged.where("_maybe and doc_id is not null").drop("_maybe")
+    kept = flagged.where("not _kl_maybe or doc_id is null").drop("_kl_maybe")
+    unsure = flagged.where("_kl_maybe and doc_id is not null").drop("_kl_maybe")
     return kept.unionByName(unsure.join(gone, "doc_id", "left_anti"))
 
 

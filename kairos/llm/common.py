@@ -178,23 +178,23 @@ def batch_words(texts: list, table: WordTable = WHITE) -> list[np.ndarray]:
 def id_bitmap(ids: DataFrame, col: str, bits: int = 1 << 26) -> DataFrame:
     """Hash bitmap of ids in blocks of 32,768 bits: at most bits / 8 bytes, whatever the number of ids."""
     return (ids.where(F.col(col).isNotNull()).select(F.pmod(F.xxhash64(F.col(col)), F.lit(bits)).alias("h"))
-            .groupBy(F.expr("bitmap_bucket_number(h)").alias("_block"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("_bits")))
+            .groupBy(F.expr("bitmap_bucket_number(h)").alias("_kl_block"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("_kl_bits")))
 
 
 def maybe_in(df: DataFrame, col: str, bitmap: DataFrame, bits: int = 1 << 26) -> DataFrame:
-    """Add ``_maybe``: whether the id may be in the bitmap (true for all that are, for few others)."""
-    bit = ("(conv(hex(substring(_bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)), 16, 10)"
-           " & shiftleft(1, cast(bitmap_bit_position(_h) % 8 as int))) != 0")
-    return (df.withColumn("_h", F.pmod(F.xxhash64(F.col(col)), F.lit(bits)))
-            .withColumn("_block", F.expr("bitmap_bucket_number(_h)"))
-            .join(F.broadcast(bitmap), "_block", "left")
-            .select(*df.columns, F.expr(f"coalesce({bit}, false)").alias("_maybe")))
+    """Add ``_kl_maybe``: whether the id may be in the bitmap (true for all that are, for few others)."""
+    bit = ("(conv(hex(substring(_kl_bits, cast(bitmap_bit_position(_kl_h) div 8 as int) + 1, 1)), 16, 10)"
+           " & shiftleft(1, cast(bitmap_bit_position(_kl_h) % 8 as int))) != 0")
+    return (df.withColumn("_kl_h", F.pmod(F.xxhash64(F.col(col)), F.lit(bits)))
+            .withColumn("_kl_block", F.expr("bitmap_bucket_number(_kl_h)"))
+            .join(F.broadcast(bitmap), "_kl_block", "left")
+            .select(*df.columns, F.expr(f"coalesce({bit}, false)").alias("_kl_maybe")))
 
 
 def in_bitmap(df: DataFrame, col: str, bitmap: DataFrame, bits: int = 1 << 26) -> DataFrame:
     """Rows whose id may be in the bitmap (a superset of the wanted rows)."""
-    return maybe_in(df, col, bitmap, bits).where("_maybe").drop("_maybe")
+    return maybe_in(df, col, bitmap, bits).where("_kl_maybe").drop("_kl_maybe")
 
 
 # ---------------------------------------------------------------- connected components

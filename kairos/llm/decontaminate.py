@@ -128,17 +128,17 @@ def mark(docs: DataFrame, bench: DataFrame, out_col: str = "hits", text_col: str
             index = shared.value
             return lambda texts: [[index.hits(w, window, share) for w in _words(texts)]]
 
-        out = map_texts(out, text_col, {"_found": spark_type}, make)
-        out = out.withColumn(out_col, F.concat(out_col, "_found")).drop("_found")
+        out = map_texts(out, text_col, {"_kl_found": spark_type}, make)
+        out = out.withColumn(out_col, F.concat(out_col, "_kl_found")).drop("_kl_found")
     return out
 
 
 def overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document, item and place of an overlap."""
-    found = mark(docs, bench, out_col="_hits", **options)
-    return found.select(id_col, F.explode("_hits").alias("h")).select(id_col, "h.*")
+    found = mark(docs, bench, out_col="_kl_hits", **options)
+    return found.select(F.col(id_col), F.explode("_kl_hits").alias("h")).select(id_col, "h.*")
 
 
 def clean(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """Documents without any overlap, with their columns."""
-    return mark(docs, bench, out_col="_hits", **options).where(F.size("_hits") == 0).select(*docs.columns)
+    return mark(docs, bench, out_col="_kl_hits", **options).where(F.size("_kl_hits") == 0).select(*docs.columns)

@@ -100,10 +100,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
                        .where("c > 1").select("k", "first"))
     bits = id_bitmap(keys, "k")
     flagged = maybe_in(sets, "k", bits)
-    exact = (flagged.where("_maybe").select("id", "line_no", "k").join(keys, "k")
+    exact = (flagged.where("_kl_maybe").select("id", "line_no", "k").join(keys, "k")
              .where(F.struct("id", "line_no") > F.col("first")).select("id", "line_no", "k"))
-    firsts = (flagged.where("not _maybe").select("id", "line_no", "toks")
-              .unionByName(flagged.where("_maybe").groupBy("k")
+    firsts = (flagged.where("not _kl_maybe").select("id", "line_no", "toks")
+              .unionByName(flagged.where("_kl_maybe").groupBy("k")
                            .agg(F.min(F.struct("id", "line_no")).alias("f"), F.first("toks").alias("toks"))
                            .select("f.id", "f.line_no", "toks")))
 
@@ -150,21 +150,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     gone = materialise(repeated_lines(src, min_words, num, den)
-                       .groupBy("id").agg(F.collect_list(F.struct("line_no", "k")).alias("_gone")))
+                       .groupBy("id").agg(F.collect_list(F.struct("line_no", "k")).alias("_kl_gone")))
     flagged = maybe_in(docs.select(*cols), id_col, id_bitmap(gone, "id"))
     lines = rf"split(`{text_col}`, '\n')"
-    whole = (flagged.where(f"not _maybe or `{id_col}` is null")
+    whole = (flagged.where(f"not _kl_maybe or `{id_col}` is null")
              .select(*cols, F.expr(f"cast(coalesce(size({lines}), 0) as bigint)").alias("n_lines"), F.lit(0).cast("bigint").alias("n_removed")))
     # a repeated id may carry another text: the key says whether the line is meant
-    meant = rf"array_distinct(transform(filter(_gone, r -> xxhash64(get(split({_plain('`' + text_col + '`')}, '\n'), r.line_no)) = r.k), r -> r.line_no))"
-    cut = (flagged.where(f"_maybe and `{id_col}` is not null").drop("_maybe")
-           .join(gone.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left")
-           .withColumn("_lines", F.expr(lines))
-           .withColumn("_no", F.expr(f"case when _gone is null then cast(array() as array<int>) else {meant} end"))
-           .withColumn("_left", F.expr("array_except(sequence(0, size(_lines) - 1), _no)"))
-           .withColumn("_new", F.expr("array_join(transform(_left, i -> get(_lines, i)), '\n')")))
-    cut = cut.select(*[F.when(F.size("_no") > 0, F.col("_new")).otherwise(F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in cols],
-                     F.expr("cast(coalesce(size(_lines), 0) as bigint)").alias("n_lines"), F.size("_no").cast("bigint").alias("n_removed"))
+    meant = rf"array_distinct(transform(filter(_kl_gone, r -> xxhash64(get(split({_plain('`' + text_col + '`')}, '\n'), r.line_no)) = r.k), r -> r.line_no))"
+    cut = (flagged.where(f"_kl_maybe and `{id_col}` is not null").drop("_kl_maybe")
+           .join(gone.withColumnRenamed("id", "_kl_id"), F.col(id_col) == F.col("_kl_id"), "left")
+           .withColumn("_kl_lines", F.expr(lines))
+           .withColumn("_kl_no", F.expr(f"case when _kl_gone is null then cast(array() as array<int>) else {meant} end"))
+           .withColumn("_kl_left", F.expr("array_except(sequence(0, size(_kl_lines) - 1), _kl_no)"))
+           .withColumn("_kl_new", F.expr("array_join(transform(_kl_left, i -> get(_kl_lines, i)), '\n')")))
+    cut = cut.select(*[F.when(F.size("_kl_no") > 0, F.col("_kl_new")).otherwise(F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in cols],
+                     F.expr("cast(coalesce(size(_kl_lines), 0) as bigint)").alias("n_lines"), F.size("_kl_no").cast("bigint").alias("n_removed"))
     return whole.unionByName(cut)
 
 

@@ -1,3 +1,75 @@
 """DuckDB SQL of the operators that SQL can express (checked on the given tables)."""
 
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+import re
+
+from kairos.llm.chat_tree import CONTROLS
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP1 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a)
+SELECT d.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY 1
+"""
+
+_ESCAPED = "|".join([r"\\", *map(re.escape, CONTROLS)]).replace("'", "''")
+
+
+def _escaped_chars(x: str) -> str:
+    return f"length({x}) + len(regexp_extract_all({x}, '{_ESCAPED}'))"
+
+
+OP7 = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+convs AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learnt,
+    sum(12 + {_escaped_chars('role')} + len(regexp_extract_all(role, chr(10))) + 1 + {_escaped_chars('text')} + 11) AS chars
+  FROM rows GROUP BY 1)
+SELECT conv_id, n_turns, turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, chars::BIGINT AS formatted_chars FROM convs
+"""
+
+OP9 = r"""
+WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM cut),
+sets AS (
+  SELECT * FROM (SELECT doc_id, i, list_distinct(list_filter(
+    string_split(replace(replace(line, chr(9), ' '), chr(13), ' '), ' '), lambda x: x <> '')) AS w FROM lines) WHERE len(w) >= 5),
+toks AS (SELECT doc_id, i, len(w) AS n, unnest(w) AS t FROM sets),
+df AS (SELECT t, count(*) AS c FROM toks GROUP BY 1),
+prefix AS (
+  SELECT doc_id, i, n, t FROM toks JOIN df USING (t)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY c, t) <= n - (4 * n + 4) // 5 + 1),
+met AS (
+  SELECT DISTINCT a.doc_id, a.i, b.doc_id AS e, b.i AS ei FROM prefix a JOIN prefix b ON a.t = b.t
+  WHERE (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.i < a.i) AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+gone AS (
+  SELECT DISTINCT m.doc_id, m.i FROM met m JOIN sets x ON x.doc_id = m.doc_id AND x.i = m.i JOIN sets y ON y.doc_id = e AND y.i = ei
+  WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (len(x.w) + len(y.w))),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY 1)
+SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed, 0)::BIGINT AS n_removed, k.text
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op7_chat_format": OP7, "op9_line_dedup": OP9}
