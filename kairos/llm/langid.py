@@ -6,7 +6,7 @@ its languages, majority vote with the margins as tie-break.  Features are
 hashed byte 1- to 4-grams of the lower-cased letters of the whole text, square-root scaled,
 normalised to length 1.
 
-Fitted on at most ``max_rows`` rows (default 8,000, taken by the hash order of
+Fitted on at most ``max_rows`` rows (default 4,000, taken by the hash order of
 their ids among the rows that are not held out): a documented bound.
 
 Defined cases: null text and text without a letter are ``und`` with score 0;
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from kairos.llm.common import map_texts
 from kairos.llm.quality_gam import held_out
 
-DIM = 1 << 13
+DIM = 1 << 12
 _SEG = 1 << 20
 # The families of some language codes.  Other codes join the family of the learned
 # language whose mean features are nearest.
@@ -65,21 +65,25 @@ def features(text: str) -> np.ndarray:
 def svm(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, epochs: int = 12, seed: int = 3) -> tuple[np.ndarray, float]:
     """Linear support vector machine (hinge loss) by averaged mini-batch subgradient steps; y is +1/-1."""
     rng, n = np.random.default_rng(seed), len(y)
-    x1 = np.hstack([x, np.ones((n, 1))])
     weight = np.where(y > 0, n / (2 * max((y > 0).sum(), 1)), n / (2 * max((y < 0).sum(), 1)))
-    w, mean, t = np.zeros(x1.shape[1]), np.zeros(x1.shape[1]), 0
+    w, c, t = np.zeros(x.shape[1]), 0.0, 0
+    mean, mean_c = np.zeros(x.shape[1]), 0.0
     for _ in range(epochs):
         order = rng.permutation(n)
         for lo in range(0, n, 64):
             rows = order[lo:lo + 64]
             t += 1
             rate = 1.0 / (l2 * (t + 1000))
-            hit = rows[(x1[rows] @ w) * y[rows] < 1]
+            hit = rows[(x[rows] @ w + c) * y[rows] < 1]
             w *= 1 - rate * l2
+            c *= 1 - rate * l2
             if len(hit):
-                w += rate / len(rows) * ((weight[hit] * y[hit]) @ x1[hit])
+                push = weight[hit] * y[hit] * (rate / len(rows))
+                w += push @ x[hit]
+                c += push.sum()
             mean += (w - mean) / t
-    return mean[:-1], float(mean[-1])
+            mean_c += (c - mean_c) / t
+    return mean, float(mean_c)
 
 
 @dataclass
@@ -141,7 +145,7 @@ def fit(x: np.ndarray, langs: list[str]) -> Machines:
     return out
 
 
-def train(docs: DataFrame, max_rows: int = 8_000, text_col: str = "text", lang_col: str = "lang",
+def train(docs: DataFrame, max_rows: int = 4_000, text_col: str = "text", lang_col: str = "lang",
           id_col: str = "doc_id") -> Machines:
     """Fit on rows with a language that are not held out; at most ``max_rows``, by hash order of their ids."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
