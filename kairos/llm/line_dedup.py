@@ -8,18 +8,22 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
    hashes.  Exact repeats are settled by a key of the line, aggregated map-side.
 2. Rarity: exact corpus word counts, kept as 4-bit classes in 65,536 cells (a
    fixed 32 KB); a cell has the class of its most frequent word.  Words are
-   ordered by (class, longer first, hash).  Any fixed order is exact.
+   ordered by (class, hash).  Any fixed order is exact.
 3. Prefix filter: a line of n words enters the index with its first
    n - ceil(n * num / den) + 1 words.  Position and length filters: an entry at
-   position p can meet only partner sizes up to ``reach(n, p)``.
-4. In every block (word, size band) all lines are compared with the earliest
-   one first.  What matches is settled and asks no further, so a group of near
-   copies costs one comparison a line.  The others are compared with all
-   earlier lines of the blocks they can reach.
-5. Verification counts the common words of both whole lines.  Only documents
-   that lose a line are joined with what they lose.
-
-Words are compared by 52-bit hashes plus their length (up to 31).
+   position p can meet only partner sizes up to ``reach(n, p)``.  A 64-bit
+   signature travels with the entry: words set in one signature only bound the
+   overlap from above.
+4. Index lists of up to ``SHORT`` lines are compared where they meet.  In longer
+   lists every line is first compared with the earliest of its block (word, size
+   band); what matches is settled and asks no further, so a group of near copies
+   costs one comparison a line, and the others are joined with the earlier lines
+   of the blocks they reach.
+5. A 128-bit signature bounds the overlap again, then verification counts the
+   common words of both whole lines.  Only documents that lose a line are joined
+   with what they lose.
+
+Words are compared by 57-bit hashes.
 
 Defined cases: lines with fewer than ``min_words`` distinct words are left
 alone (blank ones too).  Null and empty texts stay as they are.  Rows with a
@@ -38,9 +42,11 @@ from pyspark.sql import functions as F
 from kairos.llm.common import id_bitmap, in_bitmap, materialise, maybe_in
 
 CELLS = 1 << 16
-#: words of this class or above (the most frequent) are spread over SALTS tasks where lists are counted
+#: lists up to this length are compared in place; longer ones go by leaders and a join
+SHORT = 48
+#: words of this class or above (the most frequent) are spread over SALTS tasks
 HOT_CLASS, SALTS = 12, 16
-_LOW52 = (1 << 52) - 1
+_LOW57 = (1 << 57) - 1
 
 
 def _plain(col: str) -> str:
@@ -52,38 +58,55 @@ def words_of(line: str) -> str:
     return f"array_distinct(array_remove(split({line}, ' '), ''))"
 
 
+def _signature(which: int) -> str:
+    """64 bits in which each word of its half sets one."""
+    return f"aggregate(toks, 0L, (s, t) -> s | if(t & 64L = {which * 64}L, shiftleft(1L, cast(t & 63L as int)), 0L))"
+
+
 def line_sets(docs: DataFrame, min_words: int) -> DataFrame:
     """(id, line_no, k, toks): a key of the line and the hashes of its distinct words."""
     lines = docs.where("id is not null").select("id", F.expr(rf"posexplode(split({_plain('text')}, '\n')) as (line_no, line)"))
-    return (lines.select("id", "line_no", F.xxhash64("line").alias("k"), F.expr(words_of("line")).alias("w"))
-            .where(F.size("w") >= min_words)
-            .select("id", "line_no", "k", F.expr(
-                f"transform(w, x -> shiftleft(cast(31 - least(31, length(x)) as bigint), 52) | (xxhash64(x) & {_LOW52}L))").alias("toks")))
+    return (lines.select("id", "line_no", F.xxhash64("line").alias("k"), F.expr(
+                f"array_distinct(transform(array_remove(split(line, ' '), ''), x -> xxhash64(x) & {_LOW57}L))").alias("toks"))
+            .where(F.size("toks") >= min_words))
 
 
 def rarity_cells(sets: DataFrame) -> str:
     """Classes of corpus word counts, 16 cells of 4 bits to a number, as SQL for an array of CELLS / 16 numbers."""
     words = sets.select(F.explode("toks").alias("t")).groupBy("t").agg(F.count("*").alias("c"))
-    cells = words.groupBy(F.expr(f"cast(t & {CELLS - 1}L as int)").alias("cell")).agg(F.max("c").alias("c"))
-    # class 0 up to twice the mean count of a cell's top word, then one class each doubling
-    mean = cells.agg(F.avg(F.log2("c")).alias("m")).first()["m"] or 0.0
-    level = F.greatest(F.lit(0), F.least(F.lit(15), F.ceil(F.log2("c") - F.lit(mean)))).cast("bigint")
-    packed = (cells.select(F.expr("cell div 16").cast("int").alias("i"), (F.col("cell") % 16 * 4).alias("at"), level.alias("level"))
-              .groupBy("i").agg(F.expr("bit_or(shiftleft(level, at))").alias("v")).collect())  # at most CELLS / 16 rows
+    cells = words.groupBy(F.expr(f"cast(t & {CELLS - 1}L as int)").alias("cell")).agg(F.max("c").alias("c")).collect()  # CELLS rows at most
+    # class 0 up to the mean of the cells' top counts, then one class each doubling
+    mean = sum(math.log2(r["c"]) for r in cells) / max(len(cells), 1)
     out = [0] * (CELLS // 16)
-    for r in packed:
-        out[r["i"]] = r["v"]
-    return "cast(split('" + ",".join(map(str, out)) + "', ',') as array<bigint>)"
+    for r in cells:
+        level = min(15, max(0, math.ceil(math.log2(r["c"]) - mean)))
+        out[r["cell"] >> 4] |= level << 4 * (r["cell"] & 15)
+    return "cast(split('" + ",".join(str(x - (x >> 63 << 64)) for x in out) + "', ',') as array<bigint>)"
+
+
+def _bound(xn: str, xs: list[str], yn: str, ys: list[str], num: int, den: int) -> str:
+    """Whether signatures allow the similarity: words that only one side has can't be common."""
+    apart = " + ".join(f"bit_count({a} ^ {b})" for a, b in zip(xs, ys))
+    return f"{num + den} * ({xn} + {yn} - ({apart})) >= {2 * num} * ({xn} + {yn})"
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Lines (id, line_no, k) of the pairs whose Jaccard similarity reaches num / den; pairs: id, line_no, eid, eline."""
-    wanted = (pairs.select("id", "line_no").unionByName(pairs.select(F.col("eid").alias("id"), F.col("eline").alias("line_no")))
-              .distinct().withColumn("h", F.xxhash64("id", "line_no")))
-    near = in_bitmap(sets.withColumn("h", F.xxhash64("id", "line_no")), "h", id_bitmap(wanted, "h")).drop("h")
-    near = materialise(near.join(wanted.select("id", "line_no"), ["id", "line_no"], "left_semi"))
-    both = (pairs.join(near, ["id", "line_no"])
-            .join(near.select(F.col("id").alias("eid"), F.col("line_no").alias("eline"), F.col("toks").alias("etoks")), ["eid", "eline"])
+    def fetch(of: DataFrame, *cols) -> DataFrame:
+        wanted = (of.select("id", "line_no").unionByName(of.select(F.col("eid").alias("id"), F.col("eline").alias("line_no")))
+                  .select(F.xxhash64("id", "line_no").alias("h")))
+        near = in_bitmap(sets.withColumn("h", F.xxhash64("id", "line_no")), "h", id_bitmap(wanted, "h"))
+        return near.select("id", "line_no", *cols)
+
+    def earlier(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("id").alias("eid"), F.col("line_no").alias("eline"),
+                           *[F.col(c).alias(f"e{c}") for c in rows.columns if c not in ("id", "line_no")])
+
+    marks = fetch(pairs, F.size("toks").alias("n"), F.expr(_signature(0)).alias("s0"), F.expr(_signature(1)).alias("s1"))
+    likely = materialise(pairs.join(marks, ["id", "line_no"]).join(earlier(marks), ["eid", "eline"])
+                         .where(_bound("n", ["s0", "s1"], "en", ["es0", "es1"], num, den)).select("id", "line_no", "eid", "eline"))
+    whole = fetch(likely, "k", "toks")
+    both = (likely.join(whole, ["id", "line_no"]).join(earlier(whole.drop("k")), ["eid", "eline"])
             .withColumn("common", F.size(F.array_intersect("toks", "etoks"))))
     return (both.where(f"{num + den} * common >= {num} * (size(toks) + size(etoks))")
             .select("id", "line_no", "k").distinct())
@@ -107,41 +130,46 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
                            .agg(F.min(F.struct("id", "line_no")).alias("f"), F.first("toks").alias("toks"))
                            .select("f.id", "f.line_no", "toks")))
 
-    # index of rare-first prefixes; entries of words that one line alone has can match nothing
+    # index lists of rare-first prefixes
     def band(c):
         return F.floor(F.log(c) / F.lit(width)).cast("int")
 
     level = f"shiftright(get({cells}, cast(shiftright(t & {CELLS - 1}L, 4) as int)), 4 * cast(t & 15L as int)) & 15L"
-    ordered = firsts.select("id", "line_no", F.size("toks").alias("n"),
+    ordered = firsts.select("id", "line_no", F.size("toks").alias("n"), F.expr(_signature(0)).alias("s"),
                             F.sort_array(F.expr(f"transform(toks, t -> t | shiftleft({level}, 57))")).alias("o"))
-    entries = (ordered.select("id", "line_no", "n", F.expr(f"posexplode(slice(o, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)) as (pos, tok)"))
-               .withColumn("hot", F.expr(f"shiftrightunsigned(tok, 57) >= {HOT_CLASS}"))
-               .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "line_no"), F.lit(SALTS))).otherwise(F.lit(0))))
-    index = materialise(
-        entries.withColumn("held", F.count("*").over(Window.partitionBy("tok", "salt"))).where("held > 1 or hot")
-        .withColumn("reach", F.expr(f"cast((n - pos) * {total} div {num} - n as int)"))
-        .select("tok", "id", "line_no", "n", "reach", band(F.col("n")).alias("band")))
-
-    # everything against the earliest line of its blocks
-    lead = index.groupBy("tok", "band").agg(F.min(F.struct("id", "line_no", "n", "reach")).alias("e"))
+    entries = (ordered.select("id", "line_no", "n", "s",
+                              F.expr(f"posexplode(slice(o, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)) as (pos, tok)"))
+               .select("tok", F.expr(f"if(shiftrightunsigned(tok, 57) >= {HOT_CLASS}, cast(pmod(xxhash64(id, line_no), {SALTS}) as int), -1)").alias("salt"),
+                       "id", "line_no", "n", F.expr(f"cast((n - pos) * {total} div {num} - n as int)").alias("reach"), "s"))
+    row = F.struct("id", "line_no", "n", "reach", "s")
+    counted = entries.withColumn("held", F.count("*").over(Window.partitionBy("tok", "salt"))).where("held > 1 or salt >= 0")
+    fits = (f"x.n <= y.reach and y.n <= x.reach and {den} * x.n >= {num} * y.n and {den} * y.n >= {num} * x.n and "
+            + _bound("x.n", ["x.s"], "y.n", ["y.s"], num, den))
+    pair = "struct(x.id as id, x.line_no as line_no, y.id as eid, y.line_no as eline)"
+    met = f"inline(flatten(transform(l, (x, i) -> transform(filter(slice(l, 1, i), y -> {fits}), y -> {pair}))))"
+    groups = materialise(counted.groupBy("tok", "salt").agg(
+        F.max("held").alias("held"), F.sort_array(F.collect_list(F.when((F.col("held") <= SHORT) & (F.col("salt") < 0), row))).alias("l"))
+        .select(F.expr(met)).where("id > eid or id = eid and line_no > eline").distinct())
+    short = _compare(groups, sets, num, den)
+
+    # long lists: everything against the earliest line of its block first
+    index = materialise(counted.where((F.col("held") > SHORT) | (F.col("salt") >= 0)).select("tok", "id", "line_no", "n", "reach", "s", band("n").alias("band")))
+    x, y = ("n", ["s"]), ("e.n", ["e.s"])
+    lead = index.groupBy("tok", "band").agg(F.min(F.struct("id", "line_no", "n", "reach", "s")).alias("e"))
     later = F.struct("id", "line_no") > F.struct(F.col("e.id").alias("id"), F.col("e.line_no").alias("line_no"))
-    star = (index.join(lead, ["tok", "band"]).where(later & F.expr("n <= e.reach and e.n <= reach"))
+    star = (index.join(lead, ["tok", "band"]).where(later & F.expr("n <= e.reach and e.n <= reach and " + _bound(*x, *y, num, den)))
             .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")).distinct())
     settled = materialise(_compare(materialise(star), sets, num, den))
-
-    # the rest against all earlier lines they can reach
+    low = F.greatest(F.col("n") * num / den, F.lit(1))
     asking = (index.join(settled.select("id", "line_no"), ["id", "line_no"], "left_anti")
-              .withColumn("to", F.greatest(F.col("n") * num / den, F.lit(1)))
-              .select("tok", "id", "line_no", "n", "reach",
-                      F.explode(F.sequence(band(F.col("to")), F.greatest(band(F.col("to")), band(F.greatest("reach", F.lit(1)))))).alias("band")))
-    earlier = index.select("tok", "band", F.col("id").alias("eid"), F.col("line_no").alias("eline"),
-                           F.col("n").alias("en"), F.col("reach").alias("ereach"))
-    rest = (asking.join(earlier, ["tok", "band"])
-            .where((F.struct("id", "line_no") > F.struct(F.col("eid").alias("id"), F.col("eline").alias("line_no")))
-                   & F.expr(f"en <= reach and n <= ereach and {den} * n >= {num} * en and {den} * en >= {num} * n"))
-            .select("id", "line_no", "eid", "eline").distinct())
+              .select("tok", "id", "line_no", "n", "reach", "s",
+                      F.explode(F.sequence(band(low), F.greatest(band(low), band(F.greatest("reach", F.lit(1)))))).alias("band")))
+    before = index.select("tok", "band", F.struct("id", "line_no", "n", "reach", "s").alias("e"))
+    rest = (asking.join(before, ["tok", "band"])
+            .where(later & F.expr(f"n <= e.reach and e.n <= reach and {den} * n >= {num} * e.n and {den} * e.n >= {num} * n and " + _bound(*x, *y, num, den)))
+            .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")).distinct())
     found = _compare(materialise(rest), sets, num, den)
-    return exact.unionByName(settled).unionByName(found)
+    return exact.unionByName(short).unionByName(settled).unionByName(found)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5,
