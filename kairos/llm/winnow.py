@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kairos.llm.common import materialise
+
 _POS = (1 << 23) - 1
 
 
@@ -58,9 +60,12 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "finger
             .withColumn(out_col, F.expr(text_sql(f"`{out_col}`"))))
 
 
-def with_next(rows: DataFrame, columns: list[str], order: str = "id", buckets: int = 1024) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], order: str = "id", buckets: int = 1024,
+              derive: dict[str, str] | None = None) -> DataFrame:
     """Add ``next_<column>`` of the following row in ascending order; after the last comes the first.
 
+    ``derive`` names further columns as SQL over ``rows``, made once for every row.
+
     Rows are dealt to ranges of the order column, cut at approximate quantiles, and
     follow each other within a range; a range's last row takes the next range's
     first one.  Ties go by ``h``.  No task holds more than a range.
@@ -68,18 +73,23 @@ def with_next(rows: DataFrame, columns: list[str], order: str = "id", buckets: i
     cuts = rows.select(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0] or []
     cuts = sorted(set(cuts))
     lookup = "array(" + ", ".join(f"{c}L" for c in cuts) + ")" if cuts else "cast(array() as array<bigint>)"
+    def made(df: DataFrame) -> DataFrame:
+        return df.withColumns({n: F.expr(e) for n, e in (derive or {}).items()})
+
     dealt = rows.withColumn("bucket", F.expr(f"aggregate({lookup}, 0, (n, c) -> n + if(c <= {order}, 1, 0))"))
     inside = Window.partitionBy("bucket").orderBy(order, "h")
-    led = dealt.withColumns({f"next_{c}": F.lead(c).over(inside) for c in columns} | {"_has": F.lead(F.lit(True)).over(inside)})
+    led = made(dealt).withColumns({f"next_{c}": F.lead(c).over(inside) for c in columns} | {"_has": F.lead(F.lit(True)).over(inside)})
     # at most one row a range: first and last by (order, h)
     ends = dealt.groupBy("bucket").agg(F.min(F.struct(order, "h")).alias("first"), F.max(F.struct(order, "h")).alias("last"))
     edges = (ends.withColumn("follows", F.coalesce(F.lead("first").over(Window.orderBy("bucket")),
                                                    F.first("first").over(Window.orderBy("bucket"))))
              .select("last", "follows"))
+    # one row a range at most: no more than ``buckets`` rows of an id and a number are broadcast
+    edges = materialise(edges)
     key = F.struct(order, "h")
-    lasts = rows.join(edges, key.eqNullSafe(F.col("last"))).drop("last").dropDuplicates([order, "h"])
-    heads = (rows.select(key.alias("_first"), *[F.col(c).alias(f"next_{c}") for c in columns])
-             .join(edges.select(F.col("follows").alias("_first")).distinct(), "_first", "left_semi").dropDuplicates(["_first"]))
+    lasts = made(rows.join(F.broadcast(edges), key.eqNullSafe(F.col("last"))).drop("last").dropDuplicates([order, "h"]))
+    heads = made(rows.join(F.broadcast(edges.select("follows")), key.eqNullSafe(F.col("follows")), "left_semi").dropDuplicates([order, "h"]))
+    heads = heads.select(key.alias("_first"), *[F.col(c).alias(f"next_{c}") for c in columns])
     last = lasts.join(heads, F.col("follows").eqNullSafe(F.col("_first"))).drop("follows", "_first")
     return led.where("_has").drop("bucket", "_has").unionByName(last)
 
@@ -87,9 +97,8 @@ def with_next(rows: DataFrame, columns: list[str], order: str = "id", buckets: i
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, w: int = 4) -> DataFrame:
     """Fingerprints of every text and of its edit, whose second half comes from the next document."""
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .withColumn("c", F.expr(chosen_sql("text", k, w))).withColumn("h", F.xxhash64("text")))
-    # an edit takes no more of the next text than half of this one
-    pairs = with_next(rows, ["text", "c"])
+            .withColumn("h", F.xxhash64("text")))
+    pairs = with_next(rows, ["text", "c"], derive={"c": chosen_sql("text", k, w)})
     edited = (pairs.withColumn("n", F.length("text"))
               .withColumn("edited", F.expr("concat(substring(text, 1, n - n div 2), substring(next_text, 1, n div 2))"))
               .withColumn("e", F.expr(chosen_sql("edited", k, w))))

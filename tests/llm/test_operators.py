@@ -373,7 +373,7 @@ def test_edit_report(spark, corpus, buckets, monkeypatch):
     rng = random.Random(9)
     ids = rng.sample(range(-500, 10_000), len(corpus))
     df = spark.createDataFrame(list(zip(ids, corpus)), "doc_id bigint, text string")
-    monkeypatch.setattr(winnow.with_next, "__defaults__", ("id", buckets))
+    monkeypatch.setattr(winnow.with_next, "__defaults__", ("id", buckets, None))
     got = {r.doc_id: r for r in winnow.edit_report(df).collect()}
     order = sorted(ids)
     text = {i: t or "" for i, t in zip(ids, corpus)}
@@ -390,7 +390,7 @@ def test_edit_report(spark, corpus, buckets, monkeypatch):
             assert r.near_next == 1
         a, b = ({h.split(":")[0] for h in x.split(",") if h} for x in (r.fingerprint, r.edited_fingerprint))
         assert r.near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
-        again = spark  # the edited text's fingerprint is that of the same text as a document
+    # the edited text's fingerprint is that of the same text as a document
     probe = spark.createDataFrame([(e, text[e][:len(text[e]) - len(text[e]) // 2] + text[n][:len(text[e]) // 2])
                                    for e, n in zip(order, order[1:] + order[:1])], "doc_id bigint, text string")
     for r in winnow.fingerprints(probe).collect():
