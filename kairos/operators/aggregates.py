@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
-from kairos.functions.scalars import day_diff, epoch_micros, safe_ratio, seconds_between
-from kairos.operators.sequence import HOT_KEY_ROWS, ONE_SLICE, hot_key_values, time_slice, with_neighbours
+from kairos.functions.scalars import day_diff, epoch_micros, seconds_between
+from kairos.operators.sequence import time_slice, with_neighbours
 
 
 def _count_if(cond) -> F.Column:
@@ -79,20 +79,18 @@ def daily_totals(df: DataFrame, ts: str, measures: dict[str, str]) -> DataFrame:
 def periodic_snapshot(history: DataFrame, key: str, start: str, end: str, attrs: Sequence[str],
                       valid_from: str = "valid_from", valid_to: str = "valid_to",
                       step: str = "1 day") -> DataFrame:
-    """One row per entity per day in [start, end], with the version valid at
-    that day's start; no row before the entity's first version.
+    """One row per entity and grid point, with the version valid at that point.
 
-    Each version is expanded only over the days it covers (clipped to the
-    range), so the output is produced without a join or a cross product.
+    The grid starts at ``start`` and goes on by ``step`` (a day, a week, a month)
+    up to ``end``, the same for every version.  It doesn't grow with the data, and
+    each version keeps the points it covers, so no join or cross product runs.
     """
     s = F.lit(start).cast("timestamp_ntz")
     e = F.lit(end).cast("timestamp_ntz")
-    first_day = F.greatest(F.date_trunc("day", F.col(valid_from)).cast("timestamp_ntz"), s)
-    first_day = F.when(first_day < F.col(valid_from), first_day + F.expr("INTERVAL 1 DAY")).otherwise(first_day)
-    last_excl = F.least(F.coalesce(F.col(valid_to), e + F.expr("INTERVAL 1 DAY")), e + F.expr("INTERVAL 1 DAY"))
-    days = F.sequence(first_day, last_excl - F.expr("INTERVAL 1 MICROSECOND"), F.expr(f"INTERVAL {step}"))
-    h = history.where(first_day < last_excl)
-    return h.select(key, *attrs, F.explode(days).alias("snapshot_at"))
+    grid = F.sequence(s, e, F.expr(f"INTERVAL {step}"))
+    vf, vt = F.col(valid_from), F.col(valid_to)
+    h = history.where((vf <= e) & (vt.isNull() | (vt > s)))
+    return (h.select(key, *attrs, F.explode(F.filter(grid, lambda p: (p >= vf) & (vt.isNull() | (p < vt)))).alias("snapshot_at")))
 
 
 def accumulating_snapshot(changes: DataFrame, key: str, stage_col: str, ts: str,
@@ -114,29 +112,26 @@ def state_at(history: DataFrame, t, by: Sequence[str], valid_from: str = "valid_
 
 
 def history_safe_totals(df: DataFrame, key: str, ts: str, value: str, prefix: str = "prior_",
-                        slice_unit: str = "year", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                        slice_unit: str | None = "year") -> DataFrame:
     """E5: sum and count of *strictly earlier* rows of the same key (ties excluded).
 
     ``rangeBetween(unboundedPreceding, -1)`` over microseconds excludes rows at
-    the same timestamp, so no row sees its own or a simultaneous outcome.  Hot
-    keys (>= ``hot_key_rows`` rows) are windowed per (key, time slice) and get
-    the totals of their earlier slices from a one-row-per-(key, slice) aggregate.
+    the same timestamp, so no row sees its own or a simultaneous outcome.  Keys
+    are windowed per (key, time slice) and get the totals of their earlier slices
+    from a one-row-per-(key, slice) aggregate; ``slice_unit=None`` takes whole keys.
     """
     micros = epoch_micros(ts)
-    hot = hot_key_values(df, key, ts, hot_key_rows)
-    if hot == []:
+    if slice_unit is None:
         w = Window.partitionBy(key).orderBy(micros).rangeBetween(Window.unboundedPreceding, -1)
         return (df.withColumn(f"{prefix}sum", F.coalesce(F.sum(value).over(w), F.lit(0)).cast("decimal(18,2)"))
                 .withColumn(f"{prefix}count", F.count(F.lit(1)).over(w).cast("bigint")))
-    fine = time_slice(ts, slice_unit)
-    hot_rows = F.lit(True) if hot is None else F.col(key).isin(hot)
-    sl = F.when(hot_rows, fine).otherwise(F.lit(ONE_SLICE).cast("timestamp_ntz"))
+    sl = time_slice(ts, slice_unit)
     d = df.withColumn("_slice", sl)
     w = (Window.partitionBy(key, "_slice").orderBy(micros)
          .rangeBetween(Window.unboundedPreceding, -1))
     d = (d.withColumn("_in_sum", F.sum(value).over(w))
          .withColumn("_in_cnt", F.count(F.lit(1)).over(w)))
-    tot = (df.where(hot_rows).withColumn("_slice", sl).groupBy(key, "_slice")
+    tot = (df.withColumn("_slice", sl).groupBy(key, "_slice")
            .agg(F.sum(value).alias("_s_sum"), F.count(F.lit(1)).alias("_s_cnt")))
     wb = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(key, "_slice", F.sum("_s_sum").over(wb).alias("_b_sum"),
@@ -150,11 +145,9 @@ def history_safe_totals(df: DataFrame, key: str, ts: str, value: str, prefix: st
             .select(*df.columns, f"{prefix}sum", f"{prefix}count"))
 
 
-def order_gaps(df: DataFrame, key: str, ts: str, order_id: str, slice_unit: str | None = "year",
-               hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """Days between consecutive orders per key, and their average (hot keys split by slice)."""
-    hot = hot_key_values(df, key, ts, hot_key_rows) if slice_unit else []
-    g = with_neighbours(df.select(key, order_id, ts), [key], [ts, order_id], [ts], slice_unit, hot)
+def order_gaps(df: DataFrame, key: str, ts: str, order_id: str, slice_unit: str | None = "year") -> DataFrame:
+    """Days between consecutive orders per key, and their average (keys split by time slice)."""
+    g = with_neighbours(df.select(key, order_id, ts), [key], [ts, order_id], [ts], slice_unit)
     g = g.select(key, order_id, ts, day_diff(F.col(f"_prev.{ts}"), F.col(ts)).alias("days_since_prev"))
     return g.groupBy(key).agg(F.count(F.lit(1)).alias("n_orders"),
                               F.avg("days_since_prev").alias("avg_days_between"))
@@ -164,17 +157,15 @@ def daily_baseline(df: DataFrame, ts: str, days: int = 7, threshold: float = 0.2
     """Daily row counts with the mean and spread of the previous ``days`` days;
     ``is_anomaly`` when the count deviates more than ``threshold`` from the mean.
 
-    The data is first reduced to one row per day, so the unpartitioned window
-    only ever sees one row per day.
+    Every day from the first to the last has a row: a day without data counts 0,
+    in its own row and in the baselines of the days after it.  The data is first
+    reduced to one row per day, so the unpartitioned window only sees days.
     """
-    daily = df.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+    seen = df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+    calendar = seen.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
+    daily = calendar.join(seen, "day", "left").select("day", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"))
     w = Window.orderBy("day").rowsBetween(-days, -1)
     out = (daily.withColumn("baseline_avg", F.avg("n_rows").over(w))
            .withColumn("baseline_std", F.stddev_samp("n_rows").over(w)))
-    dev = F.abs(F.col("n_rows") - F.col("baseline_avg")) / F.col("baseline_avg")
-    return out.withColumn("is_anomaly", F.coalesce(dev > threshold, F.lit(False)))
-
-
-def return_rates(df: DataFrame, key: str, returned_col: str, total_col: str) -> DataFrame:
-    """B13 applied: guarded ratio column."""
-    return df.withColumn("return_rate", safe_ratio(returned_col, total_col))
+    away = F.abs(F.col("n_rows") - F.col("baseline_avg")) > F.lit(threshold) * F.col("baseline_avg")
+    return out.withColumn("is_anomaly", F.coalesce(away, F.lit(False)))

@@ -16,23 +16,12 @@ from pyspark.sql import functions as F
 
 from kairos.operators.scd import normalise_history
 
-# Upper bound for a mapping table that may be broadcast (seed files are tiny).
-MAPPING_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave it to the planner."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def canonicalise(df: DataFrame, id_col: str, mapping: DataFrame | None = None,
                  out_col: str = "canonical_id") -> DataFrame:
-    """``COALESCE(map.old_id, id)`` where ``map.new_id = id``."""
+    """``COALESCE(map.old_id, id)`` where ``map.new_id = id`` (an equi-join; the planner picks its form by size)."""
     if mapping is None:
         return df.withColumn(out_col, F.col(id_col))
-    m = bounded_broadcast(mapping.select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new")),
-                          MAPPING_BROADCAST_MAX_ROWS)
+    m = mapping.select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new"))
     return (df.join(m, F.col(id_col) == F.col("_new"), "left")
             .withColumn(out_col, F.coalesce(F.col("_old").cast(df.schema[id_col].dataType), F.col(id_col)))
             .drop("_old", "_new"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.operators.sequence import latest_per_key
@@ -39,6 +39,43 @@ class Metric:
     cast: str | None = None
 
 
+def grouped_median(df: DataFrame, by: Sequence[str], value: str, buckets: int = 1024) -> DataFrame:
+    """Exact median per group in two passes, without holding a group's values in one task.
+
+    Approximate quantiles cut each group into at most ``buckets`` ranges; counting the
+    ranges shows which of them hold the middle one or two values, and only those
+    ranges' rows are ranked.  A value that fills a range alone is counted, not ranked.
+    """
+    by = list(by)
+    d = df.where(F.col(value).isNotNull())
+    cuts = d.groupBy(*by).agg(F.percentile_approx(value, [i / 32 for i in range(1, 32)], buckets).alias("_cuts"),
+                              F.count(F.lit(1)).alias("_n"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
+    cond = same[0]
+    for x in same[1:]:
+        cond = cond & x
+    # counts per distinct value first: equal values meet before the shuffle
+    values = d.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k"))
+    placed = (values.alias("d").join(cuts.alias("c"), cond)
+              .select(*[F.col(f"d.{c}").alias(c) for c in by], F.col(f"d.{value}").alias("_v"), "_k", "_n",
+                      F.size(F.filter("_cuts", lambda q: q < F.col(f"d.{value}"))).alias("_b")))
+    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (placed.groupBy(*by, "_b").agg(F.sum("_k").alias("_in"), F.max("_n").alias("_total"))
+              .withColumn("_before", F.coalesce(F.sum("_in").over(w), F.lit(0)))
+              # the middle ranks, counted from 1
+              .withColumn("_lo", F.expr("(_total + 1) div 2")).withColumn("_hi", F.expr("(_total + 2) div 2"))
+              .where("_hi > _before and _lo <= _before + _in"))
+    same = F.col("p._b") == F.col("r._b")
+    for c in by:
+        same = same & F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}"))
+    rows = (placed.alias("p").join(ranges.alias("r"), same)
+            .select(*[F.col(f"p.{c}").alias(c) for c in by], "_v", "_k", F.col("p._b").alias("_b"), "_before", "_lo", "_hi"))
+    upto = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_end", F.col("_before") + F.sum("_k").over(upto)).withColumn("_start", F.col("_end") - F.col("_k"))
+    middle = rows.where("_hi > _start and _lo <= _end")
+    return middle.groupBy(*by).agg(((F.min("_v") + F.max("_v")) / 2).alias("median"))
+
+
 def evaluate(metric: Metric, df: DataFrame, dims: Sequence[str] = (), grain: str = "month") -> DataFrame:
     """Evaluate one metric at ``grain`` over ``dims``."""
     d = df
@@ -50,10 +87,14 @@ def evaluate(metric: Metric, df: DataFrame, dims: Sequence[str] = (), grain: str
         if not metric.entity:
             raise ValueError("semi-additive metric needs an entity column")
         d = d.select(period, *dims, metric.entity, F.col(metric.time_col).alias("_t"), value.alias("_v"))
-        d = latest_per_key(d, ["period", *dims, metric.entity], ["_t"])
+        # one row per entity and period; an entity that changes a dimension counts under its last value
+        d = latest_per_key(d, ["period", metric.entity], ["_t"])
         value = F.col("_v")
         period = F.col("period")
-    out = d.groupBy(period, *dims).agg(AGGS[metric.agg](value).alias(metric.name))
+    if metric.agg == "median":
+        out = grouped_median(d.select(period, *dims, value.alias("_v")), ["period", *dims], "_v").withColumnRenamed("median", metric.name)
+    else:
+        out = d.groupBy(period, *dims).agg(AGGS[metric.agg](value).alias(metric.name))
     if metric.cast:
         out = out.withColumn(metric.name, F.col(metric.name).cast(metric.cast))
     return out

@@ -4,48 +4,113 @@ C2 pit_join          - version valid at the event time (half-open interval)
 C3/C4/C5 fk_enrich   - PIT, then current-version fallback, then key-map lookup
 C6 chained enrichment- ``df.transform(fk_enrich(...))`` twice
 C11 scd_between_join - the documented closed-interval variant (double-matches!)
-C12 pit_features     - feature rows valid at event time (alias of pit_join)
+C12 pit_features     - feature rows valid at the event time, with their age
 
 Two physical strategies, same result on a well-formed history (versions of a
-key do not overlap):
+key do not overlap).  The caller names one:
 
-``strategy="join"``  the reference's literal form: equi-join on the key with a
-                     range residual.  Cost per key is facts x versions.
+``strategy="join"``  equi-join on the key with a range residual.  Cost per key is
+                     facts x versions: for histories with few versions a key
+                     (orders, products).  AQE splits a skewed key.
 ``strategy="asof"``  (default) facts and versions are unioned and a running
-                     ``last(version, ignorenulls)`` is taken per (key, time
-                     slice), so work is linear.  Only hot keys (>= HOT_KEY_ROWS
-                     rows, found by a map-side-partial count) are sliced; the
-                     rest form one slice each.  Facts that precede every
-                     version of their slice take the version active at the
-                     slice start from a small carry table (one row per key and
-                     slice), built by map-side-partial aggregates and a window
-                     over slices only.  The same carry table brings the
-                     current-version fallback and the key-map lookup, so the
-                     facts are shuffled once.  A hot key is split across
-                     slices instead of sorting in one task.
+                     ``last(version, ignorenulls)`` is taken, so work is linear in
+                     both: for histories with any number of versions a key.
+                     ``slice_unit`` cuts every key into time slices, so that a
+                     hot key is many tasks; a carry table with one row per key
+                     and slice brings the version active at a slice's start and
+                     the current version.  ``slice_unit=None`` makes one group of
+                     a key (one shuffle less) where no key is hot.
+
+Facts without a key match nothing; they pass by the window and joins, so that
+they don't gather in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kairos.operators import sequence as _seq
-from kairos.operators.sequence import HOT_KEY_ROWS, ONE_SLICE, time_slice
+from kairos.operators.sequence import time_slice
+
+
+def _asof(facts: DataFrame, fk: str, t: str, history: DataFrame, id_col: str, take: list[str], slice_unit: str | None,
+          valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """(_k, _f, _pit, _cur): each fact with a key, its version valid at ``t`` and its key's open version."""
+    key_type = facts.schema[fk].dataType
+    ver = F.struct(*[F.col(c).alias(c) for c in take], F.col(valid_from).cast("timestamp_ntz").alias("_vf"),
+                   F.col(valid_to).cast("timestamp_ntz").alias("_vt"))
+    ver_type = history.select(ver.alias("v")).schema["v"].dataType
+    fstruct = F.struct(*[F.col(c) for c in facts.columns])
+    f_type = facts.select(fstruct.alias("f")).schema["f"].dataType
+    f = (facts.where(F.col(fk).isNotNull())
+         .select(F.col(fk).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
+                 fstruct.alias("_f"), F.lit(None).cast(ver_type).alias("_v")))
+    v = (history.where(F.col(id_col).isNotNull())
+         .select(F.col(id_col).cast(key_type).alias("_k"), F.col(valid_from).cast("timestamp_ntz").alias("_t"),
+                 F.lit(0).alias("_kind"), F.lit(None).cast(f_type).alias("_f"), ver.alias("_v")))
+    order = ["_t", "_kind"]
+    if slice_unit is None:
+        w = Window.partitionBy("_k").orderBy(*order)
+        out = (f.unionByName(v)
+               .withColumn("_cand", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+               .withColumn("_latest", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+               .where("_kind = 1"))
+    else:
+        sl = time_slice("_t", slice_unit)
+        f, v = f.withColumn("_slice", sl), v.withColumn("_slice", sl)
+        # 1) running last version inside each (key, slice)
+        w = Window.partitionBy("_k", "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        main = f.unionByName(v).withColumn("_in", F.last("_v", ignorenulls=True).over(w)).where("_kind = 1")
+        # 2) one row per key and slice that holds facts or versions: the last version before it, and the key's latest
+        last_v = v.groupBy("_k", "_slice").agg(F.max_by("_v", "_t").alias("_last"), F.lit(1).alias("_isv"))
+        asked = f.groupBy("_k", "_slice").agg(F.lit(None).cast(ver_type).alias("_last"), F.lit(0).alias("_isv"))
+        wk = Window.partitionBy("_k").orderBy("_slice", "_isv")
+        carry = (last_v.unionByName(asked)
+                 .withColumn("_start", F.last("_last", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1)))
+                 .withColumn("_latest", F.last("_last", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+                 .where("_isv = 0").select("_k", "_slice", "_start", "_latest"))
+        out = main.join(carry, ["_k", "_slice"], "left").withColumn("_cand", F.coalesce("_in", "_start"))
+    valid = F.col("_t").isNotNull() & (F.col("_cand._vt").isNull() | (F.col("_t") < F.col("_cand._vt")))
+    return out.select("_k", "_f", F.when(valid, F.col("_cand")).alias("_pit"),
+                      F.when(F.col("_latest._vt").isNull(), F.col("_latest")).alias("_cur"))
+
 
 def pit_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
              take=("sk", "master_sk"), prefix: str = "pit_", how: str = "left",
-             valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """Join each fact to the version with ``valid_from <= t < valid_to`` (open end NULL)."""
-    h = history.select(F.col(id_col).alias("_hk"), F.col(valid_from).alias("_vf"),
-                       F.col(valid_to).alias("_vt"), *[F.col(c).alias(prefix + c) for c in take])
-    cond = ((F.col(fk) == F.col("_hk")) & (F.col(t) >= F.col("_vf"))
-            & (F.col("_vt").isNull() | (F.col(t) < F.col("_vt"))))
-    return facts.join(h, cond, how).drop("_hk", "_vf", "_vt")
-
+             valid_from: str = "valid_from", valid_to: str = "valid_to",
+             strategy: str = "asof", slice_unit: str | None = "month") -> DataFrame:
+    """Each fact with the version for which ``valid_from <= t < valid_to`` (open end NULL).
 
-pit_features = pit_join
+    ``how``: left keeps facts without a version (NULLs), inner drops them."""
+    take = list(take)
+    if strategy == "join":
+        h = history.select(F.col(id_col).alias("_hk"), F.col(valid_from).alias("_vf"),
+                           F.col(valid_to).alias("_vt"), *[F.col(c).alias(prefix + c) for c in take])
+        cond = ((F.col(fk) == F.col("_hk")) & (F.col(t) >= F.col("_vf"))
+                & (F.col("_vt").isNull() | (F.col(t) < F.col("_vt"))))
+        return facts.join(h, cond, how).drop("_hk", "_vf", "_vt")
+    if strategy != "asof" or how not in ("left", "inner"):
+        raise ValueError(f"unknown strategy {strategy!r} or join {how!r}")
+    out = _asof(facts, fk, t, history, id_col, take, slice_unit, valid_from, valid_to)
+    if how == "inner":
+        out = out.where("_pit is not null")
+    out = out.select("_f.*", *[F.col(f"_pit.{c}").alias(prefix + c) for c in take])
+    if how == "inner":
+        return out
+    none = [F.lit(None).cast(out.schema[prefix + c].dataType).alias(prefix + c) for c in take]
+    return out.unionByName(facts.where(F.col(fk).isNull()).select("*", *none))
+
+
+def pit_features(facts: DataFrame, features: DataFrame, fk: str, t: str, id_col: str, take,
+                 prefix: str = "feat_", **options) -> DataFrame:
+    """The feature row valid at the event time, plus ``{prefix}age_days`` since it became valid.
+
+    ``features`` has ``valid_from`` / ``valid_to`` per key; a fact before the first row gets NULLs, never a later value.
+    """
+    from kairos.functions.scalars import day_diff
+
+    out = pit_join(facts, features, fk, t, id_col, take=[*take, "valid_from"], prefix=prefix, **options)
+    return out.withColumn(f"{prefix}age_days", day_diff(F.col(f"{prefix}valid_from"), F.col(t))).drop(f"{prefix}valid_from")
 
 
 def scd_between_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
@@ -81,120 +146,29 @@ def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map):
                       F.coalesce(*masters).alias(f"{prefix}_master_sk"))
 
 
-def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows, hot_source):
-    spark = facts.sparkSession
-    key_type = facts.schema[fk].dataType
-    ver = F.struct(F.col("sk").alias("sk"), F.col("master_sk").alias("master_sk"),
-                   F.col("valid_from").alias("vf"), F.col("valid_to").alias("vt"))
-    ver_type = entity.select(ver.alias("v")).schema["v"].dataType
-    fstruct = F.struct(*[F.col(c) for c in facts.columns])
-    f_type = facts.select(fstruct.alias("f")).schema["f"].dataType
-    one = F.lit(ONE_SLICE).cast("timestamp_ntz")
-
-    f = facts.select(F.col(fk).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"),
-                     F.lit(1).alias("_kind"), fstruct.alias("_f"), F.lit(None).cast(ver_type).alias("_v"))
-    v = entity.select(F.col(id_col).cast(key_type).alias("_k"), F.col("valid_from").cast("timestamp_ntz").alias("_t"),
-                      F.lit(0).alias("_kind"), F.lit(None).cast(f_type).alias("_f"), ver.alias("_v"))
-
-    # which keys are split into time slices
-    if hot_key_rows is None:
-        hot, slice_all = [], False
-    elif hot_key_rows <= 0:
-        hot, slice_all = None, True
-    else:
-        # one count job over fact keys and version keys together
-        src = hot_source if hot_source is not None else facts
-        keys_times = (src.select(F.col(fk).alias("_hk"), F.col(t).cast("timestamp_ntz").alias("_ht"))
-                      .unionByName(entity.select(F.col(id_col).cast(key_type).alias("_hk"),
-                                                 F.col("valid_from").cast("timestamp_ntz").alias("_ht"))))
-        hot = _seq.find_hot_keys(keys_times, "_hk", "_ht", hot_key_rows)
-        slice_all = hot is None
-    hot_keys = [h[0] for h in hot or []]
-    fine = time_slice("_t", slice_unit)
-    if slice_all:
-        sl = fine
-    elif hot_keys:
-        sl = F.when(F.col("_k").isin(hot_keys), fine).otherwise(one)
-    else:
-        sl = one
-    f = f.withColumn("_slice", sl)
-    v = v.withColumn("_slice", sl)
-
-    # 1) running last version inside each (key, slice): the only pass over the facts
-    w = (Window.partitionBy("_k", "_slice").orderBy("_t", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    main = (f.unionByName(v).withColumn("_in", F.last("_v", ignorenulls=True).over(w))
-            .where(F.col("_kind") == 1))
-
-    # 2) carry table from the entity side: per (key, slice) the version active at
-    #    the slice start and the key's current version; plus the key-map lookup
-    last_v = F.max_by("_v", F.struct("_t", F.col("_v.sk"))).alias("_last")
-    if slice_all or hot_keys:
-        vs = v.groupBy("_k", "_slice").agg(last_v)
-    else:  # one slice per key: group by the key alone so the carry window reuses this shuffle
-        vs = v.groupBy("_k").agg(last_v).withColumn("_slice", one)
-    vs = vs.select("_k", "_slice", "_last", F.lit(1).alias("_isv"))
-    if slice_all:
-        # every key sliced: one carry row per (key, slice) that holds facts
-        gen = f.select("_k", "_slice").where(F.col("_k").isNotNull()).distinct()
-    elif hot:
-        # hot keys: one carry row per slice of their time range (bounded list)
-        gen = spark.createDataFrame(hot, T.StructType([T.StructField("_k", key_type),
-                                                       T.StructField("_lo", T.TimestampNTZType()),
-                                                       T.StructField("_hi", T.TimestampNTZType())]))
-        lo = F.date_trunc(slice_unit, F.coalesce("_lo", "_hi")).cast("timestamp_ntz")
-        hi = F.date_trunc(slice_unit, F.coalesce("_hi", "_lo")).cast("timestamp_ntz")
-        step = F.expr(f"INTERVAL 1 {slice_unit.upper()}")
-        gen = gen.select("_k", F.explode(F.array_union(F.array(one), F.sequence(lo, hi, step))).alias("_slice"))
-    else:
-        gen = None
-    parts = vs
-    if gen is not None:
-        parts = vs.unionByName(gen.select("_k", "_slice", F.lit(None).cast(ver_type).alias("_last"),
-                                          F.lit(0).alias("_isv")))
-    wk = Window.partitionBy("_k").orderBy("_slice", "_isv")
-    carry = (parts
-             .withColumn("_start", F.last("_last", ignorenulls=True).over(
-                 wk.rowsBetween(Window.unboundedPreceding, -1)))
-             .withColumn("_latest", F.last("_last", ignorenulls=True).over(
-                 wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    if slice_all:
-        carry = carry.where(F.col("_isv") == 0)
-    elif hot_keys:
-        carry = carry.where((F.col("_isv") == 0) | ~F.col("_k").isin(hot_keys))
-    # the key's current version: its latest version when still open
-    carry = carry.select("_k", "_slice", "_start",
-                         F.when(F.col("_latest.vt").isNull(), F.col("_latest")).alias("_cur"))
+def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
+    out = _asof(facts, fk, t, entity, id_col, ["sk", "master_sk"], slice_unit)
+    masters = [F.col("_pit.master_sk"), F.when(F.col("_pit").isNull(), F.col("_cur.master_sk"))]
     if sk_map is not None:
-        m = sk_map.select(F.col("canonical_id").cast(key_type).alias("_k"), F.col("master_sk").alias("_map_msk"))
-        if slice_all:
-            carry = carry.join(m, "_k", "left")
-        else:
-            # keys known only to the map still need a carry row (their single slice)
-            carry = (carry.join(m, "_k", "full_outer")
-                     .withColumn("_slice", F.coalesce(F.col("_slice"), one)))
-    else:
-        carry = carry.withColumn("_map_msk", F.lit(None).cast("string"))
-
-    out = main.join(carry, ["_k", "_slice"], "left")
-    cand = F.coalesce(F.col("_in"), F.col("_start"))
-    pit = F.when(F.col("_t").isNotNull() & (cand["vt"].isNull() | (F.col("_t") < cand["vt"])), cand)
-    out = out.withColumn("_pit", pit)
-    fb = F.when(F.col("_pit").isNull(), F.col("_cur"))
-    return out.select("_f.*",
-                      F.coalesce(F.col("_pit.sk"), fb["sk"]).alias(f"{prefix}_sk"),
-                      F.coalesce(F.col("_pit.master_sk"), fb["master_sk"], F.col("_map_msk"))
-                      .alias(f"{prefix}_master_sk"))
+        m = sk_map.select(F.col("canonical_id").cast(facts.schema[fk].dataType).alias("_k"), F.col("master_sk").alias("_mmsk"))
+        out = out.join(m, "_k", "left")
+        masters.append(F.col("_mmsk"))
+    return out.select("_f.*", F.coalesce("_pit.sk", F.when(F.col("_pit").isNull(), F.col("_cur.sk"))).alias(f"{prefix}_sk"),
+                      F.coalesce(*masters).alias(f"{prefix}_master_sk"))
 
 
 def fk_enrich(facts: DataFrame, fk: str, t: str, entity: DataFrame, id_col: str, prefix: str,
-              sk_map: DataFrame | None = None, strategy: str = "asof",
-              slice_unit: str = "day", hot_key_rows: int | None = HOT_KEY_ROWS,
-              hot_source: DataFrame | None = None) -> DataFrame:
+              sk_map: DataFrame | None = None, strategy: str = "asof", slice_unit: str | None = "month") -> DataFrame:
     """Add ``{prefix}_sk`` (version valid at ``t``, else the current version)
     and ``{prefix}_master_sk`` (from that version, else the key map)."""
+    if strategy not in ("join", "asof"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    keyed = facts.where(F.col(fk).isNotNull())
     if strategy == "join":
-        return _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map)
-    if strategy == "asof":
-        return _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, hot_key_rows, hot_source)
-    raise ValueError(f"unknown strategy {strategy!r}")
+        out = _fk_enrich_join(keyed, fk, t, entity, id_col, prefix, sk_map)
+    else:
+        out = _fk_enrich_asof(keyed, fk, t, entity, id_col, prefix, sk_map, slice_unit)
+    none = [F.lit(None).cast(out.schema[f"{prefix}_{c}"].dataType).alias(f"{prefix}_{c}") for c in ("sk", "master_sk")]
+    return out.unionByName(facts.where(F.col(fk).isNull()).select("*", *none))
+
+

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, StructType
 
 from kairos.functions.scalars import as_of as _as_of
 from kairos.functions.scalars import epoch_micros, seconds_between
@@ -116,9 +116,27 @@ def check_volume(df: DataFrame, ts: str, days: int = 7, threshold: float = 0.2)
     return daily_baseline(df, ts, days, threshold).where(F.col("is_anomaly"))
 
 
+# Type changes that keep every old value.
+WIDENING = {
+    "tinyint": ["smallint", "int", "bigint", "float", "double"],
+    "smallint": ["int", "bigint", "float", "double"],
+    "int": ["bigint", "double"],
+    "float": ["double"],
+    "date": ["timestamp_ntz"],
+}
+
+
+def widens(old: DataType, new: DataType) -> bool:
+    """Whether every value of ``old`` is also one of ``new``."""
+    if isinstance(old, DecimalType) and isinstance(new, DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return new.simpleString() in WIDENING.get(old.simpleString(), [])
+
+
 def schema_diff(old: StructType, new: StructType) -> list[dict]:
-    """Q9: column-level drift; removed columns, type changes and nullability
-    tightening are breaking, added nullable columns are additive."""
+    """Q9: column-level drift; removed columns, narrowing type changes and nullability
+    tightening are breaking; widened types, loosened nullability and added nullable
+    columns are not."""
     o = {f.name: f for f in old.fields}
     n = {f.name: f for f in new.fields}
     out = []
@@ -127,9 +145,10 @@ def schema_diff(old: StructType, new: StructType) -> list[dict]:
             out.append({"column": name, "change": "removed", "breaking": True})
         elif f.dataType != n[name].dataType:
             out.append({"column": name, "change": f"type {f.dataType.simpleString()}->"
-                        f"{n[name].dataType.simpleString()}", "breaking": True})
-        elif f.nullable and not n[name].nullable:
-            out.append({"column": name, "change": "nullable->required", "breaking": True})
+                        f"{n[name].dataType.simpleString()}", "breaking": not widens(f.dataType, n[name].dataType)})
+        if name in n and f.nullable != n[name].nullable:
+            tighter = f.nullable
+            out.append({"column": name, "change": "nullable->required" if tighter else "required->nullable", "breaking": tighter})
     for name, f in n.items():
         if name not in o:
             out.append({"column": name, "change": "added", "breaking": not f.nullable})
@@ -138,9 +157,12 @@ def schema_diff(old: StructType, new: StructType) -> list[dict]:
 
 @dataclass
 class Contract:
-    """Q13: fields, types, nullability, accepted values and freshness in one declaration."""
+    """Q13: fields, types, nullability, accepted values and freshness in one declaration.
+
+    ``closed``: columns that ``fields`` doesn't name are failures."""
     fields: dict[str, str]
     required: Sequence[str] = ()
+    closed: bool = False
     unique: Sequence[str] = ()
     accepted: dict[str, Sequence] = field(default_factory=dict)
     freshness_col: str | None = None
@@ -158,6 +180,8 @@ def check_contract(df: DataFrame, contract: Contract, as_of=None) -> DataFrame:
             rows.append(("schema", f"missing column {c}", 1))
         elif actual[c] != t:
             rows.append(("schema", f"{c} is {actual[c]}, expected {t}", 1))
+    if contract.closed:
+        rows += [("schema", f"unexpected column {c}", 1) for c in actual if c not in contract.fields]
     spark = df.sparkSession
     checks = []
     for c in contract.required:
@@ -169,7 +193,8 @@ def check_contract(df: DataFrame, contract: Contract, as_of=None) -> DataFrame:
     if contract.freshness_col and contract.freshness_col in actual and contract.freshness_hours:
         age = epoch_micros(_as_of(as_of)) - epoch_micros(F.max(contract.freshness_col))
         checks.append((f"freshness:{contract.freshness_col}",
-                       F.when(age > contract.freshness_hours * 3600e6, 1).otherwise(0)))
+                       # a table without a time has no age: it fails, as in check_freshness
+                       F.when(age.isNull() | (age > contract.freshness_hours * 3600e6), 1).otherwise(0)))
     schema_df = spark.createDataFrame(rows, "clause string, detail string, n_failed long")
     result = schema_df
     if checks:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
 from kairos.functions.scalars import shift_days, version_sk
-from kairos.operators.sequence import HOT_KEY_ROWS, hot_key_values, latest_per_key, with_neighbours
+from kairos.operators.sequence import latest_per_key, with_neighbours
 
 SCD_ID = "scd_id"
 SCD_UPDATED_AT = "scd_updated_at"
@@ -83,6 +83,29 @@ def scd2_snapshot(history: DataFrame | None, incoming: DataFrame, key: str,
     return closed.unionByName(out)
 
 
+def scd2_changes(open_rows: DataFrame | None, incoming: DataFrame, key: str,
+                 updated_at: str = "updated_at") -> DataFrame:
+    """S1 as changes only: the versions that one load opens and closes (``_kind``).
+
+    ``open_rows`` holds at most one open version per key.  Keys that the load doesn't
+    change give no row, so what a run writes follows the changes, not the entities.
+    """
+    data_cols = [c for c in incoming.columns if c not in SCD_COLS]
+    inc = latest_per_key(incoming.select(*data_cols), [key], [updated_at])
+    new_rows = _version_rows(inc.select(*data_cols), key, updated_at)
+    cols = data_cols + SCD_COLS
+    if open_rows is None:
+        return new_rows.select(*cols, F.lit("opened").alias("_kind"))
+    n = new_rows.select(F.col(key).alias("_k"), F.struct(*cols).alias("_n"))
+    h = open_rows.select(F.col(key).alias("_k"), F.struct(*cols).alias("_h"))
+    j = n.join(h, "_k", "left").where(F.col("_h").isNull() | (F.col(f"_n.{SCD_UPDATED_AT}") > F.col(f"_h.{SCD_UPDATED_AT}")))
+    opened = F.struct(F.col("_n").alias("r"), F.lit("opened").alias("_kind"))
+    closed = F.when(F.col("_h").isNotNull(), F.struct(F.col("_h").withField(VALID_TO, F.col(f"_n.{SCD_UPDATED_AT}")).alias("r"),
+                                                      F.lit("closed").alias("_kind")))
+    return (j.select(F.explode(F.array(opened, closed)).alias("_c")).where("_c is not null")
+            .select("_c.r.*", "_c._kind"))
+
+
 def scd2_from_loads(changes: DataFrame, key: str, updated_at: str = "updated_at",
                     load_col: str = "_load") -> DataFrame:
     """Replay of S1 over every load in ``load_col`` order, computed in one pass.
@@ -113,21 +136,22 @@ def normalise_history(history: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def scd2_from_changes(changes: DataFrame, key: str, ts: str, attrs: Sequence[str],
-                      slice_unit: str | None = "month", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                      slice_unit: str | None = "month") -> DataFrame:
     """SCD-2 intervals from a change log in one pass.
 
-    Rows whose ``attrs`` equal the previous row's are dropped (no change); the
-    remaining rows get ``valid_from = ts`` and ``valid_to`` = next kept row's ts.
-    ``ts`` must be unique per key.  Keys with at least ``hot_key_rows`` rows are
-    windowed per ``slice_unit`` slice (see ``with_neighbours``).
+    Rows of a key at the same ``ts`` are one change: the greatest by the remaining
+    columns counts, so no version is empty and input order doesn't matter.  Rows
+    whose ``attrs`` equal the previous row's are dropped (no change); the remaining
+    rows get ``valid_from = ts`` and ``valid_to`` = next kept row's ts.  Keys are
+    windowed per ``slice_unit`` slice (see ``with_neighbours``; None: whole keys).
     """
-    hot = hot_key_values(changes, key, ts, hot_key_rows) if slice_unit else []
-    a = with_neighbours(changes, [key], [ts], list(attrs), slice_unit, hot, prev_name="_p", next_name="_n0")
+    changes = latest_per_key(changes, [key, ts], []).select(*changes.columns)
+    a = with_neighbours(changes, [key], [ts], list(attrs), slice_unit, prev_name="_p", next_name="_n0")
     same = F.lit(True)
     for c in attrs:
         same = same & F.col(c).eqNullSafe(F.col(f"_p.{c}"))
     kept = a.where(F.col("_p").isNull() | ~same).drop("_p", "_n0")
-    b = with_neighbours(kept, [key], [ts], [ts], slice_unit, hot, prev_name="_p", next_name="_n")
+    b = with_neighbours(kept, [key], [ts], [ts], slice_unit, prev_name="_p", next_name="_n")
     return (b.select(*changes.columns, F.col(ts).alias("valid_from"),
                      F.col(f"_n.{ts}").alias("valid_to"))
             .withColumn("is_current", F.col("valid_to").isNull()))
@@ -149,14 +173,18 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, keys: Sequence[s
                   op: str = "op", delete_value: str = "D") -> DataFrame:
     """Apply CDC rows: latest change per key wins; a delete removes the key.
 
-    ``target`` rows whose key has no change are kept untouched.
+    ``target`` rows whose key has no change are kept untouched, and so are rows whose
+    ``seq`` is greater than the change's (a change that arrives late doesn't undo a newer one).
     """
     keys = list(keys)
     latest = dedup_latest(changes, keys, [seq])
-    upserts = latest.where(F.col(op) != delete_value).drop(op)
     if target is None:
-        return upserts
+        return latest.where(F.col(op) != delete_value).drop(op)
+    # a change older than the target's row of its key arrived late: the row stays
+    held = target.select(*keys, F.col(seq).alias("_held"))
+    latest = latest.join(held, keys, "left").where(F.col("_held").isNull() | (F.col(seq) >= F.col("_held"))).drop("_held")
     touched = latest.select(*keys)
+    upserts = latest.where(F.col(op) != delete_value)
     return target.join(touched, keys, "left_anti").unionByName(upserts.select(*target.columns))
 
 
@@ -211,6 +239,6 @@ def current(df: DataFrame, flag: str = "is_current") -> DataFrame:
 __all__ = [
     "SCD_COLS", "SCD_ID", "SCD_UPDATED_AT", "VALID_FROM", "VALID_TO", "apply_changes", "current",
     "dedup_latest", "lookback_filter", "lookback_from_max", "newer_than", "normalise_history",
-    "scd1", "scd2_from_changes", "scd2_from_loads", "scd2_snapshot", "scd6",
+    "scd1", "scd2_changes", "scd2_from_changes", "scd2_from_loads", "scd2_snapshot", "scd6",
 ]
 

@@ -28,84 +28,25 @@ def time_slice(c, unit: str = "month") -> Column:
                       F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-# A key with at least this many rows is split into time slices.
-HOT_KEY_ROWS = 2_000_000
-# Upper bound on hot keys handled as a set; beyond it every key is sliced.
-MAX_HOT_KEYS = 10_000
-# Expected sample hits of a key at the threshold when candidates are sampled.
-HOT_SAMPLE_ROWS = 20_000
-ONE_SLICE = "0001-01-01 00:00:00"
-
-
-def find_hot_keys(df: DataFrame, key: str, t: str, hot_key_rows: int, max_keys: int | None = None) -> list | None:
-    """Keys with at least ``hot_key_rows`` rows, with their exact time range.
-
-    Two small jobs over the key and time columns only.  Candidates come from a
-    Bernoulli sample sized so a key at the threshold is expected about
-    HOT_SAMPLE_ROWS times (kept from half that), which makes the first
-    shuffle tiny; exact counts and time ranges are then computed for the
-    candidates alone, filtered before the shuffle.  At most rows /
-    hot_key_rows keys qualify and at most ``max_keys`` are fetched; None
-    means more (callers then slice every key).  A key missed or added by the
-    sample changes only how work is split, never the result.
-    """
-    max_keys = MAX_HOT_KEYS if max_keys is None else max_keys
-    src = (df.select(F.col(key).alias("_k"), F.col(t).cast("timestamp_ntz").alias("_t"))
-           .where(F.col("_k").isNotNull()))
-    exact = (lambda d: d.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
-                                           F.max("_t").alias("_hi"))
-             .where(F.col("_n") >= hot_key_rows).select("_k", "_lo", "_hi"))
-    frac = min(1.0, HOT_SAMPLE_ROWS / max(hot_key_rows, 1))
-    if frac < 1.0:
-        cand = (src.sample(fraction=frac, seed=17).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") >= HOT_SAMPLE_ROWS / 2).select("_k").limit(max_keys + 1).collect())
-        if len(cand) > max_keys:
-            return None
-        if not cand:
-            return []
-        src = src.where(F.col("_k").isin([r[0] for r in cand]))
-    rows = exact(src).limit(max_keys + 1).collect()
-    return None if len(rows) > max_keys else [tuple(r) for r in rows]
-
-
-def hot_key_values(df: DataFrame, key: str, t: str, hot_key_rows: int | None) -> list | None:
-    """[] = slice no key, None = slice every key, else the hot key values."""
-    if hot_key_rows is None:
-        return []
-    if hot_key_rows <= 0:
-        return None
-    hk = find_hot_keys(df, key, t, hot_key_rows)
-    return None if hk is None else [h[0] for h in hk]
-
-
 def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, take: Sequence[str],
-                    slice_unit: str | None = None, hot_keys: list | None = None,
-                    prev_name: str = "_prev", next_name: str = "_next") -> DataFrame:
+                    slice_unit: str | None = None, prev_name: str = "_prev", next_name: str = "_next") -> DataFrame:
     """Add ``prev_name`` / ``next_name`` structs holding the ``take`` columns of the
     previous / next row of the same key, rows ordered by ``order`` (which must be
     unique within a key for a deterministic result; ``order[0]`` is the time).
 
-    Without ``slice_unit``, or with ``hot_keys == []``, this is a plain lag/lead
-    window.  Otherwise the keys in ``hot_keys`` (every key when it is None) are
-    windowed per (key, time slice) and slice borders are stitched from a
-    per-(key, slice) summary built by a partial aggregate.
+    With ``slice_unit`` every key is windowed per (key, time slice) and slice
+    borders are stitched from a per-(key, slice) summary built by a partial
+    aggregate: no task holds more of a key than one slice.  Without it this is a
+    plain lag/lead window, for keys known to be small.
     """
     keys = list(keys)
     order_c = _cols(order)
     payload = F.struct(*[F.col(c) for c in take])
-    if slice_unit is None or hot_keys == []:
+    if slice_unit is None:
         w = Window.partitionBy(*keys).orderBy(*order_c)
         return (df.withColumn(prev_name, F.lag(payload).over(w))
                 .withColumn(next_name, F.lead(payload).over(w)))
-    fine = time_slice(order_c[0], slice_unit)
-    if hot_keys is None:
-        slice_col, hot_rows = fine, F.lit(True)
-    else:
-        if len(keys) != 1:
-            raise ValueError("hot_keys needs a single key column")
-        hot_rows = F.col(keys[0]).isin(hot_keys)
-        slice_col = F.when(hot_rows, fine).otherwise(F.lit(ONE_SLICE).cast("timestamp_ntz"))
-
+    slice_col = time_slice(order_c[0], slice_unit)
     d = df.withColumn("_slice", slice_col)
     w = Window.partitionBy(*keys, "_slice").orderBy(*order_c)
     d = (d.withColumn(prev_name, F.lag(payload).over(w))
@@ -113,8 +54,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, take: S
          .withColumn("_is_first", F.lag(F.lit(1)).over(w).isNull())
          .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
     okey = F.struct(*order_c)
-    summary = (df.where(hot_rows).withColumn("_slice", slice_col)
-               .groupBy(*keys, "_slice")
+    summary = (df.withColumn("_slice", slice_col).groupBy(*keys, "_slice")
                .agg(F.min_by(payload, okey).alias("_sf"), F.max_by(payload, okey).alias("_sl")))
     wb = Window.partitionBy(*keys).orderBy("_slice")
     summary = summary.select(*keys, "_slice",

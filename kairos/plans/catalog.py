@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import recency_status, surrogate_key, ts_literal, version_sk
@@ -104,7 +104,7 @@ def q_s6_scd6(spark, d):
 def q_c5_fk_enrich_events(spark, d):
     h = user_history(spark, d)
     m = keys.first_version(h.withColumn("canonical_id", F.col("user_id")), "canonical_id", "valid_from", "sk")
-    return pit.fk_enrich(_purchases(spark, d), "user_id", "ts", h, "user_id", "user", sk_map=m)
+    return pit.fk_enrich(_purchases(spark, d), "user_id", "ts", h, "user_id", "user", sk_map=m, slice_unit="week")
 
 
 def q_c5_fk_enrich_join(spark, d):
@@ -113,12 +113,34 @@ def q_c5_fk_enrich_join(spark, d):
     return pit.fk_enrich(_purchases(spark, d), "user_id", "ts", h, "user_id", "user", sk_map=m, strategy="join")
 
 
+def q_c2_pit_join_range(spark, d):
+    h = user_history(spark, d)
+    return pit.pit_join(_purchases(spark, d).select("event_id", "user_id", "ts", "value"), h, "user_id", "ts",
+                        "user_id", take=("sk", "event_type"), prefix="status_", strategy="join")
+
+
 def q_c2_pit_join(spark, d):
     h = user_history(spark, d)
     return pit.pit_join(_purchases(spark, d).select("event_id", "user_id", "ts", "value"), h, "user_id", "ts",
                         "user_id", take=("sk", "event_type"), prefix="status_")
 
 
+def daily_user_features(spark, d) -> DataFrame:
+    """Feature history per user: events and errors up to a day, valid from the next day on."""
+    daily = (_t(spark, d, "events").groupBy("user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
+             .agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("e")))
+    w = Window.partitionBy("user_id").orderBy("day")  # one row per user and day
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.col("day") + F.expr("INTERVAL 1 DAY")
+    return daily.select("user_id", F.sum("n").over(upto).alias("events_to_date"), F.sum("e").over(upto).alias("errors_to_date"),
+                        start.alias("valid_from"), F.lead(start).over(w).alias("valid_to"))
+
+
+def q_c12_pit_features(spark, d):
+    return pit.pit_features(_purchases(spark, d).select("event_id", "user_id", "ts"), daily_user_features(spark, d), "user_id", "ts",
+                            "user_id", take=("events_to_date", "errors_to_date"))
+
+
 def q_c11_scd_between_join(spark, d):
     h = user_history(spark, d)
     return pit.scd_between_join(_purchases(spark, d).select("event_id", "user_id", "ts"), h, "user_id", "ts",
@@ -171,6 +193,14 @@ def q_a3_append_after(spark, d):
     return sinks.append_after(target, p, "created_at")
 
 
+def q_e2_log_staging(spark, d):
+    """Incremental log staging: one payment per id, overlapping loads add only new ids."""
+    p = rawsrc.raw_payments(spark, d)
+    early = scd.dedup_latest(p.where(F.col("created_at") < ts_literal(ORDERS_CUTOFF)), ["id"], ["created_at"]).select(*p.columns)
+    late = scd.dedup_latest(p.where(F.col("created_at") >= ts_literal(ORDERS_OVERLAP_FROM)), ["id"], ["created_at"]).select(*p.columns)
+    return early.unionByName(late.join(early.select("id"), "id", "left_anti").select(*p.columns))
+
+
 def q_b9_lookback(spark, d):
     return scd.lookback_filter(rawsrc.raw_orders_current(spark, d), True, "updated_at", LOOKBACK_AS_OF, 7)
 
@@ -235,6 +265,11 @@ def q_d11_periodic_snapshot(spark, d):
     return agg.periodic_snapshot(h, "user_id", "2024-01-01 00:00:00", "2024-01-30 00:00:00", ["event_type"])
 
 
+def q_d11_weekly_snapshot(spark, d):
+    h = scd.scd2_from_changes(_status_changes(spark, d), "user_id", "ts", ["event_type"])
+    return agg.periodic_snapshot(h, "user_id", "2024-01-03 12:00:00", "2024-01-30 00:00:00", ["event_type"], step="7 days")
+
+
 def q_d12_accumulating_snapshot(spark, d):
     return agg.accumulating_snapshot(rawsrc.order_changes(spark, d), "id", "status", "updated_at",
                                      [s for s, _ in rawsrc.ORDER_STAGES])
@@ -329,6 +364,18 @@ def q_q13_check_contract(spark, d):
     return quality.check_contract(rawsrc.raw_payments(spark, d), c, ORDERS_AS_OF)
 
 
+def q_contract_suite(spark, d):
+    """Every declared check of the sources and models; the failing clauses."""
+    from kairos.plans import contracts
+
+    m = _models(spark, d)
+    latest = lambda df: latest_per_key(df, ["id"], ["updated_at"])  # noqa: E731  the sources hold one row per id
+    tables = {"customers": latest(rawsrc.customer_changes(spark, d)), "products": latest(rawsrc.product_changes(spark, d)),
+              "orders": rawsrc.raw_orders_current(spark, d), "payments": rawsrc.raw_payments(spark, d),
+              "order_items": rawsrc.raw_order_items(spark, d)}
+    return contracts.suite(tables | {n: getattr(m, n) for n in contracts.MODELS}, ORDERS_AS_OF)
+
+
 def q_a15_compare_frames(spark, d):
     ch = rawsrc.order_changes(spark, d)
     before = latest_per_key(ch.where(F.col("updated_at") < ts_literal(ORDERS_CUTOFF)), ["id"], ["updated_at"])
@@ -404,28 +451,24 @@ def q_a13_compact(spark, d):
 
 def q_a14_backfill(spark, d):
     ev = _t(spark, d, "events")
-    weeks = [r[0] for r in ev.select(F.date_trunc("week", "ts").cast("timestamp_ntz").alias("w"))
-             .distinct().orderBy("w").collect()]  # one row per week of the log
     path = scratch_path(spark, "a14-weekly")
-
-    def build(week: str):
-        start = ts_literal(week)
-        part = ev.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 7 DAYS")))
-        return part.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
-
-    sinks.backfill(build, [str(w) for w in weeks], path, "week_start")
-    sinks.backfill(build, [str(w) for w in weeks[-1:]], path, "week_start")  # re-run one: idempotent
+    weekly = (ev.groupBy(F.date_trunc("week", "ts").cast("timestamp_ntz").cast("string").alias("week_start"), "event_type")
+              .agg(F.count(F.lit(1)).alias("n_rows")))
+    sinks.backfill(weekly, path, "week_start")
+    last = ev.agg(F.date_trunc("week", F.max("ts")).cast("timestamp_ntz").cast("string")).first()[0]
+    sinks.backfill(weekly, path, "week_start", parts=[last])  # re-run one: idempotent
     out = spark.read.parquet(path)
     return out.withColumn("week_start", F.col("week_start").cast("timestamp_ntz"))
 
 
 def q_a18_write_as(spark, d):
     src = rawsrc.raw_orders_current(spark, d)
-    for fmt, codec in (("csv", "gzip"), ("json", "gzip"), ("parquet", "zstd")):
-        sinks.write_as(src, scratch_path(spark, f"a18-{fmt}"), fmt, codec)
-    path = scratch_path(spark, "a18-orc")
-    sinks.write_as(src, path, "orc", "zstd")
-    return spark.read.orc(path)
+    out = None
+    for fmt, codec in (("csv", "gzip"), ("json", "gzip"), ("parquet", "zstd"), ("orc", "zstd")):
+        path = sinks.write_as(src, scratch_path(spark, f"a18-{fmt}"), fmt, codec)
+        back = sinks.read_as(spark, path, src.schema, fmt).withColumn("fmt", F.lit(fmt))
+        out = back if out is None else out.unionByName(back)
+    return out
 
 
 def q_a19_scd1(spark, d):
@@ -453,21 +496,19 @@ INC_CUTOFFS = ["1997-01-01 00:00:00", "2024-01-15 00:00:00", "2100-01-01 00:00:0
 
 
 def q_inc_daily_run(spark, d):
-    """Three incremental loads (snapshot -> key maps -> staging, new generation each);
-    the staging orders must equal a full refresh over the same loads."""
+    """Three incremental loads (snapshot -> key maps -> staging, new generation each), the
+    state reopened from storage before each, orders through the lookback filter; the
+    staging orders must equal a full refresh over the same loads."""
     from kairos.plans import incremental as inc
 
     changes = {"customers": rawsrc.customer_changes(spark, d), "products": rawsrc.product_changes(spark, d),
                "orders": rawsrc.order_changes(spark, d)}
     base = scratch_path(spark, "inc-run")
-    state = None
     for cut in INC_CUTOFFS:
-        c = ts_literal(cut)
-        load = inc.Load(**{k: latest_per_key(v.where(F.col("updated_at") < c), ["id"], ["updated_at"])
-                           for k, v in changes.items()})
-        state = inc.run_load(spark, state, load, cut, base, lookback_days=None,
-                             mapping=rawsrc.read_id_mapping(spark))
-    return state["stg_orders"]
+        # each load holds every row changed before its cut-off; the run reduces it to one row per id
+        load = inc.Load(**{k: v.where(F.col("updated_at") < ts_literal(cut)) for k, v in changes.items()})
+        inc.run_load(spark, inc.load_state(spark, base), load, cut, base, mapping=rawsrc.read_id_mapping(spark))
+    return inc.load_state(spark, base)["stg_orders"]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -479,12 +520,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c5_fk_enrich_asof": q_c5_fk_enrich_events,
     "c5_fk_enrich_join": q_c5_fk_enrich_join,
     "c2_pit_join": q_c2_pit_join,
+    "c2_pit_join_range": q_c2_pit_join_range,
+    "c12_pit_features": q_c12_pit_features,
     "c11_scd_between_join": q_c11_scd_between_join,
     "c7_canonicalise": q_c7_canonicalise,
     "s4_sk_map_incremental": q_s4_sk_map_incremental,
     "c9_new_entities": q_c9_new_entities,
     "a7_upsert": q_a7_upsert,
     "e2_dedup_latest": q_e2_dedup_latest,
+    "e2_log_staging": q_e2_log_staging,
     "a16_apply_changes": q_a16_apply_changes,
     "a3_append_after": q_a3_append_after,
     "b8_newer_than": q_b8_newer_than,
@@ -500,6 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d9_metric_median": q_d9_metric_median,
     "d10_semi_additive": q_d10_semi_additive,
     "d11_periodic_snapshot": q_d11_periodic_snapshot,
+    "d11_weekly_snapshot": q_d11_weekly_snapshot,
     "d12_accumulating_snapshot": q_d12_accumulating_snapshot,
     "d13_state_at": q_d13_state_at,
     "c10_star_query": q_c10_star_query,
@@ -515,6 +560,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q11_category_profile": q_q11_category_profile,
     "q12_check_range": q_q12_check_range,
     "q13_check_contract": q_q13_check_contract,
+    "q_contract_suite": q_contract_suite,
     "a15_compare_frames": q_a15_compare_frames,
     "a15_compare_summary": q_a15_compare_summary,
     "g7_md5_uuid": q_g7_payment_ids,

@@ -1,44 +1,55 @@
 """Incremental daily run: one load applied to the stored state.
 
-Layout per stateful table under ``base`` (a shared folder):
-
-* snapshots and staging: ``{name}/gen=N/_closed=true|false``.  A run writes
-  the versions it closed (``_closed=true``; appended once, never rewritten)
-  and the complete set of open versions (``_closed=false``; one row per
-  entity).  The table at generation N = closed rows of generations <= N plus
-  the open rows of generation N, read with partition pruning.  So a run
-  rewrites one row per entity, not the whole history, and never overwrites
-  a path that is being read.
-* key maps: ``{name}/gen=N`` holds only the entities first seen in run N
-  (append-only); the map at N = generations <= N.
-
-Staging surrogate keys are computed only for the versions a run touched
-(closed now or open), with master_sk from the key map, so the result equals
-the full refresh (tests/test_incremental.py, query ``inc_daily_run``).
-Marts and features are rebuilt from staging, as the reference does.
+State under ``base`` (a shared folder):
+
+* snapshots and staging: version tables (``sources/versions.py``) to which a run
+  adds the versions it opened and closed, so that writing and enriching follow
+  the changes, not the entities or the history;
+* key maps: ``{name}/gen=N`` holds only the entities first seen in run N;
+* logs: ``{name}/gen=N`` holds the payments and items new in run N, one per id,
+  enriched once;
+* ``_commits/N.json``, written last: the run's ``as_of`` and the tables' schemas.
+  A generation without it doesn't count; the next run overwrites it.
+
+A new process goes on with ``load_state``; a run that brings no state to a base
+with commits is refused.  Staging keys take master_sk from the key map, so the
+result equals the full refresh (tests/test_incremental.py, query
+``inc_daily_run``); an order's customer key is that of the run that wrote the
+version.  Marts and features are rebuilt from staging.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from kairos.operators.keys import canonicalise, first_version, new_entities
-from kairos.operators.scd import VALID_TO, lookback_filter, normalise_history, scd2_snapshot
+from kairos.operators.scd import dedup_latest, lookback_filter, normalise_history, scd2_changes
 from kairos.plans import models as M
+from kairos.session import hadoop_path
+from kairos.sources.versions import COMPACT_EVERY, VersionStore
 
 SNAPSHOTS = {"customers": "customers_snapshot", "products": "products_snapshot", "orders": "orders_snapshot"}
+STAGING = {"customers": ("stg_customers", "customer_id"), "products": ("stg_products", "product_id"),
+           "orders": ("stg_orders", "order_id")}
+MAPS = {"customers": "dim_customer_sk_map", "products": "dim_product_sk_map", "orders": "dim_order_sk_map"}
+LOGS = {"payments": "stg_payments", "items": "stg_order_items"}
+LOG_ID = {"payments": "payment_id", "items": "order_item_id"}
 
 
 @dataclass
 class Load:
-    """One day's input: full-replace entity tables (one row per id)."""
+    """One day's input: full-replace entity tables (one row per id) and, if any, log rows."""
     customers: DataFrame
     products: DataFrame
     orders: DataFrame
+    payments: DataFrame | None = None
+    items: DataFrame | None = None
 
 
 @dataclass
@@ -46,87 +57,163 @@ class State:
     base: str
     gen: int
     tables: dict[str, DataFrame]
-    open_rows: dict[str, DataFrame] = field(default_factory=dict)
+    as_of: str | None = None
+    stores: dict[str, VersionStore] = field(default_factory=dict)
+    schemas: dict[str, dict] = field(default_factory=dict)
 
     def __getitem__(self, k: str) -> DataFrame:
         return self.tables[k]
 
 
-def _write_split(spark: SparkSession, base: str, name: str, gen: int, rows: DataFrame, closed: F.Column):
-    """Write a run's rows split into closed / open; return (table at gen, open rows at gen)."""
-    root = os.path.join(base, name)
-    rows.withColumn("_closed", closed).write.mode("overwrite").partitionBy("_closed").parquet(
-        os.path.join(root, f"gen={gen:06d}"))
-    allg = spark.read.parquet(root)
-    keep = (F.col("_closed") & (F.col("gen") <= gen)) | (~F.col("_closed") & (F.col("gen") == gen))
-    table = allg.where(keep).drop("gen", "_closed")
-    open_now = allg.where(~F.col("_closed") & (F.col("gen") == gen)).drop("gen", "_closed")
-    return table, open_now
+# --- commits ----------------------------------------------------------------
+
+def _commits(spark: SparkSession, base: str) -> list[int]:
+    fs, p = hadoop_path(spark, os.path.join(base, "_commits"))
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _commit(spark: SparkSession, base: str, gen: int, note: dict) -> None:
+    fs, tmp = hadoop_path(spark, os.path.join(base, "_commits", f"{gen:06d}.tmp"))
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps(note).encode()))
+    out.close()
+    _, final = hadoop_path(spark, os.path.join(base, "_commits", f"{gen:06d}.json"))
+    if not fs.rename(tmp, final):
+        raise RuntimeError(f"generation {gen} was committed by another run")
+
+
+def load_state(spark: SparkSession, base: str) -> State | None:
+    """The state after the last committed run under ``base`` (None: no run yet)."""
+    done = _commits(spark, base)
+    if not done:
+        return None
+    fs, p = hadoop_path(spark, os.path.join(base, "_commits", f"{done[-1]:06d}.json"))
+    note = json.loads("".join(r[0] for r in spark.read.text(p.toString()).collect()))
+    return _state(spark, base, done[-1], note["as_of"], note["schemas"], note["compact_every"])
+
+
+def _state(spark: SparkSession, base: str, gen: int, as_of: str | None, schemas: dict, compact_every: int) -> State:
+    state = State(base, gen, {}, as_of, schemas=schemas)
+    for ent, name in SNAPSHOTS.items():
+        for table, key in ((name, "id"), STAGING[ent]):
+            state.stores[table] = VersionStore(spark, os.path.join(base, table), key, StructType.fromJson(schemas[table]), compact_every)
+            state.tables[table] = state.stores[table].table(gen)
+    for name in [*MAPS.values(), *LOGS.values()]:
+        if name in schemas:
+            state.tables[name] = _appended(spark, base, name, gen, StructType.fromJson(schemas[name]))
+    return state
+
+
+# --- append-only tables -------------------------------------------------------
+
+def _appended(spark: SparkSession, base: str, name: str, gen: int, schema: StructType) -> DataFrame:
+    full = StructType(list(schema.fields)).add("gen", IntegerType())
+    return spark.read.schema(full).parquet(os.path.join(base, name)).where(F.col("gen") <= gen).drop("gen")
 
 
 def _append(spark: SparkSession, base: str, name: str, gen: int, rows: DataFrame) -> DataFrame:
-    root = os.path.join(base, name)
-    rows.write.mode("overwrite").parquet(os.path.join(root, f"gen={gen:06d}"))
-    return spark.read.parquet(root).where(F.col("gen") <= gen).drop("gen")
+    rows.write.mode("overwrite").parquet(os.path.join(base, name, f"gen={gen:06d}"))
+    return _appended(spark, base, name, gen, rows.schema)
+
 
+def _new_map_rows(touched: DataFrame, previous_map: DataFrame | None, mapping) -> DataFrame:
+    """Entities first seen in this run: their first version is among the touched rows."""
+    base = normalise_history(touched, "id").select("sk", "source_id", "valid_from")
+    return new_entities(first_version(canonicalise(base, "source_id", mapping)), previous_map)
 
-def _new_map_rows(open_rows: DataFrame, previous_map: DataFrame | None, mapping) -> DataFrame:
-    """Entities first seen in this run: their first version is among the open rows."""
-    base = normalise_history(open_rows, "id").select("sk", "source_id", "valid_from")
-    firsts = first_version(canonicalise(base, "source_id", mapping))
-    return new_entities(firsts, previous_map)
 
+# --- the run ------------------------------------------------------------------
 
-def run_load(spark: SparkSession, state: State | None, load: Load, as_of, base: str,
+def run_load(spark: SparkSession, state: State | None, load: Load, as_of: str, base: str,
              lookback_days: int | None = M.ORDER_LOOKBACK_DAYS, mapping: DataFrame | None = None,
-             strategy: str = "asof") -> State:
-    """Apply one load; returns the new state (generation ``state.gen + 1``)."""
+             strategy: str = "asof", compact_every: int = COMPACT_EVERY) -> State:
+    """Apply one load and commit it; returns the new state (generation ``state.gen + 1``).
+
+    ``lookback_days`` limits the orders read to those updated since that many days
+    before the previous run (None: all), so a missed run loses nothing.
+    """
+    done = _commits(spark, base)
+    if state is None and done:
+        raise ValueError(f"{base} holds {len(done)} committed runs: continue with load_state")
+    if state is not None and state.gen != (done[-1] if done else None):
+        raise ValueError(f"state is generation {state.gen}, the base is at {done[-1] if done else None}")
     gen = 0 if state is None else state.gen + 1
-    tables: dict[str, DataFrame] = {}
-    open_rows: dict[str, DataFrame] = {}
+    schemas: dict[str, dict] = {}
+    stores: dict[str, VersionStore] = {}
+
+    def store(name: str, key: str, rows: DataFrame) -> DataFrame:
+        """Write a run's changes and return them as stored."""
+        schema = rows.drop("_kind").schema
+        stores[name] = VersionStore(spark, os.path.join(base, name), key, schema, compact_every)
+        schemas[name] = schema.jsonValue()
+        stores[name].write(gen, rows)
+        return stores[name].touched(gen).drop("_kind")
+
+    # snapshots (S1) applied to the open versions; orders through the lookback filter
     touched: dict[str, DataFrame] = {}
-
-    # snapshots (S1) applied to the open versions only; orders through the lookback filter
     for ent, name in SNAPSHOTS.items():
         incoming = getattr(load, ent)
-        filtered = False
         if ent == "orders" and lookback_days is not None and state is not None:
-            incoming = lookback_filter(incoming, True, "updated_at", as_of, lookback_days)
-            filtered = True
-        prev_open = None if state is None else state.open_rows[name]
-        step = scd2_snapshot(prev_open, incoming, "id", lookback_filtered=filtered)
-        tables[name], open_rows[name] = _write_split(spark, base, name, gen, step, F.col(VALID_TO).isNotNull())
-        # rows this run touched: closed now, or open now
-        touched[name] = spark.read.parquet(os.path.join(base, name, f"gen={gen:06d}")).drop("_closed")
+            incoming = lookback_filter(incoming, True, "updated_at", as_of, M.lookback_days_since(as_of, state.as_of, lookback_days))
+        open_rows = None if state is None else state.stores[name].open_rows(state.gen)
+        touched[ent] = store(name, "id", scd2_changes(open_rows, incoming, "id"))
 
     # key maps (S4): append the entities first seen now
-    maps = {"customers": ("dim_customer_sk_map", mapping), "products": ("dim_product_sk_map", None),
-            "orders": ("dim_order_sk_map", None)}
-    for ent, (mname, mp) in maps.items():
-        prev_map = None if state is None else state[mname]
-        tables[mname] = _append(spark, base, mname, gen, _new_map_rows(open_rows[SNAPSHOTS[ent]], prev_map, mp))
+    tables: dict[str, DataFrame] = {}
+    for ent, name in MAPS.items():
+        fresh = _new_map_rows(touched[ent], None if state is None else state[name], mapping if ent == "customers" else None)
+        tables[name] = _append(spark, base, name, gen, fresh)
+        schemas[name] = fresh.schema.jsonValue()
 
     # staging (S3) for the touched versions only, master_sk from the maps
-    stg_c = M.stg_customers(touched["customers_snapshot"], mapping, sk_map_df=tables["dim_customer_sk_map"])
-    tables["stg_customers"], open_rows["stg_customers"] = _write_split(
-        spark, base, "stg_customers", gen, stg_c, ~F.col("is_current"))
-    stg_p = M.stg_products(touched["products_snapshot"], sk_map_df=tables["dim_product_sk_map"])
-    tables["stg_products"], open_rows["stg_products"] = _write_split(
-        spark, base, "stg_products", gen, stg_p, ~F.col("is_current"))
-    stg_o = M.stg_orders(touched["orders_snapshot"], tables["stg_customers"], tables["dim_customer_sk_map"],
-                         sk_map_df=tables["dim_order_sk_map"], strategy=strategy)
-    tables["stg_orders"], open_rows["stg_orders"] = _write_split(
-        spark, base, "stg_orders", gen, stg_o, ~F.col("is_current"))
-    return State(base, gen, tables, open_rows)
-
-
-def marts(spark: SparkSession, state: State, payments: DataFrame, items: DataFrame, as_of) -> dict[str, DataFrame]:
-    """Rebuild intermediate, marts and features from the state's staging tables."""
+    def kind(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_kind", F.when(F.col("is_current"), "opened").otherwise("closed"))
+
+    store("stg_customers", "customer_id", kind(M.stg_customers(touched["customers"], mapping, sk_map_df=tables["dim_customer_sk_map"])))
+    store("stg_products", "product_id", kind(M.stg_products(touched["products"], sk_map_df=tables["dim_product_sk_map"])))
+    customers = stores["stg_customers"].table(gen)
+    store("stg_orders", "order_id", kind(M.stg_orders(touched["orders"], customers, tables["dim_customer_sk_map"],
+                                                      sk_map_df=tables["dim_order_sk_map"], strategy=strategy)))
+
+    # logs (E2): one row per id, only ids not stored yet, enriched once
+    orders, products = stores["stg_orders"].table(gen), stores["stg_products"].table(gen)
+    for ent, name in LOGS.items():
+        rows = getattr(load, ent)
+        known = state.tables.get(name) if state is not None else None
+        if rows is None:
+            if known is not None:
+                schemas[name] = state.schemas[name]
+            continue
+        new = dedup_latest(rows, ["id"], ["created_at"]).select(*rows.columns)
+        if known is not None:
+            new = new.join(known.select(F.col(LOG_ID[ent]).alias("id")), "id", "left_anti").select(*rows.columns)
+        if ent == "payments":
+            out = M.stg_payments(new, orders, tables["dim_order_sk_map"])
+        else:
+            out = M.stg_order_items(new, orders, tables["dim_order_sk_map"], products, tables["dim_product_sk_map"])
+        _append(spark, base, name, gen, out)
+        schemas[name] = out.schema.jsonValue()
+
+    _commit(spark, base, gen, {"as_of": str(as_of), "schemas": schemas, "compact_every": compact_every})
+    return _state(spark, base, gen, str(as_of), schemas, compact_every)
+
+
+def marts(spark: SparkSession, state: State, payments: DataFrame | None, items: DataFrame | None, as_of) -> dict[str, DataFrame]:
+    """Rebuild intermediate, marts and features from the state's staging tables.
+
+    Logs given here are enriched whole; without them the state's staged logs are used.
+    """
     from kairos.operators.aggregates import customer_orders, order_payments
 
-    stg_pay = M.stg_payments(payments, state["stg_orders"], state["dim_order_sk_map"])
-    stg_items = M.stg_order_items(items, state["stg_orders"], state["dim_order_sk_map"],
-                                  state["stg_products"], state["dim_product_sk_map"])
+    if payments is None:
+        stg_pay, stg_items = state["stg_payments"], state["stg_order_items"]
+    else:
+        stg_pay = M.stg_payments(payments, state["stg_orders"], state["dim_order_sk_map"])
+        stg_items = M.stg_order_items(items, state["stg_orders"], state["dim_order_sk_map"],
+                                      state["stg_products"], state["dim_product_sk_map"])
     dc = M.dim_customers(state["stg_customers"], customer_orders(state["stg_orders"]))
     fo = M.fct_orders(state["stg_orders"], order_payments(stg_pay))
     cf = M.customer_features(dc, as_of)

@@ -10,6 +10,7 @@ marts), with lineage cut at every written layer.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,20 @@ def snapshot_from_changes(changes: DataFrame, key: str = "id") -> DataFrame:
     return scd2_from_loads(changes.withColumn("_load", rawsrc.load_day("updated_at")), key, "updated_at", "_load")
 
 
-def orders_snapshot_incremental(history: DataFrame | None, raw_orders: DataFrame, as_of) -> DataFrame:
-    """M3 daily run: lookback filter (B9) then one S1 step."""
-    src = lookback_filter(raw_orders, history is not None, "updated_at", as_of, ORDER_LOOKBACK_DAYS)
+def lookback_days_since(as_of: str, last_as_of: str | None, days: int = ORDER_LOOKBACK_DAYS) -> int:
+    """Days to look back from ``as_of`` so that ``days`` before the last run are covered, however long ago it was."""
+    if last_as_of is None:
+        return days
+    gap = (dt.datetime.fromisoformat(as_of).date() - dt.datetime.fromisoformat(last_as_of).date()).days
+    return days + max(0, gap)
+
+
+def orders_snapshot_incremental(history: DataFrame | None, raw_orders: DataFrame, as_of, last_as_of=None) -> DataFrame:
+    """M3 daily run: lookback filter (B9) then one S1 step.
+
+    ``last_as_of``, the time of the previous run, widens the window over missed runs."""
+    days = lookback_days_since(as_of, last_as_of)
+    src = lookback_filter(raw_orders, history is not None, "updated_at", as_of, days)
     return scd2_snapshot(history, src, "id", "updated_at", lookback_filtered=history is not None)
 
 
@@ -59,16 +71,18 @@ def stg_products(snapshot: DataFrame, previous=None, sk_map_df=None) -> DataFram
 
 def stg_orders(snapshot: DataFrame, customers: DataFrame, customer_map: DataFrame | None,
                previous=None, sk_map_df=None, strategy: str = "asof") -> DataFrame:
+    # a customer has any number of versions: as-of, cut by year against hot customers
     k = surrogate_keys(snapshot, "id", sk_map_df=sk_map_df, previous=previous)
     e = fk_enrich(k, "customer_id", "placed_at", customers, "customer_id", "customer",
-                  sk_map=customer_map, strategy=strategy)
+                  sk_map=customer_map, strategy=strategy, slice_unit="year")
     return e.select("sk", "master_sk", F.col("source_id").alias("order_id"), "canonical_id", "customer_id",
                     "customer_sk", "customer_master_sk", "status", "amount", "placed_at", "updated_at",
                     "valid_from", "valid_to", "is_current")
 
 
 def stg_payments(payments: DataFrame, orders: DataFrame, order_map: DataFrame | None,
-                 strategy: str = "asof") -> DataFrame:
+                 strategy: str = "join") -> DataFrame:
+    # an order has at most one version per stage: an equi-join with a range residual stays linear
     e = fk_enrich(payments, "order_id", "created_at", orders, "order_id", "order", sk_map=order_map,
                   strategy=strategy)
     return e.select(F.col("id").alias("payment_id"), "order_id", "order_sk", "order_master_sk",
@@ -77,13 +91,12 @@ def stg_payments(payments: DataFrame, orders: DataFrame, order_map: DataFrame |
 
 
 def stg_order_items(items: DataFrame, orders: DataFrame, order_map, products: DataFrame, product_map,
-                    strategy: str = "asof") -> DataFrame:
+                    strategy: str = "join") -> DataFrame:
+    # few versions per order and product, as for payments
     e = (items.transform(lambda d: fk_enrich(d, "order_id", "created_at", orders, "order_id", "order",
                                              sk_map=order_map, strategy=strategy))
          .transform(lambda d: fk_enrich(d, "product_id", "created_at", products, "product_id", "product",
-                                        sk_map=product_map, strategy=strategy,
-                                        # same keys and times as the raw items: count hot keys there
-                                        hot_source=items)))
+                                        sk_map=product_map, strategy=strategy)))
     return e.select(F.col("id").alias("order_item_id"), "order_id", "order_sk", "order_master_sk",
                     "product_id", "product_sk", "product_master_sk", "quantity", "unit_price", "created_at",
                     (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("line_total"))
@@ -155,20 +168,29 @@ class Models:
     """All models over the driver tables of one scale factor (full refresh)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
-                 materialize_dir: str | None = None, strategy: str = "asof", layer_mode: str | None = None):
+                 materialize_dir: str | None = None, layer_mode: str | None = None, gated: bool = False):
         """``layer_mode``: ``lazy`` (plain plans), ``checkpoint`` (snapshots, key maps
         and staging written as Parquet under ``spark.checkpoint.dir`` and read back,
-        so shared layers are computed once and lineage is cut) or ``write`` (every model written under ``materialize_dir``)."""
+        so shared layers are computed once and lineage is cut) or ``write`` (every model written under ``materialize_dir``).
+        ``gated``: a layer that fails its declared checks stops the build."""
+        self.gated = gated
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.materialize_dir = materialize_dir
         self.layer_mode = layer_mode or ("write" if materialize_dir else "lazy")
-        self.strategy = strategy
 
     _SHARED = {"customers_snapshot", "products_snapshot", "orders_snapshot", "dim_customer_sk_map",
                "dim_product_sk_map", "dim_order_sk_map", "stg_customers", "stg_products", "stg_orders",
                "stg_payments", "stg_order_items"}
 
     def _mat(self, name: str, df: DataFrame) -> DataFrame:
+        out = self._layer(name, df)
+        if self.gated:
+            from kairos.plans.contracts import gate
+
+            return gate(name, out, self.as_of)
+        return out
+
+    def _layer(self, name: str, df: DataFrame) -> DataFrame:
         if self.layer_mode == "write":
             path = f"{self.materialize_dir.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(path)
@@ -222,18 +244,18 @@ class Models:
     @functools.cached_property
     def stg_orders(self):  # M10
         return self._mat("stg_orders", stg_orders(self.orders_snapshot, self.stg_customers,
-                                                  self.dim_customer_sk_map, strategy=self.strategy))
+                                                  self.dim_customer_sk_map))
 
     @functools.cached_property
     def stg_payments(self):  # M11
         return self._mat("stg_payments", stg_payments(rawsrc.raw_payments(self.spark, self.sf_dir),
-                                                      self.stg_orders, self.dim_order_sk_map, self.strategy))
+                                                      self.stg_orders, self.dim_order_sk_map))
 
     @functools.cached_property
     def stg_order_items(self):  # M12
         return self._mat("stg_order_items", stg_order_items(
             rawsrc.raw_order_items(self.spark, self.sf_dir), self.stg_orders, self.dim_order_sk_map,
-            self.stg_products, self.dim_product_sk_map, self.strategy))
+            self.stg_products, self.dim_product_sk_map))
 
     # intermediate
     @functools.cached_property

@@ -2,9 +2,9 @@
 
 On a cluster the session is created by the platform; the library never
 assumes it owns the session.  It only *reads* ``spark.checkpoint.dir`` (the
-shared folder every executor can reach) and falls back to a private
-temporary folder when the setting is absent, which only happens in local
-tests.
+shared folder every executor can reach).  Without that setting a session on
+one machine (``local``) gets a private temporary folder; any other master is an
+error, because executors don't see a folder of the driver's machine.
 """
 
 from __future__ import annotations
@@ -46,11 +46,13 @@ def get_session(master: str | None = None, app: str = "kairos",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder from the session; set a private one only if unset."""
+    """Shared checkpoint folder from the session; a private one only on a single machine."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not _single_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="kairos-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,12 +60,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "kairos", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path under the shared checkpoint folder (its scheme kept)."""
+    return os.path.join(checkpoint_dir(spark), "kairos", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` on whatever storage holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete the layers this library wrote under the checkpoint folder.
+
+    Call it when no DataFrame over a layer is in use any more, e.g. at the end
+    of a job; layers are never removed on their own.
+    """
+    fs, p = hadoop_path(spark, os.path.join(checkpoint_dir(spark), "kairos"))
+    return fs.delete(p, True)
 
 
 def cut_lineage(df):

@@ -17,6 +17,7 @@ explodes (no shuffle) except the customer attribute join, a plain equi-join.
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +45,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str, schema=None) -> DataFrame:
-    """A1: scan one raw table (schema fixed when given, never inferred)."""
+    """A1: scan one raw table; the schema is the given one, else that of the Parquet footers."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
@@ -52,11 +53,16 @@ def read_raw(spark: SparkSession, sf_dir: str, name: str, schema=None) -> DataFr
 
 
 def read_id_mapping(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """A4/M4: the old_id -> new_id seed, header CSV cast to INTEGER."""
-    path = path or os.path.join(SEED_DIR, "customer_id_mapping.csv")
-    return (spark.read.option("header", True).schema("old_id int, new_id int").csv(path)
-            .select(F.col("old_id").cast("int").alias("old_id"),
-                    F.col("new_id").cast("int").alias("new_id")))
+    """A4/M4: the old_id -> new_id seed, header CSV cast to INTEGER.
+
+    ``path`` names a file that all executors reach.  Without it the packaged seed,
+    a few rows, is parsed on the driver: executors don't see the driver's package.
+    """
+    schema = "old_id int, new_id int"
+    if path:
+        return spark.read.option("header", True).schema(schema).csv(path)
+    with open(os.path.join(SEED_DIR, "customer_id_mapping.csv"), newline="", encoding="utf-8") as f:
+        return spark.createDataFrame([(int(r["old_id"]), int(r["new_id"])) for r in csv.DictReader(f)], schema)
 
 
 def _map(c, mapping: dict, default=None):

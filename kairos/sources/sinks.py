@@ -2,22 +2,22 @@
 
 A2 load_replace, A3 load_append_after, A6 write_table, A7 upsert, A9
 check_same_schema, A11 write_partitioned, A12 write_clustered, A13 compact,
-A14 backfill, A15 compare_frames, A17 load_since, A18 write_as,
-A21 mask_columns.
+A14 backfill, A15 compare_frames, A18 write_as / read_as, A21 mask_columns
+(A17, a watermark load, is ``scd.newer_than``).
 
 Parquet paths are never overwritten while being read: every stateful write
-(upsert, snapshot, key map) goes to a new generation directory and the
-caller moves its pointer to it (see ``Generations``).
+goes to a new generation directory (see ``plans/incremental.py``).
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kairos.session import path_exists
+
 
 class SchemaChangeError(ValueError):
     pass
@@ -61,12 +61,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
 
 
 def high_water(spark: SparkSession, target_path: str, key_col: str):
-    """Largest ``key_col`` already stored at ``target_path`` (None if absent)."""
-    try:
-        t = spark.read.parquet(target_path)
-    except Exception:  # no table yet
+    """Largest ``key_col`` already stored at ``target_path`` (None if the path doesn't exist).
+
+    Any failure to read an existing table is an error: taking it for "no table"
+    would append the whole batch a second time.
+    """
+    if not path_exists(spark, target_path):
         return None
-    return t.agg(F.max(key_col)).first()[0]
+    return spark.read.parquet(target_path).agg(F.max(key_col)).first()[0]
 
 
 def load_append_after(df: DataFrame, target_path: str, key_col: str,
@@ -89,17 +91,14 @@ def append_after(target: DataFrame | None, batch: DataFrame, key_col: str) -> Da
     return target.unionByName(batch.where(hw.isNull() | (F.col(key_col) > hw)))
 
 
-def load_since(src: DataFrame, target: DataFrame | None, col: str, target_col: str | None = None) -> DataFrame:
-    """Watermark load ``src.col > MAX(target.col)`` (all rows on the first run)."""
-    from kairos.operators.scd import newer_than
-
-    return newer_than(src, target, col, target_col)
-
-
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite",
                       dynamic: bool = True) -> str:
-    """Partitioned write; ``dynamic`` overwrites only the partitions present."""
-    w = df.write.mode(mode).partitionBy(*cols)
+    """Partitioned write; ``dynamic`` overwrites only the partitions present.
+
+    Rows are rebalanced on the partition columns first: a partition gets a few files
+    instead of one from every task, and AQE splits a large one.
+    """
+    w = df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
@@ -108,32 +107,45 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str =
 
 def write_clustered(df: DataFrame, path: str, part: Sequence[str], sort: Sequence[str],
                     num_partitions: int | None = None) -> str:
-    """Cluster rows by ``part`` and sort within each file by ``sort`` (block skipping)."""
-    d = df.repartition(num_partitions, *part) if num_partitions else df.repartition(*part)
+    """Cluster rows by ``part`` and sort within each file by ``sort`` (block skipping).
+
+    Ranges over (part, sort) deal the rows out, so a frequent ``part`` value spreads
+    over several tasks and its files cover separate ranges of ``sort``.
+    """
+    d = df.repartitionByRange(num_partitions, *part, *sort) if num_partitions else df.repartitionByRange(*part, *sort)
     d.sortWithinPartitions(*part, *sort).write.mode("overwrite").partitionBy(*part).parquet(path)
     return path
 
 
 def compact(spark: SparkSession, src_path: str, dst_path: str, target_mb: int = 128) -> str:
-    """Rewrite many small files as files of about ``target_mb`` to a new path."""
-    sc = spark.sparkContext
-    jvm_path = sc._jvm.org.apache.hadoop.fs.Path(src_path)
-    fs = jvm_path.getFileSystem(sc._jsc.hadoopConfiguration())
-    size = fs.getContentSummary(jvm_path).getLength()
-    n = max(1, int(size // (target_mb * 1024 * 1024)) + 1)
-    spark.read.parquet(src_path).repartition(n).write.mode("overwrite").parquet(dst_path)
+    """Rewrite many small files as files of about ``target_mb`` to a new path.
+
+    Scan tasks take whole files up to the target size and write one file each: no
+    shuffle, and rows of a file stay together (clustering survives).
+    """
+    size = str(target_mb * 1024 * 1024)
+    packing = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0",
+               "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in packing}
+    try:
+        for k, v in packing.items():
+            spark.conf.set(k, v)
+        spark.read.parquet(src_path).write.mode("overwrite").parquet(dst_path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return dst_path
 
 
-def backfill(build: Callable[[str], DataFrame], days: Iterable[str], path: str,
-             partition_col: str = "ds") -> list[str]:
-    """Rebuild day partitions one by one with dynamic partition overwrite (idempotent)."""
-    done = []
-    for d in days:
-        df = build(d).withColumn(partition_col, F.lit(d))
-        write_partitioned(df, path, [partition_col], dynamic=True)
-        done.append(d)
-    return done
+def backfill(df: DataFrame, path: str, partition_col: str = "ds", parts: Iterable | None = None) -> str:
+    """Rebuild partitions in one pass with dynamic overwrite (idempotent).
+
+    ``df`` carries ``partition_col``; ``parts`` limits the run to some of its values
+    (None: all).  Partitions that the run doesn't hold stay as they are.
+    """
+    if parts is not None:
+        df = df.where(F.col(partition_col).isin(list(parts)))
+    return write_partitioned(df, path, [partition_col], dynamic=True)
 
 
 def compare_frames(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -169,6 +181,12 @@ def write_as(df: DataFrame, path: str, fmt: str = "parquet", codec: str | None =
     return path
 
 
+def read_as(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """Read back what ``write_as`` wrote, with its schema (text formats carry none)."""
+    r = spark.read.schema(schema).format(fmt)
+    return (r.option("header", True) if fmt == "csv" else r).load(path)
+
+
 def mask_columns(df: DataFrame, cols: Sequence[str], how: str = "hash") -> DataFrame:
     """Keep sensitive columns out at load: sha2-256 hash, or drop."""
     if how == "drop":
@@ -176,22 +194,3 @@ def mask_columns(df: DataFrame, cols: Sequence[str], how: str = "hash") -> DataF
     return df.select(*[F.sha2(F.col(c).cast("string"), 256).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
 
-
-class Generations:
-    """Write each new state of a stateful table to its own directory.
-
-    Overwriting a Parquet path in the same query that reads it deletes the
-    input before it is read; a new generation per run avoids that and makes
-    a failed run leave the previous generation intact.
-    """
-
-    def __init__(self, base: str):
-        self.base = base.rstrip("/")
-
-    def path(self, gen: int) -> str:
-        return os.path.join(self.base, f"gen={gen:06d}")
-
-    def write(self, df: DataFrame, gen: int) -> str:
-        p = self.path(gen)
-        df.write.mode("overwrite").parquet(p)
-        return p

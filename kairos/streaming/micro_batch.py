@@ -2,9 +2,9 @@
 
 T-1 ingest_available      - file source -> Parquet sink, ``availableNow`` + checkpoint
 T-2 dedup_within_lateness - ``withWatermark`` + ``dropDuplicatesWithinWatermark``
-T-3 scd2_stream           - ``foreachBatch`` applying S1; each batch writes its own
-                            generation directory named by batch id (a retried batch
-                            rewrites the same directory from the same input)
+T-3 scd2_stream           - ``foreachBatch`` applying S1 to a version table; each batch
+                            writes what it opened and closed as the generation of its
+                            batch id (a retried batch writes the same rows again)
 T-4 windowed_counts       - event-time tumbling counts with a watermark, emitted in
                             complete mode through ``foreachBatch`` (overwrite)
 
@@ -21,16 +21,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import instant_to_ntz, ntz_to_instant
-from kairos.operators.scd import scd2_snapshot
-from kairos.operators.sequence import latest_per_key
-from kairos.session import scratch_path
+from kairos.operators.scd import scd2_changes
+from kairos.session import hadoop_path, scratch_path
+from kairos.sources.versions import VersionStore
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A streaming DataFrame over ``{sf_dir}/{name}.parquet`` (and files like it arriving later)."""
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A streaming DataFrame over the table ``{sf_dir}/{name}.parquet``, one file or a folder of files.
+
+    ``max_files`` limits a micro-batch to that many files (None: all that are there).
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return stream_path(spark, path, spark.read.parquet(path).schema, max_files)
+
+
+def stream_path(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """A streaming DataFrame over a folder in which Parquet files may arrive later, or over one file.
+
+    Spark streams folders only; of a single file's folder exactly that file is taken.
+    """
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    fs, p = hadoop_path(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", _literal_glob(p.getName())).parquet(os.path.dirname(path))
+
+
+def _literal_glob(name: str) -> str:
+    """A glob that matches ``name`` alone."""
+    return "".join("\\" + c if c in "\\*?[]{}," else c for c in name)
 
 
 def ingest_available(stream: DataFrame, out_path: str, checkpoint: str) -> str:
@@ -49,40 +70,32 @@ def dedup_within_lateness(stream: DataFrame, keys: list[str], event_time: str, d
             .drop("_et"))
 
 
-def scd2_stream(stream: DataFrame, key: str, updated_at: str, base: str, checkpoint: str) -> str:
-    """T-3: every micro-batch is one load applied to the history with S1.
+def scd2_stream(stream: DataFrame, key: str, updated_at: str, base: str, checkpoint: str) -> DataFrame:
+    """T-3: every micro-batch is one load applied to the stored history with S1.
 
-    Generation ``gen=<batch_id>`` is derived only from generation ``batch_id-1``
-    and the batch, so a retried batch reproduces the same directory.
-    Returns the path of the last generation.
+    Batch ``i`` writes generation ``i`` of a version table: what it opened and closed.
+    It derives from generations below ``i`` and the batch alone, so a retried batch
+    writes the same rows again.  Returns the history after the last batch.
     """
     spark = stream.sparkSession
-
-    def gen_path(i: int) -> str:
-        return os.path.join(base, f"gen={i:09d}")
+    schema = scd2_changes(None, spark.createDataFrame([], stream.schema), key, updated_at).drop("_kind").schema
+    store = VersionStore(spark, base, key, schema)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if batch_id > 0:
-            prev = spark.read.parquet(gen_path(batch_id - 1))
-        load = latest_per_key(batch, [key], [updated_at])
-        scd2_snapshot(prev, load, key, updated_at).write.mode("overwrite").parquet(gen_path(batch_id))
+        before = store.open_rows(batch_id - 1) if batch_id else None
+        store.write(batch_id, scd2_changes(before, batch, key, updated_at))
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    gens = sorted(p for p in list_dir(spark, base) if p.startswith("gen="))
-    return os.path.join(base, gens[-1]) if gens else gen_path(0)
+    gens = [int(p[4:]) for p in list_dir(spark, base) if p.startswith("gen=")]
+    return store.table(max(gens, default=0))
 
 
 def list_dir(spark: SparkSession, path: str) -> list[str]:
-    """Names under ``path`` on whatever file system holds it (Hadoop FS API)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p)]
+    """Names under ``path`` on whatever file system holds it."""
+    fs, p = hadoop_path(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def windowed_counts(stream: DataFrame, event_time: str, window: str, delay: str, by: list[str]) -> DataFrame:
@@ -117,17 +130,28 @@ def q_t1_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_t2_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "t2-lineitem-keys")
     s = stream_table(spark, sf_dir, "lineitem")
-    d = dedup_within_lateness(s, ["l_orderkey", "l_linenumber"], "l_shipdate", "3650 days")
+    # repeats of a line lie anywhere in the log, so the whole log is one trigger's lateness
+    d = dedup_within_lateness(s, ["l_orderkey", "l_linenumber"], "l_shipdate", "30 days")
     ingest_available(d.select("l_orderkey", "l_linenumber"), out, out + "-ckpt")
     return spark.read.parquet(out)
 
 
+# the events log arrives in three parts, each a micro-batch of a resumed stream
+T3_CUTOFFS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00", None]
+
+
 def q_t3_stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "t3-user-status")
-    s = (stream_table(spark, sf_dir, "events").where(F.col("event_type") != "purchase")
-         .select("user_id", "event_type", F.col("ts").alias("updated_at")))
-    last = scd2_stream(s, "user_id", "updated_at", base, base + "-ckpt")
-    return spark.read.parquet(last)
+    landing, base = scratch_path(spark, "t3-landing"), scratch_path(spark, "t3-user-status")
+    ev = (spark.read.parquet(os.path.join(sf_dir, "events.parquet")).where(F.col("event_type") != "purchase")
+          .select("user_id", "event_type", F.col("ts").alias("updated_at")))
+    low, out = None, None
+    for high in T3_CUTOFFS:
+        part = ev if low is None else ev.where(F.col("updated_at") >= F.lit(low).cast("timestamp_ntz"))
+        part = part if high is None else part.where(F.col("updated_at") < F.lit(high).cast("timestamp_ntz"))
+        part.write.mode("append").parquet(landing)
+        out = scd2_stream(stream_path(spark, landing, ev.schema), "user_id", "updated_at", base, base + "-ckpt")
+        low = high
+    return out
 
 
 def q_t4_stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
@@ -77,9 +78,8 @@ def test_history_safe_totals_exclude_ties(spark):
                                 (3, "c", ts("2025-03-01"), 5)], "id long, k string, t timestamp_ntz, v int")
     out = agg.history_safe_totals(df, "k", "t", "v")
     assert rows(out, "id", "prior_count") == [(1, 0), (2, 0), (3, 2)]
-    hot = agg.history_safe_totals(df, "k", "t", "v", hot_key_rows=2)  # key "c" hot: split by year
-    assert rows(hot) == rows(out)
-    gaps = agg.order_gaps(df.withColumnRenamed("id", "oid"), "k", "t", "oid", hot_key_rows=2)
+    assert rows(agg.history_safe_totals(df, "k", "t", "v", slice_unit=None)) == rows(out)
+    gaps = agg.order_gaps(df.withColumnRenamed("id", "oid"), "k", "t", "oid")
     assert rows(gaps) == rows(agg.order_gaps(df.withColumnRenamed("id", "oid"), "k", "t", "oid", slice_unit=None))
 
 
@@ -88,6 +88,33 @@ def test_metric_semi_additive(spark):
                                "acct long, t timestamp_ntz, bal int")
     m = Metric("balance", "sum", "bal", "t", additive=False, entity="acct")
     assert rows(evaluate(m, df, [], "month"), "balance") == [(8,)]
+    moved = spark.createDataFrame([(1, ts("2024-01-01"), 5, "open"), (1, ts("2024-01-20"), 7, "closed"), (2, ts("2024-01-03"), 1, "open")],
+                                  "acct long, t timestamp_ntz, bal int, state string")
+    # an account that changes its state in the month counts once, under its last state
+    assert rows(evaluate(m, moved, ["state"], "month"), "state", "balance") == [("closed", 7), ("open", 1)]
+
+
+def test_grouped_median_equals_sorting(spark):
+    import random
+    import statistics
+
+    from kairos.operators.metrics import grouped_median
+
+    rnd = random.Random(3)
+    data = [("same", 4.0)] * 50 + [("even", float(x)) for x in range(40)] + [("odd", float(x * x)) for x in range(41)]
+    data += [("skew", 7.0)] * 500 + [("skew", rnd.gauss(0, 50)) for _ in range(499)] + [(None, 2.0), (None, 3.0), ("one", -1.5)]
+    data += [("rand", rnd.random()) for _ in range(1001)] + [("even", None)]
+    got = {r.g: r.median for r in grouped_median(spark.createDataFrame(data, "g string, v double"), ["g"], "v").collect()}
+    want = {g: statistics.median([v for k, v in data if k == g and v is not None]) for g in {k for k, _ in data}}
+    assert got == want
+
+
+def test_weekly_grid_is_anchored_at_start(spark):
+    h = spark.createDataFrame([(1, "a", ts("2024-01-02 10:00:00"), ts("2024-01-10")), (1, "b", ts("2024-01-10"), None),
+                               (2, "c", ts("2024-01-16"), None)], "k long, s string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    out = agg.periodic_snapshot(h, "k", "2024-01-01 00:00:00", "2024-01-22 00:00:00", ["s"], step="7 days")
+    assert rows(out, "k", "s", "snapshot_at") == [(1, "a", ts("2024-01-08")), (1, "b", ts("2024-01-15")), (1, "b", ts("2024-01-22")),
+                                                  (2, "c", ts("2024-01-22"))]
 
 
 def test_schema_diff():
@@ -96,6 +123,39 @@ def test_schema_diff():
     new = StructType([StructField("a", StringType()), StructField("c", StringType())])
     kinds = {(d["column"], d["breaking"]) for d in Q.schema_diff(old, new)}
     assert kinds == {("a", True), ("b", True), ("c", False)}
+    from pyspark.sql.types import DecimalType, IntegerType
+    wide = StructType([StructField("i", LongType()), StructField("d", DecimalType(20, 2)), StructField("r", LongType(), True)])
+    narrow = StructType([StructField("i", IntegerType()), StructField("d", DecimalType(18, 2)), StructField("r", LongType(), False)])
+    assert not any(d["breaking"] for d in Q.schema_diff(narrow, wide)) and len(Q.schema_diff(narrow, wide)) == 3
+    assert all(d["breaking"] for d in Q.schema_diff(wide, narrow))
+
+
+def test_contract_on_empty_table_and_extra_columns(spark):
+    empty = spark.createDataFrame([], "k long, t timestamp_ntz")
+    c = Q.Contract({"k": "bigint"}, freshness_col="t", freshness_hours=24, closed=True)
+    assert rows(Q.check_contract(empty, c, "2024-01-01 00:00:00"), "clause", "detail") == [
+        ("freshness", "freshness:t"), ("schema", "unexpected column t")]
+
+
+def test_declared_checks_gate_a_layer(spark):
+    from kairos.plans import contracts
+
+    good = spark.createDataFrame([("p", 1, "success")], "payment_id string, order_id long, payment_status string")
+    bad = good.unionByName(spark.createDataFrame([("p", None, "lost")], good.schema))
+    assert contracts.gate("stg_payments", good) is good
+    with pytest.raises(Q.QualityError):
+        contracts.gate("stg_payments", bad)
+    failed = contracts.suite({"stg_payments": bad})
+    assert rows(failed, "clause", "detail") == [("accepted", "accepted:payment_status"), ("not_null", "not_null:order_id"),
+                                                ("unique", "unique:payment_id")]
+    assert len(contracts.SOURCES) == 5 and all(c.freshness_hours for c in contracts.SOURCES.values())
+
+
+def test_a_day_without_rows_is_reported(spark):
+    days = [(ts("2024-01-01") + dt.timedelta(days=d),) for d in range(12) for _ in range(10) if d != 8]
+    out = Q.check_volume(spark.createDataFrame(days, "t timestamp_ntz"), "t", 7, 0.2)
+    assert rows(out, "day", "n_rows")[0] == (dt.date(2024, 1, 9), 0)
+    assert [r[1] for r in rows(agg.daily_baseline(spark.createDataFrame(days, "t timestamp_ntz"), "t"), "day", "n_rows")] == [10] * 8 + [0] + [10] * 3
 
 
 def test_observability_checks(spark):

@@ -48,13 +48,11 @@ def test_asof_equals_join_with_hot_key(spark):
         facts.append((i, k, ts("2022-12-01") + dt.timedelta(hours=rnd.randint(0, 24 * 430))))
     e = spark.createDataFrame(ents, ENT)
     f = spark.createDataFrame(facts, "id long, order_id long, created_at timestamp_ntz")
-    a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="asof", slice_unit="month",
-                      hot_key_rows=500)
-    a_all = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="week", hot_key_rows=0)
-    assert rows(a_all) == rows(a)
+    a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="asof", slice_unit="month")
+    for unit in ("week", None):
+        assert rows(pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit=unit)) == rows(a)
     skm = spark.createDataFrame([(k, f"m{k}") for k in range(1, 10)], "canonical_id long, master_sk string")
-    a_map = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", sk_map=skm, slice_unit="month",
-                          hot_key_rows=500)
+    a_map = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", sk_map=skm, slice_unit="month")
     j_map = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", sk_map=skm, strategy="join")
     assert rows(a_map) == rows(j_map)
     j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
@@ -124,33 +122,38 @@ def test_canonicalise_and_new_entities(spark):
     assert rows(keys.new_entities(first, prev)) == [(2, "b")]
 
 
-def test_asof_beyond_hot_key_bound_slices_everything(spark, monkeypatch):
-    """More hot keys than MAX_HOT_KEYS: every key is sliced; the result is unchanged."""
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_pit_join_strategies_agree(spark, how):
     rnd = random.Random(11)
     ents, facts = [], []
     for k in range(1, 4):
         t = sorted({ts("2023-01-01") + dt.timedelta(days=rnd.randint(0, 300)) for _ in range(20)})
-        for i, a in enumerate(t):
-            b = t[i + 1] if i + 1 < len(t) else None
-            ents.append((k, f"s{k}-{i}", f"s{k}-0", a, b, b is None))
+        ents += [(k, f"s{k}-{i}", f"s{k}-0", x, y, y is None) for i, (x, y) in enumerate(zip(t, t[1:] + [None]))][:-1]  # no open version
     for i in range(300):
-        facts.append((i, rnd.randint(1, 4), ts("2022-12-01") + dt.timedelta(days=rnd.randint(0, 360))))
+        facts.append((i, rnd.choice([1, 2, 3, 4, None]), rnd.choice([None, ts("2022-12-01") + dt.timedelta(days=rnd.randint(0, 360))])))
     e = spark.createDataFrame(ents, ENT)
     f = spark.createDataFrame(facts, "id long, order_id long, created_at timestamp_ntz")
-    from kairos.operators import sequence
-    monkeypatch.setattr(sequence, "MAX_HOT_KEYS", 1)
-    a = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", slice_unit="month", hot_key_rows=5)
-    j = pit.fk_enrich(f, "order_id", "created_at", e, "order_id", "order", strategy="join")
-    assert rows(a) == rows(j)
-
-
-def test_find_hot_keys_sampled_and_exact(spark, monkeypatch):
-    from kairos.operators import sequence
-
-    data = [(1, ts("2024-01-01") + dt.timedelta(minutes=i)) for i in range(3000)]
-    data += [(k, ts("2024-01-02")) for k in range(2, 50)]
-    df = spark.createDataFrame(data, "k long, t timestamp_ntz")
-    exact = sequence.find_hot_keys(df, "k", "t", 1000)
-    monkeypatch.setattr(sequence, "HOT_SAMPLE_ROWS", 200)  # sample 20 % for threshold 1000
-    sampled = sequence.find_hot_keys(df, "k", "t", 1000)
-    assert exact == sampled == [(1, ts("2024-01-01"), ts("2024-01-01") + dt.timedelta(minutes=2999))]
+    got = [pit.pit_join(f, e, "order_id", "created_at", "order_id", how=how, strategy=s, slice_unit=u)
+           for s, u in (("join", None), ("asof", None), ("asof", "month"))]
+    assert rows(got[0]) == rows(got[1]) == rows(got[2])
+    feats = pit.pit_features(f, e, "order_id", "created_at", "order_id", take=["sk"])
+    assert feats.columns == ["id", "order_id", "created_at", "feat_sk", "feat_age_days"]
+    assert all(r.feat_age_days is None or r.feat_age_days >= 0 for r in feats.collect())
+
+
+def test_facts_without_key_do_not_gather(spark):
+    """Half of the facts have no key: no task of the window gets more than 1.5 times the mean."""
+    n = 40_000
+    facts = spark.range(n).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 997).alias("order_id"),
+                                  (F.lit(ts("2024-01-01")) + F.make_dt_interval(F.col("id") % 300)).cast("timestamp_ntz").alias("created_at"))
+    e = spark.createDataFrame([(k, f"s{k}", f"s{k}", ts("2023-01-01"), None, True) for k in range(997)], ENT)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        window = pit._asof(facts, "order_id", "created_at", e, "order_id", ["sk", "master_sk"], "month")
+        sizes = [r["n"] for r in window.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sum(sizes) == n // 2 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    out = pit.fk_enrich(facts, "order_id", "created_at", e, "order_id", "order")
+    assert out.count() == n and out.where("order_sk is null").count() == n // 2
