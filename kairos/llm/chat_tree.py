@@ -109,7 +109,7 @@ def gather(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", ro
             .withColumn("leaf", F.sha2(F.to_json("turns"), 256)))
 
 
-def pack(gathered: DataFrame, pack_size: int = 256, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
+def pack(gathered: DataFrame, pack_size: int = 64, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """Packs (see PACK) of the different conversations of ``gathered``."""
     different = gathered.groupBy("leaf").agg(F.first("turns").alias("turns"))
     different = different.withColumn("root", F.xxhash64(F.expr("get(turns, 0)")))

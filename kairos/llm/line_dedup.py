@@ -141,19 +141,24 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
                               F.expr(f"posexplode(slice(o, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)) as (pos, tok)"))
                .select("tok", F.expr(f"if(shiftrightunsigned(tok, 57) >= {HOT_CLASS}, cast(pmod(xxhash64(id, line_no), {SALTS}) as int), -1)").alias("salt"),
                        "id", "line_no", "n", F.expr(f"cast((n - pos) * {total} div {num} - n as int)").alias("reach"), "s"))
+    # earlier lines of a short list stand before a line; long lists are only marked here
+    listed = Window.partitionBy("tok", "salt").orderBy("id", "line_no")
     row = F.struct("id", "line_no", "n", "reach", "s")
-    counted = entries.withColumn("held", F.count("*").over(Window.partitionBy("tok", "salt"))).where("held > 1 or salt >= 0")
-    fits = (f"x.n <= y.reach and y.n <= x.reach and {den} * x.n >= {num} * y.n and {den} * y.n >= {num} * x.n and "
-            + _bound("x.n", ["x.s"], "y.n", ["y.s"], num, den))
-    pair = "struct(x.id as id, x.line_no as line_no, y.id as eid, y.line_no as eline)"
-    met = f"inline(flatten(transform(l, (x, i) -> transform(filter(slice(l, 1, i), y -> {fits}), y -> {pair}))))"
-    groups = materialise(counted.groupBy("tok", "salt").agg(
-        F.max("held").alias("held"), F.sort_array(F.collect_list(F.when((F.col("held") <= SHORT) & (F.col("salt") < 0), row))).alias("l"))
-        .select(F.expr(met)).where("id > eid or id = eid and line_no > eline").distinct())
-    short = _compare(groups, sets, num, den)
+    fits = (f"(e.id < id or e.id = id and e.line_no < line_no) and n <= e.reach and e.n <= reach and {den} * n >= {num} * e.n "
+            f"and {den} * e.n >= {num} * n and " + _bound("n", ["s"], "e.n", ["e.s"], num, den))
+    index = materialise(
+        entries.withColumn("held", F.count("*").over(listed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        .withColumn("before", F.collect_list(row).over(listed.rowsBetween(1 - SHORT, -1)))
+        .withColumn("long", (F.col("held") > SHORT) | (F.col("salt") >= 0)).where("held > 1 or long")
+        .withColumn("met", F.expr(f"if(long, null, transform(filter(before, e -> {fits}), e -> struct(e.id as id, e.line_no as line_no)))"))
+        .where("long or size(met) > 0")
+        .select("tok", "id", "line_no", "n", "reach", "s", band("n").alias("band"), "long", "met"))
+    groups = (index.where("not long").select("id", "line_no", F.explode("met").alias("e"))
+              .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")).distinct())
+    short = materialise(_compare(materialise(groups), sets, num, den))
 
     # long lists: everything against the earliest line of its block first
-    index = materialise(counted.where((F.col("held") > SHORT) | (F.col("salt") >= 0)).select("tok", "id", "line_no", "n", "reach", "s", band("n").alias("band")))
+    index = index.where("long").drop("long", "met")
     x, y = ("n", ["s"]), ("e.n", ["e.s"])
     lead = index.groupBy("tok", "band").agg(F.min(F.struct("id", "line_no", "n", "reach", "s")).alias("e"))
     later = F.struct("id", "line_no") > F.struct(F.col("e.id").alias("id"), F.col("e.line_no").alias("line_no"))
