@@ -12,10 +12,11 @@ probability 1 - (1 - 0.18)**BANDS, over 0.998 for 32 bands (an exact occurrence
 without the rest of a scale's slack: more).  Each retrieved template is verified
 by the exact share of its shingles inside the window.
 
-Anchor words come first: a set of words such that any text holding
-``containment`` of a template's shingles must hold one of them (proved on the
-templates, see ``anchors``).  Documents without an anchor can't match and aren't cut
-into windows.
+Two steps save work without losing a match.  Anchor words: a set of words such
+that any text holding ``containment`` of a template's shingles must hold one of
+them (proved on the templates, see ``anchors``); documents without an anchor can't
+match.  And a window that shares no shingle with any template shares no minimum
+with one, so it isn't sketched.
 
 Defined cases: null, empty and wordless texts have no finding.  A template
 without words is ignored.  Rows equal in id and text are reported once.  Null ids are carried.
@@ -115,15 +116,19 @@ def scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES, containment:
         return spark.createDataFrame([], empty).withColumnRenamed("id", id_col)
     templates = (spark.createDataFrame(known, "license string, t string, k int, scale int")
                  .select("license", "k", "scale", F.expr(f"array_distinct({_shingles_sql(WORDS_SQL.format('t'), 'k')})").alias("ts")))
+    # a few hundred numbers: the shingles of a fixed list of templates
+    theirs = "array(" + ", ".join(f"{r[0]}L" for r in templates.select(F.explode("ts")).distinct().collect()) + ")"
     holds = " or ".join(f"contains(low, '{a}')" for a in anchors(notices, containment))
     cut = (src.withColumn("low", F.lower("text")).where(holds)
            .select("id", F.xxhash64("text").alias("row"), F.expr(WORDS_SQL.format("low")).alias("w")))
     kinds = sorted({(k, c) for *_, k, c in known})
     windows = (cut.withColumn("kind", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(c).alias("scale")) for k, c in kinds])))
-               .select("id", "row", "kind.k", "kind.scale", F.expr(_shingles_sql("w", "kind.k")).alias("s")).where("size(s) > 0")
+               .select("id", "row", "kind.k", "kind.scale", F.expr(_shingles_sql("w", "kind.k")).alias("s"))
+               .where(f"arrays_overlap(s, {theirs})")
                .select("id", "row", "k", "scale", "s", F.explode(F.expr("sequence(0, (size(s) - 1) div scale)")).alias("no"))
                .select("id", "row", "k", "scale", F.expr("no * scale").alias("start"),
-                       F.expr("slice(s, cast(no * scale + 1 as int), 2 * scale)").alias("ws")))
+                       F.expr("slice(s, cast(no * scale + 1 as int), 2 * scale)").alias("ws"))
+               .where(f"arrays_overlap(ws, {theirs})"))
     # the templates are a fixed list in the program: a few rows
     bands = (templates.select("license", "k", "scale", "ts", F.expr(f"inline({_bands_sql('ts')})")))
     met = (windows.select("id", "row", "k", "scale", "start", "ws", F.expr(f"inline({_bands_sql('ws')})"))
