@@ -6,8 +6,8 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
 
 1. One pass splits texts into lines and words; a layer keeps each line's word
    hashes.  Exact repeats are settled by a key of the line, aggregated map-side.
-2. Rarity: exact corpus word counts, kept as 4-bit classes in 65,536 cells (a
-   fixed 32 KB); a cell has the class of its most frequent word.  Words are
+2. Rarity: exact corpus word counts, kept as 4-bit classes in 262,144 cells (a
+   fixed 128 KB); a cell has the class of its most frequent word.  Words are
    ordered by (class, hash).  Any fixed order is exact.
 3. Prefix filter: a line of n words enters the index with its first
    n - ceil(n * num / den) + 1 words.  Position and length filters: an entry at
@@ -23,7 +23,8 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
    common words of both whole lines.  Only documents that lose a line are joined
    with what they lose.
 
-Words are compared by 57-bit hashes.
+Words are compared by 57-bit hashes; index lists are kept by 32 bits of them (a
+collision there only adds candidates).
 
 Defined cases: lines with fewer than ``min_words`` distinct words are left
 alone (blank ones too).  Null and empty texts stay as they are.  Rows with a
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from kairos.llm.common import id_bitmap, in_bitmap, materialise, maybe_in
 
-CELLS = 1 << 16
+CELLS = 1 << 18
 #: lists up to this length are compared in place; longer ones go by leaders and a join
 SHORT = 48
 #: words of this class or above (the most frequent) are spread over SALTS tasks
@@ -75,12 +76,11 @@ def rarity_cells(sets: DataFrame) -> str:
     """Classes of corpus word counts, 16 cells of 4 bits to a number, as SQL for an array of CELLS / 16 numbers."""
     words = sets.select(F.explode("toks").alias("t")).groupBy("t").agg(F.count("*").alias("c"))
     cells = words.groupBy(F.expr(f"cast(t & {CELLS - 1}L as int)").alias("cell")).agg(F.max("c").alias("c")).collect()  # CELLS rows at most
-    # class 0 up to the mean of the cells' top counts, then one class each doubling
-    mean = sum(math.log2(r["c"]) for r in cells) / max(len(cells), 1)
+    # sixteen classes of equal width on the logarithm of the count
+    widest = math.log2(max([r["c"] for r in cells], default=1)) + 1e-9
     out = [0] * (CELLS // 16)
     for r in cells:
-        level = min(15, max(0, math.ceil(math.log2(r["c"]) - mean)))
-        out[r["cell"] >> 4] |= level << 4 * (r["cell"] & 15)
+        out[r["cell"] >> 4] |= min(15, int(16 * math.log2(r["c"]) / widest)) << 4 * (r["cell"] & 15)
     return "cast(split('" + ",".join(str(x - (x >> 63 << 64)) for x in out) + "', ',') as array<bigint>)"
 
 
@@ -125,10 +125,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
     flagged = maybe_in(sets, "k", bits)
     exact = (flagged.where("_kl_maybe").select("id", "line_no", "k").join(keys, "k")
              .where(F.struct("id", "line_no") > F.col("first")).select("id", "line_no", "k"))
-    firsts = (flagged.where("not _kl_maybe").select("id", "line_no", "toks")
-              .unionByName(flagged.where("_kl_maybe").groupBy("k")
-                           .agg(F.min(F.struct("id", "line_no")).alias("f"), F.first("toks").alias("toks"))
-                           .select("f.id", "f.line_no", "toks")))
+    # first occurrences (and the few repeats that share a bit with one: they are removed anyway)
+    place = id_bitmap(keys.select(F.xxhash64("first.id", "first.line_no").alias("h")), "h")
+    marked = flagged.withColumnRenamed("_kl_maybe", "repeats").withColumn("h", F.xxhash64("id", "line_no"))
+    firsts = maybe_in(marked, "h", place).where("not repeats or _kl_maybe").select("id", "line_no", "toks")
 
     # index lists of rare-first prefixes
     def band(c):
@@ -139,7 +139,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
                             F.sort_array(F.expr(f"transform(toks, t -> t | shiftleft({level}, 57))")).alias("o"))
     entries = (ordered.select("id", "line_no", "n", "s",
                               F.expr(f"posexplode(slice(o, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)) as (pos, tok)"))
-               .select("tok", F.expr(f"if(shiftrightunsigned(tok, 57) >= {HOT_CLASS}, cast(pmod(xxhash64(id, line_no), {SALTS}) as int), -1)").alias("salt"),
+               .select(F.hash("tok").alias("tok"), F.expr(f"if(shiftrightunsigned(tok, 57) >= {HOT_CLASS}, cast(pmod(xxhash64(id, line_no), {SALTS}) as int), -1)").alias("salt"),
                        "id", "line_no", "n", F.expr(f"cast((n - pos) * {total} div {num} - n as int)").alias("reach"), "s"))
     # earlier lines of a short list stand before a line; long lists are only marked here
     listed = Window.partitionBy("tok", "salt").orderBy("id", "line_no")
