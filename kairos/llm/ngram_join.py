@@ -13,7 +13,7 @@ smallest id reachable over links, without listing the pairs inside a group.
    cut into blocks by size band, and an entry visits only the blocks its
    position lets it reach (index-level skipping).  Tokens of one set are dropped.
 3. Answer-level skipping: in each block all sets are first compared with one
-   leader, the set that holds the token earliest.  Sets that link to a leader
+   leader, the set with the smallest key.  Sets that link to a leader
    form its cluster; with |m minus L| known, a set's overlap with every member
    is bounded by its overlap with the leader, so later steps compare leaders
    and open a cluster only where that bound still allows a link.
@@ -168,29 +168,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = frequency_sketch(src, "text", k)
     rows = materialise(_prefixes(src, "text", k, num, den, counts))
-    sets = (rows.where("n > 0 and id is not null").groupBy("s1", "s2")
-            .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-                 F.first("salts").alias("salts")))
+    # one document stands for all of an equal set (a few repeats may share its bit: they add nothing new)
+    reps = materialise(rows.where("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep")))
+    sets = in_bitmap(rows.where("n > 0 and id is not null"), "id", id_bitmap(reps, "rep"))
     width = math.log(den / num)
     total = num + den
 
     def band(col):
         return F.floor(F.log(col) / F.lit(width)).cast("int")
 
-    entries = (sets.select("s1", "rep", "n", "salts", F.posexplode("prefix").alias("pos", "tok"))
+    entries = (sets.select("s1", "n", "salts", F.posexplode("prefix").alias("pos", "tok"))
                .withColumn("spread", F.coalesce(F.get("salts", F.col("pos")), F.lit(1)))
                .withColumn("salt", F.when(F.col("spread") > 1, F.pmod(F.col("s1"), F.col("spread"))).otherwise(F.lit(0)).cast("int"))
-               .select("tok", "salt", "spread", "s1", "rep", F.col("n").cast("int").alias("n"), "pos"))
+               # lists are kept by 32 bits of the token: a collision only adds candidates
+               .select(F.hash("tok").alias("tok"), "salt", (F.col("spread") > 1).alias("hot"), "s1", F.col("n").cast("int").alias("n"), "pos"))
     # most tokens are of one set: they can link nothing
     held = Window.partitionBy("tok", "salt")
     index = materialise(
-        entries.withColumn("held", F.count("*").over(held)).where("held > 1 or spread > 1")
+        entries.withColumn("held", F.count("*").over(held)).where("held > 1 or hot")
         .withColumn("reach", F.floor(((F.col("n") - F.col("pos")) * F.lit(total)) / F.lit(num) - F.col("n") + F.lit(1e-9)).cast("int"))
-        .select("tok", "s1", "rep", "n", "pos", "reach", band(F.col("n")).alias("band")))
-    reps = index.select("s1", "rep").distinct()
+        .select("tok", "s1", "n", "reach", band(F.col("n")).alias("band")))
 
-    # every set against the leader of its blocks
-    lead = index.groupBy("tok", "band").agg(F.min(F.struct("pos", "n", "s1", "reach")).alias("lead"))
+    # every set against the leader of its blocks: the same priority everywhere, so the blocks of a group agree on one
+    lead = index.groupBy("tok", "band").agg(F.min(F.struct("s1", "n", "reach")).alias("lead"))
     stars = (index.join(lead, ["tok", "band"])
              .where("s1 != lead.s1 and n <= lead.reach and lead.n <= reach")
              .select(F.col("lead.s1").alias("a"), F.col("s1").alias("b")).distinct())
@@ -245,8 +245,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = (ties.select("a", "b").unionByName(leaders.where(linked).select("a", "b"))
              .unionByName(opened.where(linked).select("a", "b")))
     comp = connected_components(links)
-    known_sets = rows.where("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"))
-    label = known_sets.join(comp.select(F.col("id").alias("s1"), "component"), "s1", "left")
+    label = reps.join(comp.select(F.col("id").alias("s1"), "component"), "s1", "left")
     lows = (label.where("component is not null").groupBy("component").agg(F.min("rep").alias("low")))
     label = (label.join(lows, "component", "left")
              .select("s1", "s2", F.coalesce("low", "rep").alias("low")))
