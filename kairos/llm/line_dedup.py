@@ -8,7 +8,7 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
    hashes.  Exact repeats are settled by a key of the line, aggregated map-side.
 2. Rarity: exact corpus word counts, kept as 4-bit classes in 262,144 cells (a
    fixed 128 KB); a cell has the class of its most frequent word.  Words are
-   ordered by (class, hash).  Any fixed order is exact.
+   ordered by (class, longer first, hash).  Any fixed order is exact.
 3. Prefix filter: a line of n words enters the index with its first
    n - ceil(n * num / den) + 1 words.  Position and length filters: an entry at
    position p can meet only partner sizes up to ``reach(n, p)``.  A 64-bit
@@ -23,7 +23,7 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
    common words of both whole lines.  Only documents that lose a line are joined
    with what they lose.
 
-Words are compared by 57-bit hashes; index lists are kept by 32 bits of them (a
+Words are compared by 52-bit hashes and their length (up to 31 bytes); index lists are kept by 32 bits of them (a
 collision there only adds candidates).
 
 Defined cases: lines with fewer than ``min_words`` distinct words are left
@@ -47,7 +47,7 @@ CELLS = 1 << 18
 SHORT = 48
 #: words of this class or above (the most frequent) are spread over SALTS tasks
 HOT_CLASS, SALTS = 12, 16
-_LOW57 = (1 << 57) - 1
+_LOW52 = (1 << 52) - 1
 
 
 def _plain(col: str) -> str:
@@ -65,11 +65,13 @@ def _signature(which: int) -> str:
 
 
 def line_sets(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, line_no, k, toks): a key of the line and the hashes of its distinct words."""
+    """(id, line_no, k, toks, n, s0, s1): a key of the line, its distinct words (hash and length), their number and signature."""
     lines = docs.where("id is not null").select("id", F.expr(rf"posexplode(split({_plain('text')}, '\n')) as (line_no, line)"))
-    return (lines.select("id", "line_no", F.xxhash64("line").alias("k"), F.expr(
-                f"array_distinct(transform(array_remove(split(line, ' '), ''), x -> xxhash64(x) & {_LOW57}L))").alias("toks"))
-            .where(F.size("toks") >= min_words))
+    word = f"shiftleft(cast(31 - least(31, octet_length(x)) as bigint), 52) | (xxhash64(x) & {_LOW52}L)"
+    return (lines.select("id", "line_no", F.xxhash64("line").alias("k"),
+                         F.expr(f"array_distinct(transform(array_remove(split(line, ' '), ''), x -> {word}))").alias("toks"))
+            .where(F.size("toks") >= min_words)
+            .withColumns({"n": F.size("toks"), "s0": F.expr(_signature(0)), "s1": F.expr(_signature(1))}))
 
 
 def rarity_cells(sets: DataFrame) -> str:
@@ -102,7 +104,7 @@ def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         return rows.select(F.col("id").alias("eid"), F.col("line_no").alias("eline"),
                            *[F.col(c).alias(f"e{c}") for c in rows.columns if c not in ("id", "line_no")])
 
-    marks = fetch(pairs, F.size("toks").alias("n"), F.expr(_signature(0)).alias("s0"), F.expr(_signature(1)).alias("s1"))
+    marks = fetch(pairs, "n", "s0", "s1")
     likely = materialise(pairs.join(marks, ["id", "line_no"]).join(earlier(marks), ["eid", "eline"])
                          .where(_bound("n", ["s0", "s1"], "en", ["es0", "es1"], num, den)).select("id", "line_no", "eid", "eline"))
     whole = fetch(likely, "k", "toks")
@@ -128,14 +130,14 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
     # first occurrences (and the few repeats that share a bit with one: they are removed anyway)
     place = id_bitmap(keys.select(F.xxhash64("first.id", "first.line_no").alias("h")), "h")
     marked = flagged.withColumnRenamed("_kl_maybe", "repeats").withColumn("h", F.xxhash64("id", "line_no"))
-    firsts = maybe_in(marked, "h", place).where("not repeats or _kl_maybe").select("id", "line_no", "toks")
+    firsts = maybe_in(marked, "h", place).where("not repeats or _kl_maybe").select("id", "line_no", "n", "s0", "toks")
 
     # index lists of rare-first prefixes
     def band(c):
         return F.floor(F.log(c) / F.lit(width)).cast("int")
 
     level = f"shiftright(get({cells}, cast(shiftright(t & {CELLS - 1}L, 4) as int)), 4 * cast(t & 15L as int)) & 15L"
-    ordered = firsts.select("id", "line_no", F.size("toks").alias("n"), F.expr(_signature(0)).alias("s"),
+    ordered = firsts.select("id", "line_no", "n", F.col("s0").alias("s"),
                             F.sort_array(F.expr(f"transform(toks, t -> t | shiftleft({level}, 57))")).alias("o"))
     entries = (ordered.select("id", "line_no", "n", "s",
                               F.expr(f"posexplode(slice(o, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)) as (pos, tok)"))
