@@ -13,7 +13,7 @@ smallest id reachable over links, without listing the pairs inside a group.
    cut into blocks by size band, and an entry visits only the blocks its
    position lets it reach (index-level skipping).  Tokens of one set are dropped.
 3. Answer-level skipping: in each block all sets are first compared with one
-   leader, the set with the smallest key.  Sets that link to a leader
+   leader, the set that holds the token earliest.  Sets that link to a leader
    form its cluster; with |m minus L| known, a set's overlap with every member
    is bounded by its overlap with the leader, so later steps compare leaders
    and open a cluster only where that bound still allows a link.
@@ -187,10 +187,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     index = materialise(
         entries.withColumn("held", F.count("*").over(held)).where("held > 1 or hot")
         .withColumn("reach", F.floor(((F.col("n") - F.col("pos")) * F.lit(total)) / F.lit(num) - F.col("n") + F.lit(1e-9)).cast("int"))
-        .select("tok", "s1", "n", "reach", band(F.col("n")).alias("band")))
+        .select("tok", "s1", "n", "pos", "reach", band(F.col("n")).alias("band")))
 
-    # every set against the leader of its blocks: the same priority everywhere, so the blocks of a group agree on one
-    lead = index.groupBy("tok", "band").agg(F.min(F.struct("s1", "n", "reach")).alias("lead"))
+    # every set against the leader of its blocks: the one with the fewest rarer tokens, i.e. the least altered of a group
+    lead = index.groupBy("tok", "band").agg(F.min(F.struct("pos", "s1", "n", "reach")).alias("lead"))
     stars = (index.join(lead, ["tok", "band"])
              .where("s1 != lead.s1 and n <= lead.reach and lead.n <= reach")
              .select(F.col("lead.s1").alias("a"), F.col("s1").alias("b")).distinct())
