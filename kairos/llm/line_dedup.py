@@ -47,6 +47,8 @@ CELLS = 1 << 18
 SHORT = 48
 #: words of this class or above (the most frequent) are spread over SALTS tasks
 HOT_CLASS, SALTS = 12, 16
+#: size of the pre-filters for repeated keys and for first places
+BITS = 1 << 26
 _LOW52 = (1 << 52) - 1
 
 
@@ -123,14 +125,16 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
     # exact repeats
     keys = materialise(sets.groupBy("k").agg(F.count("*").alias("c"), F.min(F.struct("id", "line_no")).alias("first"))
                        .where("c > 1").select("k", "first"))
-    bits = id_bitmap(keys, "k")
-    flagged = maybe_in(sets, "k", bits)
-    exact = (flagged.where("_kl_maybe").select("id", "line_no", "k").join(keys, "k")
-             .where(F.struct("id", "line_no") > F.col("first")).select("id", "line_no", "k"))
-    # first occurrences (and the few repeats that share a bit with one: they are removed anyway)
-    place = id_bitmap(keys.select(F.xxhash64("first.id", "first.line_no").alias("h")), "h")
+    flagged = maybe_in(sets, "k", id_bitmap(keys, "k", BITS), BITS)
+    here = F.struct("id", "line_no")
+    # lines that only share a bit with a repeated key have no first place and stay
+    known = materialise(flagged.where("_kl_maybe").select("id", "line_no", "k").join(keys, "k", "left")
+                        .select("id", "line_no", "k", F.coalesce(here > F.col("first"), F.lit(False)).alias("again")))
+    exact = known.where("again").select("id", "line_no", "k")
+    # lines that repeat none before (and the few repeats that share a bit with one: they are removed anyway)
+    place = id_bitmap(known.where("not again").select(F.xxhash64("id", "line_no").alias("h")), "h", BITS)
     marked = flagged.withColumnRenamed("_kl_maybe", "repeats").withColumn("h", F.xxhash64("id", "line_no"))
-    firsts = maybe_in(marked, "h", place).where("not repeats or _kl_maybe").select("id", "line_no", "n", "s0", "toks")
+    firsts = maybe_in(marked, "h", place, BITS).where("not repeats or _kl_maybe").select("id", "line_no", "n", "s0", "toks")
 
     # index lists of rare-first prefixes
     def band(c):

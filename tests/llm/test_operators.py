@@ -149,6 +149,17 @@ def test_line_dedup_repeated_and_null_ids(spark):
     assert got == sorted([(1, a), (1, a), (1, b), (None, a), (2, "kept short")], key=str)
 
 
+def test_line_dedup_small_bitmap(spark, corpus, monkeypatch):
+    """Unique lines that share a bit with a repeated key still meet their near copies, on either side."""
+    monkeypatch.setattr(line_dedup, "BITS", 64)
+    texts = corpus + ["\n".join(f"r{i} repeats in two rows here" for i in range(200))] * 2
+    gone = removed_lines(texts)
+    got = line_dedup.dedup_lines(docs_of(spark, texts)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: sum(d == i for d, _ in gone) for i in range(len(texts))}
+    for r in got:
+        assert r.text is None or r.text == "\n".join(x for j, x in enumerate(texts[r.doc_id].split("\n")) if (r.doc_id, j) not in gone)
+
+
 def test_tables_without_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id bigint, text string")
