@@ -24,8 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one (5 words or more, Jaccard of words at least 0.8).
 
-    A document that loses lines and keeps none of five distinct words or more is a copy of
-    earlier text and goes.  ``n_chars`` follows the text.
+    A document that loses lines and keeps only blank ones, or none, goes.  ``n_chars`` follows the text.
     """
     out = line_dedup.drop_emptied(line_dedup.dedup_lines(docs))
     if "n_chars" in docs.columns:

@@ -56,11 +56,6 @@ def _plain(col: str) -> str:
     return rf"replace(replace({col}, '\t', ' '), '\r', ' ')"
 
 
-def words_of(line: str) -> str:
-    """Distinct words of a line, as SQL."""
-    return f"array_distinct(array_remove(split({line}, ' '), ''))"
-
-
 def _signature(which: int) -> str:
     """64 bits in which each word of its half sets one."""
     return f"aggregate(toks, 0L, (s, t) -> s | if(t & 64L = {which * 64}L, shiftleft(1L, cast(t & 63L as int)), 0L))"
@@ -207,7 +202,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return whole.unionByName(cut)
 
 
-def drop_emptied(deduped: DataFrame, text_col: str = "text", min_words: int = 5) -> DataFrame:
-    """Without the documents that lost lines and have no line of ``min_words`` distinct words left."""
-    left = rf"exists(split({_plain('`' + text_col + '`')}, '\n'), l -> size({words_of('l')}) >= {min_words})"
-    return deduped.where(f"n_removed = 0 or {left}")
+def drop_emptied(deduped: DataFrame, text_col: str = "text") -> DataFrame:
+    """Without the documents that lost lines and have only blank lines left, or none."""
+    return deduped.where(rf"n_removed = 0 or `{text_col}` rlike '[^ \\t\\r\\n]'")

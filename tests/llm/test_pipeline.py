@@ -87,6 +87,23 @@ def test_stages_equal_brute_force(spark, tables, tmp_path):
             assert all(r.n_tokens == len(ids[r.doc_id]) and r.decoded == sp.decode(ids[r.doc_id]) for r in after)
 
 
+def test_line_stage_drops_only_emptied_documents(spark):
+    """Surviving ids against brute force: a document with any word left stays, whatever its lines' lengths."""
+    shared = "one shared boilerplate line of text"
+    own = [(1, shared), (2, shared + "\nnobody else\nhas this"), (3, shared + "\n \t\r\n"), (4, "\n" + shared), (5, ""), (6, "two\nwords")]
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]
+    texts += [(1_000_000 + i, t) for i, t in own]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    lost = removed_lines([t for _, t in texts])
+    left = {}
+    for i, (doc, t) in enumerate(texts):
+        kept = "\n".join(x for j, x in enumerate(t.split("\n")) if (i, j) not in lost)
+        if kept == t or kept.strip(" \t\r\n"):
+            left[doc] = kept
+    assert {1_000_001, 1_000_002, 1_000_005, 1_000_006} <= set(left) and not {1_000_003, 1_000_004} & set(left)
+    assert {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, docs, SF).collect()} == left
+
+
 def test_stages_take_empty_tables(spark, tables):
     empty = spark.read.parquet(f"{tables}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
