@@ -1,25 +1,30 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Words (runs of letters and digits, lower case) of benchmark items and documents
-are hashed under fixed masks.  A mask looks at some of ``SPAN`` positions and
-ignores the others, so a hit survives substituted words at ignored places; four
-masks ignore different ones.  Equal mask hashes join items and documents, and
-each hit's diagonal is compared word by word: an item is found where, on one
-diagonal, some run of ``window`` aligned words (the whole item if shorter) agrees
-in at least ``share`` of them.
+are hashed under fixed masks.  A mask looks at some positions of a run and
+ignores the others, so a hit survives substituted words at ignored places.  Equal
+mask hashes join items and documents, and each hit's diagonal is compared word by
+word: an item is found where, on one diagonal, some run of ``window`` aligned
+words (the whole item if shorter) agrees in at least ``share`` of them.
+
+``MASKS`` miss nothing: however a fifth of 9 to 13 words is substituted, one of
+the masks fits in between at some place.  They hold for a window of 9 to 13
+words and a share of 0.8 or more.  Items under ``SPAN`` words have masks of their whole
+length, one for each allowed choice of substituted words.
 
 The benchmark side is broadcast in blocks of at most ``block_chars`` characters:
 the size is measured first, a larger benchmark takes more passes over the
 documents.  Documents are never shuffled.
 
-Defined cases: null or wordless texts match nothing, on either side; items with
-fewer than ``SPAN`` words say too little and are not searched for.  Repeated items and documents are
-each reported.  Null ids are carried.  An empty benchmark finds nothing.
+Defined cases: null or wordless texts match nothing, on either side.  Items under
+five words are found verbatim only.  Repeated items and documents are each reported.  Null ids are carried.  An empty benchmark finds nothing.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +33,28 @@ from pyspark.sql import functions as F
 
 from kairos.llm.common import _MULT, ALNUM, batch_words, map_texts, mix64
 
-#: word positions a mask looks at, of SPAN
-MASKS = ["110110101", "111001011", "101011110", "111111000"]
+#: word positions a mask looks at, for items of SPAN words or more
+MASKS = ["111011", "11000111", "110100011"]
 SPAN = 9
-_PLACES = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
 _BITS = 22
 
 
-def seeds(words: np.ndarray, mask: int) -> np.ndarray:
+def masks_of(n: int, share: float) -> list[str]:
+    """Masks under which items of ``n`` words are hashed."""
+    if n >= SPAN:
+        return MASKS
+    return ["".join("0" if i in gone else "1" for i in range(n)) for gone in combinations(range(n), n - math.ceil(share * n - 1e-9))]
+
+
+def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the looked-at words at every position."""
-    n = len(words) - SPAN + 1
+    n = len(words) - len(mask) + 1
     if n <= 0:
         return words[:0]
-    h = np.full(n, np.uint64((mask + 1) * 0xA24BAED4963EE407 % 2**64), dtype=np.uint64)
-    for j in _PLACES[mask]:
-        h += words[j:j + n] * _MULT[j]
+    h = np.full(n, np.uint64(int("1" + mask, 2) * 0xA24BAED4963EE407 % 2**64), dtype=np.uint64)
+    for j, c in enumerate(mask):
+        if c == "1":
+            h += words[j:j + n] * _MULT[j]
     return mix64(h)
 
 
@@ -53,12 +65,13 @@ def _words(texts: list) -> list[np.ndarray]:
 class Index:
     """Seeds of one block of items: sorted hashes, where they come from, and a bit filter in front."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], share: float = 0.8):
         self.ids = [i for i, _ in items]
         self.words = _words([t for _, t in items])
+        self.masks = sorted({m for n in {len(w) for w in self.words} if n for m in masks_of(n, share)})
         hashes, owner, place = [], [], []
         for i, w in enumerate(self.words):
-            for m in range(len(MASKS)):
+            for m in masks_of(len(w), share) if len(w) else ():
                 h = seeds(w, m)
                 hashes.append(h)
                 owner.append(np.full(len(h), i))
@@ -74,7 +87,7 @@ class Index:
     def diagonals(self, words: np.ndarray) -> dict[int, set[int]]:
         """Item -> offsets of its start in the document, from seed hits."""
         found: dict[int, set[int]] = defaultdict(set)
-        for m in range(len(MASKS)):
+        for m in self.masks:
             h = seeds(words, m)
             at = np.flatnonzero(self.filter[(h >> np.uint64(64 - _BITS)).astype(np.intp)])
             if not len(at):
@@ -122,7 +135,7 @@ def mark(docs: DataFrame, bench: DataFrame, out_col: str = "hits", text_col: str
     spark_type = f"array<struct<item_id:{kind},first_word:bigint,last_word:bigint,n_matched:bigint>>"
     out = docs.withColumn(out_col, F.expr(f"cast(array() as {spark_type})"))
     for items in _blocks(bench, item_col, bench_text, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(items))  # at most block_chars characters of items
+        shared = docs.sparkSession.sparkContext.broadcast(Index(items, share))  # at most block_chars characters of items
 
         def make(shared=shared):
             index = shared.value

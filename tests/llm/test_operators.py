@@ -1,6 +1,7 @@
 """Operators for texts against brute force, round trips, and the defined corner cases."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -319,6 +320,23 @@ def test_seeds_survive_substitutions(seed):
     assert found >= 0.99 * truth
 
 
+@pytest.mark.parametrize("n", range(1, 14))
+def test_seeds_find_every_allowed_substitution(n):
+    """All choices of substituted words, alone and inside a longer item that agrees nowhere else."""
+    item = [f"t{i}" for i in range(n)]
+    around = [f"a{i}" for i in range(12)]
+    alone, inside = (decontaminate.Index([(0, " ".join(x))]) for x in (item, [*around[:6], *item, *around[6:]]))
+    allowed = max(k for k in range(n) if n - k >= 0.8 * n)
+    for k in range(allowed + 2):
+        for gone in itertools.combinations(range(n), k):
+            doc = [f"b{i}" for i in range(12)] + ["changed" if i in gone else w for i, w in enumerate(item)] + [f"c{i}" for i in range(12)]
+            words = decontaminate._words([" ".join(doc)])[0]
+            hits = alone.hits(words, 13, 0.8)
+            assert [(h["first_word"], h["last_word"], h["n_matched"]) for h in hits] == ([(12, 11 + n, n - k)] if k <= allowed else []), gone
+            if n == 13:
+                assert bool(inside.hits(words, 13, 0.8)) == (k <= allowed), gone
+
+
 def test_license_scan_equals_containment(spark):
     rng = random.Random(3)
     texts = [None, "", "..."]
