@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairos.llm import (chat_tree, decontaminate, langid, license_scan, line_dedup, ngram_join, quality_gam, spiece,
-                        token_counts, winnow)
+from kairos.llm import (chat_tree, collocations, decontaminate, divergence, langid, license_scan, line_dedup, mixing, ngram_join,
+                        quality_gam, spiece, token_counts, winnow)
 from kairos.llm.common import materialise, read_table
 
 
@@ -80,6 +80,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", quality_gam.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"), min_count=10, max_words=3, share=50, top=2000)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(read_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, cap=3)
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_quality_classifier, op3_token_counts, op4_license_scan, op5_document_fingerprints,
-    op6_decontamination, op7_chat_format, op8_sentencepiece, op9_line_dedup, op10_language_id)}
+    op6_decontamination, op7_chat_format, op8_sentencepiece, op9_line_dedup, op10_language_id,
+    op11_collocations, op12_source_mix, op13_source_divergence)}
