@@ -70,14 +70,15 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float =
 
 def _wanted(rows: DataFrame, cap: int, rounds: int = 64) -> DataFrame:
     """``e``: copies wanted of each document, proportional to its ``own`` weight within a source, ``cap`` at most."""
-    level = rows.select("place", "target", "source_size").distinct().withColumn("level", F.lit(None).cast("double"))
+    level = rows.select("place", "target").distinct().withColumn("level", F.lit(None).cast("double"))
     for _ in range(rounds):
         at = rows.join(level.select("place", "level"), "place")
         full = F.coalesce(F.col("own") * F.col("level") >= cap, F.lit(False))
         left = at.groupBy("place").agg(F.sum(F.when(full, F.col("size") * cap).otherwise(0)).alias("fixed"),
-                                       F.sum(F.when(full, 0).otherwise(F.col("own") * F.col("size"))).alias("free"))
-        new = materialise(level.drop("level").join(left, "place")
-                          .withColumn("level", F.when(F.col("free") > 0, F.greatest(F.lit(0.0), (F.col("target") - F.col("fixed")) / F.col("free")))))
+                                       F.sum(F.when(full, F.lit(0).cast("decimal(38,6)")).otherwise(
+                                           F.col("own").cast("decimal(18,6)") * F.col("size"))).cast("double").alias("free"))
+        fair = F.when(F.col("free") > 0, F.greatest(F.lit(0.0), (F.col("target") - F.col("fixed")) / F.col("free")))
+        new = materialise(level.join(left, "place").select("place", "target", fair.alias("level")))
         same = level.join(new.select("place", F.col("level").alias("new")), "place").where("not (level <=> new)").isEmpty()
         level = new
         if same:
