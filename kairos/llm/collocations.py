@@ -4,15 +4,16 @@ Texts are lower-cased (A-Z), cut at ``. , ; : ! ?`` and line breaks into pieces
 and those at spaces and tabs into words.  Phrases of 2 (to 3) words that occur
 ``min_count`` times or more within pieces of a language are candidates.
 
-1. *Summaries.*  Every task counts its n-grams exactly and deals them by hash to
+1. *Summaries.*  Every task counts its words and n-grams exactly and deals them by hash to
    partitions; a partition's summaries are merged with a capacity above its
    mass divided by ``min_count`` (mass: occurrences that reached it, those of
    one task and n-gram counted up to ``min_count``).  The excess over the
    capacity is taken off all counters at once, less than ``min_count`` in
-   total, so every n-gram with ``min_count`` occurrences survives.
+   total, so every n-gram with ``min_count`` occurrences survives; those whose counter
+   and all that was taken off stay below ``min_count`` together can't have as many and go.
 2. *Exact counts.*  Survivors become a bitmap of bounded size (at most 16 MB).  A second
-   pass counts the n-grams whose bit is set under their own text, and all words; rows
-   under ``min_count`` go.  Hash collisions only let more n-grams through.
+   pass counts the words and n-grams whose bit is set, adds the tasks' counts under their
+   text within the same partitions, and drops those under ``min_count``.  Hash collisions only let more n-grams through.
 3. *Scores.*  Each cut of a candidate into two parts has
    ``floor(10^6 a^2 / (l r))``; the lowest counts, computed in decimals.
    Candidates inside a longer candidate that holds ``share`` percent of their
@@ -26,7 +27,7 @@ input are not read.  A text of any length is counted whole, in blocks.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,25 +44,29 @@ FOLD = fold_table(b"\t", BREAKS)
 #: n-grams of up to 3 words are keys of 63 bits: numbers of words within a task stay under 2**21
 ID_BITS = 21
 #: a task hands on its counts beyond so many distinct n-grams, or so many words
-MAX_GRAMS, MAX_WORDS = 3_000_000, 1 << 20
+MAX_GRAMS, MAX_WORDS = 700_000, 400_000
 #: bytes of text for one partition of summaries, and the least number of partitions (a power of two)
-PARTITION_BYTES, PARTITIONS = 1 << 25, 64
+PARTITION_BYTES, PARTITIONS = 1 << 24, 64
 REST_BITS = 40  # an n-gram's hash within its partition
 MAX_BITMAP = 1 << 27
 
 
 class GramCounter:
-    """Exact counts of a task's words and n-grams per language, up to the next ``take``."""
+    """Exact counts of a task's words and n-grams per language, up to the next ``take``.
 
-    def __init__(self, max_words: int):
+    ``keep``, if given, tells from hashes which words and n-grams are wanted; the others aren't held.
+    """
+
+    def __init__(self, max_words: int, keep: GramFilter | None = None):
         if max_words not in (2, 3):
             raise ValueError("phrases have 2 or 3 words at most")
-        self.sizes = range(1, max_words + 1)
+        self.sizes, self.keep = range(1, max_words + 1), keep
         self._clear()
 
     def _clear(self):
         self.vocabulary = Vocabulary()
         self.raw, self.done, self.pending = defaultdict(list), {}, 0
+        self.total: Counter = Counter()
 
     def add(self, lang: bytes, data: bytes) -> Iterator[None]:
         """Count ``data``; yields whenever the counts should be taken."""
@@ -88,18 +93,25 @@ class GramCounter:
                     yield
 
     def _settle(self):
+        wh = self.vocabulary.hashes() if self.keep is not None else None
         for at, parts in self.raw.items():
             keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+            lang, n = at
+            if n == 1:
+                self.total[lang] += int(counts.sum())
+            if self.keep is not None:
+                wanted = self.keep.maybe(gram_hashes(lang, n, keys, wh))
+                keys, counts = keys[wanted], counts[wanted]
             if at in self.done:
-                old, n = self.done[at]
-                keys, counts = merge_counts(np.concatenate([old, keys]), np.concatenate([n, counts]))
+                old, times = self.done[at]
+                keys, counts = merge_counts(np.concatenate([old, keys]), np.concatenate([times, counts]))
             self.done[at] = keys, counts
         self.raw, self.pending = defaultdict(list), 0
 
     def take(self):
-        """(vocabulary, {(lang, n): (keys, counts)}) since the last call; n = 1: words."""
+        """(vocabulary, {(lang, n): (keys, counts)}, {lang: words}) since the last call; n = 1: words."""
         self._settle()
-        out = self.vocabulary, self.done
+        out = self.vocabulary, self.done, self.total
         self._clear()
         return out
 
@@ -112,9 +124,9 @@ def merge_counts(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _count_batches(batches, max_words: int):
+def _count_batches(batches, max_words: int, keep: GramFilter | None = None):
     """Counts of a task's texts, taken whenever they fill their bound and at the end."""
-    counter = GramCounter(max_words)
+    counter = GramCounter(max_words, keep)
     for part in arrow_slices(batches):
         by_lang = defaultdict(list)
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
@@ -126,7 +138,7 @@ def _count_batches(batches, max_words: int):
     yield counter.take()
 
 
-def _gram_hashes(lang: bytes, n: int, keys: np.ndarray, word_hashes: np.ndarray) -> np.ndarray:
+def gram_hashes(lang: bytes, n: int, keys: np.ndarray, word_hashes: np.ndarray) -> np.ndarray:
     seed = np.frombuffer(hashlib.blake2b(lang, digest_size=8).digest(), np.uint64)
     h = np.full(len(keys), seed[0] ^ np.uint64(n))
     for j in reversed(range(n)):
@@ -158,9 +170,9 @@ def task_summaries(docs: DataFrame, min_count: int, max_words: int, bits: int) -
     width = np.uint8 if min_count < 256 else np.uint32
 
     def run(batches):
-        for vocabulary, grams in _count_batches(batches, max_words):
+        for vocabulary, grams, _ in _count_batches(batches, max_words):
             wh = vocabulary.hashes()
-            found = [(_gram_hashes(lang, n, k, wh), np.minimum(c, min_count)) for (lang, n), (k, c) in grams.items() if n > 1]
+            found = [(gram_hashes(lang, n, k, wh), np.minimum(c, min_count)) for (lang, n), (k, c) in grams.items()]
             if not found:
                 continue
             h, c = merge_counts(np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]))
@@ -177,8 +189,8 @@ def task_summaries(docs: DataFrame, min_count: int, max_words: int, bits: int) -
     return docs.mapInArrow(run, SUMMARY)
 
 
-def merge_summaries(summaries, capacity: int, width=np.uint8) -> tuple[np.ndarray, int]:
-    """Misra-Gries merge of (hashes, counts) pairs: (surviving hashes, what was taken off every counter).
+def merge_summaries(summaries, capacity: int, width=np.uint8) -> tuple[np.ndarray, np.ndarray, int]:
+    """Misra-Gries merge of (hashes, counts) pairs: (surviving hashes, their counters, what was taken off every counter).
 
     Pairs gather until they outnumber the capacity; then equal hashes meet, and if more than ``capacity``
     are left, the count of the largest one beyond it is taken off all.  Each unit taken off costs more than
@@ -202,8 +214,8 @@ def merge_summaries(summaries, capacity: int, width=np.uint8) -> tuple[np.ndarra
         n += len(counts) // np.dtype(width).itemsize
         if n > max(capacity, 1 << 16):
             waiting, n = [fold(waiting)], 0
-    keys, _ = fold(waiting)
-    return keys, taken
+    keys, counts = fold(waiting)
+    return keys, counts, taken
 
 
 def survivors(summaries: DataFrame, min_count: int, bits: int) -> DataFrame:
@@ -223,7 +235,8 @@ def survivors(summaries: DataFrame, min_count: int, bits: int) -> DataFrame:
 
         feed = pairs()
         first = next(feed)  # the group's first row tells its mass
-        keys, _ = merge_summaries(_chain(first, feed), total // min_count + 1, width)
+        keys, counts, taken = merge_summaries(_chain(first, feed), total // min_count + 1, width)
+        keys = keys[counts + taken >= min_count]  # a counter is at most ``taken`` short of its n-gram's occurrences
         slots = 64
         while slots < min(most, 16 * len(keys)):
             slots *= 2
@@ -259,29 +272,53 @@ class GramFilter:
 
 
 def exact_counts(docs: DataFrame, keep: GramFilter, min_count: int, max_words: int) -> DataFrame:
-    """(lang, n, phrase, f): words and phrases with ``min_count`` occurrences or more; n = 0: a language's words."""
-    shared = docs.sparkSession.sparkContext.broadcast(keep)
+    """(lang, n, phrase, f): words and phrases with ``min_count`` occurrences or more; n = 0: a language's words.
 
-    def batch(lang, n, phrases, counts):
-        k = len(phrases)
-        return pa.RecordBatch.from_arrays([pa.array([lang.decode()] * k, pa.string()), pa.array([n] * k, pa.int32()),
-                                           pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())], names=["lang", "n", "phrase", "f"])
+    A task sends a partition its phrases as one row; equal phrases meet there and are added by their text.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(keep)
 
     def run(batches):
-        for vocabulary, grams in _count_batches(batches, max_words):
+        for vocabulary, grams, total in _count_batches(batches, max_words, shared.value):
             spelt, wh = list(vocabulary), vocabulary.hashes()
-            for (lang, n), (keys, counts) in grams.items():
-                if n == 1:
-                    yield batch(lang, 0, [b""], [counts.sum()])
-                else:
-                    found = shared.value.maybe(_gram_hashes(lang, n, keys, wh))
-                    keys, counts = keys[found], counts[found]
-                cols = [((keys >> (ID_BITS * j)) & ((1 << ID_BITS) - 1)).tolist() for j in reversed(range(n))]
-                yield batch(lang, n, [b" ".join([spelt[i] for i in at]) for at in zip(*cols)], counts)
-
-    return (docs.mapInArrow(run, "lang string, n int, phrase binary, f long")
-            .groupBy("lang", "n", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f"))
-            .where((F.col("n") == 0) | (F.col("f") >= min_count)))
+            for lang in total:
+                texts, parts, times = [b""], [np.zeros(1, np.int64)], [np.array([total[lang]])]
+                for n in range(1, max_words + 1):
+                    keys, counts = grams.get((lang, n), (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                    cols = [((keys >> (ID_BITS * j)) & ((1 << ID_BITS) - 1)).tolist() for j in reversed(range(n))]
+                    texts += [b" ".join([spelt[i] for i in at]) for at in zip(*cols)]
+                    parts.append(_deal(gram_hashes(lang, n, keys, wh), keep_bits)[0])
+                    times.append(counts)
+                part, counts = np.concatenate(parts), np.concatenate(times)
+                order = np.argsort(part, kind="stable")
+                part, counts = part[order], counts[order]
+                edge = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+                spans = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+                for s in range(0, len(spans), 256):
+                    some = spans[s:s + 256]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part[a] for a, _ in some], pa.int32()), pa.array([lang.decode()] * len(some), pa.string()),
+                         pa.array([b"\n".join([texts[i] for i in order[a:b]]) for a, b in some], pa.binary()),
+                         pa.array([counts[a:b].tobytes() for a, b in some], pa.binary())], names=["part", "lang", "phrases", "counts"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, dict] = defaultdict(lambda: defaultdict(int))
+        for b in batches:
+            for lang, phrases, counts in zip(*(b.column(c).to_pylist() for c in ("lang", "phrases", "counts"))):
+                of = sums[lang]
+                for phrase, f in zip(phrases.split(b"\n"), np.frombuffer(counts, np.int64).tolist()):
+                    of[phrase] += f
+        for lang, of in sums.items():
+            found = [(p.count(b" ") + 1 if p else 0, p, f) for p, f in of.items() if f >= min_count or not p]
+            for s in range(0, len(found), 100_000):
+                n, p, f = zip(*found[s:s + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(n, pa.int32()), pa.array(p, pa.binary()),
+                                                  pa.array(f, pa.int64())], names=["lang", "n", "phrase", "f"])
+
+    keep_bits = keep.bits
+    return (docs.mapInArrow(run, "part int, lang string, phrases binary, counts binary")
+            .groupBy("part").applyInArrow(meet, "lang string, n int, phrase binary, f long")
+            .withColumn("phrase", F.col("phrase").cast("string")))
 
 
 def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 10, max_words: int = 3,
@@ -334,7 +371,7 @@ def scored(counted: DataFrame, max_words: int, share: int) -> DataFrame:
     return out.join(of(0, F.col("f").alias("n")), "lang")
 
 
-def best(found: DataFrame, top: int, bins: int = 1000, salts: int = 32) -> DataFrame:
+def best(found: DataFrame, top: int, bins: int = 1000, salts: int = 8) -> DataFrame:
     """The first ``top`` per language by score and count descending, phrase ascending.
 
     Counts per range of scores show below which range nothing can be among them; the rest is ranked

@@ -77,7 +77,7 @@ def test_collocations_taken_in_many_parts(docs, rows, monkeypatch):
     got = Counter()
 
     def keep():
-        vocabulary, grams = counter.take()
+        vocabulary, grams, _ = counter.take()
         spelt = list(vocabulary)
         for (_, n), (keys, counts) in grams.items():
             for k, c in zip(keys.tolist(), counts.tolist()):
