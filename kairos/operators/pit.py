@@ -127,7 +127,7 @@ def scd_between_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_c
     return facts.join(h, cond, "left").drop("_hk", "_vf", "_vt")
 
 
-def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map):
+def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map, mark):
     pit = entity.select(F.col(id_col).alias("_pk"), F.col("valid_from").alias("_pvf"),
                         F.col("valid_to").alias("_pvt"), F.col("sk").alias("_psk"),
                         F.col("master_sk").alias("_pmsk"))
@@ -143,10 +143,11 @@ def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map):
         masters.append(F.col("_mmsk"))
     return out.select(*[F.col(c) for c in facts.columns],
                       F.coalesce(F.col("_psk"), F.col("_csk")).alias(f"{prefix}_sk"),
-                      F.coalesce(*masters).alias(f"{prefix}_master_sk"))
+                      F.coalesce(*masters).alias(f"{prefix}_master_sk"),
+                      *([F.col("_psk").isNotNull().alias(mark)] if mark else []))
 
 
-def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
+def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit, mark):
     out = _asof(facts, fk, t, entity, id_col, ["sk", "master_sk"], slice_unit)
     masters = [F.col("_pit.master_sk"), F.when(F.col("_pit").isNull(), F.col("_cur.master_sk"))]
     if sk_map is not None:
@@ -154,21 +155,25 @@ def _fk_enrich_asof(facts, fk, t, entity, id_col, prefix, sk_map, slice_unit):
         out = out.join(m, "_k", "left")
         masters.append(F.col("_mmsk"))
     return out.select("_f.*", F.coalesce("_pit.sk", F.when(F.col("_pit").isNull(), F.col("_cur.sk"))).alias(f"{prefix}_sk"),
-                      F.coalesce(*masters).alias(f"{prefix}_master_sk"))
+                      F.coalesce(*masters).alias(f"{prefix}_master_sk"), *([F.col("_pit").isNotNull().alias(mark)] if mark else []))
 
 
 def fk_enrich(facts: DataFrame, fk: str, t: str, entity: DataFrame, id_col: str, prefix: str,
-              sk_map: DataFrame | None = None, strategy: str = "asof", slice_unit: str | None = "month") -> DataFrame:
+              sk_map: DataFrame | None = None, strategy: str = "asof", slice_unit: str | None = "month",
+              mark: str | None = None) -> DataFrame:
     """Add ``{prefix}_sk`` (version valid at ``t``, else the current version)
-    and ``{prefix}_master_sk`` (from that version, else the key map)."""
+    and ``{prefix}_master_sk`` (from that version, else the key map).
+
+    ``mark`` names a further column: whether the version is one valid at ``t`` (true
+    where the key is null: no version can change that)."""
     if strategy not in ("join", "asof"):
         raise ValueError(f"unknown strategy {strategy!r}")
     keyed = facts.where(F.col(fk).isNotNull())
     if strategy == "join":
-        out = _fk_enrich_join(keyed, fk, t, entity, id_col, prefix, sk_map)
+        out = _fk_enrich_join(keyed, fk, t, entity, id_col, prefix, sk_map, mark)
     else:
-        out = _fk_enrich_asof(keyed, fk, t, entity, id_col, prefix, sk_map, slice_unit)
+        out = _fk_enrich_asof(keyed, fk, t, entity, id_col, prefix, sk_map, slice_unit, mark)
     none = [F.lit(None).cast(out.schema[f"{prefix}_{c}"].dataType).alias(f"{prefix}_{c}") for c in ("sk", "master_sk")]
-    return out.unionByName(facts.where(F.col(fk).isNull()).select("*", *none))
+    return out.unionByName(facts.where(F.col(fk).isNull()).select("*", *none, *([F.lit(True).alias(mark)] if mark else [])))
 
 

@@ -511,6 +511,42 @@ def q_inc_daily_run(spark, d):
     return inc.load_state(spark, base)["stg_orders"]
 
 
+LATE_LOG_CUTOFFS = ["1999-01-01 00:00:00", "2024-01-15 00:00:00", "2100-01-01 00:00:00"]
+
+
+def _late_parents_run(spark, d):
+    """Three loads whose logs run ahead of the orders: the first brings logs of two years whose orders, or
+    order versions, come with the second; the third brings no logs at all."""
+    from kairos.plans import incremental as inc
+
+    changes = {"customers": rawsrc.customer_changes(spark, d), "products": rawsrc.product_changes(spark, d),
+               "orders": rawsrc.order_changes(spark, d)}
+    logs = {"payments": rawsrc.raw_payments(spark, d), "items": rawsrc.raw_order_items(spark, d)}
+    base = scratch_path(spark, "inc-late")
+    for i, (cut, log_cut) in enumerate(zip(INC_CUTOFFS, LATE_LOG_CUTOFFS)):
+        load = inc.Load(**{k: v.where(F.col("updated_at") < ts_literal(cut)) for k, v in changes.items()},
+                        **({k: v.where(F.col("created_at") < ts_literal(log_cut)) for k, v in logs.items()} if i < 2 else {}))
+        inc.run_load(spark, inc.load_state(spark, base), load, cut, base, mapping=rawsrc.read_id_mapping(spark))
+    return inc.load_state(spark, base)
+
+
+def q_inc_late_payments(spark, d):
+    return _late_parents_run(spark, d)["stg_payments"]
+
+
+def q_inc_late_items(spark, d):
+    return _late_parents_run(spark, d)["stg_order_items"]
+
+
+def q_inc_late_fct_orders(spark, d):
+    """The orders mart over payments that came before their orders: none stays unpaid for it."""
+    from kairos.operators.aggregates import order_payments
+    from kairos.plans import models as M
+
+    state = _late_parents_run(spark, d)
+    return M.fct_orders(state["stg_orders"], order_payments(state["stg_payments"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{n: _model(n) for n in MODEL_NAMES},
     "s1_scd2_snapshot": q_s1_scd2_snapshot,
@@ -578,5 +614,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "b17_rolling_filter": q_b17_rolling_filter,
     "d9_dashboard": q_d9_dashboard,
     "inc_daily_run": q_inc_daily_run,
+    "inc_late_payments": q_inc_late_payments,
+    "inc_late_items": q_inc_late_items,
+    "inc_late_fct_orders": q_inc_late_fct_orders,
     **STREAM_QUERIES,
 }

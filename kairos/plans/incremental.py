@@ -6,8 +6,8 @@ State under ``base`` (a shared folder):
   adds the versions it opened and closed, so that writing and enriching follow
   the changes, not the entities or the history;
 * key maps: ``{name}/gen=N`` holds only the entities first seen in run N;
-* logs: ``{name}/gen=N`` holds the payments and items new in run N, one per id,
-  enriched once;
+* logs: fact stores (``sources/facts.py``): the payments and items new in run N, one per id,
+  and those linked again because a parent came late;
 * ``_commits/N.json``, written last: the run's ``as_of`` and the tables' schemas.
   A generation without it doesn't count; the next run overwrites it.
 
@@ -15,7 +15,10 @@ A new process goes on with ``load_state``; a run that brings no state to a base
 with commits is refused.  Staging keys take master_sk from the key map, so the
 result equals the full refresh (tests/test_incremental.py, query
 ``inc_daily_run``); an order's customer key is that of the run that wrote the
-version.  Marts and features are rebuilt from staging.
+version.  Payments and items may come before their order or product, and versions after
+the facts they cover: a run links the facts again that its versions touch, so the staged
+logs equal a full build over the same loads (``inc_late_payments``, ``inc_late_items``,
+``inc_late_fct_orders``).  Marts and features are rebuilt from staging.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from kairos.operators.keys import canonicalise, first_version, new_entities
 from kairos.operators.scd import dedup_latest, lookback_filter, normalise_history, scd2_changes
 from kairos.plans import models as M
 from kairos.session import hadoop_path
+from kairos.sources.facts import SETTLED, FactStore
 from kairos.sources.versions import COMPACT_EVERY, VersionStore
 
 SNAPSHOTS = {"customers": "customers_snapshot", "products": "products_snapshot", "orders": "orders_snapshot"}
@@ -59,6 +63,7 @@ class State:
     tables: dict[str, DataFrame]
     as_of: str | None = None
     stores: dict[str, VersionStore] = field(default_factory=dict)
+    facts: dict[str, FactStore] = field(default_factory=dict)
     schemas: dict[str, dict] = field(default_factory=dict)
 
     def __getitem__(self, k: str) -> DataFrame:
@@ -101,12 +106,19 @@ def _state(spark: SparkSession, base: str, gen: int, as_of: str | None, schemas:
         for table, key in ((name, "id"), STAGING[ent]):
             state.stores[table] = VersionStore(spark, os.path.join(base, table), key, StructType.fromJson(schemas[table]), compact_every)
             state.tables[table] = state.stores[table].table(gen)
-    for name in [*MAPS.values(), *LOGS.values()]:
+    for name in MAPS.values():
+        state.tables[name] = _appended(spark, base, name, gen, StructType.fromJson(schemas[name]))
+    for ent, name in LOGS.items():
         if name in schemas:
-            state.tables[name] = _appended(spark, base, name, gen, StructType.fromJson(schemas[name]))
+            state.facts[name] = _fact_store(spark, base, ent, StructType.fromJson(schemas[name]))
+            state.tables[name] = state.facts[name].table(gen)
     return state
 
 
+def _fact_store(spark: SparkSession, base: str, ent: str, schema: StructType) -> FactStore:
+    return FactStore(spark, os.path.join(base, LOGS[ent]), LOG_ID[ent], "created_at", schema)
+
+
 # --- append-only tables -------------------------------------------------------
 
 def _appended(spark: SparkSession, base: str, name: str, gen: int, schema: StructType) -> DataFrame:
@@ -178,29 +190,55 @@ def run_load(spark: SparkSession, state: State | None, load: Load, as_of: str, b
     store("stg_orders", "order_id", kind(M.stg_orders(touched["orders"], customers, tables["dim_customer_sk_map"],
                                                       sk_map_df=tables["dim_order_sk_map"], strategy=strategy)))
 
-    # logs (E2): one row per id, only ids not stored yet, enriched once
+    # logs (E2): one row per id, only ids not stored yet; facts whose parents came late are linked again
     orders, products = stores["stg_orders"].table(gen), stores["stg_products"].table(gen)
+
+    def opened(table: str, key: str) -> DataFrame:
+        """Parents touched in this run and the start of the earliest version opened for them."""
+        rows = stores[table].touched(gen).where(F.col("_kind") != "closed")
+        return rows.groupBy(key).agg(F.min("valid_from").alias("_from"))
+
+    def link(ent: str, rows: DataFrame, keep=()) -> DataFrame:
+        if ent == "payments":
+            return M.stg_payments(rows, orders, tables["dim_order_sk_map"], settled=SETTLED, keep=keep)
+        return M.stg_order_items(rows, orders, tables["dim_order_sk_map"], products, tables["dim_product_sk_map"], settled=SETTLED, keep=keep)
+
+    parents = {"payments": {"order_id": "stg_orders"}, "items": {"order_id": "stg_orders", "product_id": "stg_products"}}
     for ent, name in LOGS.items():
         rows = getattr(load, ent)
-        known = state.tables.get(name) if state is not None else None
+        known = state.facts.get(name) if state is not None else None
+        if rows is None and known is None:
+            continue
+        again = None
+        if known is not None:
+            stale = known.affected(state.gen, {fk: opened(table, fk) for fk, table in parents[ent].items()})
+            if stale is not None:
+                again = _relinked(ent, stale, link)
         if rows is None:
-            if known is not None:
-                schemas[name] = state.schemas[name]
+            known.write(gen, known.table(state.gen).limit(0).withColumn(SETTLED, F.lit(True)), again)
+            schemas[name] = state.schemas[name]
             continue
         new = dedup_latest(rows, ["id"], ["created_at"]).select(*rows.columns)
         if known is not None:
-            new = new.join(known.select(F.col(LOG_ID[ent]).alias("id")), "id", "left_anti").select(*rows.columns)
-        if ent == "payments":
-            out = M.stg_payments(new, orders, tables["dim_order_sk_map"])
-        else:
-            out = M.stg_order_items(new, orders, tables["dim_order_sk_map"], products, tables["dim_product_sk_map"])
-        _append(spark, base, name, gen, out)
-        schemas[name] = out.schema.jsonValue()
+            new = new.join(known.ids(state.gen).withColumnRenamed(LOG_ID[ent], "id"), "id", "left_anti").select(*rows.columns)
+        out = link(ent, new)
+        schema = out.drop(SETTLED).schema
+        _fact_store(spark, base, ent, schema).write(gen, out, again)
+        schemas[name] = schema.jsonValue()
 
     _commit(spark, base, gen, {"as_of": str(as_of), "schemas": schemas, "compact_every": compact_every})
     return _state(spark, base, gen, str(as_of), schemas, compact_every)
 
 
+def _relinked(ent: str, stale: DataFrame, link) -> DataFrame:
+    """``stale`` facts linked anew: those whose links, or their being settled, differ from what is stored."""
+    cols = [c for c in stale.columns if c != "_link"]
+    links = [c for c in cols if c.endswith("_sk")]
+    old = stale.withColumn("_old", F.struct(*links, (F.col("_link") == "settled").alias(SETTLED)))
+    loaded = (M.payments_as_loaded if ent == "payments" else M.items_as_loaded)(old, ["_old"])
+    return link(ent, loaded, ["_old"]).where(~F.col("_old").eqNullSafe(F.struct(*links, SETTLED))).select(*cols, SETTLED)
+
+
 def marts(spark: SparkSession, state: State, payments: DataFrame | None, items: DataFrame | None, as_of) -> dict[str, DataFrame]:
     """Rebuild intermediate, marts and features from the state's staging tables.
 

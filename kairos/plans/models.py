@@ -81,25 +81,40 @@ def stg_orders(snapshot: DataFrame, customers: DataFrame, customer_map: DataFram
 
 
 def stg_payments(payments: DataFrame, orders: DataFrame, order_map: DataFrame | None,
-                 strategy: str = "join") -> DataFrame:
+                 strategy: str = "join", settled: str | None = None, keep=()) -> DataFrame:
+    """M11.  ``settled`` names a column: whether the order's version is one valid at the payment; ``keep``: columns passed on."""
     # an order has at most one version per stage: an equi-join with a range residual stays linear
     e = fk_enrich(payments, "order_id", "created_at", orders, "order_id", "order", sk_map=order_map,
-                  strategy=strategy)
+                  strategy=strategy, mark=settled)
     return e.select(F.col("id").alias("payment_id"), "order_id", "order_sk", "order_master_sk",
                     F.col("method").alias("payment_method"), F.col("status").alias("payment_status"),
-                    "amount", "created_at")
+                    "amount", "created_at", *keep, *([settled] if settled else []))
+
+
+def payments_as_loaded(staged: DataFrame, keep=()) -> DataFrame:
+    """The log rows behind staged payments (to link them again)."""
+    return staged.select(F.col("payment_id").alias("id"), "order_id", F.col("payment_method").alias("method"),
+                         F.col("payment_status").alias("status"), "amount", "created_at", *keep)
 
 
 def stg_order_items(items: DataFrame, orders: DataFrame, order_map, products: DataFrame, product_map,
-                    strategy: str = "join") -> DataFrame:
+                    strategy: str = "join", settled: str | None = None, keep=()) -> DataFrame:
+    """M12.  ``settled`` names a column: whether both versions are valid at the item's time; ``keep``: columns passed on."""
     # few versions per order and product, as for payments
+    marks = ("_order_settled", "_product_settled") if settled else (None, None)
     e = (items.transform(lambda d: fk_enrich(d, "order_id", "created_at", orders, "order_id", "order",
-                                             sk_map=order_map, strategy=strategy))
+                                             sk_map=order_map, strategy=strategy, mark=marks[0]))
          .transform(lambda d: fk_enrich(d, "product_id", "created_at", products, "product_id", "product",
-                                        sk_map=product_map, strategy=strategy)))
+                                        sk_map=product_map, strategy=strategy, mark=marks[1])))
     return e.select(F.col("id").alias("order_item_id"), "order_id", "order_sk", "order_master_sk",
                     "product_id", "product_sk", "product_master_sk", "quantity", "unit_price", "created_at",
-                    (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("line_total"))
+                    (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("line_total"), *keep,
+                    *([(F.col(marks[0]) & F.col(marks[1])).alias(settled)] if settled else []))
+
+
+def items_as_loaded(staged: DataFrame, keep=()) -> DataFrame:
+    """The log rows behind staged order items (to link them again)."""
+    return staged.select(F.col("order_item_id").alias("id"), "order_id", "product_id", "quantity", "unit_price", "created_at", *keep)
 
 
 def dim_customers(customers: DataFrame, co: DataFrame) -> DataFrame:
