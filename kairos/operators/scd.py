@@ -175,6 +175,8 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, keys: Sequence[s
 
     ``target`` rows whose key has no change are kept untouched, and so are rows whose
     ``seq`` is greater than the change's (a change that arrives late doesn't undo a newer one).
+    ``target`` doesn't remember deleted keys, so batches must come in order of ``seq``: a late change older than
+    a delete would bring its key back.  ``sources.changes`` keeps tombstones and takes batches in any order.
     """
     keys = list(keys)
     latest = dedup_latest(changes, keys, [seq])

@@ -187,6 +187,41 @@ def q_a16_apply_changes(spark, d):
     return scd.apply_changes(first, ch.where(F.col("ts") >= mid), ["user_id"], "ts")
 
 
+TOMBSTONE_HORIZON = "2024-01-20 00:00:00"
+
+
+def _change_table(spark, d, name):
+    """Event changes dealt into three batches that overlap in time, stored in an odd order, one twice."""
+    from kairos.sources.changes import ChangeTable
+
+    ch = (_t(spark, d, "events").select("user_id", "ts", "event_type", "value",
+                                        F.when(F.col("event_type") == "error", "D").otherwise("U").alias("op"), "event_id"))
+    table = ChangeTable(spark, scratch_path(spark, name), ["user_id"], "ts")
+    for batch in (2, 0, 2, 1):
+        table.apply(ch.where(F.col("event_id") % 3 == batch).drop("event_id"), f"batch-{batch}")
+        if batch == 0:
+            table.compact()
+    return table
+
+
+def q_a16_merge_changes(spark, d):
+    return _change_table(spark, d, "a16").live()
+
+
+def q_a16_tombstones(spark, d):
+    """Deletes that the state still remembers once those before the horizon are forgotten."""
+    table = _change_table(spark, d, "a16t")
+    table.compact(TOMBSTONE_HORIZON)
+    return table.state().where("_deleted").select("user_id", "ts")
+
+
+def q_a7_upsert_repeats(spark, d):
+    """A batch with several rows per key, of which the latest counts."""
+    ch = rawsrc.order_changes(spark, d)
+    target = latest_per_key(ch.where(F.col("updated_at") < ts_literal(ORDERS_CUTOFF)), ["id"], ["updated_at"])
+    return sinks.upsert(target, ch.where(F.col("updated_at") >= ts_literal(ORDERS_CUTOFF)), ["id"], order=["updated_at"])
+
+
 def q_a3_append_after(spark, d):
     p = rawsrc.raw_payments(spark, d)
     target = p.where(F.col("created_at") < ts_literal(ORDERS_OVERLAP_FROM))
@@ -260,6 +295,20 @@ def q_d10_semi_additive(spark, d):
     return evaluate(m, rawsrc.order_changes(spark, d), ["status"], "year")
 
 
+def q_d10_carried_balance(spark, d):
+    """Amount of all orders by status at the end of every month; an order counts in months without a change too."""
+    m = Metric("open_amount", "sum", "amount", "updated_at", additive=False, entity="id", cast="decimal(18,2)", carry=True)
+    return evaluate(m, rawsrc.order_changes(spark, d), ["status"], "month")
+
+
+def q_d10_carried_count(spark, d):
+    """Active user states at the end of each week: a state ends where the next one starts, an error ends the user."""
+    from kairos.operators.metrics import carried_balance
+
+    h = scd.scd2_from_changes(_status_changes(spark, d), "user_id", "ts", ["event_type"])
+    return carried_balance(h.where("event_type != 'error'"), "user_id", "valid_from", "1", ["event_type"], "week", "n_states", until="valid_to")
+
+
 def q_d11_periodic_snapshot(spark, d):
     h = scd.scd2_from_changes(_status_changes(spark, d), "user_id", "ts", ["event_type"])
     return agg.periodic_snapshot(h, "user_id", "2024-01-01 00:00:00", "2024-01-30 00:00:00", ["event_type"])
@@ -566,6 +615,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e2_dedup_latest": q_e2_dedup_latest,
     "e2_log_staging": q_e2_log_staging,
     "a16_apply_changes": q_a16_apply_changes,
+    "a16_merge_changes": q_a16_merge_changes,
+    "a16_tombstones": q_a16_tombstones,
+    "a7_upsert_repeats": q_a7_upsert_repeats,
     "a3_append_after": q_a3_append_after,
     "b8_newer_than": q_b8_newer_than,
     "b9_lookback_filter": q_b9_lookback,
@@ -579,6 +631,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d9_metric_revenue": q_d9_metric_revenue,
     "d9_metric_median": q_d9_metric_median,
     "d10_semi_additive": q_d10_semi_additive,
+    "d10_carried_balance": q_d10_carried_balance,
+    "d10_carried_count": q_d10_carried_count,
     "d11_periodic_snapshot": q_d11_periodic_snapshot,
     "d11_weekly_snapshot": q_d11_weekly_snapshot,
     "d12_accumulating_snapshot": q_d12_accumulating_snapshot,

@@ -23,7 +23,6 @@ logs equal a full build over the same loads (``inc_late_payments``, ``inc_late_i
 
 from __future__ import annotations
 
-import json
 import os
 from dataclasses import dataclass, field
 
@@ -34,7 +33,7 @@ from pyspark.sql.types import IntegerType, StructType
 from kairos.operators.keys import canonicalise, first_version, new_entities
 from kairos.operators.scd import dedup_latest, lookback_filter, normalise_history, scd2_changes
 from kairos.plans import models as M
-from kairos.session import hadoop_path
+from kairos.sources.commits import commit, committed, read_note
 from kairos.sources.facts import SETTLED, FactStore
 from kairos.sources.versions import COMPACT_EVERY, VersionStore
 
@@ -72,31 +71,12 @@ class State:
 
 # --- commits ----------------------------------------------------------------
 
-def _commits(spark: SparkSession, base: str) -> list[int]:
-    fs, p = hadoop_path(spark, os.path.join(base, "_commits"))
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-
-def _commit(spark: SparkSession, base: str, gen: int, note: dict) -> None:
-    fs, tmp = hadoop_path(spark, os.path.join(base, "_commits", f"{gen:06d}.tmp"))
-    out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps(note).encode()))
-    out.close()
-    _, final = hadoop_path(spark, os.path.join(base, "_commits", f"{gen:06d}.json"))
-    if not fs.rename(tmp, final):
-        raise RuntimeError(f"generation {gen} was committed by another run")
-
-
 def load_state(spark: SparkSession, base: str) -> State | None:
     """The state after the last committed run under ``base`` (None: no run yet)."""
-    done = _commits(spark, base)
+    done = committed(spark, base)
     if not done:
         return None
-    fs, p = hadoop_path(spark, os.path.join(base, "_commits", f"{done[-1]:06d}.json"))
-    note = json.loads("".join(r[0] for r in spark.read.text(p.toString()).collect()))
+    note = read_note(spark, base, done[-1])
     return _state(spark, base, done[-1], note["as_of"], note["schemas"], note["compact_every"])
 
 
@@ -147,7 +127,7 @@ def run_load(spark: SparkSession, state: State | None, load: Load, as_of: str, b
     ``lookback_days`` limits the orders read to those updated since that many days
     before the previous run (None: all), so a missed run loses nothing.
     """
-    done = _commits(spark, base)
+    done = committed(spark, base)
     if state is None and done:
         raise ValueError(f"{base} holds {len(done)} committed runs: continue with load_state")
     if state is not None and state.gen != (done[-1] if done else None):
@@ -226,7 +206,7 @@ def run_load(spark: SparkSession, state: State | None, load: Load, as_of: str, b
         _fact_store(spark, base, ent, schema).write(gen, out, again)
         schemas[name] = schema.jsonValue()
 
-    _commit(spark, base, gen, {"as_of": str(as_of), "schemas": schemas, "compact_every": compact_every})
+    commit(spark, base, gen, {"as_of": str(as_of), "schemas": schemas, "compact_every": compact_every})
     return _state(spark, base, gen, str(as_of), schemas, compact_every)
 
 

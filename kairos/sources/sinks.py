@@ -32,12 +32,36 @@ def check_same_schema(a: DataFrame, b: DataFrame, ignore: Iterable[str] = ()) ->
         raise SchemaChangeError(f"schema changed: {sorted(set(sa) ^ set(sb))}")
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """A batch with one row per key: the latest by ``order``, or without an order any repeated key fails the job.
+
+    Rows with a null in a key equal no other row and pass unchanged.
+    """
+    from kairos.operators.sequence import latest_per_key
+
+    keys = list(keys)
+    null = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+    keyed, others = batch.where(~null), batch.where(null)
+    if order:
+        return latest_per_key(keyed, keys, list(order)).select(*batch.columns).unionByName(others)
+    rest = [c for c in batch.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(True)
+    said = F.concat(F.lit("repeated key in the batch: "), F.to_json(F.struct(*keys)))
+    one = keyed.groupBy(*keys).agg(F.any_value(row).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    checked = F.when(F.col("_n") == 1, F.col("_r")).otherwise(F.raise_error(said)).alias("_r")
+    one = one.select(*keys, checked)
+    one = one.select(*keys, "_r.*") if rest else one.where("_r").select(*keys)
+    return one.select(*batch.columns).unionByName(others)
+
+
+def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """Incremental merge on unique ``keys``: batch rows replace target rows.
 
     ``target`` anti-joined with the batch keys, plus the batch (MERGE is not
-    available on plain Parquet tables).
+    available on plain Parquet tables).  A key that the batch holds twice fails the job, as a
+    merge would; with ``order`` its latest row counts.
     """
+    batch = one_per_key(batch, keys, order)
     if target is None:
         return batch
     check_same_schema(target, batch)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kairos.operators.scd import dedup_latest, scd2_from_loads
 from kairos.plans import incremental as I
 from kairos.plans import models as M
-from kairos.session import scratch_path
+from kairos.session import hadoop_path, scratch_path
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -122,7 +122,7 @@ def test_a_retried_run_links_the_same(spark):
     I.run_load(spark, None, first, "2024-01-03 06:00:00", base)
     before = I.load_state(spark, base)
     once = _rows(I.run_load(spark, before, second, "2024-01-04 06:00:00", base)["stg_payments"])
-    fs, p = I.hadoop_path(spark, f"{base}/_commits/000001.json")
+    fs, p = hadoop_path(spark, f"{base}/_commits/000001.json")
     fs.delete(p, False)  # as if the process had died just before its commit
     again = I.run_load(spark, I.load_state(spark, base), second, "2024-01-04 06:00:00", base)
     assert _rows(again["stg_payments"]) == once and all("None" not in r for r in once)
