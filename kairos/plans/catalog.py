@@ -510,6 +510,55 @@ def q_a14_backfill(spark, d):
     return out.withColumn("week_start", F.col("week_start").cast("timestamp_ntz"))
 
 
+def q_a13_compact_small(spark, d):
+    """Payments by month of loading, in files of which the small ones are packed in place: rows and layout stay."""
+    from kairos.sources.compaction import compact_small
+
+    path = scratch_path(spark, "a13-months")
+    pay = rawsrc.raw_payments(spark, d).withColumn("month", F.date_format("created_at", "yyyy-MM"))
+    pay.repartition(6).write.partitionBy("month").parquet(path)
+    compact_small(spark, path, target_mb=1)
+    per = spark.read.parquet(path).groupBy("month").agg(F.count("*").alias("n_rows"), F.sum("amount").cast("decimal(18,2)").alias("amount"),
+                                                        F.count_distinct("_metadata.file_path").alias("_files"))
+    return per.select("month", "n_rows", "amount", F.col("_files").alias("n_files"))
+
+
+def _monthly_payments(rows):
+    return (rows.groupBy(F.date_format("created_at", "yyyy-MM").alias("month"), "method")
+            .agg(F.count("*").alias("n_rows"), F.sum("amount").cast("decimal(18,2)").alias("amount")))
+
+
+def _published_payments(spark, d):
+    """Monthly totals with duplicate payments counted, live; the totals of one row per id staged as a backfill."""
+    from kairos.sources.published import PublishedTable, Rules
+
+    pay = rawsrc.raw_payments(spark, d)
+    table = PublishedTable(spark, scratch_path(spark, "a15"), "month", ["method"])
+    table.backfill(_monthly_payments(pay), "first")
+    fixed = _monthly_payments(scd.dedup_latest(pay, ["id"], ["created_at"]))
+    return table, fixed, Rules(sums={"amount": 0.02, "n_rows": 0.02}, must_hold="amount >= 0")
+
+
+def q_a15_partition_report(spark, d):
+    table, fixed, rules = _published_payments(spark, d)
+    return table.report("one-per-id", table.stage(fixed, "one-per-id"), rules)
+
+
+def q_a15_promote(spark, d):
+    """What readers see after a good backfill, a repeat of it and one that loses a method's rows and is refused."""
+    from kairos.sources.published import PromotionRefused, Rules
+
+    table, fixed, _ = _published_payments(spark, d)
+    wide = Rules(sums={"amount": 0.5, "n_rows": 0.5})
+    table.backfill(fixed, "one-per-id", wide)
+    table.backfill(fixed, "one-per-id", wide)
+    try:
+        table.backfill(fixed.where("method != 'gift_card'"), "lossy", wide)
+    except PromotionRefused:
+        return table.read()
+    raise AssertionError("a backfill without gift cards was promoted")
+
+
 def q_a18_write_as(spark, d):
     src = rawsrc.raw_orders_current(spark, d)
     out = None
@@ -662,7 +711,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a11_write_partitioned": q_a11_write_partitioned,
     "a12_write_clustered": q_a12_write_clustered,
     "a13_compact": q_a13_compact,
+    "a13_compact_small": q_a13_compact_small,
     "a14_backfill": q_a14_backfill,
+    "a15_partition_report": q_a15_partition_report,
+    "a15_promote": q_a15_promote,
     "a18_write_as": q_a18_write_as,
     "a19_scd1": q_a19_scd1,
     "b17_rolling_filter": q_b17_rolling_filter,

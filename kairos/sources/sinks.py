@@ -142,22 +142,22 @@ def write_clustered(df: DataFrame, path: str, part: Sequence[str], sort: Sequenc
 
 
 def compact(spark: SparkSession, src_path: str, dst_path: str, target_mb: int = 128) -> str:
-    """Rewrite many small files as files of about ``target_mb`` to a new path.
+    """Rewrite many small files as files of about ``target_mb`` to a new path, partition directories kept.
 
-    Scan tasks take whole files up to the target size and write one file each: no
-    shuffle, and rows of a file stay together (clustering survives).
+    Scan tasks take whole files up to the target size and write one file each (a
+    partitioned table: one for each partition they hold): no shuffle, and rows of a file stay together.  ``compaction.compact_small`` packs
+    a table's small files in place.  The packing options are set in a session of their own.
     """
     size = str(target_mb * 1024 * 1024)
-    packing = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0",
-               "spark.sql.files.minPartitionNum": "1"}
-    before = {k: spark.conf.get(k, None) for k in packing}
-    try:
-        for k, v in packing.items():
-            spark.conf.set(k, v)
-        spark.read.parquet(src_path).write.mode("overwrite").parquet(dst_path)
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    own = spark.newSession()
+    for k, v in (("maxPartitionBytes", size), ("openCostInBytes", "0"), ("minPartitionNum", "1")):
+        own.conf.set(f"spark.sql.files.{k}", v)
+    rows = own.read.parquet(src_path)
+    files = rows.inputFiles()
+    inside = [c.split("=", 1)[0] for c in (files[0].split("/")[:-1] if files else []) if "=" in c]
+    parts = [c for c in inside if c in rows.columns and c not in own.read.parquet(files[0]).columns]
+    w = rows.write.mode("overwrite")
+    (w.partitionBy(*parts) if parts else w).parquet(dst_path)
     return dst_path
 
 

@@ -1,12 +1,13 @@
 """Stored version tables whose runs write only what changed.
 
-Layout: ``{path}/gen=N/_kind=base|opened|closed``.  Run N writes the versions it
+Layout: ``{path}/gen=N/_kind=base|history|opened|closed``.  Run N writes the versions it
 opened and the versions it closed, nothing else.  Every ``compact_every`` runs
-(and in run 0) the whole open set is written as ``base``.  So
+(and in run 0) the whole open set is written as ``base``, and the versions closed since the
+last such run together as ``history``, so files don't grow with the number of runs.  So
 
 * open versions at N = the last base, without the keys touched since, plus the
   last opened version of those keys;
-* table at N = closed versions of generations up to N plus the open versions at N.
+* table at N = history up to the last base, closed versions since, and the open versions at N.
 
 Both read with partition pruning; the deltas since the last base are small
 beside it.  A generation directory is written by one run and never changed, a
@@ -59,8 +60,13 @@ class VersionStore:
 
     def table(self, gen: int) -> DataFrame:
         """All versions at generation ``gen``."""
-        closed = self._all().where((F.col("gen") <= gen) & (F.col("_kind") == "closed")).drop("gen", "_kind")
-        return closed.unionByName(self.open_rows(gen))
+        return self._closed(gen, gen - gen % self.compact_every).unionByName(self.open_rows(gen))
+
+    def _closed(self, gen: int, last: int) -> DataFrame:
+        """Versions closed up to ``gen``: history of generations up to ``last`` and what was closed after it."""
+        since = (F.col("_kind") == "closed") & (F.col("gen") > last)
+        return (self._all().where((F.col("gen") <= gen) & (((F.col("_kind") == "history") & (F.col("gen") <= last)) | since))
+                .drop("gen", "_kind"))
 
     def write(self, gen: int, changes: DataFrame) -> None:
         """Write generation ``gen``: ``changes`` are versions with ``_kind`` opened or closed."""
@@ -74,3 +80,5 @@ class VersionStore:
             opened = now.where(F.col("_kind") == "opened").drop("_kind")
             base = before.join(now.select(F.col(self.key).alias("_tk")).distinct(), F.col(self.key) == F.col("_tk"), "left_anti")
             base.unionByName(opened).write.mode("overwrite").parquet(os.path.join(target, "_kind=base"))
+            closed = self._all().where((F.col("gen") > gen - self.compact_every) & (F.col("gen") <= gen) & (F.col("_kind") == "closed"))
+            closed.drop("gen", "_kind").write.mode("overwrite").parquet(os.path.join(target, "_kind=history"))
