@@ -309,6 +309,56 @@ def q_d10_carried_count(spark, d):
     return carried_balance(h.where("event_type != 'error'"), "user_id", "valid_from", "1", ["event_type"], "week", "n_states", until="valid_to")
 
 
+def _order_metrics(spark, d):
+    """Day-level state of the orders, loaded in two parts of which the second replaces its days."""
+    from kairos.operators.partials import Measure, MetricTable
+
+    measures = [Measure("orders", "count", "id"), Measure("revenue", "sum", "amount", cast="decimal(18,2)"),
+                Measure("smallest", "min", "amount"), Measure("largest", "max", "amount"), Measure("customers", "distinct", "customer_id"),
+                Measure("avg_order", "ratio", "revenue", over="orders")]
+    table = MetricTable(spark, scratch_path(spark, "d9-days"), measures, "placed_at", ["status"])
+    o = rawsrc.raw_orders_current(spark, d)
+    table.load(o.where(F.col("placed_at") < ts_literal(ORDERS_CUTOFF)))
+    table.load(o.where(F.col("placed_at") >= ts_literal(ORDERS_OVERLAP_FROM)))
+    return table
+
+
+def q_d9_rollup_quarter(spark, d):
+    return _order_metrics(spark, d).read("quarter")
+
+
+def q_d9_rollup_month(spark, d):
+    """Months over all states: distinct customers merge across days and states."""
+    return _order_metrics(spark, d).read("month", [])
+
+
+def _daily_event_profile(spark, d):
+    from kairos.operators.profiles import null_rates, value_shares
+
+    ev = (_t(spark, d, "events").select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type",
+                                        F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase_value"),
+                                        F.when(F.col("value") > 50, F.col("user_id")).alias("large_user")))
+    return null_rates(ev, ["purchase_value", "large_user"], ["day"]), value_shares(ev, ["event_type"], ["day"])
+
+
+def q_q10_null_history(spark, d):
+    """Null rates of every day against the median and spread of the seven days before."""
+    from kairos.operators.profiles import judge
+
+    nulls, _ = _daily_event_profile(spark, d)
+    out = judge(nulls, "day", ["column_name"], past=7, min_runs=5, k=2.0, floor=0.002)
+    return out.select("day", "column_name", "n_rows", *[F.round(c, 9).alias(c) for c in ("rate", "median", "spread")], "status")
+
+
+def q_q11_share_history(spark, d):
+    """Shares of event types of every day against the seven days before."""
+    from kairos.operators.profiles import judge, with_missing
+
+    _, shares = _daily_event_profile(spark, d)
+    out = judge(with_missing(shares, "day"), "day", ["column_name", "value"], past=7, min_runs=5, k=2.0, floor=0.002)
+    return out.select("day", "value", *[F.round(c, 9).alias(c) for c in ("rate", "median", "spread")], "status")
+
+
 def q_d11_periodic_snapshot(spark, d):
     h = scd.scd2_from_changes(_status_changes(spark, d), "user_id", "ts", ["event_type"])
     return agg.periodic_snapshot(h, "user_id", "2024-01-01 00:00:00", "2024-01-30 00:00:00", ["event_type"])
@@ -719,6 +769,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a19_scd1": q_a19_scd1,
     "b17_rolling_filter": q_b17_rolling_filter,
     "d9_dashboard": q_d9_dashboard,
+    "d9_rollup_quarter": q_d9_rollup_quarter,
+    "d9_rollup_month": q_d9_rollup_month,
+    "q10_null_history": q_q10_null_history,
+    "q11_share_history": q_q11_share_history,
     "inc_daily_run": q_inc_daily_run,
     "inc_late_payments": q_inc_late_payments,
     "inc_late_items": q_inc_late_items,
