@@ -3,7 +3,7 @@
 C2 pit_join          - version valid at the event time (half-open interval)
 C3/C4/C5 fk_enrich   - PIT, then current-version fallback, then key-map lookup
 C6 chained enrichment- ``df.transform(fk_enrich(...))`` twice
-C11 scd_between_join - the documented closed-interval variant (double-matches!)
+C11 scd_between_join - the documented closed-interval variant (double-matches!), linear as well
 C12 pit_features     - feature rows valid at the event time, with their age
 
 Two physical strategies, same result on a well-formed history (versions of a
@@ -35,7 +35,8 @@ from kairos.operators.sequence import time_slice
 
 def _asof(facts: DataFrame, fk: str, t: str, history: DataFrame, id_col: str, take: list[str], slice_unit: str | None,
           valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """(_k, _f, _pit, _cur): each fact with a key, its version valid at ``t`` and its key's open version."""
+    """(_k, _f, _t, _pit, _cur, _cand): each fact with a key, its version valid at ``t``, its key's open version
+    and the last version that starts at or before ``t``."""
     key_type = facts.schema[fk].dataType
     ver = F.struct(*[F.col(c).alias(c) for c in take], F.col(valid_from).cast("timestamp_ntz").alias("_vf"),
                    F.col(valid_to).cast("timestamp_ntz").alias("_vt"))
@@ -71,8 +72,8 @@ def _asof(facts: DataFrame, fk: str, t: str, history: DataFrame, id_col: str, ta
                  .where("_isv = 0").select("_k", "_slice", "_start", "_latest"))
         out = main.join(carry, ["_k", "_slice"], "left").withColumn("_cand", F.coalesce("_in", "_start"))
     valid = F.col("_t").isNotNull() & (F.col("_cand._vt").isNull() | (F.col("_t") < F.col("_cand._vt")))
-    return out.select("_k", "_f", F.when(valid, F.col("_cand")).alias("_pit"),
-                      F.when(F.col("_latest._vt").isNull(), F.col("_latest")).alias("_cur"))
+    return out.select("_k", "_f", "_t", F.when(valid, F.col("_cand")).alias("_pit"),
+                      F.when(F.col("_latest._vt").isNull(), F.col("_latest")).alias("_cur"), "_cand")
 
 
 def pit_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
@@ -115,16 +116,38 @@ def pit_features(facts: DataFrame, features: DataFrame, fk: str, t: str, id_col:
 
 def scd_between_join(facts: DataFrame, history: DataFrame, fk: str, t: str, id_col: str,
                      take=("sk",), prefix: str = "scd_", today=None,
-                     valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+                     valid_from: str = "valid_from", valid_to: str = "valid_to",
+                     strategy: str = "asof", slice_unit: str | None = "month") -> DataFrame:
     """C11: ``t BETWEEN valid_from AND COALESCE(valid_to, today)`` (closed; a fact at a
-    version boundary matches two versions -- kept as documented, prefer C2)."""
+    version boundary matches two versions -- kept as documented, prefer C2).
+
+    ``strategy="asof"`` is linear in facts and versions: the last version that starts at or before ``t``, and the one
+    before it where that ends just at ``t``.  It expects versions of a key that don't overlap, and splits hot keys by
+    ``slice_unit``.  ``strategy="join"`` compares every fact with every version of its key, on any history.
+    """
     from kairos.functions.scalars import as_of
+    from kairos.operators.sequence import with_neighbours
 
-    h = history.select(F.col(id_col).alias("_hk"), F.col(valid_from).alias("_vf"),
-                       F.coalesce(F.col(valid_to), as_of(today)).alias("_vt"),
-                       *[F.col(c).alias(prefix + c) for c in take])
-    cond = (F.col(fk) == F.col("_hk")) & F.col(t).between(F.col("_vf"), F.col("_vt"))
-    return facts.join(h, cond, "left").drop("_hk", "_vf", "_vt")
+    take = list(take)
+    if strategy == "join":
+        h = history.select(F.col(id_col).alias("_hk"), F.col(valid_from).alias("_vf"),
+                           F.coalesce(F.col(valid_to), as_of(today)).alias("_vt"),
+                           *[F.col(c).alias(prefix + c) for c in take])
+        cond = (F.col(fk) == F.col("_hk")) & F.col(t).between(F.col("_vf"), F.col("_vt"))
+        return facts.join(h, cond, "left").drop("_hk", "_vf", "_vt")
+    if strategy != "asof":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    rows = history.where(F.col(id_col).isNotNull()).select(id_col, valid_from, valid_to, *[c for c in take if c not in (id_col, valid_from, valid_to)])
+    rows = with_neighbours(rows, [id_col], [valid_from], [valid_to, *[c for c in take if c != valid_to]], slice_unit, prev_name="_prev", next_name="_n").drop("_n")
+    out = _asof(facts, fk, t, rows, id_col, [*take, "_prev"], slice_unit, valid_from, valid_to)
+    at, cand = F.col("_t"), F.col("_cand")
+    fields = [cand[c].alias(prefix + c) for c in take]
+    here = F.when(cand["_vf"].isNotNull() & (at <= F.coalesce(cand["_vt"], as_of(today))), F.struct(*fields))
+    before = F.when(cand["_prev"][valid_to] == at, F.struct(*[cand["_prev"][c].alias(prefix + c) for c in take]))
+    met = F.filter(F.array(before, here), lambda x: x.isNotNull())
+    out = out.select("_f.*", F.explode_outer(met).alias("_m")).select(*facts.columns, "_m.*")
+    none = [F.lit(None).cast(out.schema[prefix + c].dataType).alias(prefix + c) for c in take]
+    return out.unionByName(facts.where(F.col(fk).isNull()).select("*", *none))
 
 
 def _fk_enrich_join(facts, fk, t, entity, id_col, prefix, sk_map, mark):

@@ -167,6 +167,28 @@ class Contract:
     accepted: dict[str, Sequence] = field(default_factory=dict)
     freshness_col: str | None = None
     freshness_hours: float | None = None
+    ranges: dict[str, tuple] = field(default_factory=dict)  # column -> (least, greatest), either may be None
+
+
+def row_clauses(contract: Contract, columns: Sequence[str]) -> dict[str, F.Column]:
+    """Clause -> whether a row breaks it, for the clauses that a row can break on its own."""
+    out = {f"not_null:{c}": F.col(c).isNull() for c in contract.required if c in columns}
+    out |= {f"accepted:{c}": F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in contract.accepted.items() if c in columns}
+    for c, (lo, hi) in contract.ranges.items():
+        if c in columns:
+            low = F.col(c) < lo if lo is not None else F.lit(False)
+            out[f"range:{c}"] = F.coalesce(low | (F.col(c) > hi if hi is not None else F.lit(False)), F.lit(False))
+    return out
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key, n_failed): surplus rows of every key column, all of them by one scan, one expand and one aggregate.
+
+    Values are compared as text; nulls count as one value, as in ``check_unique``.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("v")) for k in keys]))
+    per = df.select(pairs.alias("_p")).select("_p.*").groupBy("key", "v").agg(F.count(F.lit(1)).alias("_n"))
+    return per.groupBy("key").agg(F.sum(F.col("_n") - 1).alias("n_failed"))
 
 
 def check_contract(df: DataFrame, contract: Contract, as_of=None) -> DataFrame:
@@ -190,6 +212,7 @@ def check_contract(df: DataFrame, contract: Contract, as_of=None) -> DataFrame:
     for c, vals in contract.accepted.items():
         if c in actual:
             checks.append((f"accepted:{c}", F.count(F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(vals)), 1))))
+    checks += [(c, F.count_if(bad)) for c, bad in row_clauses(contract, list(actual)).items() if c.startswith("range:")]
     if contract.freshness_col and contract.freshness_col in actual and contract.freshness_hours:
         age = epoch_micros(_as_of(as_of)) - epoch_micros(F.max(contract.freshness_col))
         checks.append((f"freshness:{contract.freshness_col}",

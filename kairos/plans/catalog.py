@@ -147,6 +147,12 @@ def q_c11_scd_between_join(spark, d):
                                 "user_id", take=("sk",), today=EVENTS_TODAY)
 
 
+def q_c11_between_join_range(spark, d):
+    h = user_history(spark, d)
+    return pit.scd_between_join(_purchases(spark, d).select("event_id", "user_id", "ts"), h, "user_id", "ts",
+                                "user_id", take=("sk",), today=EVENTS_TODAY, strategy="join")
+
+
 def q_c7_canonicalise(spark, d):
     c = _t(spark, d, "customer").select("c_custkey")
     return keys.canonicalise(c, "c_custkey", rawsrc.read_id_mapping(spark))
@@ -475,6 +481,29 @@ def q_contract_suite(spark, d):
     return contracts.suite(tables | {n: getattr(m, n) for n in contracts.MODELS}, ORDERS_AS_OF)
 
 
+def _checked_lines(spark, d):
+    from kairos.operators.quality import Contract
+    from kairos.sources.checked import checked_write
+
+    contract = Contract({}, required=["l_orderkey", "l_returnflag"], accepted={"l_returnflag": ["A", "N"]}, ranges={"l_quantity": (1, 48)},
+                        unique=["l_partkey"])
+    return checked_write(_t(spark, d, "lineitem"), scratch_path(spark, "q14"), contract, on_error="quarantine",
+                         severity={"unique:l_partkey": "warn"})
+
+
+def q_q14_quarantine(spark, d):
+    """Lines kept out of a layer while it is written, with the clauses they break."""
+    out = _checked_lines(spark, d).quarantine(spark)
+    return out.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.array_join("failed_clauses", ", ").alias("clauses"))
+
+
+def q_q14_checked_layer(spark, d):
+    """The layer itself and how many rows broke each clause, from the pass that wrote it."""
+    layer = _checked_lines(spark, d)
+    rows = layer.layer(spark).groupBy(F.lit("kept").alias("clause")).agg(F.count("*").alias("n_rows"))
+    return rows.unionByName(spark.createDataFrame(sorted(layer.failed.items()), "clause string, n_rows long"))
+
+
 def q_a15_compare_frames(spark, d):
     ch = rawsrc.order_changes(spark, d)
     before = latest_per_key(ch.where(F.col("updated_at") < ts_literal(ORDERS_CUTOFF)), ["id"], ["updated_at"])
@@ -707,6 +736,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c2_pit_join_range": q_c2_pit_join_range,
     "c12_pit_features": q_c12_pit_features,
     "c11_scd_between_join": q_c11_scd_between_join,
+    "c11_between_join_range": q_c11_between_join_range,
     "c7_canonicalise": q_c7_canonicalise,
     "s4_sk_map_incremental": q_s4_sk_map_incremental,
     "c9_new_entities": q_c9_new_entities,
@@ -750,6 +780,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q12_check_range": q_q12_check_range,
     "q13_check_contract": q_q13_check_contract,
     "q_contract_suite": q_contract_suite,
+    "q14_quarantine": q_q14_quarantine,
+    "q14_checked_layer": q_q14_checked_layer,
     "a15_compare_frames": q_a15_compare_frames,
     "a15_compare_summary": q_a15_compare_summary,
     "g7_md5_uuid": q_g7_payment_ids,
