@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, StructType
+from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
 from kairos.functions.scalars import as_of as _as_of
 from kairos.functions.scalars import epoch_micros, seconds_between
@@ -155,6 +155,32 @@ def schema_diff(old: StructType, new: StructType) -> list[dict]:
     return out
 
 
+def evolved(old: StructType, new: StructType) -> StructType:
+    """The schema that holds rows of both; raises ``SchemaChangeError`` for a breaking change.
+
+    Added nullable columns and widened types go on (older rows have nulls and their values in the wider type), and a
+    column that comes narrower keeps its stored type.  Removed columns, other type changes and added required columns stop.
+    """
+    from kairos.sources.sinks import SchemaChangeError
+
+    before = {f.name: f for f in old.fields}
+    breaking = [d for d in schema_diff(old, new) if d["breaking"] and not d["change"].startswith("nullable")]
+    names = {f.name: f for f in new.fields}
+    breaking = [d for d in breaking if not (d["column"] in before and d["column"] in names and widens(names[d["column"]].dataType, before[d["column"]].dataType))]
+    if breaking:
+        raise SchemaChangeError("breaking schema change: " + "; ".join(f"{d['column']} {d['change']}" for d in breaking))
+    fields = []
+    for f in old.fields:
+        wider = names[f.name].dataType if widens(f.dataType, names[f.name].dataType) else f.dataType
+        fields.append(StructField(f.name, wider, True))
+    return StructType(fields + [StructField(f.name, f.dataType, True) for f in new.fields if f.name not in before])
+
+
+def conformed(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns and types of ``schema`` (columns it lacks: null)."""
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 @dataclass
 class Contract:
     """Q13: fields, types, nullability, accepted values and freshness in one declaration.

@@ -173,6 +173,38 @@ def q_c9_new_entities(spark, d):
     return keys.new_entities(keys.first_version(base), first_run)
 
 
+def q_s5_spliced_history(spark, d):
+    """Status changes in four batches out of order, one of them twice, compacted between: the history of one pass."""
+    from kairos.sources.spliced import SplicedHistory
+
+    ch = _status_changes(spark, d)
+    store = SplicedHistory(spark, scratch_path(spark, "s5-spliced"), "user_id", "ts", ["event_type"])
+    for part in (3, 1, 3, 0, 2):
+        store.apply(ch.where(F.col("event_id") % 4 == part))
+        if part == 0:
+            store.compact()
+    return store.history()
+
+
+def q_a9_additive_schema(spark, d):
+    """Orders' versions over two loads: the second brings a new column and a wider id."""
+    from kairos.operators.quality import conformed, evolved
+    from kairos.sources.versions import VersionStore
+
+    ch = rawsrc.order_changes(spark, d).join(
+        _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority")), "id")
+    first = ch.where(F.col("updated_at") < ts_literal(ORDERS_CUTOFF)).select(F.col("id").cast("int").alias("id"), "status", "updated_at")
+    path = scratch_path(spark, "a9")
+    rows = scd.scd2_changes(None, first, "id")
+    VersionStore(spark, path, "id", rows.drop("_kind").schema).write(0, rows)
+    second = ch.select("id", "status", "updated_at", "priority")
+    shape = evolved(first.schema, second.schema)
+    probe = scd.scd2_changes(None, conformed(second.limit(0), shape), "id").drop("_kind").schema
+    store = VersionStore(spark, path, "id", probe)
+    store.write(1, scd.scd2_changes(store.open_rows(0), conformed(second, shape), "id"))
+    return store.table(1).select("id", "status", "priority", F.col("scd_valid_from").alias("valid_from"), F.col("scd_valid_to").alias("valid_to"))
+
+
 def q_a7_upsert(spark, d):
     o = rawsrc.raw_orders_current(spark, d)
     target = o.where(F.col("placed_at") < ts_literal(ORDERS_CUTOFF))
@@ -729,7 +761,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_scd2_snapshot": q_s1_scd2_snapshot,
     "s1_snapshot_ties": q_s1_snapshot_ties,
     "s5_scd2_from_changes": q_s5_scd2_from_changes,
+    "s5_spliced_history": q_s5_spliced_history,
     "s6_scd6": q_s6_scd6,
+    "a9_additive_schema": q_a9_additive_schema,
     "c5_fk_enrich_asof": q_c5_fk_enrich_events,
     "c5_fk_enrich_join": q_c5_fk_enrich_join,
     "c2_pit_join": q_c2_pit_join,

@@ -9,7 +9,8 @@ State under ``base`` (a shared folder):
 * logs: fact stores (``sources/facts.py``): the payments and items new in run N, one per id,
   and those linked again because a parent came late;
 * ``_commits/N.json``, written last: the run's ``as_of`` and the tables' schemas.
-  A generation without it doesn't count; the next run overwrites it.
+  A generation without it doesn't count; the next run overwrites it.  Entity loads may gain nullable
+  columns and wider types: older files are read in the newer schema; other changes stop the run.
 
 A new process goes on with ``load_state``; a run that brings no state to a base
 with commits is refused.  Staging keys take master_sk from the key map, so the
@@ -24,14 +25,15 @@ logs equal a full build over the same loads (``inc_late_payments``, ``inc_late_i
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from kairos.operators.keys import canonicalise, first_version, new_entities
-from kairos.operators.scd import dedup_latest, lookback_filter, normalise_history, scd2_changes
+from kairos.operators.quality import conformed, evolved
+from kairos.operators.scd import SCD_COLS, dedup_latest, lookback_filter, normalise_history, scd2_changes
 from kairos.plans import models as M
 from kairos.sources.commits import commit, committed, read_note
 from kairos.sources.facts import SETTLED, FactStore
@@ -150,7 +152,14 @@ def run_load(spark: SparkSession, state: State | None, load: Load, as_of: str, b
         incoming = getattr(load, ent)
         if ent == "orders" and lookback_days is not None and state is not None:
             incoming = lookback_filter(incoming, True, "updated_at", as_of, M.lookback_days_since(as_of, state.as_of, lookback_days))
-        open_rows = None if state is None else state.stores[name].open_rows(state.gen)
+        open_rows = None
+        if state is not None:
+            # new nullable columns and wider types go on, what breaks the stored history stops the run
+            held = StructType([f for f in state.stores[name].schema.fields if f.name not in SCD_COLS])
+            shape = evolved(held, incoming.schema)
+            incoming = conformed(incoming, shape)
+            full = StructType(list(shape.fields) + [f for f in state.stores[name].schema.fields if f.name in SCD_COLS])
+            open_rows = replace(state.stores[name], schema=full).open_rows(state.gen)
         touched[ent] = store(name, "id", scd2_changes(open_rows, incoming, "id"))
 
     # key maps (S4): append the entities first seen now

@@ -92,6 +92,19 @@ def scd2_stream(stream: DataFrame, key: str, updated_at: str, base: str, checkpo
     return store.table(max(gens, default=0))
 
 
+def scd2_change_stream(stream: DataFrame, key: str, ts: str, attrs: list[str], base: str, checkpoint: str) -> DataFrame:
+    """T-3 for change rows that come late: every micro-batch is spliced into the stored history.
+
+    A retried batch that was committed changes nothing.  Returns the history after the last batch.
+    """
+    from kairos.sources.spliced import SplicedHistory
+
+    store = SplicedHistory(stream.sparkSession, base, key, ts, attrs)
+    q = (stream.writeStream.foreachBatch(store.apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return store.history()
+
+
 def list_dir(spark: SparkSession, path: str) -> list[str]:
     """Names under ``path`` on whatever file system holds it."""
     fs, p = hadoop_path(spark, path)
@@ -184,6 +197,17 @@ def q_t3_stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_t3_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status changes that arrive in three parts which overlap in time, each a micro-batch of a resumed stream."""
+    landing, base = scratch_path(spark, "t3-late"), scratch_path(spark, "t3-spliced")
+    ev = (spark.read.parquet(os.path.join(sf_dir, "events.parquet")).where(F.col("event_type") != "purchase")
+          .select("event_id", "user_id", "event_type", "ts"))
+    for part in (2, 0, 1):
+        ev.where(F.col("event_id") % 3 == part).drop("event_id").write.mode("append").parquet(landing)
+        out = scd2_change_stream(stream_path(spark, landing, ev.drop("event_id").schema), "user_id", "ts", ["event_type"], base, base + "-ckpt")
+    return out
+
+
 def q_t4_stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "t4-counts")
     agg = windowed_counts(stream_table(spark, sf_dir, "events"), "ts", "1 day", "1 day", ["event_type"])
@@ -210,6 +234,7 @@ STREAM_QUERIES = {
     "t1_stream_ingest": q_t1_stream_ingest,
     "t2_stream_dedup": q_t2_stream_dedup,
     "t3_stream_scd2": q_t3_stream_scd2,
+    "t3_late_changes": q_t3_late_changes,
     "t4_stream_window_counts": q_t4_stream_window_counts,
     "t4_stream_window_updates": q_t4_stream_window_updates,
 }
