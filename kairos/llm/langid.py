@@ -147,7 +147,10 @@ def fit(x: np.ndarray, langs: list[str]) -> Machines:
 
 def train(docs: DataFrame, max_rows: int = 4_000, text_col: str = "text", lang_col: str = "lang",
           id_col: str = "doc_id") -> Machines:
-    """Fit on rows with a language that are not held out; at most ``max_rows``, by hash order of their ids."""
+    """Fit on rows with a language that are not held out; at most ``max_rows`` of them, by hash order of their ids.
+
+    Ids may repeat: the limit holds for the rows of the picked ids too, by id, language and features.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     # the ids are picked first, so that the sort carries no texts
     picked = (rows.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
@@ -162,7 +165,7 @@ def train(docs: DataFrame, max_rows: int = 4_000, text_col: str = "text", lang_c
         return f
 
     made = (map_texts(sample, "_text", {"x": "binary"}, make, drop_text=True).where("x is not null")
-            .orderBy("_id", "_lang").collect())
+            .orderBy(F.xxhash64("_id"), "_id", "_lang", "x").limit(max_rows).orderBy("_id", "_lang").collect())
     x = np.array([np.frombuffer(r["x"], np.float32) for r in made], dtype=np.float32).reshape(len(made), DIM)
     return fit(x, [r["_lang"] for r in made])
 

@@ -181,13 +181,17 @@ def held_out(col: str = "doc_id"):
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, label: str = "quality",
           text_col: str = "text", id_col: str = "doc_id") -> Gam:
-    """Fit on labelled rows that are not held out; at most ``max_rows``, by hash order of their ids."""
+    """Fit on labelled rows that are not held out; at most ``max_rows`` of them, by hash order of their ids.
+
+    Ids that repeat in either table give a row for each meeting; the limit holds after the join, by id, label and features.
+    """
     known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
              .select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y"))
              .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows))
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
             .join(F.broadcast(known), "_id"))  # at most max_rows rows of two numbers
-    made = map_texts(rows, "_text", {"x": "array<double>"}, _featurise, drop_text=True).orderBy("_id", "_y").collect()
+    made = (map_texts(rows, "_text", {"x": "array<double>"}, _featurise, drop_text=True)
+            .orderBy(F.xxhash64("_id"), "_id", "_y", "x").limit(max_rows).orderBy("_id", "_y").collect())
     x = np.array([r["x"] for r in made], dtype=float).reshape(len(made), len(FEATURES))
     return fit(x, np.array([r["_y"] for r in made], dtype=float))
 

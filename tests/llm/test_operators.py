@@ -479,3 +479,18 @@ def test_word_hashes_do_not_depend_on_pieces(seed, monkeypatch):
     assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
     words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
     assert len(whole[0]) == len(words) and len(set(whole[0].tolist())) == len({w.lower() for w in words})
+
+
+def test_fits_take_no_more_rows_than_their_bound(spark, monkeypatch):
+    """One id repeated 300 times is 300 rows; the fits see ``max_rows`` of them at most."""
+    ids = [2] * 300 + list(range(3, 60))
+    docs = spark.createDataFrame([(i, f"ein text mit worten {n}" if n % 2 else f"some text of words {n}", "de" if n % 2 else "en")
+                                  for n, i in enumerate(ids)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").distinct()
+    seen = []
+    with monkeypatch.context() as m:
+        m.setattr(quality_gam, "fit", lambda x, y: seen.append(len(x)))
+        m.setattr(langid, "fit", lambda x, y: seen.append(len(x)))
+        quality_gam.train(docs, labels, max_rows=10)
+        langid.train(docs, max_rows=10)
+    assert len(seen) == 2 and max(seen) <= 10
