@@ -22,7 +22,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one (5 words or more, Jaccard of words at least 0.8).
+    """Documents without lines that repeat an earlier one (Jaccard of their words at least 0.8, whatever their length).
 
     A document that loses lines and keeps only blank ones, or none, goes.  ``n_chars`` follows the text.
     """

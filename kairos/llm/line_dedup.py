@@ -5,17 +5,21 @@ of the corpus (smaller document id, then smaller line number) has a Jaccard
 similarity of ``num / den`` or more; removed lines count as earlier lines too.
 
 1. One pass splits texts into lines and words; a layer keeps each line's word
-   hashes.  Exact repeats are settled by a key of the line, aggregated map-side.
+   hashes.  Lines of equal sets (exact repeats among them) meet by two 64-bit keys of the set, aggregated
+   map-side: all but the first go, and only the first enters the join.  Sets too small to be similar to any
+   other set are settled with that.
 2. Rarity: exact corpus word counts, kept as 4-bit classes in 262,144 cells (a
    fixed 128 KB); a cell has the class of its most frequent word.  Words are
    ordered by (class, longer first, hash).  Any fixed order is exact.
-3. Prefix filter: a line of n words enters the index with its first
-   n - ceil(n * num / den) + 1 words.  Position and length filters: an entry at
-   position p can meet only partner sizes up to ``reach(n, p)``.  A 64-bit
-   signature travels with the entry: words set in one signature only bound the
+3. Prefix filter: similar lines of n words share one of their first n - ceil(n * num / den) + 1 words, and two
+   of their first n - ceil(n * num / den) + 2 where they must share two at all.  A rare word is an index key of its own; a
+   frequent one is a key together with each later word of the longer prefix, so no list is as long as a
+   frequent word's.  Position and length filters: a key at position p can meet only partner sizes up to
+   ``reach(n, p)``.  A 64-bit signature travels with the entry: words set in one signature only bound the
    overlap from above.
-4. Index lists of up to ``SHORT`` lines are compared where they meet.  In longer
-   lists every line is first compared with the earliest of its block (word, size
+4. Keys are counted first (map-side); bitmaps keep those of one line out of the index and tell lists of
+   more than ``SHORT`` lines.  Shorter lists are compared where they meet.  In longer
+   lists every line is first compared with the earliest of its block (key, size
    band); what matches is settled and asks no further, so a group of near copies
    costs one comparison a line, and the others are joined with the earlier lines
    of the blocks they reach.
@@ -23,11 +27,10 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
    common words of both whole lines.  Only documents that lose a line are joined
    with what they lose.
 
-Words are compared by 52-bit hashes and their length (up to 31 bytes); index lists are kept by 32 bits of them (a
-collision there only adds candidates).
+Words are compared by 52-bit hashes and their length (up to 31 bytes).
 
 Defined cases: lines with fewer than ``min_words`` distinct words are left
-alone (blank ones too).  Null and empty texts stay as they are.  Rows with a
+alone (blank lines always).  Null and empty texts stay as they are.  Rows with a
 null id keep their text and are nobody's earlier line.  Rows that repeat an id
 are lines at the same place: they don't remove each other.  Extra columns pass
 through; ``n_lines`` and ``n_removed`` are replaced.  An empty table stays empty.
@@ -45,8 +48,8 @@ from kairos.llm.common import id_bitmap, in_bitmap, materialise, maybe_in
 CELLS = 1 << 18
 #: lists up to this length are compared in place; longer ones go by leaders and a join
 SHORT = 48
-#: words of this class or above (the most frequent) are spread over SALTS tasks
-HOT_CLASS, SALTS = 12, 16
+#: words of more lines than this are keys in pairs only
+FREQUENT = 2048
 #: size of the pre-filters for repeated keys and for first places
 BITS = 1 << 26
 _LOW52 = (1 << 52) - 1
@@ -62,17 +65,20 @@ def _signature(which: int) -> str:
 
 
 def line_sets(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, line_no, k, toks, n, s0, s1): a key of the line, its distinct words (hash and length), their number and signature."""
+    """(id, line_no, k, toks, n, c0, c1, s0, s1): a key of the line, its distinct words (hash and length, ascending), their
+    number, two keys of the set, and its signature."""
     lines = docs.where("id is not null").select("id", F.expr(rf"posexplode(split({_plain('text')}, '\n')) as (line_no, line)"))
     word = f"shiftleft(cast(31 - least(31, octet_length(x)) as bigint), 52) | (xxhash64(x) & {_LOW52}L)"
     return (lines.select("id", "line_no", F.xxhash64("line").alias("k"),
-                         F.expr(f"array_distinct(transform(array_remove(split(line, ' '), ''), x -> {word}))").alias("toks"))
-            .where(F.size("toks") >= min_words)
-            .withColumns({"n": F.size("toks"), "s0": F.expr(_signature(0)), "s1": F.expr(_signature(1))}))
+                         F.sort_array(F.expr(f"array_distinct(transform(array_remove(split(line, ' '), ''), x -> {word}))")).alias("toks"))
+            .where(F.size("toks") >= max(1, min_words))
+            .withColumns({"n": F.size("toks"), "c0": F.xxhash64("toks"), "c1": F.xxhash64(F.lit(1), "toks"),
+                          "s0": F.expr(_signature(0)), "s1": F.expr(_signature(1))}))
 
 
-def rarity_cells(sets: DataFrame) -> str:
-    """Classes of corpus word counts, 16 cells of 4 bits to a number, as SQL for an array of CELLS / 16 numbers."""
+def rarity_cells(sets: DataFrame) -> tuple[str, int]:
+    """Classes of corpus word counts, 16 cells of 4 bits to a number, as SQL for an array of CELLS / 16 numbers, and
+    the least class of which all words are in more than ``FREQUENT`` lines."""
     words = sets.select(F.explode("toks").alias("t")).groupBy("t").agg(F.count("*").alias("c"))
     cells = words.groupBy(F.expr(f"cast(t & {CELLS - 1}L as int)").alias("cell")).agg(F.max("c").alias("c")).collect()  # CELLS rows at most
     # sixteen classes of equal width on the logarithm of the count
@@ -80,7 +86,8 @@ def rarity_cells(sets: DataFrame) -> str:
     out = [0] * (CELLS // 16)
     for r in cells:
         out[r["cell"] >> 4] |= min(15, int(16 * math.log2(r["c"]) / widest)) << 4 * (r["cell"] & 15)
-    return "cast(split('" + ",".join(str(x - (x >> 63 << 64)) for x in out) + "', ',') as array<bigint>)"
+    frequent = math.ceil(16 * math.log2(FREQUENT) / widest)
+    return "cast(split('" + ",".join(str(x - (x >> 63 << 64)) for x in out) + "', ',') as array<bigint>)", frequent
 
 
 def _bound(xn: str, xs: list[str], yn: str, ys: list[str], num: int, den: int) -> str:
@@ -111,55 +118,65 @@ def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
             .select("id", "line_no", "k").distinct())
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """(id, line_no, k) of the lines to remove; ``docs`` has id and text."""
-    sets = materialise(line_sets(docs, min_words), **{"compression": "zstd", "parquet.dictionary.page.size": str(8 << 20)})
-    cells = rarity_cells(sets)
-    total, width = num + den, math.log(den / num)
-
-    # exact repeats
-    keys = materialise(sets.groupBy("k").agg(F.count("*").alias("c"), F.min(F.struct("id", "line_no")).alias("first"))
-                       .where("c > 1").select("k", "first"))
-    flagged = maybe_in(sets, "k", id_bitmap(keys, "k", BITS), BITS)
-    here = F.struct("id", "line_no")
-    # lines that only share a bit with a repeated key have no first place and stay
-    known = materialise(flagged.where("_kl_maybe").select("id", "line_no", "k").join(keys, "k", "left")
-                        .select("id", "line_no", "k", F.coalesce(here > F.col("first"), F.lit(False)).alias("again")))
-    exact = known.where("again").select("id", "line_no", "k")
+def first_of_equals(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines whose word set an earlier line has, the first line of every set)."""
+    place = F.struct("id", "line_no")
+    keys = materialise(sets.groupBy("c0", "c1").agg(F.count("*").alias("c"), F.min(place).alias("first"))
+                       .where("c > 1").select("c0", "c1", "first"))
+    flagged = maybe_in(sets, "c0", id_bitmap(keys, "c0", BITS), BITS)
+    # lines that only share a bit with a repeated set have no first place and stay
+    known = materialise(flagged.where("_kl_maybe").select("id", "line_no", "k", "c0", "c1").join(keys, ["c0", "c1"], "left")
+                        .select("id", "line_no", "k", F.coalesce(place > F.col("first"), F.lit(False)).alias("again")))
     # lines that repeat none before (and the few repeats that share a bit with one: they are removed anyway)
-    place = id_bitmap(known.where("not again").select(F.xxhash64("id", "line_no").alias("h")), "h", BITS)
+    kept = id_bitmap(known.where("not again").select(F.xxhash64("id", "line_no").alias("h")), "h", BITS)
     marked = flagged.withColumnRenamed("_kl_maybe", "repeats").withColumn("h", F.xxhash64("id", "line_no"))
-    firsts = maybe_in(marked, "h", place, BITS).where("not repeats or _kl_maybe").select("id", "line_no", "n", "s0", "toks")
+    firsts = maybe_in(marked, "h", kept, BITS).where("not repeats or _kl_maybe")
+    return known.where("again").select("id", "line_no", "k"), firsts.select("id", "line_no", "n", "s0", "toks")
 
-    # index lists of rare-first prefixes
-    def band(c):
-        return F.floor(F.log(c) / F.lit(width)).cast("int")
 
+def index_keys(firsts: DataFrame, cells: str, frequent: int, num: int, den: int) -> DataFrame:
+    """(tok, id, line_no, n, reach, s): a row per key of a line, rare words alone and frequent ones with a later word."""
     level = f"shiftright(get({cells}, cast(shiftright(t & {CELLS - 1}L, 4) as int)), 4 * cast(t & 15L as int)) & 15L"
-    ordered = firsts.select("id", "line_no", "n", F.col("s0").alias("s"),
+    ordered = firsts.select("id", "line_no", "n", F.col("s0").alias("s"), F.expr(f"n - cast(ceil(n * {num} / {den}) as int)").alias("last"),
                             F.sort_array(F.expr(f"transform(toks, t -> t | shiftleft({level}, 57))")).alias("o"))
-    entries = (ordered.select("id", "line_no", "n", "s",
-                              F.expr(f"posexplode(slice(o, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)) as (pos, tok)"))
-               .select(F.hash("tok").alias("tok"), F.expr(f"if(shiftrightunsigned(tok, 57) >= {HOT_CLASS}, cast(pmod(xxhash64(id, line_no), {SALTS}) as int), -1)").alias("salt"),
-                       "id", "line_no", "n", F.expr(f"cast((n - pos) * {total} div {num} - n as int)").alias("reach"), "s"))
-    # earlier lines of a short list stand before a line; long lists are only marked here
-    listed = Window.partitionBy("tok", "salt").orderBy("id", "line_no")
+    # a similar line shares ceil(n * num / den) words or more; where that is one, a frequent word is a key alone too
+    alone = "array(struct(p as pos, xxhash64(t) as tok))"
+    pairs = "transform(slice(o, p + 2, last + 1 - p), u -> struct(p as pos, xxhash64(t, u) as tok))"
+    keys = f"""flatten(transform(slice(o, 1, last + 1), (t, p) -> case when shiftrightunsigned(t, 57) < {frequent} then {alone}
+        when ceil(n * {num} / {den}) >= 2 then {pairs} else concat({alone}, {pairs}) end))"""
+    return (ordered.select("id", "line_no", "n", "s", F.expr(f"inline({keys})"))
+            .select("tok", "id", "line_no", "n", F.expr(f"cast((n - pos) * {num + den} div {num} - n as int)").alias("reach"), "s"))
+
+
+def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int = 5) -> DataFrame:
+    """(id, line_no, k) of the lines to remove; ``docs`` has id and text."""
+    sets = materialise(line_sets(docs, min_words), **{"compression": "zstd", "parquet.dictionary.page.size": str(8 << 20)})
+    exact, firsts = first_of_equals(sets)
+    width = math.log(den / num)
+
+    def band(c):
+        return F.floor(F.log(c) / F.lit(width)).cast("int")
+
+    # two different sets of fewer words than this differ too much: n * den >= (n + 1) * num fails
+    least = -(-num // (den - num))
+    entries = index_keys(firsts.where(f"n >= {least}"), *rarity_cells(sets), num, den)
+    counts = materialise(entries.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1"))
+    met = in_bitmap(entries, "tok", id_bitmap(counts, "tok", BITS), BITS)
+    # a key's bit says the same of all its lines, so no list is taken apart; a short list that shares a long one's bit goes by the join
+    index = materialise(maybe_in(met, "tok", id_bitmap(counts.where(f"c > {SHORT}"), "tok", BITS), BITS)
+                        .select("tok", "id", "line_no", "n", "reach", "s", band("n").alias("band"), F.col("_kl_maybe").alias("long")))
+    # short lists: earlier lines stand before a line
     row = F.struct("id", "line_no", "n", "reach", "s")
     fits = (f"(e.id < id or e.id = id and e.line_no < line_no) and n <= e.reach and e.n <= reach and {den} * n >= {num} * e.n "
             f"and {den} * e.n >= {num} * n and " + _bound("n", ["s"], "e.n", ["e.s"], num, den))
-    index = materialise(
-        entries.withColumn("held", F.count("*").over(listed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .withColumn("before", F.collect_list(row).over(listed.rowsBetween(1 - SHORT, -1)))
-        .withColumn("long", (F.col("held") > SHORT) | (F.col("salt") >= 0)).where("held > 1 or long")
-        .withColumn("met", F.expr(f"if(long, null, transform(filter(before, e -> {fits}), e -> struct(e.id as id, e.line_no as line_no)))"))
-        .where("long or size(met) > 0")
-        .select("tok", "id", "line_no", "n", "reach", "s", band("n").alias("band"), "long", "met"))
-    groups = (index.where("not long").select("id", "line_no", F.explode("met").alias("e"))
+    listed = Window.partitionBy("tok").orderBy("id", "line_no").rowsBetween(1 - SHORT, -1)
+    groups = (index.where("not long").withColumn("before", F.collect_list(row).over(listed))
+              .select("id", "line_no", F.explode(F.expr(f"transform(filter(before, e -> {fits}), e -> struct(e.id as id, e.line_no as line_no))")).alias("e"))
               .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")).distinct())
     short = materialise(_compare(materialise(groups), sets, num, den))
 
     # long lists: everything against the earliest line of its block first
-    index = index.where("long").drop("long", "met")
+    index = index.where("long").drop("long")
     x, y = ("n", ["s"]), ("e.n", ["e.s"])
     lead = index.groupBy("tok", "band").agg(F.min(F.struct("id", "line_no", "n", "reach", "s")).alias("e"))
     later = F.struct("id", "line_no") > F.struct(F.col("e.id").alias("id"), F.col("e.line_no").alias("line_no"))
@@ -178,7 +195,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, num: int = 4, den: int =
     return exact.unionByName(short).unionByName(settled).unionByName(found)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5,
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 1,
                 num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; adds n_lines and n_removed."""
     cols = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

@@ -53,7 +53,7 @@ WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHE
 lines AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM cut),
 sets AS (
   SELECT * FROM (SELECT doc_id, i, list_distinct(list_filter(
-    string_split(replace(replace(line, chr(9), ' '), chr(13), ' '), ' '), lambda x: x <> '')) AS w FROM lines) WHERE len(w) >= 5),
+    string_split(replace(replace(line, chr(9), ' '), chr(13), ' '), ' '), lambda x: x <> '')) AS w FROM lines) WHERE len(w) > 0),
 toks AS (SELECT doc_id, i, len(w) AS n, unnest(w) AS t FROM sets),
 df AS (SELECT t, count(*) AS c FROM toks GROUP BY 1),
 prefix AS (

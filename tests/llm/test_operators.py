@@ -116,21 +116,22 @@ def test_components(spark):
     assert common.connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-def removed_lines(texts, min_words=5):
+def removed_lines(texts, min_words=1, num=4, den=5):
     seen, gone = [], set()
     for i, t in enumerate(texts):
         for j, line in enumerate(t.split("\n") if t is not None else []):
             w = set(line.replace("\t", " ").replace("\r", " ").split(" ")) - {""}
             if len(w) < min_words:
                 continue
-            if any(5 * len(w & v) >= 4 * len(w | v) for v in seen):
+            if any(den * len(w & v) >= num * len(w | v) for v in seen):
                 gone.add((i, j))
             seen.append(w)
     return gone
 
 
 def test_line_dedup_equals_brute_force(spark, corpus):
-    texts = corpus + [corpus[10] + "\n" + corpus[11], "\n".join(["same line of six plain words"] * 4), "six plain words of same\tline\r\nshort one"]
+    texts = corpus + [corpus[10] + "\n" + corpus[11], "\n".join(["same line of six plain words"] * 4), "six plain words of same\tline\r\nshort one",
+                      "one  short\nshort one two\nfour words are here\nare here words four and\nhere words four", "日本語の長い行\n日本語の長い行"]
     got = line_dedup.dedup_lines(docs_of(spark, texts))
     assert got.columns == ["doc_id", "text", "lang", "score", "n", "hits", "h", "id", "n_lines", "n_removed"]
     gone = removed_lines(texts)
@@ -150,6 +151,21 @@ def test_line_dedup_repeated_and_null_ids(spark):
     assert got == sorted([(1, a), (1, a), (1, b), (None, a), (2, "kept short")], key=str)
 
 
+def test_line_dedup_with_frequent_words_in_pairs(spark, monkeypatch):
+    """Lines of words that nearly all lines have: keys are pairs of them, lists of every length."""
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(10)]
+    texts = ["\n".join(" ".join(rng.sample(common, rng.randrange(1, 10)) + [f"r{rng.randrange(40)}"] * rng.randrange(2)) for _ in range(6)) for _ in range(120)]
+    for frequent, short, num, den in ((2, 48, 4, 5), (4, 3, 4, 5), (2048, 5, 4, 5), (2, 4, 1, 2)):
+        gone = removed_lines(texts, num=num, den=den)
+        monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
+        monkeypatch.setattr(line_dedup, "SHORT", short)
+        got = line_dedup.dedup_lines(docs_of(spark, texts), num=num, den=den).collect()
+        assert {r.doc_id: r.n_removed for r in got} == {i: sum(d == i for d, _ in gone) for i in range(len(texts))} and len(gone) > 50
+        for r in got:
+            assert r.text == "\n".join(x for j, x in enumerate(texts[r.doc_id].split("\n")) if (r.doc_id, j) not in gone)
+
+
 def test_line_dedup_small_bitmap(spark, corpus, monkeypatch):
     """Unique lines that share a bit with a repeated key still meet their near copies, on either side."""
     monkeypatch.setattr(line_dedup, "BITS", 64)
