@@ -2,16 +2,19 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the next
-stage's ``docs``.
+stage's ``docs``.  A stage called from ``STAGES`` therefore deletes the layers
+that the stage before worked with (its result is written by then).
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kairos.llm import decontaminate, line_dedup, ngram_join, quality_gam, spiece
-from kairos.llm.common import id_bitmap, materialise, maybe_in, read_table
+from kairos.llm.common import LAYERS, id_bitmap, materialise, maybe_in, read_table, release
 from kairos.llm.queries import tokenizer_file
 
 
@@ -55,12 +58,30 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                       "packed_ids", "decoded")
 
 
+#: layers of the stage that ran last
+_WORKED_WITH: list[str] = []
+
+
+def _in_turn(stage):
+    """``stage`` without what the stage before left behind, unless ``docs`` reads it."""
+    @functools.wraps(stage)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        release(spark, [p for p in _WORKED_WITH if not any(p in f for f in read)])
+        _WORKED_WITH.clear()
+        at = len(LAYERS)
+        out = stage(spark, docs, sf_dir)
+        _WORKED_WITH.extend(LAYERS[at:])
+        return out
+    return call
+
+
 STAGES = [
-    ("quality classifier", keep_quality),
-    ("line dedup", dedup_lines),
-    ("n-gram Jaccard join", one_per_group),
-    ("benchmark decontamination", decontaminated),
-    ("SentencePiece encoding and decoding", tokenise),
+    ("quality classifier", _in_turn(keep_quality)),
+    ("line dedup", _in_turn(dedup_lines)),
+    ("n-gram Jaccard join", _in_turn(one_per_group)),
+    ("benchmark decontamination", _in_turn(decontaminated)),
+    ("SentencePiece encoding and decoding", _in_turn(tokenise)),
 ]
 ORACLE_SQL = None
 

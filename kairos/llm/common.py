@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from kairos.session import scratch_path
+from kairos.session import hadoop_path, scratch_path
 
 #: rows handed to the per-task text functions at a time
 SLICE_ROWS = 256
@@ -28,13 +29,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: layers that this process wrote, oldest first
+LAYERS: list[str] = []
+
+
 def materialise(df: DataFrame, **options: str) -> DataFrame:
     """Parquet layer in the shared checkpoint folder: survives lost executors, each use reads it."""
     path = scratch_path(df.sparkSession, "llm")
     df.write.options(**options).parquet(path)
+    LAYERS.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete layers that no DataFrame in use reads any more, and let Spark drop the shuffle files and broadcasts behind them.
+
+    Spark's cleaner goes by what the driver's garbage collectors find unreachable, so both run here.
+    """
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        fs.delete(p, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 # ---------------------------------------------------------------- Arrow passes over texts
 def arrow_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:

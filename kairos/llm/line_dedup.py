@@ -53,6 +53,8 @@ FREQUENT = 2048
 #: size of the pre-filters for repeated keys and for first places
 BITS = 1 << 26
 _LOW52 = (1 << 52) - 1
+#: layers whose neighbouring rows repeat values
+_PACKED = {"compression": "zstd", "parquet.dictionary.page.size": str(8 << 20)}
 
 
 def _plain(col: str) -> str:
@@ -150,7 +152,7 @@ def index_keys(firsts: DataFrame, cells: str, frequent: int, num: int, den: int)
 
 def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int = 5) -> DataFrame:
     """(id, line_no, k) of the lines to remove; ``docs`` has id and text."""
-    sets = materialise(line_sets(docs, min_words), **{"compression": "zstd", "parquet.dictionary.page.size": str(8 << 20)})
+    sets = materialise(line_sets(docs, min_words), **_PACKED)
     exact, firsts = first_of_equals(sets)
     width = math.log(den / num)
 
@@ -164,7 +166,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int =
     met = in_bitmap(entries, "tok", id_bitmap(counts, "tok", BITS), BITS)
     # a key's bit says the same of all its lines, so no list is taken apart; a short list that shares a long one's bit goes by the join
     index = materialise(maybe_in(met, "tok", id_bitmap(counts.where(f"c > {SHORT}"), "tok", BITS), BITS)
-                        .select("tok", "id", "line_no", "n", "reach", "s", band("n").alias("band"), F.col("_kl_maybe").alias("long")))
+                        .select("tok", "id", "line_no", "n", "reach", "s", F.col("_kl_maybe").alias("long")), **_PACKED)
     # short lists: earlier lines stand before a line
     row = F.struct("id", "line_no", "n", "reach", "s")
     fits = (f"(e.id < id or e.id = id and e.line_no < line_no) and n <= e.reach and e.n <= reach and {den} * n >= {num} * e.n "
@@ -176,7 +178,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int =
     short = materialise(_compare(materialise(groups), sets, num, den))
 
     # long lists: everything against the earliest line of its block first
-    index = index.where("long").drop("long")
+    index = index.where("long").drop("long").withColumn("band", band("n"))
     x, y = ("n", ["s"]), ("e.n", ["e.s"])
     lead = index.groupBy("tok", "band").agg(F.min(F.struct("id", "line_no", "n", "reach", "s")).alias("e"))
     later = F.struct("id", "line_no") > F.struct(F.col("e.id").alias("id"), F.col("e.line_no").alias("line_no"))
