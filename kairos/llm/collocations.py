@@ -44,10 +44,10 @@ FOLD = fold_table(b"\t", BREAKS)
 #: n-grams of up to 3 words are keys of 63 bits: numbers of words within a task stay under 2**21
 ID_BITS = 21
 #: a task hands on its counts beyond so many distinct n-grams, or so many words
-MAX_GRAMS, MAX_WORDS = 700_000, 400_000
+MAX_GRAMS, MAX_WORDS = 500_000, 200_000
 #: bytes of text for one partition of summaries, and the least number of partitions (a power of two)
 PARTITION_BYTES, PARTITIONS = 1 << 24, 64
-REST_BITS = 40  # an n-gram's hash within its partition
+REST_BITS = 32  # an n-gram's hash within its partition; n-grams that share one only survive more easily
 MAX_BITMAP = 1 << 27
 
 
@@ -147,14 +147,12 @@ def gram_hashes(lang: bytes, n: int, keys: np.ndarray, word_hashes: np.ndarray)
 
 
 def _pack(values: np.ndarray) -> np.ndarray:
-    """The low 40 bits as five bytes each."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
+    """Hashes within a partition as four bytes each."""
+    return values.astype("<u4")
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    return np.frombuffer(data, "<u4").astype(np.uint64)
 
 
 def _deal(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
