@@ -10,6 +10,7 @@ order in which partial aggregates meet.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -82,15 +83,30 @@ def periodic_snapshot(history: DataFrame, key: str, start: str, end: str, attrs:
     """One row per entity and grid point, with the version valid at that point.
 
     The grid starts at ``start`` and goes on by ``step`` (a day, a week, a month)
-    up to ``end``, the same for every version.  It doesn't grow with the data, and
-    each version keeps the points it covers, so no join or cross product runs.
+    up to ``end``, the same for every version.  For steps of hours, days or weeks a version's first and last
+    point follow by arithmetic, so work follows the rows that come out; longer steps filter the grid,
+    which doesn't grow with the data.
     """
     s = F.lit(start).cast("timestamp_ntz")
     e = F.lit(end).cast("timestamp_ntz")
-    grid = F.sequence(s, e, F.expr(f"INTERVAL {step}"))
     vf, vt = F.col(valid_from), F.col(valid_to)
     h = history.where((vf <= e) & (vt.isNull() | (vt > s)))
-    return (h.select(key, *attrs, F.explode(F.filter(grid, lambda p: (p >= vf) & (vt.isNull() | (p < vt)))).alias("snapshot_at")))
+    even = re.fullmatch(r"(\d+) (hour|day|week)s?", step.strip().lower())
+    if even is None:
+        grid = F.sequence(s, e, F.expr(f"INTERVAL {step}"))
+        return h.select(key, *attrs, F.explode(F.filter(grid, lambda p: (p >= vf) & (vt.isNull() | (p < vt)))).alias("snapshot_at"))
+    seconds = int(even[1]) * {"hour": 3600, "day": 86_400, "week": 604_800}[even[2]]
+    width = F.lit(seconds * 1_000_000)
+
+    def steps(micros):  # whole steps in a time after the start
+        return ((micros - F.pmod(micros, width)).cast("decimal(20,0)") / width.cast("decimal(20,0)")).cast("bigint")
+
+    zero = epoch_micros(s)
+    first = steps(F.greatest(epoch_micros(vf) - zero, F.lit(0)) + width - 1)
+    last = steps(F.least(epoch_micros(e), F.coalesce(epoch_micros(vt) - 1, epoch_micros(e))) - zero)
+    points = h.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+    at = s + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_k") * seconds).cast("decimal(18,6)"))
+    return points.select(key, *attrs, F.explode(F.sequence("_first", "_last")).alias("_k")).select(key, *attrs, at.alias("snapshot_at"))
 
 
 def accumulating_snapshot(changes: DataFrame, key: str, stage_col: str, ts: str,

@@ -169,3 +169,21 @@ def test_observability_checks(spark):
     before = spark.createDataFrame([("a",), ("b",)], "x string")
     assert rows(Q.category_profile(now, before, "x", 0.1), "value", "status") == [
         ("a", "shifted"), ("b", "missing"), ("c", "unexpected")]
+
+
+def test_periodic_snapshot_points_by_arithmetic_equal_the_filtered_grid(spark):
+    """Versions that start or end on, just before and just after grid points, before the start and after the end."""
+    from datetime import datetime, timedelta
+
+    start, end = datetime(2024, 1, 3, 12), datetime(2024, 2, 1, 11, 59, 59)
+    edges = [start + timedelta(days=d, microseconds=u) for d in (-9, 0, 7, 14, 28, 29, 60) for u in (-1, 0, 1)]
+    data = [(i * 100 + j, a, b) for i, a in enumerate(edges) for j, b in enumerate([*edges, None]) if b is None or b > a]
+    h = spark.createDataFrame(data, "k int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    for step, width in (("7 days", timedelta(days=7)), ("1 week", timedelta(days=7)), ("36 hours", timedelta(hours=36)), ("1 day", timedelta(days=1))):
+        points, p = [], start
+        while p <= end:
+            points.append(p)
+            p += width
+        want = sorted((k, p) for k, a, b in data for p in points if a <= p and (b is None or p < b))
+        got = agg.periodic_snapshot(h, "k", str(start), str(end), [], step=step)
+        assert sorted((r["k"], r["snapshot_at"]) for r in got.collect()) == want
