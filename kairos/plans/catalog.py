@@ -474,6 +474,18 @@ def q_q7_check_rule(spark, d):
     return quality.check_rule(f, rule).select("order_id", "order_status", "order_amount", "paid_amount")
 
 
+def q_q7_first_order_in_future(spark, d):
+    """Customers whose first order lies after the time of the check."""
+    rule = F.col("first_order_at") > ts_literal(ORDERS_CUTOFF)
+    return quality.check_rule(_models(spark, d).dim_customers, rule).select("customer_id", "first_order_at")
+
+
+def q_q7_payments_sum_to_total(spark, d):
+    """Paid orders whose successful payments don't sum to the order's amount."""
+    rule = F.col("is_paid") & (F.abs(F.col("paid_amount") - F.col("order_amount")) > F.lit(0.01).cast("decimal(4,2)"))
+    return quality.check_rule(_models(spark, d).fct_orders, rule).select("order_id", "order_amount", "paid_amount")
+
+
 def q_q10_null_profile(spark, d):
     return quality.null_profile(_models(spark, d).dim_customers,
                                 ["first_order_at", "last_order_at", "country", "email"])
@@ -809,6 +821,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q5_check_reconcile": q_q5_check_reconcile,
     "q6_check_relationship": q_q6_check_relationship,
     "q7_check_rule": q_q7_check_rule,
+    "q7_first_order_in_future": q_q7_first_order_in_future,
+    "q7_payments_sum_to_total": q_q7_payments_sum_to_total,
     "q10_null_profile": q_q10_null_profile,
     "q11_category_profile": q_q11_category_profile,
     "q12_check_range": q_q12_check_range,
