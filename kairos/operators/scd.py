@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
 from kairos.functions.scalars import shift_days, version_sk
-from kairos.operators.sequence import latest_per_key, with_neighbours
+from kairos.operators.sequence import latest_per_key, time_slice
 
 SCD_ID = "scd_id"
 SCD_UPDATED_AT = "scd_updated_at"
@@ -143,17 +143,34 @@ def scd2_from_changes(changes: DataFrame, key: str, ts: str, attrs: Sequence[str
     columns counts, so no version is empty and input order doesn't matter.  Rows
     whose ``attrs`` equal the previous row's are dropped (no change); the remaining
     rows get ``valid_from = ts`` and ``valid_to`` = next kept row's ts.  Keys are
-    windowed per ``slice_unit`` slice (see ``with_neighbours``; None: whole keys).
+    windowed per ``slice_unit`` slice (None: whole keys); only a slice's first and last
+    kept row meet those of the key's other slices.
     """
-    changes = latest_per_key(changes, [key, ts], []).select(*changes.columns)
-    a = with_neighbours(changes, [key], [ts], list(attrs), slice_unit, prev_name="_p", next_name="_n0")
-    same = F.lit(True)
-    for c in attrs:
-        same = same & F.col(c).eqNullSafe(F.col(f"_p.{c}"))
-    kept = a.where(F.col("_p").isNull() | ~same).drop("_p", "_n0")
-    b = with_neighbours(kept, [key], [ts], [ts], slice_unit, prev_name="_p", next_name="_n")
-    return (b.select(*changes.columns, F.col(ts).alias("valid_from"),
-                     F.col(f"_n.{ts}").alias("valid_to"))
+    names = list(changes.columns)
+    others = [F.col(c) for c in names if c not in (key, ts)]
+    sliced = changes.withColumn("_slice", F.lit(0) if slice_unit is None else time_slice(ts, slice_unit))
+    attr = F.struct(*[F.col(c) for c in attrs])
+    # the same partitioning and order throughout: one exchange and one sort for all three steps
+    w = Window.partitionBy(key, "_slice").orderBy(ts, *others)
+    lone = (sliced.withColumn("_next", F.lead(F.struct(ts)).over(w))
+            .where(F.col("_next").isNull() | ~F.col(f"_next.{ts}").eqNullSafe(F.col(ts))))
+    moved = lone.withColumn("_p", F.lag(attr).over(w)).where(F.col("_p").isNull() | ~attr.eqNullSafe(F.col("_p")))
+    kept = moved.withColumn("_first", F.col("_p").isNull()).withColumn("_n", F.lead(ts).over(w))
+    if slice_unit is None:
+        done = kept.withColumn("valid_to", F.col("_n"))
+    else:
+        inner = kept.where("not _first and _n is not null").withColumn("valid_to", F.col("_n"))
+        # at most two rows of a key and slice; latest first, so that what follows a row comes before it
+        wk = Window.partitionBy(key).orderBy(F.col(ts).desc())
+        ends = (kept.where("_first or _n is null")
+                .withColumn("_before", F.lead(attr).over(wk))
+                .withColumn("_real", ~F.col("_first") | F.col("_before").isNull() | ~attr.eqNullSafe(F.col("_before")))
+                .withColumn("_start", F.when(F.col("_real"), F.col(ts)).otherwise(F.col("_n")))
+                .withColumn("valid_to", F.coalesce("_n", F.last("_start", ignorenulls=True).over(
+                    wk.rowsBetween(Window.unboundedPreceding, -1))))
+                .where("_real"))
+        done = inner.unionByName(ends.select(*inner.columns))
+    return (done.select(*names, F.col(ts).alias("valid_from"), "valid_to")
             .withColumn("is_current", F.col("valid_to").isNull()))
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows, ts
@@ -93,6 +94,29 @@ def test_scd2_from_changes_slices_agree(spark):
     assert sliced.count() == 1 + 2 * 66 + 1  # a,b alternations for key 1, one row for key 2
 
 
+def test_scd2_from_changes_by_definition(spark):
+    """Random changes with ties, null times and attributes, slices without a change: equal to a plain loop."""
+    rng = random.Random(4)
+    data = []
+    for i in range(900):
+        at = None if rng.random() < 0.01 else ts("2024-01-01") + dt.timedelta(hours=12 * rng.randrange(500))
+        data.append((i, rng.choice([1, 1, 1, 2, 3, None]), at, rng.choice(["a", "a", "a", "a", "b", None])))
+    df = spark.createDataFrame(data, "eid long, key long, t timestamp_ntz, s string")
+    want = []
+    for key in {r[1] for r in data}:
+        one = {}
+        for r in sorted((r for r in data if r[1] == key), key=lambda r: r[0]):
+            one[r[2]] = r  # the greatest eid of a time
+        kept = []
+        for t in sorted(one, key=lambda t: t or dt.datetime.min):
+            if not kept or kept[-1][3] != one[t][3]:
+                kept.append(one[t])
+        want += [(r[0], r[2], n[2] if n else None) for r, n in zip(kept, [*kept[1:], None])]
+    for unit in ("month", "day", "year", None):
+        got = scd.scd2_from_changes(df, "key", "t", ["s"], slice_unit=unit).select("eid", "valid_from", "valid_to").collect()
+        assert sorted(got, key=lambda r: r.eid) == sorted(want, key=lambda r: r[0])
+
+
 def test_scd2_from_changes_equal_times(spark):
     """Rows of a key at one time are one change, whatever their order in the input; no version is empty."""
     data = [(1, 1, ts("2024-01-01"), "a"), (2, 1, ts("2024-01-02"), "b"), (3, 1, ts("2024-01-02"), "c"), (4, 1, ts("2024-01-03"), "c")]
