@@ -377,6 +377,33 @@ def test_license_scan_equals_containment(spark):
     assert license_scan.scan(docs_of(spark, texts), notices=[("none", " ")]).count() == 0
 
 
+def test_license_scan_names_the_best_per_place(spark):
+    """Related wordings: each notice bears its own name only; two notices side by side are both found."""
+    rng = random.Random(9)
+    own = license_scan.NOTICES
+    texts, expected = [], set()
+    for name, t in own:
+        expected.add((len(texts), name))
+        texts.append(prose(rng, 40) + "\n" + t + "\n" + prose(rng, 90))
+    long = {name: t for name, t in own if len(t.split()) > 60}  # the last, longest form of each
+    assert {"MIT", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0"} <= set(long)
+    for a, b in [("GPL-2.0", "GPL-3.0"), ("MIT", "Apache-2.0"), ("AGPL-3.0", "GPL-3.0"), ("BSD-2-Clause", "BSD-3-Clause")]:
+        expected |= {(len(texts), a), (len(texts), b)}
+        texts.append(long[a] + "\n" + prose(rng, 5) + "\n" + long[b])
+    spelled = {"SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: MIT-0": "MIT-0", "licensed under the MIT license": "MIT",
+               "# SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0"}
+    for t, name in spelled.items():
+        expected.add((len(texts), name))
+        texts.append(t)
+    got = license_scan.scan(docs_of(spark, texts + [None, "", "x"]), best=True)
+    found = {(r.doc_id, r.license) for r in got.collect()}
+    assert found >= expected
+    # what else is found stands there too: a short form inside a longer notice
+    for i, name in found - expected:
+        low = " ".join(license_scan.words(texts[i]))
+        assert any(" ".join(license_scan.words(t)) in low for n, t in own if n == name), (texts[i], name)
+
+
 def test_license_anchors_lose_nothing():
     chosen = license_scan.anchors(license_scan.NOTICES, 0.8)
     for _, t in license_scan.NOTICES:
