@@ -12,11 +12,18 @@ roles and texts every control string (CONTROLS) is broken by a backslash after
 its first character, backslashes are doubled and a role's newline is a
 backslash and \\x1f; ``unescape`` reverses that exactly.
 
-Packs: conversations with the same first turn share packs of about
-``pack_size`` different conversations; equal conversations are one leaf, joined
+Ancestor intervals that meet are one interval, so a conversation written in one
+piece has one, however many turns it has.
+
+Packs: a prefix (the turns from the first to some turn) is heavy if more than
+``pack_size`` different conversations, or ``pack_chars`` characters of them, begin
+with it.  A conversation belongs to its longest heavy prefix, and the
+conversations of a heavy prefix are dealt by their next turn to as many packs as
+that size asks for: what shares more turns than that stays together.  Without a
+heavy prefix the first turn is the pack.  Equal conversations are one leaf, joined
 back by key.  So a first turn, or a whole conversation, held by a third of all
-rows makes more packs or one leaf, not one large task.  A conversation itself
-is one record and is gathered whole.
+rows makes more packs or one leaf, not one large task, and a shared turn is
+written once per pack.  A conversation itself is one record and is gathered whole.
 
 Defined cases: null text and null role are empty; turns are ordered by turn
 number (nulls first), then role, then text, and repeated rows are turns of
@@ -27,10 +34,14 @@ looked at.  An empty table gives no packs.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START, END = "<|im_start|>", "<|im_end|>"
 # Control strings of common chat templates.
@@ -67,6 +78,13 @@ _NODE = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("position", pa.
 _LEAF = pa.struct([("leaf", pa.string()), ("node", pa.int32())])
 
 
+def _with_interval(intervals: list[dict], start: int, stop: int) -> list[dict]:
+    """``intervals`` and one that follows them, joined to the last one where they meet."""
+    if intervals and intervals[-1]["stop"] == start:
+        return intervals[:-1] + [{"start": intervals[-1]["start"], "stop": stop}]
+    return intervals + [{"start": start, "stop": stop}]
+
+
 def build_pack(name: str, conversations: list[tuple[str, list[tuple[str, str]]]], learn: tuple[str, ...] = ("assistant",)) -> dict:
     """Merge (leaf, turns) by shared initial turns and write the forest depth-first."""
     children: list[dict] = [{}]  # node -> its children by turn; node 0 is above the roots
@@ -88,7 +106,7 @@ def build_pack(name: str, conversations: list[tuple[str, list[tuple[str, str]]]]
         role, said = turn_of[n]
         written, lo, hi = format_turn(role, said)
         up = nodes[parent] if parent >= 0 else None
-        above = up["ancestors"] + [{"start": up["start"], "stop": up["stop"]}] if up else []
+        above = _with_interval(up["ancestors"], up["start"], up["stop"]) if up else []
         first = up["position"] + up["stop"] - up["start"] if up else 0
         loss = (length + lo, length + hi) if role in learn else (None, None)
         nodes.append({"start": length, "stop": length + len(written), "position": first, "parent": parent,
@@ -109,14 +127,45 @@ def gather(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", ro
             .withColumn("leaf", F.sha2(F.to_json("turns"), 256)))
 
 
-def pack(gathered: DataFrame, pack_size: int = 64, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _prefixes(turns: pd.Series) -> pd.Series:
+    """A number for every prefix of a conversation, from the numbers of its turns.
+
+    Prefixes that share a number by chance only share packs.
+    """
+    def chain(numbers) -> np.ndarray:
+        out, h = np.empty(len(numbers), np.uint64), 0
+        for i, t in enumerate(numbers.tolist()):
+            h = ((h * 6364136223846793005 + t) ^ (h >> 29)) & (2**64 - 1)
+            out[i] = h
+        return out.view(np.int64)
+    return turns.map(chain)
+
+
+def deal(different: DataFrame, pack_size: int, pack_chars: int) -> DataFrame:
+    """(leaf, pack) of the different conversations (leaf, turns), by their prefixes."""
+    paths = different.select(
+        "leaf", F.expr("aggregate(turns, 0L, (n, t) -> n + length(t.role) + length(t.text))").alias("chars"),
+        _prefixes(F.expr("transform(turns, t -> xxhash64(t.role, t.text))")).alias("path"))
+    steps = paths.select("leaf", "chars", F.posexplode_outer("path").alias("depth", "prefix"), "path")
+    steps = steps.withColumn("next", F.expr("get(path, depth + 1)")).drop("path")
+    heavy = (steps.groupBy("prefix").agg(F.count("*").alias("n"), F.sum("chars").alias("c"))
+             .where((F.col("n") > pack_size) | (F.col("c") > pack_chars)).select("prefix", F.lit(True).alias("heavy")))
+    # the longest heavy prefix, or the first turn; a conversation that ends there goes by its key
+    own = (steps.join(heavy, "prefix", "left")
+           .groupBy("leaf").agg(F.max(F.when(F.col("heavy") | (F.col("depth") == 0), F.struct("depth", "prefix", "heavy", "next", "chars"))).alias("s"))
+           .select("leaf", F.col("s.prefix").alias("prefix"), F.col("s.chars").alias("chars"),
+                   F.when(F.col("s.heavy"), F.coalesce("s.next", F.xxhash64("leaf"))).alias("next")))
+    parts = (own.where("next is not null").groupBy("prefix")
+             .agg(F.greatest(F.ceil(F.count("*") / pack_size), F.ceil(F.sum("chars") / pack_chars)).alias("parts")))
+    return (own.join(parts, "prefix", "left")
+            .select("leaf", F.concat_ws("-", F.hex("prefix"), F.expr("pmod(xxhash64(next), parts)")).alias("pack")))
+
+
+def pack(gathered: DataFrame, pack_size: int = 512, learn: tuple[str, ...] = ("assistant",), pack_chars: int = 1 << 22) -> DataFrame:
     """Packs (see PACK) of the different conversations of ``gathered``."""
     different = gathered.groupBy("leaf").agg(F.first("turns").alias("turns"))
-    different = different.withColumn("root", F.xxhash64(F.expr("get(turns, 0)")))
-    many = (different.groupBy("root").agg(F.ceil(F.count("*") / pack_size).cast("int").alias("parts")).where("parts > 1"))
-    dealt = (different.join(many, "root", "left")
-             .withColumn("pack", F.concat_ws("-", F.hex("root"), F.pmod(F.xxhash64("leaf"), F.coalesce("parts", F.lit(1)))))
-             .select("pack", "leaf", "turns"))
+    dealt = different.join(deal(different, pack_size, pack_chars), "leaf").select("pack", "leaf", "turns")
 
     def build(batches):
         name, held = None, []
@@ -149,13 +198,13 @@ def read_back(packs: DataFrame) -> DataFrame:
         for batch in batches:
             leaf, turns, chars, loss = [], [], [], []
             for text, nodes, leaves in zip(*(batch.column(c).to_pylist() for c in ("text", "nodes", "leaves"))):
-                by_start = {n["start"]: n for n in nodes}
+                starts = [n["start"] for n in nodes]  # ascending: nodes are written depth-first
                 for x in leaves:
                     path = []
                     if x["node"] >= 0:
                         own = nodes[x["node"]]
-                        path = own["ancestors"] + [{"start": own["start"], "stop": own["stop"]}]
-                    masks = [by_start[p["start"]] for p in path]
+                        path = _with_interval(own["ancestors"], own["start"], own["stop"])
+                    masks = [m for p in path for m in nodes[bisect_left(starts, p["start"]):bisect_left(starts, p["stop"])]]
                     formatted = "".join(text[p["start"]:p["stop"]] for p in path)
                     leaf.append(x["leaf"])
                     turns.append([{"role": r, "text": t} for r, t in parse(formatted)])

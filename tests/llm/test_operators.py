@@ -512,6 +512,32 @@ def test_chat_tree_shares_and_positions():
     assert p["text"][x["loss_start"]:x["loss_stop"]] == "x" and first["loss_start"] is None
 
 
+def test_chat_ancestors_that_meet_are_one_interval():
+    long = [("user", str(i)) for i in range(50)]
+    p = chat_tree.build_pack("p", [("A", long), ("B", long[:20] + [("user", "other")])])
+    assert max(len(n["ancestors"]) for n in p["nodes"]) == 1
+    assert p["nodes"][-1]["ancestors"] == [{"start": 0, "stop": p["nodes"][19]["stop"]}]
+
+
+def test_chat_packs_follow_shared_prefixes(spark):
+    """A hot first turn, below it a hot second turn, small families and single conversations: families stay together."""
+    rows = []
+    for c in range(400):
+        family = ["big"] if c < 150 else [f"family {c // 8}", "and its third turn"] if c < 300 else []
+        rows += [(c, i, "user", t) for i, t in enumerate(["system", *family, f"own {c}"])]
+    rows += [(c, 0, "user", "rare") for c in (900, 901)] + [(902, 0, "user", "rare"), (902, 1, "user", "more")]
+    convs = chat_tree.gather(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string"))
+    packs = chat_tree.pack(convs, pack_size=32).collect()
+    whole = "".join(p.text for p in packs)
+    for f in range(150 // 8 + 1, 300 // 8):
+        assert whole.count(f"family {f}<") == 1
+    assert whole.count("\nbig<") == -(-150 // 32) and whole.count("\nrare<") == 1
+    assert whole.count("\nsystem<") <= -(-150 // 32) + -(-250 // 32)
+    assert all(whole.count(f"own {c}<") == 1 for c in range(400)) and max(len(p.leaves) for p in packs) < 3 * 32
+    by_chars = chat_tree.pack(convs, pack_size=1000, pack_chars=500).collect()
+    assert max(len(p.text) for p in by_chars) < 10_000 and sum(len(p.leaves) for p in by_chars) == 402
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_word_hashes_do_not_depend_on_pieces(seed, monkeypatch):
     rng = random.Random(seed)
