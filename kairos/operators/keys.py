@@ -11,7 +11,7 @@ one-row-per-key table is split by AQE's skew-join handling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.operators.scd import normalise_history
@@ -34,8 +34,13 @@ def first_version(df: DataFrame, key: str = "canonical_id", ts: str = "valid_fro
 
 
 def master_sk_window(df: DataFrame, key: str = "canonical_id", ts: str = "valid_from",
-                     sk: str = "sk", out: str = "master_sk") -> DataFrame:
-    """Every row gets the first version's sk of its key."""
+                     sk: str = "sk", out: str = "master_sk", few: bool = False) -> DataFrame:
+    """Every row gets the first version's sk of its key.
+
+    ``few`` says that a key has a handful of versions: a window in the exchange that brought them together."""
+    if few:
+        first = F.first(sk).over(Window.partitionBy(key).orderBy(ts, sk))
+        return df.select(key, *[c for c in df.columns if c != key], F.when(F.col(key).isNotNull(), first).alias(out))
     return df.join(first_version(df, key, ts, sk, out), key, "left")
 
 
@@ -79,11 +84,11 @@ def _changed_versions(base: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def surrogate_keys(history: DataFrame, id_col: str = "id", sk_map_df: DataFrame | None = None,
-                   mapping: DataFrame | None = None, previous: DataFrame | None = None) -> DataFrame:
+                   mapping: DataFrame | None = None, previous: DataFrame | None = None, few: bool = False) -> DataFrame:
     """S3: normalise (S2) -> canonicalise (C7) -> master_sk.
 
     * full refresh (no ``previous``, no ``sk_map_df``): master_sk = first
-      version's sk per canonical id (E1) over ``history``;
+      version's sk per canonical id (E1) over ``history`` (``few``: a handful of versions each);
     * rows of a run (no ``previous``, ``sk_map_df`` given): ``history`` holds
       only the versions a run touched; master_sk comes from the key map (C8);
     * upsert (``previous`` given): only versions whose (sk, valid_to) changed
@@ -92,7 +97,7 @@ def surrogate_keys(history: DataFrame, id_col: str = "id", sk_map_df: DataFrame
     base = normalise_history(history, id_col)
     if previous is None:
         resolved = canonicalise(base, "source_id", mapping)
-        return master_sk_window(resolved) if sk_map_df is None else assign_master_sk(resolved, sk_map_df)
+        return master_sk_window(resolved, few=few) if sk_map_df is None else assign_master_sk(resolved, sk_map_df)
     from kairos.sources.sinks import upsert
 
     batch = canonicalise(_changed_versions(base, previous), "source_id", mapping)

@@ -107,16 +107,19 @@ def scd2_changes(open_rows: DataFrame | None, incoming: DataFrame, key: str,
 
 
 def scd2_from_loads(changes: DataFrame, key: str, updated_at: str = "updated_at",
-                    load_col: str = "_load") -> DataFrame:
+                    load_col: str = "_load", few: bool = False) -> DataFrame:
     """Replay of S1 over every load in ``load_col`` order, computed in one pass.
 
     Each load contributes its latest row per key; a row opens a version when its
     ``updated_at`` is newer than everything the key showed in earlier loads;
     the version closes at the next version's ``updated_at``.  The per-key
     window runs after reducing to one row per (key, load), so even a hot key
-    has at most one row per load there.
+    has at most one row per load there.  ``few`` says that a key has a handful of
+    rows in all: they go to their key's task at once, one exchange for both steps.
     """
     data_cols = [c for c in changes.columns if c != load_col]
+    if few:
+        changes = changes.repartition(key)
     per_load = latest_per_key(changes, [key, load_col], [updated_at])
     w = Window.partitionBy(key).orderBy(load_col)
     prev_max = F.max(updated_at).over(w.rowsBetween(Window.unboundedPreceding, -1))

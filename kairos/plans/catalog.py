@@ -38,14 +38,18 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return rawsrc.read_raw(spark, d, name)
 
 
-def _models(spark, d) -> Models:
+#: layers that several steps of a query read
+SHARED_LAYERS = {"fct_orders": ("stg_orders",), "order_features": ("stg_orders",)}
+
+
+def _models(spark, d, shared=()) -> Models:
     """Models whose shared layers are checkpointed (computed once, lineage cut)."""
-    return Models(spark, d, layer_mode="checkpoint")
+    return Models(spark, d, layer_mode="checkpoint", shared=shared)
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, d):
-        return getattr(_models(spark, d), name)
+        return getattr(_models(spark, d, SHARED_LAYERS.get(name, ())), name)
     run.__name__ = name
     return run
 
@@ -467,7 +471,7 @@ def q_q6_check_relationship(spark, d):
 
 
 def q_q7_check_rule(spark, d):
-    f = _models(spark, d).fct_orders
+    f = _models(spark, d, SHARED_LAYERS["fct_orders"]).fct_orders
     rule = ((F.col("paid_amount") > F.col("order_amount") * F.lit(1.01).cast("decimal(4,2)"))
             | (F.col("order_amount") < 0)
             | ((F.col("order_status") == "completed") & (F.col("payment_attempts") == 0)))
@@ -483,7 +487,7 @@ def q_q7_first_order_in_future(spark, d):
 def q_q7_payments_sum_to_total(spark, d):
     """Paid orders whose successful payments don't sum to the order's amount."""
     rule = F.col("is_paid") & (F.abs(F.col("paid_amount") - F.col("order_amount")) > F.lit(0.01).cast("decimal(4,2)"))
-    return quality.check_rule(_models(spark, d).fct_orders, rule).select("order_id", "order_amount", "paid_amount")
+    return quality.check_rule(_models(spark, d, SHARED_LAYERS["fct_orders"]).fct_orders, rule).select("order_id", "order_amount", "paid_amount")
 
 
 def q_q10_null_profile(spark, d):
@@ -517,7 +521,7 @@ def q_contract_suite(spark, d):
     """Every declared check of the sources and models; the failing clauses."""
     from kairos.plans import contracts
 
-    m = _models(spark, d)
+    m = _models(spark, d, ("stg_orders", "dim_order_sk_map", "stg_products", "stg_payments", "stg_order_items", "dim_customers", "fct_orders"))
     latest = lambda df: latest_per_key(df, ["id"], ["updated_at"])  # noqa: E731  the sources hold one row per id
     tables = {"customers": latest(rawsrc.customer_changes(spark, d)), "products": latest(rawsrc.product_changes(spark, d)),
               "orders": rawsrc.raw_orders_current(spark, d), "payments": rawsrc.raw_payments(spark, d),

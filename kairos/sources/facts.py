@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from kairos.session import LAYER_CODEC
+
 #: column of the enriched rows that tells whether every link is by a covering version
 SETTLED = "_settled"
 
@@ -87,5 +89,5 @@ class FactStore:
         if again is not None:
             rows = rows.unionByName(again.withColumn("_set", F.lit("again")))
         link = F.when(F.col(SETTLED), "settled").otherwise("pending")
-        (rows.select(*self.schema.names, "_set", link.alias("_link")).write.mode("overwrite")
+        (rows.select(*self.schema.names, "_set", link.alias("_link")).write.mode("overwrite").option("compression", LAYER_CODEC)
          .partitionBy("_set", "_link").parquet(os.path.join(self.path, f"gen={gen:06d}")))

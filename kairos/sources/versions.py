@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from kairos.session import LAYER_CODEC
+
 COMPACT_EVERY = 30
 
 
@@ -73,12 +75,12 @@ class VersionStore:
         if gen == 0:
             changes = changes.withColumn("_kind", F.when(F.col("_kind") == "opened", "base").otherwise(F.col("_kind")))
         target = os.path.join(self.path, f"gen={gen:06d}")
-        changes.select(*self.schema.names, "_kind").write.mode("overwrite").partitionBy("_kind").parquet(target)
+        changes.select(*self.schema.names, "_kind").write.mode("overwrite").option("compression", LAYER_CODEC).partitionBy("_kind").parquet(target)
         if gen and gen % self.compact_every == 0:
             # the open set before this run, then this run's changes on top
             before, now = self.open_rows(gen - 1), self.touched(gen)
             opened = now.where(F.col("_kind") == "opened").drop("_kind")
             base = before.join(now.select(F.col(self.key).alias("_tk")).distinct(), F.col(self.key) == F.col("_tk"), "left_anti")
-            base.unionByName(opened).write.mode("overwrite").parquet(os.path.join(target, "_kind=base"))
+            base.unionByName(opened).write.mode("overwrite").option("compression", LAYER_CODEC).parquet(os.path.join(target, "_kind=base"))
             closed = self._all().where((F.col("gen") > gen - self.compact_every) & (F.col("gen") <= gen) & (F.col("_kind") == "closed"))
-            closed.drop("gen", "_kind").write.mode("overwrite").parquet(os.path.join(target, "_kind=history"))
+            closed.drop("gen", "_kind").write.mode("overwrite").option("compression", LAYER_CODEC).parquet(os.path.join(target, "_kind=history"))
