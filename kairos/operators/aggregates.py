@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
-from kairos.functions.scalars import day_diff, epoch_micros, seconds_between
+from kairos.functions.scalars import day_diff, epoch_micros, packed_key, seconds_between, unpacked_key
 from kairos.operators.sequence import time_slice, with_neighbours
 
 
@@ -25,10 +25,14 @@ def _count_if(cond) -> F.Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def order_payments(stg_payments: DataFrame, key: str = "order_master_sk") -> DataFrame:
-    """D1/D2 (int_order_payments): attempts, paid amount, status counts, is_paid per order."""
+def order_payments(stg_payments: DataFrame, key: str = "order_master_sk", packed: bool = False) -> DataFrame:
+    """D1/D2 (int_order_payments): attempts, paid amount, status counts, is_paid per order.
+
+    Keys, text or packed already, cross the shuffle packed; ``packed`` leaves them so, for a join on them that needs no further exchange."""
     st = F.col("payment_status")
-    return stg_payments.groupBy(key).agg(
+    if stg_payments.schema[key].dataType.typeName() == "string":
+        stg_payments = stg_payments.withColumn(key, packed_key(key))
+    out = stg_payments.groupBy(key).agg(
         F.count("payment_id").alias("payment_attempts"),
         F.sum(F.when(st == "success", F.col("amount")).otherwise(F.lit(0).cast("decimal(18,2)")))
         .cast("decimal(18,2)").alias("paid_amount"),
@@ -37,6 +41,7 @@ def order_payments(stg_payments: DataFrame, key: str = "order_master_sk") -> Dat
         _count_if(st == "refunded").alias("refunded_payments"),
         ((F.max(F.when(st == "success", 1).otherwise(0)) == 1)
          & (F.max(F.when(st == "refunded", 1).otherwise(0)) == 0)).alias("is_paid"))
+    return out if packed else out.withColumn(key, unpacked_key(key))
 
 
 def customer_orders(stg_orders: DataFrame, key: str = "customer_master_sk") -> DataFrame:

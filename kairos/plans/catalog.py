@@ -769,7 +769,7 @@ def q_inc_late_fct_orders(spark, d):
     from kairos.plans import models as M
 
     state = _late_parents_run(spark, d)
-    return M.fct_orders(state["stg_orders"], order_payments(state["stg_payments"]))
+    return M.fct_orders(state["stg_orders"], order_payments(state["stg_payments"], packed=True))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -81,3 +81,24 @@ def test_a_layer_with_one_reader_is_not_written(spark):
     before = count()
     M.Models(spark, "/root/testdata/sf0.001", layer_mode="checkpoint").customer_features  # noqa: B018
     assert count() - before == 3
+
+
+def test_paid_totals_leave_ids_and_version_keys_behind(spark):
+    lazy, kept = M.Models(spark, "/root/testdata/sf0.001"), M.Models(spark, "/root/testdata/sf0.001", shared=("stg_payments",))
+    assert _rows(lazy.int_order_payments) == _rows(kept.int_order_payments) and _rows(lazy.fct_orders) == _rows(kept.fct_orders)
+    assert lazy._payments_to_sum.schema["order_master_sk"].dataType.typeName() == "binary"
+    assert lazy.int_order_payments.schema == kept.int_order_payments.schema
+
+
+def test_items_keep_a_master_key_of_its_own(spark):
+    hist = lambda p: spark.createDataFrame([(1, f"{p}a", f"{p}a", T, T + dt.timedelta(5), False), (1, f"{p}b", f"{p}a", T + dt.timedelta(5), None, True),
+                                            (2, f"{p}c", None, T, None, True)],
+                                           "k long, sk string, master_sk string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    o, p = hist("o").withColumnRenamed("k", "order_id"), hist("p").withColumnRenamed("k", "product_id")
+    empty = spark.createDataFrame([(3, "m")], "canonical_id long, master_sk string")
+    items = spark.createDataFrame([(f"i{n}", a, b, 1, T + dt.timedelta(d)) for n, (a, b, d) in enumerate([(1, 1, 1), (1, 1, 6), (2, 2, 1), (1, 3, 1), (None, 1, 6), (1, None, 1), (9, 9, 1)])],
+                                  "id string, order_id long, product_id long, quantity long, created_at timestamp_ntz").withColumn("unit_price", F.lit(2).cast("decimal(18,2)"))
+    merge, join = (M.stg_order_items(items, o, empty, p, empty, strategy=s, settled="ok") for s in ("merge", "join"))
+    assert _rows(merge) == _rows(join) and merge.dtypes == join.dtypes
+    got = {r.order_item_id: (r.product_sk, r.product_master_sk) for r in merge.collect()}
+    assert got == {"i0": ("pa", "pa"), "i1": ("pb", "pa"), "i2": ("pc", None), "i3": (None, "m"), "i4": ("pb", "pa"), "i5": (None, None), "i6": (None, None)}
