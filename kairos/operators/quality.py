@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
 from kairos.functions.scalars import as_of as _as_of
-from kairos.functions.scalars import epoch_micros, seconds_between
+from kairos.functions.scalars import epoch_micros, seconds_between, text_packed
 
 
 def check_unique(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
@@ -252,7 +252,8 @@ def check_contract(df: DataFrame, contract: Contract, as_of=None) -> DataFrame:
                                  F.col(f"k{i}").alias("n_failed")) for i, (name, _) in enumerate(checks)])
         result = result.unionByName(agg.select(F.inline(arr)))
     for c in contract.unique:
-        dup = check_unique(df, c).agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).cast("bigint").alias("n_failed"))
+        # texts are compared packed: one form per text
+        dup = check_unique(text_packed(df.select(c)), c).agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).cast("bigint").alias("n_failed"))
         result = result.unionByName(dup.select(F.lit("unique").alias("clause"), F.lit(f"unique:{c}").alias("detail"),
                                                "n_failed"))
     return result.where(F.col("n_failed") > 0)

@@ -102,3 +102,13 @@ def test_items_keep_a_master_key_of_its_own(spark):
     assert _rows(merge) == _rows(join) and merge.dtypes == join.dtypes
     got = {r.order_item_id: (r.product_sk, r.product_master_sk) for r in merge.collect()}
     assert got == {"i0": ("pa", "pa"), "i1": ("pb", "pa"), "i2": ("pc", None), "i3": (None, "m"), "i4": ("pb", "pa"), "i5": (None, None), "i6": (None, None)}
+
+
+def test_contract_checks_write_no_links(spark):
+    from kairos.plans import catalog
+
+    layers = os.path.join(checkpoint_dir(spark), "kairos")
+    count = lambda: len([n for n in os.listdir(layers) if n.startswith("layer-")]) if os.path.isdir(layers) else 0
+    before = count()
+    catalog.QUERIES["q_contract_suite"](spark, "/root/testdata/sf0.001")
+    assert count() - before == 7
