@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from kairos.functions.scalars import text_packed, text_unpacked
 from kairos.session import LAYER_CODEC
 
 #: column of the enriched rows that tells whether every link is by a covering version
@@ -46,9 +47,9 @@ class FactStore:
         full = StructType(list(self.schema.fields)).add("gen", IntegerType()).add("_set", StringType()).add("_link", StringType())
         return self.spark.read.schema(full).parquet(self.path).where(F.col("gen") <= gen)
 
-    def _current(self, gen: int) -> DataFrame:
-        """The row that counts of every fact, with its ``_link``."""
-        rows = self._all(gen)
+    def _current(self, gen: int, plain=()) -> DataFrame:
+        """The row that counts of every fact, with its ``_link``; texts but those in ``plain`` packed, as whole rows cross joins."""
+        rows = text_packed(self._all(gen), keep=("_set", "_link", *plain))
         again = rows.where((F.col("_set") == "again") & F.col(self.key).isNotNull())
         newest = again.groupBy(F.col(self.key).alias("_nk")).agg(F.max("gen").alias("_ng"))
         cols = [*self.schema.names, "_link"]
@@ -58,7 +59,7 @@ class FactStore:
 
     def table(self, gen: int) -> DataFrame:
         """All facts at generation ``gen``."""
-        return self._current(gen).select(*self.schema.names)
+        return text_unpacked(self._current(gen).select(*self.schema.names), self.schema)
 
     def ids(self, gen: int) -> DataFrame:
         """Ids staged up to generation ``gen`` (reads one column of the first rows)."""
@@ -74,14 +75,15 @@ class FactStore:
         starts = [s for s in (c.agg(F.min("_from")).first()[0] for c in changes.values()) if s is not None]
         if not starts:
             return None
-        rows = self._current(gen).where(F.col(self.key).isNotNull())
+        rows = self._current(gen, plain=tuple(changes)).where(F.col(self.key).isNotNull())
         rows = (rows.where(F.col("_link") == "pending")
                 .unionByName(rows.where((F.col("_link") == "settled") & (F.col(self.time) >= F.lit(min(starts)).cast("timestamp_ntz")))))
         hit = F.lit(False)
         for i, (fk, c) in enumerate(changes.items()):
             rows = rows.join(c.select(F.col(c.columns[0]).alias(f"_k{i}"), F.col("_from").alias(f"_from{i}")), F.col(fk) == F.col(f"_k{i}"), "left")
             hit = hit | (F.col(f"_k{i}").isNotNull() & ((F.col("_link") == "pending") | (F.col(self.time) >= F.col(f"_from{i}"))))
-        return rows.where(hit).select(*self.schema.names, "_link")
+        packed = StructType([f for f in self.schema.fields if f.name not in changes])
+        return text_unpacked(rows.where(hit).select(*self.schema.names, "_link"), packed)
 
     def write(self, gen: int, first: DataFrame, again: DataFrame | None = None) -> None:
         """Write generation ``gen``; both frames carry ``_settled``."""

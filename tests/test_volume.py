@@ -83,6 +83,30 @@ def test_a_layer_with_one_reader_is_not_written(spark):
     assert count() - before == 3
 
 
+def _facts_base(spark, tmp_path):
+    """A fact store of two generations: f2 and f4 linked again, one fact without an id."""
+    from kairos.sources.facts import FactStore
+
+    cols = "fact_id string, order_id string, order_sk string, created_at timestamp_ntz"
+    first = spark.createDataFrame([(f"{i:032x}" if i else None, f"o{i}", f"{i + 50:032x}" if i % 3 else None, T + dt.timedelta(i), bool(i % 2)) for i in range(6)],
+                                  cols + ", _settled boolean")
+    again = spark.createDataFrame([(f"{i:032x}", f"o{i}", f"{i + 90:032x}", T + dt.timedelta(i), True) for i in (2, 4)], cols + ", _settled boolean")
+    store = FactStore(spark, str(tmp_path / "facts"), "fact_id", "created_at", first.drop("_settled").schema)
+    store.write(0, first)
+    store.write(1, first.limit(0), again)
+    return store
+
+
+def test_stored_facts_cross_their_joins_packed(spark, tmp_path):
+    store = _facts_base(spark, tmp_path)
+    out = store.table(1)
+    assert {r.order_id: r.order_sk for r in out.collect()} == {"o0": None, "o1": f"{51:032x}", "o2": f"{92:032x}", "o3": None, "o4": f"{94:032x}", "o5": f"{55:032x}"}
+    assert [f.dataType for f in out.schema.fields] == [f.dataType for f in store.schema.fields]
+    assert {f.name for f in store._current(1).schema.fields if f.dataType.typeName() == "string"} == {"_link"}
+    hit = store.affected(1, {"order_id": spark.createDataFrame([("o1", T), ("o2", T + dt.timedelta(9)), ("o3", T + dt.timedelta(9))], "order_id string, _from timestamp_ntz")})
+    assert {(r.fact_id, r.order_id, r._link) for r in hit.collect()} == {(f"{1:032x}", "o1", "settled")}
+
+
 def test_paid_totals_leave_ids_and_version_keys_behind(spark):
     lazy, kept = M.Models(spark, "/root/testdata/sf0.001"), M.Models(spark, "/root/testdata/sf0.001", shared=("stg_payments",))
     assert _rows(lazy.int_order_payments) == _rows(kept.int_order_payments) and _rows(lazy.fct_orders) == _rows(kept.fct_orders)
