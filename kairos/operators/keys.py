@@ -13,7 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from kairos.functions.scalars import packed_key, unpacked_key
 from kairos.operators.scd import normalise_history
 
 def canonicalise(df: DataFrame, id_col: str, mapping: DataFrame | None = None,
@@ -30,7 +32,7 @@ def canonicalise(df: DataFrame, id_col: str, mapping: DataFrame | None = None,
 def first_version(df: DataFrame, key: str = "canonical_id", ts: str = "valid_from",
                   sk: str = "sk", out: str = "master_sk") -> DataFrame:
     """Per key, the sk of the earliest version (ties broken by sk)."""
-    return df.groupBy(key).agg(F.min_by(F.col(sk), F.struct(F.col(ts), F.col(sk))).alias(out))
+    return df.groupBy(key).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(sk).alias("k")))["k"].alias(out))
 
 
 def master_sk_window(df: DataFrame, key: str = "canonical_id", ts: str = "valid_from",
@@ -46,10 +48,13 @@ def master_sk_window(df: DataFrame, key: str = "canonical_id", ts: str = "valid_
 
 def assign_master_sk(df: DataFrame, sk_map: DataFrame, key: str = "canonical_id",
                      sk: str = "sk", out: str = "master_sk") -> DataFrame:
-    """``COALESCE(map.master_sk, sk)``: new entities self-assign."""
+    """``COALESCE(map.master_sk, sk)``: new entities self-assign.  Text keys cross the join packed."""
     m = sk_map.select(F.col("canonical_id").alias("_mk"), F.col("master_sk").alias("_msk"))
-    return (df.join(m, F.col(key) == F.col("_mk"), "left")
-            .withColumn(out, F.coalesce(F.col("_msk"), F.col(sk))).drop("_mk", "_msk"))
+    if not (df.schema[sk].dataType == sk_map.schema["master_sk"].dataType == StringType()):
+        return (df.join(m, F.col(key) == F.col("_mk"), "left")
+                .withColumn(out, F.coalesce(F.col("_msk"), F.col(sk))).drop("_mk", "_msk"))
+    j = df.withColumn(sk, packed_key(sk)).join(m.withColumn("_msk", packed_key("_msk")), F.col(key) == F.col("_mk"), "left")
+    return (j.withColumn(out, unpacked_key(F.coalesce(F.col("_msk"), F.col(sk)))).withColumn(sk, unpacked_key(sk)).drop("_mk", "_msk"))
 
 
 def new_entities(first: DataFrame, previous_map: DataFrame | None, key: str = "canonical_id") -> DataFrame:

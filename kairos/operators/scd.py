@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairos.functions.scalars import as_of as _as_of
-from kairos.functions.scalars import shift_days, version_sk
+from kairos.functions.scalars import packed_key, shift_days, unpacked_key, version_sk
 from kairos.operators.sequence import latest_per_key, time_slice
 
 SCD_ID = "scd_id"
@@ -96,13 +96,18 @@ def scd2_changes(open_rows: DataFrame | None, incoming: DataFrame, key: str,
     cols = data_cols + SCD_COLS
     if open_rows is None:
         return new_rows.select(*cols, F.lit("opened").alias("_kind"))
-    n = new_rows.select(F.col(key).alias("_k"), F.struct(*cols).alias("_n"))
-    h = open_rows.select(F.col(key).alias("_k"), F.struct(*cols).alias("_h"))
-    j = n.join(h, "_k", "left").where(F.col("_h").isNull() | (F.col(f"_n.{SCD_UPDATED_AT}") > F.col(f"_h.{SCD_UPDATED_AT}")))
+    # flat columns, the version's id packed: what a new row's id is made of crosses the join once, an open row has no end
+    held = {c: f"_h{i}" for i, c in enumerate(cols) if c not in (key, VALID_TO)}
+    as_text = open_rows.schema[SCD_ID].dataType.typeName() == "string"
+    h = open_rows.select(F.col(key).alias("_hk"), *[(packed_key(c) if c == SCD_ID and as_text else F.col(c)).alias(a) for c, a in held.items()])
+    j = (inc.select(*data_cols).join(h, F.col(key) == F.col("_hk"), "left")
+         .where(F.col("_hk").isNull() | (F.col(updated_at) > F.col(held[SCD_UPDATED_AT]))))
+    added = _version_rows(j, key, updated_at).select(F.struct(*cols).alias("_n"), "_hk", *held.values())
+    old = [F.col(f"_n.{key}") if c == key else F.col(f"_n.{SCD_UPDATED_AT}") if c == VALID_TO
+           else unpacked_key(held[c]) if c == SCD_ID and as_text else F.col(held[c]) for c in cols]
     opened = F.struct(F.col("_n").alias("r"), F.lit("opened").alias("_kind"))
-    closed = F.when(F.col("_h").isNotNull(), F.struct(F.col("_h").withField(VALID_TO, F.col(f"_n.{SCD_UPDATED_AT}")).alias("r"),
-                                                      F.lit("closed").alias("_kind")))
-    return (j.select(F.explode(F.array(opened, closed)).alias("_c")).where("_c is not null")
+    closed = F.when(F.col("_hk").isNotNull(), F.struct(F.struct(*[x.alias(c) for x, c in zip(old, cols)]).alias("r"), F.lit("closed").alias("_kind")))
+    return (added.select(F.explode(F.array(opened, closed)).alias("_c")).where("_c is not null")
             .select("_c.r.*", "_c._kind"))
 
 

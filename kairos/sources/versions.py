@@ -5,8 +5,8 @@ opened and the versions it closed, nothing else.  Every ``compact_every`` runs
 (and in run 0) the whole open set is written as ``base``, and the versions closed since the
 last such run together as ``history``, so files don't grow with the number of runs.  So
 
-* open versions at N = the last base, without the keys touched since, plus the
-  last opened version of those keys;
+* open versions at N = the last base and the versions opened since, without those of keys
+  that a later run closed;
 * table at N = history up to the last base, closed versions since, and the open versions at N.
 
 Both read with partition pruning; the deltas since the last base are small
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
-from kairos.session import LAYER_CODEC
+from kairos.session import LAYER_CODEC, path_exists
 
 COMPACT_EVERY = 30
 
@@ -39,8 +39,11 @@ class VersionStore:
     compact_every: int = COMPACT_EVERY
 
     def _all(self) -> DataFrame:
+        return self._read([self.path])
+
+    def _read(self, paths: list[str]) -> DataFrame:
         full = StructType(list(self.schema.fields)).add("gen", IntegerType()).add("_kind", StringType())
-        return self.spark.read.schema(full).parquet(self.path)
+        return self.spark.read.schema(full).option("basePath", self.path).parquet(*paths)
 
     def touched(self, gen: int) -> DataFrame:
         """What generation ``gen`` opened or closed, with ``_kind``."""
@@ -54,11 +57,17 @@ class VersionStore:
         base = rows.where((F.col("gen") == last) & (F.col("_kind") == "base")).drop("gen", "_kind")
         if gen == last:
             return base
-        since = rows.where((F.col("gen") > last) & (F.col("gen") <= gen) & F.col("_kind").isin("opened", "closed"))
-        newest = since.groupBy(F.col(self.key).alias("_tk")).agg(F.max("gen").alias("_tg"))
-        opened = (since.where(F.col("_kind") == "opened").join(newest, (F.col(self.key) == F.col("_tk")) & (F.col("gen") == F.col("_tg")))
-                  .select(*base.columns))
-        return base.join(newest, F.col(self.key) == F.col("_tk"), "left_anti").unionByName(opened)
+        # a run that opens a version of a key closes the one before it: what is open is not found by the opened keys but by the
+        # few closed ones, and neither the base nor the opened versions cross a shuffle for it
+        since = rows.where((F.col("gen") > last) & (F.col("gen") <= gen) & (F.col("_kind") == "opened") & F.col(self.key).isNotNull())
+        held = base.withColumn("gen", F.lit(last)).unionByName(since.drop("_kind"))
+        # read by their folders: the planner takes a scan for as large as the folders it is given, whatever partitions it leaves out
+        folders = [os.path.join(self.path, f"gen={g:06d}", "_kind=closed") for g in range(last + 1, gen + 1)]
+        folders = [f for f in folders if path_exists(self.spark, f)]
+        if not folders:
+            return held.drop("gen")
+        closed = self._read(folders).groupBy(F.col(self.key).alias("_tk")).agg(F.max("gen").alias("_tg"))
+        return held.join(closed, (F.col(self.key) == F.col("_tk")) & (F.col("gen") < F.col("_tg")), "left_anti").drop("gen")
 
     def table(self, gen: int) -> DataFrame:
         """All versions at generation ``gen``."""

@@ -136,3 +136,57 @@ def test_contract_checks_write_no_links(spark):
     before = count()
     catalog.QUERIES["q_contract_suite"](spark, "/root/testdata/sf0.001")
     assert count() - before == 7
+
+
+def _plan(df, which):
+    return getattr(df._jdf.queryExecution(), which)().toString()
+
+
+def test_open_versions_are_found_by_closed_keys(spark, tmp_path):
+    from kairos.operators.scd import scd2_changes
+    from kairos.sources.versions import VersionStore
+
+    def load(day, ids):
+        return ids.select("id", F.lit(f"v{day}").alias("v"), F.lit(T + dt.timedelta(day)).cast("timestamp_ntz").alias("updated_at"))
+
+    store, ids = None, [spark.range(1, 4), spark.range(2, 20_000).where("id <> 3"), spark.createDataFrame([(2,), (3,), (30_000,)], "id long")]
+    for gen, x in enumerate(ids):
+        rows = scd2_changes(store.open_rows(gen - 1) if store else None, load(gen, x), "id")
+        store = store or VersionStore(spark, str(tmp_path / "versions"), "id", rows.drop("_kind").schema)
+        store.write(gen, rows)
+    few = F.col("id").isin(1, 2, 3, 4, 30_000)
+    got, before = store.open_rows(2), store.open_rows(1)
+    assert sorted((r.id, r.v) for r in got.where(few).collect()) == [(1, "v0"), (2, "v2"), (3, "v2"), (4, "v1"), (30_000, "v2")]
+    assert sorted((r.id, r.v) for r in before.where(few).collect()) == [(1, "v0"), (2, "v1"), (3, "v0"), (4, "v1")]
+    assert got.count() == got.select("id").distinct().count() == 20_000
+    # the few closed keys are broadcast, however many versions were opened
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16384")
+    try:
+        plan = _plan(store.open_rows(2).select("*"), "sparkPlan")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_version_and_master_keys_cross_joins_packed(spark):
+    from kairos.operators.scd import scd2_changes, scd2_snapshot
+
+    kinds = [None, "", "plain", "AB" * 16, "ab" * 16, "0f8fad5b-d9cb-469f-a165-70867728950e"]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(kinds)] + [(None, "x")], "canonical_id long, sk string")
+    m = spark.createDataFrame([(i + 1, k) for i, k in enumerate(kinds[2:])], "canonical_id long, master_sk string")
+    out = keys.assign_master_sk(df, m)
+    masters = dict(enumerate(kinds[2:], 1))
+    assert out.columns == ["canonical_id", "sk", "master_sk"]
+    assert {tuple(r) for r in out.collect()} == {(i, k, masters.get(i, k)) for i, k in [*enumerate(kinds), (None, "x")]}
+    assert "unhex" in _plan(out, "optimizedPlan")
+
+    first = spark.createDataFrame([(i, "a", T) for i in (1, 2, 3)], "id long, v string, updated_at timestamp_ntz")
+    then = spark.createDataFrame([(i, "b", T + dt.timedelta(d)) for i, d in ((1, 1), (2, 0), (3, -1), (4, 1), (None, 1))], "id long, v string, updated_at timestamp_ntz")
+    held = scd2_snapshot(None, first, "id")
+    changed = scd2_changes(held, then, "id")
+    whole = scd2_snapshot(held, then, "id")
+    assert changed.columns == [*whole.columns, "_kind"]
+    assert _rows(changed.drop("_kind")) == _rows(whole.where("id in (1, 4) or id is null"))
+    assert sorted((r.id or 0, r._kind) for r in changed.collect()) == [(0, "opened"), (1, "closed"), (1, "opened"), (4, "opened")]
+    assert "unhex" in _plan(changed, "optimizedPlan")
