@@ -22,9 +22,9 @@ similarity of ``num / den`` or more; removed lines count as earlier lines too.
    lists every line is first compared with the earliest of its block (key, size
    band); what matches is settled and asks no further, so a group of near copies
    costs one comparison a line, and the others are joined with the earlier lines
-   of the blocks they reach.  There every entry carries the line's long-list keys
-   before it, and a pair is made at the first key that both lines have, not again
-   at each of the others.
+   of the blocks they reach.  Entries of lists of more than ``MANY`` lines carry the line's
+   keys of such lists before them, and a pair is made at the first of them that both
+   lines have, not again at each of the others.
 5. A 128-bit signature bounds the overlap again, then verification counts the
    common words of both whole lines.  Only documents that lose a line are joined
    with what they lose.
@@ -50,6 +50,8 @@ from kairos.llm.common import LAYERS, id_bitmap, in_bitmap, materialise, maybe_i
 CELLS = 1 << 18
 #: lists up to this length are compared in place; longer ones go by leaders and a join
 SHORT = 48
+#: of the lists longer than this, only the first that two lines share makes a pair of them
+MANY = 1024
 #: words of more lines than this are keys in pairs only
 FREQUENT = 2048
 #: size of the pre-filters for repeated keys and for first places
@@ -135,21 +137,21 @@ def first_of_equals(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = id_bitmap(known.where("not again").select(F.xxhash64("id", "line_no").alias("h")), "h", BITS)
     marked = flagged.withColumnRenamed("_kl_maybe", "repeats").withColumn("h", F.xxhash64("id", "line_no"))
     firsts = maybe_in(marked, "h", kept, BITS).where("not repeats or _kl_maybe")
-    return known.where("again").select("id", "line_no", "k"), firsts.select("id", "line_no", "n", "s0", "s1", "c0", "toks")
+    return known.where("again").select("id", "line_no", "k"), firsts.select("id", "line_no", "n", "s0", "c0", "toks")
 
 
 def index_keys(firsts: DataFrame, cells: str, frequent: int, num: int, den: int) -> DataFrame:
-    """(tok, id, line_no, n, reach, s, s1, c0): a row per key of a line, rare words alone and frequent ones with a later word."""
+    """(tok, id, line_no, n, reach, s, c0): a row per key of a line, rare words alone and frequent ones with a later word."""
     level = f"shiftright(get({cells}, cast(shiftright(t & {CELLS - 1}L, 4) as int)), 4 * cast(t & 15L as int)) & 15L"
-    ordered = firsts.select("id", "line_no", "n", F.col("s0").alias("s"), "s1", "c0", F.expr(f"n - cast(ceil(n * {num} / {den}) as int)").alias("last"),
+    ordered = firsts.select("id", "line_no", "n", F.col("s0").alias("s"), "c0", F.expr(f"n - cast(ceil(n * {num} / {den}) as int)").alias("last"),
                             F.sort_array(F.expr(f"transform(toks, t -> t | shiftleft({level}, 57))")).alias("o"))
     # a similar line shares ceil(n * num / den) words or more; where that is one, a frequent word is a key alone too
     alone = "array(struct(p as pos, xxhash64(t) as tok))"
     pairs = "transform(slice(o, p + 2, last + 1 - p), u -> struct(p as pos, xxhash64(t, u) as tok))"
     keys = f"""flatten(transform(slice(o, 1, last + 1), (t, p) -> case when shiftrightunsigned(t, 57) < {frequent} then {alone}
         when ceil(n * {num} / {den}) >= 2 then {pairs} else concat({alone}, {pairs}) end))"""
-    return (ordered.select("id", "line_no", "n", "s", "s1", "c0", F.expr(f"inline({keys})"))
-            .select("tok", "id", "line_no", "n", F.expr(f"cast((n - pos) * {num + den} div {num} - n as int)").alias("reach"), "s", "s1", "c0"))
+    return (ordered.select("id", "line_no", "n", "s", "c0", F.expr(f"inline({keys})"))
+            .select("tok", "id", "line_no", "n", F.expr(f"cast((n - pos) * {num + den} div {num} - n as int)").alias("reach"), "s", "c0"))
 
 
 def once_per_pair(index: DataFrame) -> DataFrame:
@@ -160,8 +162,8 @@ def once_per_pair(index: DataFrame) -> DataFrame:
     it fails at every later key.  ``c0`` tells lines of a repeated id apart.
     """
     keys = F.sort_array(F.collect_set(F.struct((-F.col("reach")).alias("back"), "tok")))
-    return (index.groupBy("id", "line_no", "n", "s", "s1", "c0").agg(keys.alias("ks"))
-            .select("id", "line_no", "n", "s", "s1", "c0", F.expr("inline(transform(ks, (k, i) -> struct(k.tok as tok, -k.back as reach, slice(ks.tok, 1, i) as seen)))")))
+    return (index.groupBy("id", "line_no", "n", "s", "c0").agg(keys.alias("ks"))
+            .select("id", "line_no", "n", "s", F.expr("inline(transform(ks, (k, i) -> struct(k.tok as tok, -k.back as reach, slice(ks.tok, 1, i) as seen)))")))
 
 
 def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int = 5) -> DataFrame:
@@ -180,7 +182,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int =
     met = in_bitmap(entries, "tok", id_bitmap(counts, "tok", BITS), BITS)
     # a key's bit says the same of all its lines, so no list is taken apart; a short list that shares a long one's bit goes by the join
     index = materialise(maybe_in(met, "tok", id_bitmap(counts.where(f"c > {SHORT}"), "tok", BITS), BITS)
-                        .select("tok", "id", "line_no", "n", "reach", "s", "s1", "c0", F.col("_kl_maybe").alias("long")), **_PACKED)
+                        .select("tok", "id", "line_no", "n", "reach", "s", "c0", F.col("_kl_maybe").alias("long")), **_PACKED)
     release(docs.sparkSession, [])
     # short lists: earlier lines stand before a line
     row = F.struct("id", "line_no", "n", "reach", "s")
@@ -203,18 +205,22 @@ def repeated_lines(docs: DataFrame, min_words: int = 1, num: int = 4, den: int =
     star = (index.join(lead, ["tok", "band"]).where(later & F.expr("n <= e.reach and e.n <= reach and " + _bound(*x, *y, num, den)))
             .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")).distinct())
     settled = materialise(_compare(materialise(star), sets, num, den))
-    open_lines = index.join(settled.select("id", "line_no"), ["id", "line_no"], "left_anti")
-    # only keys that an unsettled line has can make a pair, or be a pair's first
-    alive = materialise(once_per_pair(in_bitmap(index, "tok", id_bitmap(open_lines, "tok", BITS), BITS)), **_PACKED)
     low = F.greatest(F.col("n") * num / den, F.lit(1))
-    asking = (alive.join(settled.select("id", "line_no"), ["id", "line_no"], "left_anti")
-              .select("tok", "id", "line_no", "n", "reach", "s", "s1", "seen",
-                      F.explode(F.sequence(band(low), F.greatest(band(low), band(F.greatest("reach", F.lit(1)))))).alias("band")))
-    before = alive.select("tok", band("n").alias("band"), F.struct("id", "line_no", "n", "reach", "s", "s1", "seen").alias("e"))
-    rest = (asking.join(before, ["tok", "band"])
-            .where(later & F.expr(f"n <= e.reach and e.n <= reach and {den} * n >= {num} * e.n and {den} * e.n >= {num} * n and "
-                                  + _bound("n", ["s", "s1"], "e.n", ["e.s", "e.s1"], num, den) + " and not arrays_overlap(seen, e.seen)"))
-            .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")).distinct())
+
+    def met_again(rows: DataFrame, once: bool) -> DataFrame:
+        """Pairs of an unsettled line and an earlier one that share a key."""
+        carried = ["id", "line_no", "n", "reach", "s", *(["seen"] if once else [])]
+        asking = (rows.join(settled.select("id", "line_no"), ["id", "line_no"], "left_anti")
+                  .select("tok", *carried, F.explode(F.sequence(band(low), F.greatest(band(low), band(F.greatest("reach", F.lit(1)))))).alias("band")))
+        before = rows.select("tok", band("n").alias("band"), F.struct(*carried).alias("e"))
+        return (asking.join(before, ["tok", "band"])
+                .where(later & F.expr(f"n <= e.reach and e.n <= reach and {den} * n >= {num} * e.n and {den} * e.n >= {num} * n and " + _bound(*x, *y, num, den)
+                                      + (" and not arrays_overlap(seen, e.seen)" if once else "")))
+                .select("id", "line_no", F.col("e.id").alias("eid"), F.col("e.line_no").alias("eline")))
+
+    parted = maybe_in(index, "tok", id_bitmap(counts.where(f"c > {MANY}"), "tok", BITS), BITS)
+    rest = (met_again(parted.where("not _kl_maybe"), False)
+            .unionByName(met_again(once_per_pair(parted.where("_kl_maybe")), True)).distinct())
     found = _compare(materialise(rest), sets, num, den)
     return exact.unionByName(short).unionByName(settled).unionByName(found)
 

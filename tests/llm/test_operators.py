@@ -184,7 +184,7 @@ def test_line_dedup_makes_a_pair_once(spark, monkeypatch):
     lines = [" ".join(w if rng.random() < 0.91 else f"{w}x{rng.randrange(40)}" for w in base) for _ in range(120)]
     keys = [(k, i) for i, line in enumerate(lines) for k, w in enumerate(line.split()[:16]) if w == base[k]]
     index = spark.createDataFrame([(base[k], k, i) for k, i in keys], "w string, pos int, id long").selectExpr(
-        "xxhash64(w) as tok", "id", "0 as line_no", "60 as n", "60 - pos as reach", "0L as s", "0L as s1", "id as c0")
+        "xxhash64(w) as tok", "id", "0 as line_no", "60 as n", "60 - pos as reach", "0L as s", "id as c0")
     rows = line_dedup.once_per_pair(index.unionByName(index.where("id < 5"))).select("id", "tok", "reach", "seen")
     assert {r.id: r.n for r in rows.groupBy("id").agg(F.count("*").alias("n")).collect()} == {i: sum(j == i for _, j in keys) for i in range(120)}
     pairs = rows.alias("a").join(rows.alias("b"), F.expr("a.tok = b.tok and a.id < b.id"))
@@ -192,6 +192,7 @@ def test_line_dedup_makes_a_pair_once(spark, monkeypatch):
     assert made == sorted((r[0], r[1]) for r in pairs.select("a.id", "b.id").distinct().collect()) and pairs.count() > 4 * len(made)
 
     monkeypatch.setattr(line_dedup, "SHORT", 3)
+    monkeypatch.setattr(line_dedup, "MANY", 8)
     texts = ["\n".join(lines[i:i + 4]) for i in range(0, 120, 4)]
     gone, before = removed_lines(texts), len(common.LAYERS)
     got = line_dedup.dedup_lines(docs_of(spark, texts))
