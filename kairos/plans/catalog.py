@@ -40,16 +40,18 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 #: layers that several steps of a query read
 SHARED_LAYERS = {"fct_orders": ("stg_orders",), "order_features": ("stg_orders",)}
+#: layers that a query's steps are made of, but whose columns don't reach its result: an order's links to its customer
+UNREAD_LAYERS = {n: ("customers_snapshot", "dim_customer_sk_map", "stg_customers") for n in ("stg_payments", "stg_order_items", "int_order_payments")}
 
 
-def _models(spark, d, shared=()) -> Models:
+def _models(spark, d, shared=(), unread=()) -> Models:
     """Models whose shared layers are checkpointed (computed once, lineage cut)."""
-    return Models(spark, d, layer_mode="checkpoint", shared=shared)
+    return Models(spark, d, layer_mode="checkpoint", shared=shared, unread=unread)
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, d):
-        return getattr(_models(spark, d, SHARED_LAYERS.get(name, ())), name)
+        return getattr(_models(spark, d, SHARED_LAYERS.get(name, ()), UNREAD_LAYERS.get(name, ())), name)
     run.__name__ = name
     return run
 

@@ -190,3 +190,36 @@ def test_version_and_master_keys_cross_joins_packed(spark):
     assert _rows(changed.drop("_kind")) == _rows(whole.where("id in (1, 4) or id is null"))
     assert sorted((r.id or 0, r._kind) for r in changed.collect()) == [(0, "opened"), (1, "closed"), (1, "opened"), (4, "opened")]
     assert "unhex" in _plan(changed, "optimizedPlan")
+
+
+def test_sliced_links_that_nobody_reads_cost_no_exchange(spark):
+    h = spark.range(9).select("id", F.lit("x").alias("sk"), F.lit("x").alias("master_sk"), F.lit(T).cast("timestamp_ntz").alias("valid_from"),
+                              F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
+    f = spark.range(50).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 9).alias("k"), F.lit(T).cast("timestamp_ntz").alias("at"))
+    out = pit.fk_enrich(f, "k", "at", h, "id", "p", slice_unit="year").select("id")
+    assert _exchanges(spark, out) == 0 and out.count() == 50
+
+
+def test_facts_without_a_key_go_with_the_others(spark):
+    """One pass over the facts, whatever made them: each id of a deduplicated log is made once."""
+    h = spark.createDataFrame([(1, "a", "a", T, T + dt.timedelta(5), False), (1, "b", "a", T + dt.timedelta(5), None, True)],
+                              "k long, sk string, master_sk string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    f = spark.createDataFrame([(f"f{i}", (1, 2, None)[i % 3], T + dt.timedelta(i)) for i in range(-3, 9)] + [("none", None, None), ("late", 1, None)],
+                              "id string, order_id long, at timestamp_ntz")
+    for options in ({"strategy": "merge"}, {"slice_unit": "month"}, {"slice_unit": None}):
+        got = pit.fk_enrich(f, "order_id", "at", h, "k", "p", mark="ok", **options)
+        assert _rows(got) == _rows(pit.fk_enrich(f, "order_id", "at", h, "k", "p", mark="ok", strategy="join"))
+        seen = spark.sparkContext.accumulator(0)
+        counted = spark.createDataFrame(f.rdd.map(lambda r: (seen.add(1), r)[1]), f.schema)
+        pit.fk_enrich(counted, "order_id", "at", h, "k", "p", strategy="merge").write.format("noop").mode("overwrite").save()
+        assert seen.value == f.count()
+
+
+def test_layers_that_an_order_item_does_not_read_are_not_written(spark):
+    from kairos.plans.catalog import QUERIES
+
+    layers = os.path.join(checkpoint_dir(spark), "kairos")
+    count = lambda: len([n for n in os.listdir(layers) if n.startswith("layer-")]) if os.path.isdir(layers) else 0
+    before = count()
+    out = QUERIES["stg_order_items"](spark, "/root/testdata/sf0.001")
+    assert count() == before and _exchanges(spark, out) <= 6
